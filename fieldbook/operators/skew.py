@@ -1,0 +1,63 @@
+"""Ordered per-key work that survives a hot key.
+
+A window over ``partitionBy(key)`` puts all rows of one key into one task. When one
+phone number or agent owns a large share of the rows that task never ends, so the rows
+of hot keys are cut into time slices: the window runs per (key, slice), and what a
+slice needs to know about later slices is computed from one pre-aggregated row per
+slice. Results do not depend on which keys are treated as hot.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fieldbook.functions.clock import micros
+
+SLICE = "_slice"
+MICROS = "_us"
+_HOT = "_hot"
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with at least ``min_rows`` rows are cut into slices of ``slice_seconds``.
+
+    At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast list:
+    10^12 rows at the default give at most 200,000 keys of a few bytes each.
+    """
+
+    min_rows: int = 5_000_000
+    slice_seconds: int = 60
+
+    def find(self, df: DataFrame, key: str) -> DataFrame:
+        """Exact counts: partial sums per task, so a hot key shuffles one row per task."""
+        return (
+            df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("_rows"))
+            .where((F.col("_rows") >= self.min_rows) & F.col(key).isNotNull())
+            .select(key)
+        )
+
+
+def sliced(df: DataFrame, key: str, ts: Column, policy: HotKeys) -> DataFrame:
+    """Add ``_us`` (microseconds) and ``_slice`` (0 for a key that is not hot)."""
+    hot = policy.find(df.select(key), key).withColumn(_HOT, F.lit(True))
+    width = policy.slice_seconds * 1_000_000
+    timed = df.withColumn(MICROS, micros(ts))
+    number = F.floor(F.col(MICROS) / F.lit(width)).cast("long")
+    return (
+        timed.join(F.broadcast(hot), key, "left")
+        .withColumn(SLICE, F.when(F.col(_HOT), number).otherwise(F.lit(0).cast("long")))
+        .withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+    )
+
+
+def hot_part(df: DataFrame) -> DataFrame:
+    return df.where(F.col(_HOT))
+
+
+def drop_marks(df: DataFrame) -> DataFrame:
+    return df.drop(MICROS, SLICE, _HOT)
