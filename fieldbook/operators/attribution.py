@@ -67,18 +67,9 @@ def attribute(
     rows = rows.unionByName(
         _event_rows(spends, key, ts, "_spend", id, ["used_on", "creation_type"]), True
     )
-    rows = sliced(rows, key, F.col("_ts"), hot)
-
-    marks = _marks(campaigns)
-    later = next_strictly_later(MICROS, [key, SLICE])
-    in_slice = rows.select(
-        key, SLICE, "_campaign", "_message",
-        *[F.min(expr).over(later).alias(name) for name, expr in marks.items()],
-    ).where(F.col("_message").isNotNull())
-
-    found = in_slice.join(_later_slices(rows, key, marks), [key, SLICE], "left").select(
-        "_campaign", "_message",
-        *[F.coalesce(F.col(n), F.col(f"{n}_later")).alias(n) for n in marks],
+    found = later_minima(
+        rows, key=key, ts="_ts", marks=_marks(campaigns), keep=["_campaign", "_message"],
+        only=F.col("_message").isNotNull(), hot=hot,
     )
     rival = _first_rival(campaigns, rivals)
     credited = found.select(
@@ -97,6 +88,33 @@ def attribute(
     return credited.unionByName(unkeyed)
 
 
+def later_minima(
+    rows: DataFrame,
+    *,
+    key: str,
+    ts: str,
+    marks: Mapping[str, Column],
+    keep: Sequence[str],
+    only: Column | None = None,
+    hot: HotKeys = HotKeys(),
+) -> DataFrame:
+    """``keep`` plus, per mark, its minimum over the strictly later rows of the same key.
+
+    Marks may use ``_us`` (microseconds). All marks share one exchange and one sort.
+    ``only`` limits the rows returned, not the rows looked at.
+    """
+    cut = sliced(rows, key, F.col(ts), hot)
+    later = next_strictly_later(MICROS, [key, SLICE])
+    in_slice = cut.select(
+        key, SLICE, *keep, *[F.min(expr).over(later).alias(name) for name, expr in marks.items()]
+    )
+    if only is not None:
+        in_slice = in_slice.where(only)
+    return in_slice.join(_later_slices(cut, key, marks), [key, SLICE], "left").select(
+        *keep, *[F.coalesce(F.col(n), F.col(f"{n}_later")).alias(n) for n in marks]
+    )
+
+
 def _event_rows(
     df: DataFrame, key: str, ts: str, name: str, id: str, payload: Sequence[str]
 ) -> DataFrame:

@@ -80,6 +80,7 @@ def campaign_messages(
     ledger: DataFrame,
     as_of: dt.date,
     *,
+    roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
 ) -> DataFrame:
     """Every campaign message of the report range in one shape (``MESSAGE_COLUMNS``).
@@ -110,7 +111,7 @@ def campaign_messages(
         "sent_on", to_local(F.col("communication_date"), offset)
     )
     none = F.lit(None).cast("string")
-    flow = F.get_json_object("additional_details", "$.ayuCashNudgingFlow")
+    flow = F.get_json_object("additional_details", f"$.{roles.flow_key}")
     nudges = sms.where(F.col("tag_id") == v.NUDGE_TAG).select(
         F.lit(NUDGE).alias("campaign"), "id", "phone", F.col("patient_id").cast("string").alias("customer"),
         "sent_on", flow.alias("flow"), none.alias("amount_tier"),
@@ -133,12 +134,12 @@ def campaign_messages(
         periods.covers(F.col("scheduled_on"), offset)
         & (F.col("communication_type") == v.SMS)
         & (F.col("status") == v.SUCCESS)
-        & (F.get_json_object(details, "$.ayuCashPromoDone") == "true")
+        & (F.get_json_object(details, f"$.{roles.promo_done_key}") == "true")
     ).select(
         F.lit(ONE_TIME).alias("campaign"), "id", phone(F.col("patient_number")).alias("phone"),
         phone(F.col("patient_number")).alias("customer"),
         to_local(F.col("scheduled_on"), offset).alias("sent_on"), none.alias("flow"),
-        F.get_json_object(details, "$.promotionalAyuCashAmount").alias("amount_tier"),
+        F.get_json_object(details, f"$.{roles.promo_amount_key}").alias("amount_tier"),
     )
     return nudges.unionByName(credits).unionByName(singles).unionByName(tests)
 
@@ -184,20 +185,20 @@ def attributed_messages(
 
 
 def campaign_funnels(
-    attributed: DataFrame, as_of: dt.date, roles: v.Roles = v.ROLES
+    attributed: DataFrame, as_of: dt.date
 ) -> tuple[DataFrame, DataFrame]:
-    """(funnels, rejects): all campaigns in one aggregation over (campaign, column).
+    """(funnels, rejects): all campaigns in one aggregation over (campaign, split).
 
     Nudges split by desk and one-time messages by amount tier; there a customer counts
     once per period, in the column of the first message. A one-time message of an unknown
     tier is rejected. One-time messages have no "yesterday" column.
     """
-    column = (
+    split = (
         F.when(F.col("campaign") == NUDGE, flow_channel(F.col("flow"), "after_visit", "support"))
         .when(F.col("campaign") == ONE_TIME, F.col("amount_tier"))
         .otherwise("all")
     )
-    rows = attributed.withColumn("column", column)
+    rows = attributed.withColumn("split", split)
     known = (F.col("campaign") != ONE_TIME) | F.coalesce(
         F.col("amount_tier").isin(*v.AMOUNT_TIERS), F.lit(False)
     )
@@ -205,7 +206,7 @@ def campaign_funnels(
         "reject_reason", F.concat(F.lit("unknown amount tier: "), F.coalesce("amount_tier", F.lit("NULL")))
     )
     result = funnel(
-        rows.where(known), as_of, column=["campaign", "column"], unique_by="customer", first_touch=True
+        rows.where(known), as_of, column=["campaign", "split"], unique_by="customer", first_touch=True
     )
     shown = ~((F.col("campaign") == ONE_TIME) & (F.col("period") == "yesterday"))
     return result.where(shown), rejected

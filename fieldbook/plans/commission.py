@@ -13,7 +13,7 @@ from fieldbook.functions.clock import (
 )
 from fieldbook.functions.text import money
 from fieldbook.operators.lookup import latest_per_key
-from fieldbook.operators.pricing import DEFAULT_TAX, lender_category, price_cases, price_sheet
+from fieldbook.operators.pricing import DEFAULT_TAX, price_cases, price_sheet
 from fieldbook.sources.readers import stack
 
 HISTORY_START = dt.datetime(2022, 10, 12)
@@ -120,9 +120,9 @@ def open_cases(
     )
 
 
-def _layout(priced: DataFrame) -> DataFrame:
+def _layout(priced: DataFrame, tax: str | None) -> DataFrame:
     renamed = (
-        priced.withColumn("tax", F.lit(v.TAX_TEXT))
+        priced.withColumn("tax", F.lit(tax).cast("string"))
         .withColumn("chargeable_amount", F.col("approved"))
         .withColumnRenamed("remarks", "chargeable_on")
     )
@@ -132,12 +132,12 @@ def _layout(priced: DataFrame) -> DataFrame:
 
 
 def statement(cases: DataFrame, rates: DataFrame, roles: v.Roles = v.ROLES) -> DataFrame:
-    return _layout(price_cases(cases, rates, roles)).withColumn("tax", F.lit(None).cast("string"))
+    return _layout(price_cases(cases, rates, roles), None)
 
 
 def earlier_statement(*sheets: DataFrame, tax_rate: str = DEFAULT_TAX) -> DataFrame:
     """Statement rows of the earlier text sheets, whose columns may differ."""
-    return _layout(price_sheet(stack(*sheets), tax_rate))
+    return _layout(price_sheet(stack(*sheets), tax_rate), v.TAX_TEXT)
 
 
 def full_statement(current: DataFrame, earlier: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ TAX_TEXT = "18.00%"
 
 @dataclass(frozen=True)
 class Roles:
-    """Names a deployment gives to its staff groups, tenant and case sources."""
+    """Names a deployment gives to its staff groups, tenant, JSON keys and case sources."""
 
     field_staff: str = "FIELD_STAFF"
     support: str = "CUSTOMER_SUPPORT"
@@ -129,6 +129,9 @@ class Roles:
     field_mapping: str = "FIELD"
     case_source: str = "Partner"
     patient_source: str = "Dashboard"
+    flow_key: str = "cashNudgingFlow"
+    promo_done_key: str = "cashPromoDone"
+    promo_amount_key: str = "promotionalCashAmount"
     lender_categories: tuple[tuple[str, str], ...] = (
         ("Own PDC", "PDC-Own"),
         ("Hospital PDC", "PDC Hospital"),
