@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.functions.clock import elapsed_seconds, instant
-from fieldbook.operators.skew import MICROS, SLICE, HotKeys, drop_marks, hot_part, sliced
+from fieldbook.operators.skew import MICROS, SLICE, HotKeys, sliced
 
 
 def with_next_row(
@@ -26,24 +26,21 @@ def with_next_row(
 
     Rows without a key have no following row and stay out of the window.
     """
-    rows = sliced(df.where(F.col(key).isNotNull()), key, F.col(ts), hot)
+    cut = sliced(df.where(F.col(key).isNotNull()), key, F.col(ts), hot)
     carried = F.struct(*values)
-    in_slice = rows.withColumn(
-        "_next", F.lead(carried).over(Window.partitionBy(key, SLICE).orderBy(MICROS, id))
-    )
-    first_of_slice = (
-        hot_part(rows)
-        .groupBy(key, SLICE)
-        .agg(F.min_by(carried, F.struct(MICROS, id)).alias("_first"))
-        .select(
-            key, SLICE,
+    order = Window.partitionBy(*cut.partition).orderBy(MICROS, id)
+    found = cut.rows.withColumn("_next", F.lead(carried).over(order))
+    if cut.has_hot:
+        first_of_slice = cut.per_hot_slice(
+            F.min_by(carried, F.struct(MICROS, id)).alias("_first")
+        ).select(
+            *cut.partition,
             F.lead("_first").over(Window.partitionBy(key).orderBy(SLICE)).alias("_after"),
         )
-    )
-    found = in_slice.join(first_of_slice, [key, SLICE], "left").withColumn(
-        "_next", F.coalesce("_next", "_after")
-    )
-    with_key = drop_marks(found).select(
+        found = found.join(first_of_slice, cut.partition, "left").withColumn(
+            "_next", F.coalesce("_next", "_after")
+        )
+    with_key = found.select(
         *df.columns, *[F.col(f"_next.{v}").alias(f"{v}{suffix}") for v in values]
     )
     without_key = df.where(F.col(key).isNull()).select(

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.operators.skew import MICROS, SLICE, HotKeys, hot_part, sliced
+from fieldbook.operators.skew import MICROS, SLICE, HotKeys, Sliced, sliced
 
 RESULT_COLUMNS = (
     "responded", "response_id", "channel", "used", "spend_id", "used_on", "creation_type",
@@ -104,13 +104,14 @@ def later_minima(
     ``only`` limits the rows returned, not the rows looked at.
     """
     cut = sliced(rows, key, F.col(ts), hot)
-    later = next_strictly_later(MICROS, [key, SLICE])
-    in_slice = cut.select(
-        key, SLICE, *keep, *[F.min(expr).over(later).alias(name) for name, expr in marks.items()]
-    )
+    later = next_strictly_later(MICROS, cut.partition)
+    minima = [F.min(expr).over(later).alias(name) for name, expr in marks.items()]
+    in_slice = cut.rows.select(*cut.partition, *keep, *minima)
     if only is not None:
         in_slice = in_slice.where(only)
-    return in_slice.join(_later_slices(cut, key, marks), [key, SLICE], "left").select(
+    if not cut.has_hot:
+        return in_slice.select(*keep, *marks)
+    return in_slice.join(_later_slices(cut, marks), cut.partition, "left").select(
         *keep, *[F.coalesce(F.col(n), F.col(f"{n}_later")).alias(n) for n in marks]
     )
 
@@ -137,18 +138,16 @@ def _marks(campaigns: Sequence[str]) -> dict[str, Column]:
     return marks
 
 
-def _later_slices(rows: DataFrame, key: str, marks: Mapping[str, Column]) -> DataFrame:
+def _later_slices(cut: Sliced, marks: Mapping[str, Column]) -> DataFrame:
     """Per (hot key, slice): the minima over all later slices of that key."""
-    per_slice = hot_part(rows).groupBy(key, SLICE).agg(
-        *[F.min(expr).alias(name) for name, expr in marks.items()]
-    )
+    per_slice = cut.per_hot_slice(*[F.min(expr).alias(name) for name, expr in marks.items()])
     after = (
-        Window.partitionBy(key)
+        Window.partitionBy(cut.key)
         .orderBy(F.col(SLICE).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return per_slice.select(
-        key, SLICE, *[F.min(name).over(after).alias(f"{name}_later") for name in marks]
+        *cut.partition, *[F.min(name).over(after).alias(f"{name}_later") for name in marks]
     )
 
 

@@ -4,7 +4,8 @@ A window over ``partitionBy(key)`` puts all rows of one key into one task. When
 phone number or agent owns a large share of the rows that task never ends, so the rows
 of hot keys are cut into time slices: the window runs per (key, slice), and what a
 slice needs to know about later slices is computed from one pre-aggregated row per
-slice. Results do not depend on which keys are treated as hot.
+slice. Results do not depend on which keys are treated as hot. Without a hot key there is
+one plain window.
 """
 
 from __future__ import annotations
@@ -15,10 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions.clock import micros
+from fieldbook.session import stored
 
 SLICE = "_slice"
 MICROS = "_us"
 _HOT = "_hot"
+# Slices are numbered from year 1, the earliest representable timestamp, so that the slice
+# of a hot key is never 0.
+_ORIGIN_MICROS = -62_135_596_800_000_000
 
 
 @dataclass(frozen=True)
@@ -32,32 +37,50 @@ class HotKeys:
     min_rows: int = 5_000_000
     slice_seconds: int = 60
 
-    def find(self, df: DataFrame, key: str) -> DataFrame:
-        """Exact counts: partial sums per task, so a hot key shuffles one row per task."""
-        return (
+    def find(self, df: DataFrame, key: str) -> DataFrame | None:
+        """The hot keys as a stored table, or None when no key is hot.
+
+        Exact counts: partial sums per task, so a hot key shuffles one row per task.
+        """
+        hot = (
             df.groupBy(key)
             .agg(F.count(F.lit(1)).alias("_rows"))
             .where((F.col("_rows") >= self.min_rows) & F.col(key).isNotNull())
             .select(key)
         )
+        table = stored(hot, "hot-keys")
+        return None if table.isEmpty() else table
 
 
-def sliced(df: DataFrame, key: str, ts: Column, policy: HotKeys) -> DataFrame:
-    """Add ``_us`` (microseconds) and ``_slice`` (0 for a key that is not hot)."""
-    hot = policy.find(df.select(key), key).withColumn(_HOT, F.lit(True))
-    width = policy.slice_seconds * 1_000_000
-    timed = df.withColumn(MICROS, micros(ts))
-    number = F.floor(F.col(MICROS) / F.lit(width)).cast("long")
-    return (
-        timed.join(F.broadcast(hot), key, "left")
-        .withColumn(SLICE, F.when(F.col(_HOT), number).otherwise(F.lit(0).cast("long")))
-        .withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
-    )
+@dataclass(frozen=True)
+class Sliced:
+    """Rows with ``_us`` (microseconds) and, if any key is hot, ``_slice``."""
 
+    rows: DataFrame
+    key: str
+    has_hot: bool
 
-def hot_part(df: DataFrame) -> DataFrame:
-    return df.where(F.col(_HOT))
+    @property
+    def partition(self) -> list[str]:
+        return [self.key, SLICE] if self.has_hot else [self.key]
 
+    def per_hot_slice(self, *aggregates: Column) -> DataFrame:
+        """One pre-aggregated row per (hot key, slice)."""
+        return self.rows.where(F.col(SLICE) != 0).groupBy(self.key, SLICE).agg(*aggregates)
 
-def drop_marks(df: DataFrame) -> DataFrame:
-    return df.drop(MICROS, SLICE, _HOT)
+
+def sliced(df: DataFrame, key: str, ts: Column, policy: HotKeys) -> Sliced:
+    """Slice 0 holds all rows of a key that is not hot; hot keys start at slice 1."""
+    timed = df.withColumn(MICROS, micros(ts))
+    hot = policy.find(df.select(key), key)
+    if hot is None:
+        return Sliced(timed, key, False)
+    width = policy.slice_seconds * 1_000_000
+    origin = F.lit(_ORIGIN_MICROS)
+    number = F.floor((F.col(MICROS) - origin) / F.lit(width)).cast("long") + 1
+    rows = (
+        timed.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
+        .withColumn(SLICE, F.when(F.col(_HOT), number).otherwise(F.lit(0).cast("long")))
+        .drop(_HOT)
+    )
+    return Sliced(rows, key, True)

@@ -15,6 +15,7 @@ from fieldbook.probes.rows import AS_OF, CODE_SQL, EVENT_DAY, PHONE_SQL, STATUS_
 from fieldbook.probes.tables import (
     BUCKET_SQL, DETAIL_SQL, GAP_ROWS, LIST_SQL, PERIOD_SUMS, attribution_sql, funnel_sql, per_user_sql,
 )
+from fieldbook.session import stored
 from fieldbook.sources import schemas
 
 # ---- staff ---------------------------------------------------------------------------
@@ -253,10 +254,12 @@ SHEET = """
     with sheet as ({SHEET.format(lineitem='lineitem').replace('as string', 'as varchar')}),
     typed as (select case_id, remarks, try_cast(replace(approved, ',', '') as decimal(18,2)) as approved, try_cast(total_bill as decimal(18,2)) as bill,
                      try_cast(discount as decimal(18,2)) as discount, try_cast(share as decimal(18,2)) as share_amount,
-                     (cast(replace(share_pct, '%', '') as integer) * 1.18)::decimal(18,4) as pct from sheet),
-    summed as (select *, round(case remarks when 'On Approved Amount' then approved when 'On Total Bill Amount' then bill end * pct / 100, 4)::decimal(18,4) as total from typed)
+                     cast(replace(share_pct, '.00%', '') as bigint) as pct from sheet),
+    cents as (select *, cast(100 * case remarks when 'On Approved Amount' then approved when 'On Total Bill Amount' then bill end as bigint) as basis from typed),
+    summed as (select *, cast((basis * pct * 118 + 50) // 100 as decimal(18,4)) / 10000 as total_d from cents),
+    fixed as (select *, cast(total_d as decimal(18,4)) as total from summed)
     select case_id, approved::double as approved, total::double as total_share, (total - share_amount)::double as tax_amount,
-           (approved - total - 10 + discount + 0)::double as net_payable, '18.00%' as tax, remarks as chargeable_on from summed""")
+           (approved - total - 10 + discount + 0)::double as net_payable, '18.00%' as tax, remarks as chargeable_on from fixed""")
 def _(t: Tables):
     sheet = t.spark.sql(SHEET, lineitem=t.lineitem)
     return commission.earlier_statement(sheet).select(
@@ -481,7 +484,7 @@ RESULT_SQL = f"""
 
 
 def attributed(t: Tables):
-    ledger = tagged(t)
+    ledger = stored(tagged(t), "ledger")
     names = "message_log message_tag asset patient customer_profile one_time_message"
     messages = cashback.campaign_messages(*t.views(names), ledger, AS_OF)
     feed = cashback.replies(*t.views("chat_message ledger_call"), AS_OF)

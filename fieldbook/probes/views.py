@@ -15,6 +15,11 @@ def _phone(col: str) -> str:
     return PHONE.format(col)
 
 
+# An order date is at midnight; spread over the day, and past local midnight.
+SPREAD = """(case o_orderkey % 5 when 0 then o_orderdate when 1 then o_orderdate + interval '2' hour
+    when 2 then o_orderdate + interval '9' hour when 3 then o_orderdate + interval '17' hour
+    else o_orderdate + interval '20' hour end)"""
+
 VIEWS: dict[str, str] = {
     # ---- people, places -----------------------------------------------------------
     "personnel": f"""
@@ -188,7 +193,7 @@ VIEWS: dict[str, str] = {
         from {customer}""",
     "customer_profile": f"""
         select c_custkey as customer_id, c_name as name, {_email('c_custkey')} as email,
-               case when c_custkey % 30 = 0 then '' else {_phone('c_custkey')} end as customer_number
+               case when c_custkey % 30 = 0 then '' else {_phone('c_custkey % 60')} end as customer_number
         from {{customer}}""",
     "patient_case": """
         select c_custkey as case_id, c_custkey as patient_id,
@@ -239,7 +244,7 @@ VIEWS: dict[str, str] = {
                event_id % 5 as option_value
         from {events}""",
     # ---- cashback -------------------------------------------------------------------
-    "cash_ledger": """
+    "cash_ledger": f"""
         select o_orderkey as id, o_custkey as customer_id,
                case when o_orderpriority = '1-URGENT' then 6 else o_orderkey % 5 + 1 end as cashback_type,
                cast(round(o_totalprice * 100) as bigint) as amount,
@@ -247,8 +252,8 @@ VIEWS: dict[str, str] = {
                     when 2 then 'PATIENT_SURGERY' when 3 then 'LOYALTY_CARD' when 4 then 'PROMOTION' else null end as issued_entity_type,
                case when o_orderkey % 6 = 3 then o_orderkey % 5000 else o_orderkey + o_orderkey % 2 end as issued_entity_id,
                case when o_orderstatus = 'P' then 'DEBITED' else 'CREDITED' end as transaction_type,
-               o_orderdate as created_on
-        from {orders}""",
+               {SPREAD} as created_on
+        from {{orders}}""",
     "cashback_type": """
         select cast(r_regionkey + 1 as bigint) as cashback_id, r_name as cashback_type,
                cast(case when r_regionkey = 2 then 0 else 1 end as int) as is_active
@@ -266,13 +271,13 @@ VIEWS: dict[str, str] = {
         select p_partkey as card_id, case when p_size % 3 = 0 then 'INACTIVE' else 'ACTIVE' end as status from {part}""",
     "card_payment": f"""
         select p_partkey as card_id, {_email('p_partkey % 400')} as collected_by from {{part}}""",
-    "message_log": """
-        select o_orderkey as id, o_orderkey as entity_tag_map_id, o_orderdate as communication_date,
+    "message_log": f"""
+        select o_orderkey as id, o_orderkey as entity_tag_map_id, {SPREAD} as communication_date,
                cast(case when o_orderkey % 20 = 0 then 0 else 1 end as int) as communication_done,
                case when o_orderkey % 33 = 0 then 'CALL' else 'SMS' end as communication_type,
                case when o_orderpriority = '2-HIGH' then 100 + o_orderkey % 50
                     when o_orderpriority = '4-NOT SPECIFIED' then 251 + o_orderkey % 4 else 255 + o_orderkey % 2 end as asset_id
-        from {orders} where o_orderstatus = 'O' and o_orderpriority in ('2-HIGH', '4-NOT SPECIFIED', '5-LOW')""",
+        from {{orders}} where o_orderstatus = 'O' and o_orderpriority in ('2-HIGH', '4-NOT SPECIFIED', '5-LOW')""",
     "message_tag": """
         select o_orderkey as id, cast(case when o_orderpriority = '2-HIGH' then 275 else 1 end as int) as tag_id,
                o_custkey as entity_id, case when o_orderkey % 41 = 0 then 'CASE' else 'PATIENT_PROFILE' end as entity_type,
@@ -281,21 +286,21 @@ VIEWS: dict[str, str] = {
         from {orders}""",
     "asset": "select o_orderkey as id from {orders}",
     "one_time_message": f"""
-        select o_orderkey as id, o_orderdate as scheduled_on, {_phone('o_custkey')} as patient_number,
+        select o_orderkey as id, {SPREAD} as scheduled_on, {_phone('o_custkey % 60')} as patient_number,
                'SMS' as communication_type, case when o_orderkey % 12 = 0 then 'FAILED' else 'SUCCESS' end as status,
                '{{{{"promotionalCashAmount":"' || case o_orderkey % 5 when 0 then '100' when 1 then '300' when 2 then '500'
                     when 3 then '1000' else '700' end || '","cashPromoDone":"'
                     || case when o_orderkey % 14 = 0 then 'false' else 'true' end || '"}}}}' as additional_details
         from {{orders}} where o_orderstatus = 'O' and o_orderpriority = '3-MEDIUM'""",
     "chat_message": f"""
-        select o_orderkey as id, {_phone('o_custkey')} as from_id,
-               case when o_orderkey % 10 = 0 then '0' else {_phone('o_custkey')} end as to_message,
-               o_orderdate as created_on
+        select o_orderkey as id, {_phone('o_custkey % 60')} as from_id,
+               case when o_orderkey % 10 = 0 then '0' else {_phone('o_custkey % 60')} end as to_message,
+               {SPREAD} as created_on
         from {{orders}} where o_orderstatus = 'F' and o_orderkey % 2 = 0""",
     "ledger_call": f"""
-        select o_orderkey as id, {_phone('o_custkey')} as from_no, '1' as to_no,
+        select o_orderkey as id, {_phone('o_custkey % 60')} as from_no, '1' as to_no,
                case when o_orderkey % 9 = 0 then 'outbound' else 'inbound' end as direction,
-               o_orderdate + interval '330' minute as call_created_on
+               {SPREAD} + interval '330' minute as call_created_on
         from {{orders}} where o_orderstatus = 'F' and o_orderkey % 2 = 1""",
     "transaction": """
         select o_custkey % 700 as patient_id,

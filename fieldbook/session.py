@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,3 +39,15 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="fieldbook-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and go on from the written table.
+
+    For a result that several later steps read: it is computed once, and a lost executor
+    costs a re-read instead of the whole lineage.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
