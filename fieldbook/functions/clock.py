@@ -36,6 +36,18 @@ def micros(ts: Column) -> Column:
     return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
 
 
+def event_time(ts: Column) -> Column:
+    """The same clock reading as a UTC instant, which is what a watermark accepts."""
+    return F.timestamp_micros(micros(ts))
+
+
+def clock_time(at: Column) -> Column:
+    """Back from ``event_time``, whatever the session zone."""
+    zero = F.lit(0)
+    seconds = (F.unix_micros(at).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return instant(dt.datetime(1970, 1, 1)) + F.make_dt_interval(zero, zero, zero, seconds)
+
+
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Whole seconds from start to end, rounded towards the past."""
     return F.floor((micros(end) - micros(start)) / F.lit(1_000_000)).cast("long")

@@ -1,4 +1,4 @@
-from fieldbook.probes import reports, rows, tables  # noqa: F401
+from fieldbook.probes import reports, rows, streams, tables  # noqa: F401
 from fieldbook.probes.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
