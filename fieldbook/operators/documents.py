@@ -10,42 +10,38 @@ from pyspark.sql import types as T
 
 from fieldbook import vocabulary as v
 
-LIST_PAYLOAD = T.StructType([
-    T.StructField("agents", T.ArrayType(T.StringType())),
-    T.StructField("agentInSystem", T.StringType()),
-    T.StructField("agentAvailable", T.StringType()),
-    T.StructField("personnelType", T.StringType()),
-])
-
+LIST_FIELDS = ("agentInSystem", "agentAvailable")
 DETAIL_FIELDS = tuple(
     f"leg{n}{part}" for part in ("DetailedStatus", "AgentNumber", "Status") for n in (1, 2, 3)
 )
-DETAIL_PAYLOAD = T.StructType([T.StructField(f, T.StringType()) for f in DETAIL_FIELDS])
+TYPE_FIELD = "personnelType"
+
+
+def payload(document: Column, type_field: str = TYPE_FIELD) -> Column:
+    """``insightData`` of a document, NULL when absent or unreadable.
 
+    One schema covers both kinds of document, so the text is parsed once.
+    """
+    texts = (*LIST_FIELDS, *DETAIL_FIELDS, type_field)
+    schema = T.StructType([
+        T.StructField("agents", T.ArrayType(T.StringType())),
+        *[T.StructField(name, T.StringType()) for name in texts],
+    ])
+    return F.from_json(document, T.StructType([T.StructField("insightData", schema)]))["insightData"]
 
-def payload(document: Column, schema: T.StructType) -> Column:
-    """``insightData`` of a document, NULL when absent or unreadable."""
-    envelope = T.StructType([T.StructField("insightData", schema)])
-    return F.from_json(document, envelope)["insightData"]
 
+def _position(order: Sequence[str], present: Column) -> Column:
+    return F.when(present, F.struct(*[F.col(c) for c in order]))
 
-def last_document(
-    docs: DataFrame, key: str, order: Sequence[str], values: Sequence[Column], present: Column
-) -> DataFrame:
-    """Fields of the last document that has a payload; a key without one keeps NULLs."""
-    position = F.when(present, F.struct(*[F.col(c) for c in order]))
-    picked = F.max_by(F.struct(*values), position).alias("_v")
-    return docs.groupBy(key).agg(picked).select(key, "_v.*")
 
+def last_present(values: Column, order: Sequence[str], present: Column) -> Column:
+    """Aggregate: ``values`` of the last row that is present, NULL if there is none."""
+    return F.max_by(values, _position(order, present))
 
-def first_document(
-    docs: DataFrame, key: str, order: Sequence[str], values: Sequence[Column], present: Column
-) -> DataFrame:
-    """Fields of the first document that has a payload; other keys are left out."""
-    position = F.when(present, F.struct(*[F.col(c) for c in order]))
-    picked = F.min_by(F.struct(*values), position).alias("_v")
-    grouped = docs.groupBy(key).agg(picked, F.count(position).alias("_n"))
-    return grouped.where(F.col("_n") > 0).select(key, "_v.*")
+
+def first_present(values: Column, order: Sequence[str], present: Column) -> Column:
+    """Aggregate: ``values`` of the first row that is present, NULL if there is none."""
+    return F.min_by(values, _position(order, present))
 
 
 def array_filled(json: Column, path: str) -> Column:
@@ -53,42 +49,72 @@ def array_filled(json: Column, path: str) -> Column:
     return F.json_array_length(F.get_json_object(json, path)) > 0
 
 
-def dial_list(docs: DataFrame, key: str, order: Sequence[str], type_field: str = "personnelType") -> DataFrame:
+def _dial_values(type_field: str) -> Column:
+    return F.struct(
+        F.coalesce(F.size("_p.agents") > 0, F.lit(False)).alias("no_sent"),
+        F.col("_p.agents").isNotNull().alias("requested"),
+        F.col(f"_p.{type_field}").alias("personnel_type"),
+        F.coalesce("_p.agentInSystem", F.lit("")).alias("agent_in_system"),
+        F.coalesce("_p.agentAvailable", F.lit("")).alias("agent_available"),
+    )
+
+
+def _dial_columns(found: str) -> list[Column]:
+    """A call that has list documents, but none with a payload, was asked and not answered."""
+    return [
+        F.coalesce(f"{found}.no_sent", F.lit(False)).alias("no_sent"),
+        F.coalesce(f"{found}.requested", F.lit(False)).alias("requested"),
+        F.col(f"{found}.personnel_type"),
+        F.coalesce(f"{found}.agent_in_system", F.lit("")).alias("agent_in_system"),
+        F.coalesce(f"{found}.agent_available", F.lit("")).alias("agent_available"),
+    ]
+
+
+def dial_list(docs: DataFrame, key: str, order: Sequence[str], type_field: str = TYPE_FIELD) -> DataFrame:
     """Was a list of agents requested and sent for the call, and for which staff group?
 
-    A call whose documents all lack a payload counts as asked but not answered.
+    Decided by the last list document with a payload.
     """
-    schema = T.StructType([
-        T.StructField(type_field if f.name == "personnelType" else f.name, f.dataType)
-        for f in LIST_PAYLOAD
-    ])
-    parsed = docs.withColumn("_p", payload(F.col("insight_data"), schema))
-    found = last_document(
-        parsed, key, order,
-        [
-            F.coalesce(F.size("_p.agents") > 0, F.lit(False)).alias("no_sent"),
-            F.col("_p.agents").isNotNull().alias("requested"),
-            F.col(f"_p.{type_field}").alias("personnel_type"),
-            F.coalesce("_p.agentInSystem", F.lit("")).alias("agent_in_system"),
-            F.coalesce("_p.agentAvailable", F.lit("")).alias("agent_available"),
-        ],
-        F.col("_p").isNotNull(),
-    )
-    return found.select(
-        key,
-        F.coalesce("no_sent", F.lit(False)).alias("no_sent"),
-        F.coalesce("requested", F.lit(False)).alias("requested"),
-        "personnel_type",
-        F.coalesce("agent_in_system", F.lit("")).alias("agent_in_system"),
-        F.coalesce("agent_available", F.lit("")).alias("agent_available"),
-    )
+    parsed = docs.withColumn("_p", payload(F.col("insight_data"), type_field))
+    found = last_present(_dial_values(type_field), order, F.col("_p").isNotNull()).alias("_d")
+    return parsed.groupBy(key).agg(found).select(key, *_dial_columns("_d"))
 
 
 def leg_details(docs: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    parsed = docs.withColumn("_p", payload(F.col("insight_data"), DETAIL_PAYLOAD))
-    return first_document(
-        parsed, key, order, [F.col(f"_p.{f}").alias(f) for f in DETAIL_FIELDS],
-        F.col("_p").isNotNull(),
+    """Leg fields of the first detail document with a payload; other calls are left out."""
+    parsed = docs.withColumn("_p", payload(F.col("insight_data")))
+    present = F.col("_p").isNotNull()
+    return (
+        parsed.groupBy(key)
+        .agg(
+            first_present(F.struct(*[F.col(f"_p.{f}") for f in DETAIL_FIELDS]), order, present).alias("_l"),
+            F.count_if(present).alias("_n"),
+        )
+        .where(F.col("_n") > 0)
+        .select(key, "_l.*")
+    )
+
+
+def call_facts(docs: DataFrame, key: str, order: Sequence[str], type_field: str = TYPE_FIELD) -> DataFrame:
+    """``dial_list`` and ``leg_details`` of a mixed document table in one aggregate.
+
+    ``listed`` tells a call with list documents from one without; there the dial columns
+    mean nothing.
+    """
+    kind, present = F.col("insight_type"), F.col("_p").isNotNull()
+    parsed = docs.where(kind.isin(v.LIST_DOCUMENT, v.DETAIL_DOCUMENT)).withColumn(
+        "_p", payload(F.col("insight_data"), type_field)
+    )
+    is_list, is_detail = kind == v.LIST_DOCUMENT, kind == v.DETAIL_DOCUMENT
+    legs = F.struct(*[F.col(f"_p.{f}") for f in DETAIL_FIELDS])
+    return (
+        parsed.groupBy(key)
+        .agg(
+            F.bool_or(is_list).alias("listed"),
+            last_present(_dial_values(type_field), order, is_list & present).alias("_d"),
+            first_present(legs, order, is_detail & present).alias("_l"),
+        )
+        .select(key, "listed", *_dial_columns("_d"), "_l.*")
     )
 
 

@@ -15,122 +15,117 @@ from fieldbook.operators.lookup import first_per_key, flag_present
 TOTAL = "ALL"
 
 
-def tag_credits(
+def visit_facts(
     ledger: DataFrame,
     appointments: DataFrame,
-    card_payments: DataFrame,
+    payment_links: DataFrame,
     app_cases: DataFrame,
     field_staff: DataFrame,
-    roles: v.Roles = v.ROLES,
 ) -> DataFrame:
-    """Add ``tag``: the party responsible for a credit, '' for a debit.
+    """What the ledger needs to know about its appointments, one row per appointment.
 
-    appointments (id, lead_id, user), card_payments (card_id, collected_by),
-    app_cases (case_id), field_staff (email).
+    appointments (id, lead_id, user, consultation_fee, creation_type), payment_links
+    (entity_id, entity_type, status, amount), app_cases (case_id), field_staff (email).
+    Both large tables are cut down to the ledger's own appointments before any grouping.
     """
-    appts = first_per_key(
-        appointments.withColumn("issued_entity_id", F.col("id").cast("string")),
-        "issued_entity_id", ["lead_id", "user"], ["lead_id", "user"],
+    needed = ledger.where(F.col("issued_entity_type").isin(v.APPOINTMENT, v.DIAGNOSTICS)).select(
+        "issued_entity_id"
+    )
+    visits = appointments.withColumn("issued_entity_id", F.col("id").cast("string")).join(
+        needed, "issued_entity_id", "left_semi"
     )
-    staff = field_staff.select("email")
-    appts = flag_present(
-        appts.withColumn("case_id", F.col("lead_id").cast("string")),
+    fields = ["lead_id", "user", "creation_type", "consultation_fee"]
+    visits = first_per_key(visits, "issued_entity_id", fields, fields)
+    visits = flag_present(
+        visits.withColumn("case_id", F.col("lead_id").cast("string")),
         app_cases.select(F.col("case_id").cast("string")), "case_id", "_from_app",
     )
-    appts = flag_present(
-        appts.withColumnRenamed("user", "email"), staff, "email", "_field_user"
-    ).select("issued_entity_id", "_from_app", "_field_user", F.lit(True).alias("_appt"))
-    cards = first_per_key(
-        card_payments.withColumn("issued_entity_id", F.col("card_id").cast("string")),
-        "issued_entity_id", "collected_by", ["collected_by"],
+    visits = flag_present(
+        visits.withColumnRenamed("user", "email"), field_staff, "email", "_field_user"
+    )
+    paid = (
+        payment_links.where(
+            (F.col("entity_type") == v.APPOINTMENT) & (F.col("status") == v.PAID)
+        )
+        .withColumn("issued_entity_id", F.col("entity_id").cast("string"))
+        .join(needed, "issued_entity_id", "left_semi")
+        .groupBy("issued_entity_id")
+        .agg(F.sum(F.round(F.col("amount") / F.lit(100), 2).cast(MONEY)).alias("_paid"))
     )
+    fee_met = F.col("consultation_fee").cast(MONEY) == F.coalesce("_paid", F.lit(0).cast(MONEY))
+    return visits.join(paid, "issued_entity_id", "left").select(
+        "issued_entity_id", F.lit(True).alias("_visit"), "_from_app", "_field_user",
+        F.col("creation_type").alias("_creation"), F.coalesce(fee_met, F.lit(False)).alias("_fee_met"),
+    )
+
+
+def card_facts(card_payments: DataFrame, active_cards: DataFrame, field_staff: DataFrame) -> DataFrame:
+    """One row per paid card: who collected the payment, and is the card active?
+
+    card_payments (card_id, collected_by), active_cards (card_id).
+    """
+    cards = first_per_key(card_payments, "card_id", "collected_by", ["collected_by"])
     cards = flag_present(
-        cards.withColumnRenamed("collected_by", "email"), staff, "email", "_field_card"
-    ).select("issued_entity_id", "_field_card", F.lit(True).alias("_card"))
+        cards.withColumnRenamed("collected_by", "email"), field_staff, "email", "_field_card"
+    )
+    cards = flag_present(cards, active_cards, "card_id", "_card_active")
+    return cards.select(
+        F.col("card_id").cast("string").alias("issued_entity_id"), F.lit(True).alias("_card"),
+        "_field_card", "_card_active",
+    )
+
+
+def credit_tag(roles: v.Roles) -> Column:
+    """The party responsible for a credit, '' for a debit."""
 
     def party(is_field: Column) -> Column:
         return F.when(is_field, roles.field_staff).otherwise(v.SUPPORT_TAG)
 
     entity = F.col("issued_entity_type")
-    tag = (
+    return (
         F.when(F.col("transaction_type") == v.DEBITED, "")
         .when(entity.isin(v.SURGERY, v.DIAGNOSTICS), roles.field_staff)
-        .when((entity == v.APPOINTMENT) & F.col("_appt").isNull(), v.NOT_APPLICABLE)
+        .when((entity == v.APPOINTMENT) & F.col("_visit").isNull(), v.NOT_APPLICABLE)
         .when((entity == v.APPOINTMENT) & F.col("_from_app"), v.CUSTOMER_APP_TAG)
         .when(entity == v.APPOINTMENT, party(F.col("_field_user")))
         .when(F.col("_card"), party(F.col("_field_card")))
         .otherwise(v.NOT_APPLICABLE)
     )
+
+
+def payment_tag() -> Column:
+    """Was the thing a debit was spent on paid in full? Only such debits count as uses."""
+    entity = F.col("issued_entity_type")
+    settled = (entity.isin(v.APPOINTMENT, v.DIAGNOSTICS) & F.col("_fee_met")) | (
+        (entity == v.LOYALTY) & F.col("_card_active")
+    )
     return (
-        ledger.join(appts, "issued_entity_id", "left")
-        .join(cards, "issued_entity_id", "left")
-        .withColumn("tag", tag)
-        .drop("_appt", "_from_app", "_field_user", "_card", "_field_card")
+        F.when(
+            (F.col("transaction_type") == v.CREDITED) | (entity == v.SURGERY), v.NOT_APPLICABLE
+        )
+        .when(settled, v.FULL_PAYMENT)
+        .otherwise(v.PARTIAL_PAYMENT)
     )
 
 
-def paid_amounts(payment_links: DataFrame, needed: DataFrame) -> DataFrame:
-    """Paid total per appointment, only for the appointments the ledger needs."""
-    paid = payment_links.where(
-        (F.col("entity_type") == v.APPOINTMENT) & (F.col("status") == v.PAID)
-    ).withColumn("entity_id", F.col("entity_id").cast("string"))
-    return (
-        paid.join(needed.select(F.col("issued_entity_id").alias("entity_id")), "entity_id", "left_semi")
-        .groupBy("entity_id")
-        .agg(F.sum(F.round(F.col("amount") / F.lit(100), 2).cast(MONEY)).alias("amount_paid"))
+def creation_type() -> Column:
+    visit_debit = (F.col("transaction_type") == v.DEBITED) & F.col("issued_entity_type").isin(
+        v.APPOINTMENT, v.DIAGNOSTICS
     )
+    return F.when(visit_debit & F.col("_visit"), F.col("_creation")).otherwise("")
 
 
-def tag_payments(
-    ledger: DataFrame, appointments: DataFrame, payment_links: DataFrame, active_cards: DataFrame
+def tag_ledger(
+    ledger: DataFrame, visits: DataFrame, cards: DataFrame, roles: v.Roles = v.ROLES
 ) -> DataFrame:
-    """Add ``payment_tag`` and ``creation_type`` to the ledger.
-
-    appointments (id, consultation_fee, creation_type), payment_links (entity_id,
-    entity_type, status, amount), active_cards (card_id).
-    """
-    entity = F.col("issued_entity_type")
-    is_visit = entity.isin(v.APPOINTMENT, v.DIAGNOSTICS)
-    needed = ledger.where((F.col("transaction_type") == v.DEBITED) & is_visit).select(
-        "issued_entity_id"
-    )
-    appts = first_per_key(
-        appointments.withColumn("issued_entity_id", F.col("id").cast("string")),
-        "issued_entity_id", ["creation_type", "consultation_fee"],
-        ["creation_type", "consultation_fee"],
-    ).join(needed, "issued_entity_id", "left_semi")
-    paid = paid_amounts(payment_links, needed).withColumnRenamed("entity_id", "issued_entity_id")
-    fee_met = F.col("consultation_fee").cast(MONEY) == F.coalesce(
-        F.col("amount_paid"), F.lit(0).cast(MONEY)
-    )
-    appts = appts.join(paid, "issued_entity_id", "left").select(
-        "issued_entity_id",
-        F.col("creation_type").alias("_creation"),
-        F.when(fee_met, v.FULL_PAYMENT).otherwise(v.PARTIAL_PAYMENT).alias("_appt_tag"),
-    )
-    cards = (
-        active_cards.select(F.col("card_id").cast("string").alias("issued_entity_id"))
-        .distinct()
-        .withColumn("_card_tag", F.lit(v.FULL_PAYMENT))
-    )
-    unpaid = F.lit(v.PARTIAL_PAYMENT)
-    untagged = (F.col("transaction_type") == v.CREDITED) | (entity == v.SURGERY)
-    payment_tag = (
-        F.when(untagged, v.NOT_APPLICABLE)
-        .when(is_visit, F.coalesce("_appt_tag", unpaid))
-        .when(entity == v.LOYALTY, F.coalesce("_card_tag", unpaid))
-        .otherwise(unpaid)
-    )
-    creation = F.when(
-        ~F.coalesce(untagged, F.lit(False)) & is_visit & F.col("_appt_tag").isNotNull(),
-        F.col("_creation"),
-    ).otherwise("")
+    """Add ``tag``, ``payment_tag`` and ``creation_type``."""
     return (
-        ledger.join(appts, "issued_entity_id", "left")
+        ledger.join(visits, "issued_entity_id", "left")
         .join(cards, "issued_entity_id", "left")
-        .withColumn("payment_tag", payment_tag)
-        .withColumn("creation_type", creation)
-        .drop("_creation", "_appt_tag", "_card_tag")
+        .select(
+            *ledger.columns, credit_tag(roles).alias("tag"), payment_tag().alias("payment_tag"),
+            creation_type().alias("creation_type"),
+        )
     )
 
 

@@ -11,7 +11,7 @@ from fieldbook import vocabulary as v
 from fieldbook.functions.calls import final_status
 from fieldbook.functions.clock import instant, office_hours
 from fieldbook.functions.text import city_label, phone
-from fieldbook.operators.documents import dial_list, leg_details
+from fieldbook.operators.documents import call_facts
 from fieldbook.operators.lookup import (
     by_priority, first_per_key, last_informative, left_lookup, multi_slot_lookup, restrict_to,
 )
@@ -82,17 +82,16 @@ def call_detail(
     """
     inbound = calls.where(F.col("direction") == v.INBOUND)
     docs = restrict_to(documents.withColumnRenamed("call_sid", "sid"), inbound, "sid")
-    order = ["created_on", "id"]
-    lists = dial_list(docs.where(F.col("insight_type") == v.LIST_DOCUMENT), "sid", order)
-    details = leg_details(docs.where(F.col("insight_type") == v.DETAIL_DOCUMENT), "sid", order)
+    facts = call_facts(docs, "sid", ["created_on", "id"])
 
     rows = inbound.withColumn("customer_no", phone(F.col("from_no")))
     rows = left_lookup(rows, cities, "customer_no", {"city": v.NO_CITY})
-    rows = left_lookup(
-        rows, lists, "sid",
-        {"personnel_type": v.NOT_APPLICABLE, "agent_in_system": "", "agent_available": ""},
-    )
-    rows = rows.join(details, "sid", "left")
+    listed = F.coalesce("listed", F.lit(False))
+    unlisted = {"personnel_type": v.NOT_APPLICABLE, "agent_in_system": "", "agent_available": ""}
+    rows = rows.join(facts, "sid", "left").withColumns({
+        **{c: F.when(listed, F.col(c)) for c in ("no_sent", "requested")},
+        **{c: F.when(listed, F.col(c)).otherwise(blank) for c, blank in unlisted.items()},
+    })
     rows = rows.select(
         "*",
         *[phone(F.col(f"{leg}AgentNumber")).alias(f"{leg}_agent_number") for leg in LEGS],

@@ -12,7 +12,9 @@ from fieldbook.functions.clock import UTC_OFFSET, Periods, to_local
 from fieldbook.functions.text import counterparty, major_units, phone
 from fieldbook.operators.attribution import attribute
 from fieldbook.operators.funnel import flow_channel, funnel, use_breakdown
-from fieldbook.operators.ledger import counted, ledger_matrix, tag_credits, tag_payments
+from fieldbook.operators.ledger import (
+    card_facts, counted, ledger_matrix, tag_ledger, visit_facts,
+)
 from fieldbook.operators.lookup import left_lookup
 from fieldbook.operators.per_user import per_user, with_user_kind
 from fieldbook.operators.skew import HotKeys
@@ -50,11 +52,9 @@ def tagged_ledger(
         customers.select("customer_id", phone(F.col("customer_number")).alias("phone")),
         "customer_id",
     )
-    rows = tag_credits(rows, appointments, card_payments, app_cases, field_staff, roles)
-    paid_cards = card_payments.join(
-        cards.where(F.col("status") == v.ACTIVE).select("card_id"), "card_id", "left_semi"
-    )
-    rows = tag_payments(rows, appointments, payment_links, paid_cards)
+    visits = visit_facts(in_range, appointments, payment_links, app_cases, field_staff)
+    active = cards.where(F.col("status") == v.ACTIVE)
+    rows = tag_ledger(rows, visits, card_facts(card_payments, active, field_staff), roles)
     labels = cashback_types.where(F.col("is_active") == 1).select(
         F.col("cashback_id").alias("cashback_type"),
         F.col("cashback_type").alias("cashback_label"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
@@ -29,13 +29,41 @@ STATEMENT = (
 )
 
 
-def newest_phase(phases: DataFrame, phase_type: str, **fields: str) -> DataFrame:
-    """Newest phase of a type per case: (case_id, phase_id, one column per JSON path)."""
-    typed = phases.where(F.upper("phase_type") == phase_type).select(
-        F.col("insurance_case_id").alias("case_id"), "phase_id",
-        *[F.get_json_object("additional_details", path).alias(n) for n, path in fields.items()],
+PHASE_FIELDS = {
+    v.DISCHARGE_PHASE: {
+        "collected_by_hospital": "$.surgeryDischargeApprovalInfo.nme",
+        "total_bill_text": "$.surgeryDischargeApprovalInfo.totalBillAmount",
+        "approved_text": "$.surgeryDischargeApprovalInfo.finalApprovedAmount",
+    },
+    v.SURGERY_DONE_PHASE: {
+        "admission_text": "$.surgeryDischargeDoneRequest.admissionDate",
+        "discharge_date": "$.surgeryDischargeDoneRequest.dischargeDate",
+    },
+}
+
+
+def newest_phases(phases: DataFrame) -> DataFrame:
+    """Per case: the id of its newest documents phase, and the fields of its newest discharge
+    and surgery-done phases. One scan and one aggregate serve all three."""
+    kind = F.upper("phase_type")
+
+    def newest(value: Column, phase_type: str) -> Column:
+        return F.max_by(value, F.when(kind == phase_type, F.col("phase_id")))
+
+    details = F.col("additional_details")
+    wanted = phases.where(kind.isin(v.DOCS_PHASE, *PHASE_FIELDS))
+    return (
+        wanted.groupBy(F.col("insurance_case_id").alias("case_id"))
+        .agg(
+            F.max(F.when(kind == v.DOCS_PHASE, F.col("phase_id"))).alias("docs_phase_id"),
+            *[
+                newest(F.struct(*[F.get_json_object(details, p).alias(n) for n, p in fields.items()]), kind_)
+                .alias(f"_{kind_}")
+                for kind_, fields in PHASE_FIELDS.items()
+            ],
+        )
+        .select("case_id", "docs_phase_id", *[f"_{kind_}.*" for kind_ in PHASE_FIELDS])
     )
-    return latest_per_key(typed, "case_id", "phase_id", ["phase_id", *fields])
 
 
 def lender_per_phase(sub_phases: DataFrame, lenders: DataFrame) -> DataFrame:
@@ -80,17 +108,6 @@ def open_cases(
         F.get_json_object("additional_details", "$.tpaName").alias("tpa_name"),
         "treatment_type", "surgery_name", "speciality_name",
     )
-    docs = newest_phase(phases, v.DOCS_PHASE).withColumnRenamed("phase_id", "docs_phase_id")
-    root = "$.surgeryDischargeApprovalInfo"
-    discharge = newest_phase(
-        phases, v.DISCHARGE_PHASE, collected_by_hospital=f"{root}.nme",
-        total_bill_text=f"{root}.totalBillAmount", approved_text=f"{root}.finalApprovedAmount",
-    ).drop("phase_id")
-    root = "$.surgeryDischargeDoneRequest"
-    done = newest_phase(
-        phases, v.SURGERY_DONE_PHASE, admission_text=f"{root}.admissionDate",
-        discharge_date=f"{root}.dischargeDate",
-    ).drop("phase_id")
     return (
         base.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left")
         .join(
@@ -106,9 +123,7 @@ def open_cases(
             ),
             "customer_id", "left",
         )
-        .join(docs, "case_id", "left")
-        .join(discharge, "case_id", "left")
-        .join(done, "case_id", "left")
+        .join(newest_phases(phases), "case_id", "left")
         .join(lender_per_phase(sub_phases, lenders), "docs_phase_id", "left")
         .withColumn("total_bill", money(F.col("total_bill_text")))
         .withColumn("approved", money(F.col("approved_text")))

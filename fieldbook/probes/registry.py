@@ -15,19 +15,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.probes.views import VIEWS
+from fieldbook.sources.schemas import struct
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+SCHEMAS = {
+    "region": struct("r_regionkey:i r_name:s"),
+    "nation": struct("n_nationkey:i n_name:s n_regionkey:i"),
+    "customer": struct("c_custkey:l c_name:s c_nationkey:i c_acctbal:f c_mktsegment:s"),
+    "supplier": struct("s_suppkey:l s_name:s s_nationkey:i s_acctbal:f"),
+    "part": struct("p_partkey:l p_name:s p_brand:s p_type:s p_size:i p_retailprice:f"),
+    "orders": struct(
+        "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:f o_orderdate:t o_orderpriority:s"
+    ),
+    "lineitem": struct(
+        "l_orderkey:l l_partkey:l l_suppkey:l l_linenumber:i l_quantity:f l_extendedprice:f "
+        "l_discount:f l_tax:f l_returnflag:s l_linestatus:s l_shipdate:t"
+    ),
+    "events": struct("event_id:l ts:t user_id:l event_type:s value:f props:s"),
+}
+
+
 class Tables:
-    """``t.orders`` reads a driver table, ``t.view("personnel")`` a bound logical input."""
+    """``t.orders`` reads a driver table, ``t.view("personnel")`` a bound logical input.
+
+    Schemas are declared, so opening a table starts no job.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
         text = VIEWS[name]

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
-from fieldbook.operators.ledger import tag_credits, tag_payments
+from fieldbook.functions.clock import Periods, micros
+from fieldbook.operators.ledger import card_facts, tag_ledger, visit_facts
 from fieldbook.operators.reporting import reject_counts
 from fieldbook.plans import calls, cashback, commission, records, staff
 from fieldbook.probes.registry import Tables, probe
@@ -37,8 +38,6 @@ from fieldbook.sources import schemas
            end as varchar) as total_active_sec
     from led""", "agent_activity personnel")
 def _(t: Tables):
-    from fieldbook.functions.clock import micros
-
     out = staff.availability_sessions(*t.views("agent_activity personnel"), EVENT_DAY)
     on, lead = (F.col(c).cast("timestamp_ntz") for c in ("created_on", "created_on_lead"))
     return out.withColumn("created_us", micros(on)).withColumn("lead_us", micros(lead)).drop(
@@ -165,8 +164,6 @@ def _(t: Tables):
     where a.attendance_date = date '2024-01-15'""",
        "attendance location_ping personnel person_facility_map facility city")
 def _(t: Tables):
-    from fieldbook.functions.clock import micros
-
     out = staff.attendance_with_last_seen(
         *t.views("attendance location_ping personnel person_facility_map facility city"), EVENT_DAY
     )
@@ -413,35 +410,33 @@ def _(t: Tables):
     return cashback.ledger_by_tag(tagged(t), AS_OF)
 
 
+def facts(t: Tables):
+    """Ledger of the report range with the facts its tags are made from, before any tag."""
+    ledger, customers, appts, card_payments, cards, links, cases, people, _types = t.views(LEDGER_VIEWS)
+    rows = (
+        ledger.where(Periods(AS_OF).covers(F.col("created_on")))
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
+        .withColumn("issued_entity_id", F.col("issued_entity_id").cast("string"))
+    )
+    staff_emails = people.where(F.col("personnel_type") == v.ROLES.field_staff).select("email")
+    visits = visit_facts(
+        rows, appts.withColumnRenamed("user_email", "user"), links,
+        cases.where(F.col("lead_source") == v.CUSTOMER_APP_SOURCE), staff_emails,
+    )
+    active = cards.where(F.col("status") == v.ACTIVE)
+    return rows, visits, card_facts(card_payments, active, staff_emails)
+
+
 @probe("C25_credit_tags", f"""
     with {TAGGED_SQL} select id, tag from tagged""", LEDGER_VIEWS)
 def _(t: Tables):
-    ledger, customers, appts, card_payments, _c, _l, cases, people, _y = t.views(LEDGER_VIEWS)
-    rows = _report_range(ledger, customers)
-    return tag_credits(
-        rows, appts.withColumnRenamed("user_email", "user"), card_payments,
-        cases.where(F.col("lead_source") == v.CUSTOMER_APP_SOURCE),
-        people.where(F.col("personnel_type") == v.ROLES.field_staff),
-    ).select("id", "tag")
+    return tag_ledger(*facts(t)).select("id", "tag")
 
 
 @probe("C26_payment_tags", f"""
     with {TAGGED_SQL} select id, payment_tag, creation_type from tagged""", LEDGER_VIEWS)
 def _(t: Tables):
-    ledger, customers, appts, _p, cards, links, _k, _s, _y = t.views(LEDGER_VIEWS)
-    return tag_payments(
-        _report_range(ledger, customers), appts, links, cards.where(F.col("status") == v.ACTIVE)
-    ).select("id", "payment_tag", "creation_type")
-
-
-def _report_range(ledger, customers):
-    from fieldbook.functions.clock import Periods
-
-    return (
-        ledger.where(Periods(AS_OF).covers(F.col("created_on")))
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
-        .withColumn("issued_entity_id", F.col("issued_entity_id").cast("string"))
-    )
+    return tag_ledger(*facts(t)).select("id", "payment_tag", "creation_type")
 
 
 CAMPAIGN_VIEWS = LEDGER_VIEWS + (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fieldbook import vocabulary as v
 from fieldbook.functions import calls, clock, text
 from fieldbook.operators import lookup, pricing, reporting
-from fieldbook.operators.documents import array_filled
+from fieldbook.operators.documents import array_filled, payload
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.sources import readers, schemas, writers
 from fieldbook.session import work_folder
@@ -511,10 +511,8 @@ def _(t: Tables):
            coalesce(json_extract_string(insight_data, '$.insightData.leg2Status'), '') as leg2
     from call_document where insight_type = 'INCOMING_EXOTEL_CALL_DETAILS'""", "call_document")
 def _(t: Tables):
-    from fieldbook.operators.documents import DETAIL_PAYLOAD, payload
-
     docs = t.view("call_document").where(F.col("insight_type") == v.DETAIL_DOCUMENT)
-    return docs.withColumn("p", payload(F.col("insight_data"), DETAIL_PAYLOAD)).select(
+    return docs.withColumn("p", payload(F.col("insight_data"))).select(
         "id", F.col("p").isNotNull().alias("present"),
         F.coalesce(F.upper("p.leg1DetailedStatus"), F.lit(v.NO_DOCUMENT)).alias("d1"),
         F.coalesce("p.leg2Status", F.lit("")).alias("leg2"),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _TYPES = {
@@ -91,4 +90,6 @@ def assert_columns(df: DataFrame, schema: T.StructType) -> None:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Declared columns only, in declared order and type; anything else fails at once."""
     assert_columns(df, schema)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in schema]
+    )
