@@ -76,8 +76,7 @@ def sliced(df: DataFrame, key: str, ts: Column, policy: HotKeys) -> Sliced:
     if hot is None:
         return Sliced(timed, key, False)
     width = policy.slice_seconds * 1_000_000
-    origin = F.lit(_ORIGIN_MICROS)
-    number = F.floor((F.col(MICROS) - origin) / F.lit(width)).cast("long") + 1
+    number = F.expr(f"({MICROS} - ({_ORIGIN_MICROS})) div {width}") + 1
     rows = (
         timed.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
         .withColumn(SLICE, F.when(F.col(_HOT), number).otherwise(F.lit(0).cast("long")))
