@@ -52,8 +52,9 @@ def funnel(
             F.count_if(inside).alias(f"sent_{p}"),
             F.count_if(inside & F.col("responded")).alias(f"responded_{p}"),
             F.count_if(inside & F.col("used")).alias(f"used_{p}"),
-            F.min(F.when(inside, F.col("_position"))).alias(f"first_{p}"),
         ]
+        if first_touch:
+            measures.append(F.min(F.when(inside, F.col("_position"))).alias(f"first_{p}"))
     per_customer = rows.groupBy(*column, "_customer").agg(*measures)
 
     if first_touch:
@@ -65,7 +66,7 @@ def funnel(
             for p in periods
         ]
     else:
-        firsts = [F.col(f"first_{p}").isNotNull().alias(f"unique_customers_{p}") for p in periods]
+        firsts = [(F.col(f"sent_{p}") > 0).alias(f"unique_customers_{p}") for p in periods]
     counted = per_customer.select(
         *column, *firsts, *[f"{m}_{p}" for m in MEASURES[:3] for p in periods]
     )

@@ -143,12 +143,19 @@ def agents_by_priority(support: DataFrame, field: DataFrame) -> DataFrame:
     return by_priority([support, field], "agent_no", "id", ["email", "city"])
 
 
-def failed_calls(detail: DataFrame, as_of_ts: dt.datetime, minutes: int = 10) -> DataFrame:
-    """Calls of the last ``minutes`` that dropped, newest first, with the agent to notify."""
+def recent(calls: DataFrame, as_of_ts: dt.datetime, minutes: int = 10) -> DataFrame:
+    """Calls of the last ``minutes`` up to and including ``as_of_ts``."""
     ts = F.col("call_created_on")
-    window = (ts > instant(as_of_ts - dt.timedelta(minutes=minutes))) & (ts <= instant(as_of_ts))
+    return calls.where(
+        (ts > instant(as_of_ts - dt.timedelta(minutes=minutes))) & (ts <= instant(as_of_ts))
+    )
+
+
+def failed_calls(detail: DataFrame, as_of_ts: dt.datetime, minutes: int = 10) -> DataFrame:
+    """Recent calls that dropped, newest first, with the agent to notify."""
     return (
-        detail.where(window & F.col("final_status").isin(*v.FAILED_STATUSES))
+        recent(detail, as_of_ts, minutes)
+        .where(F.col("final_status").isin(*v.FAILED_STATUSES))
         .select("sid", "call_created_on", "final_status", F.col("leg1_agent_email").alias("notify"))
-        .orderBy(ts.desc(), "sid")
+        .orderBy(F.col("call_created_on").desc(), "sid")
     )

@@ -116,7 +116,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = work_folder(t.spark, "csv")
     writers.write_csv(t.customer.select("c_custkey", "c_name"), path)
-    return readers.read_text_sheet(t.spark, path, ["c_custkey", "c_name"])
+    return readers.read_text_sheet(t.spark, path, ["c_custkey", "c_name"], multi_line=False)
 
 
 @probe("S10_replace_sheet", "select cast(n_nationkey as varchar) as n_nationkey, n_name from nation")

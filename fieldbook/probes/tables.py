@@ -226,8 +226,8 @@ def _(t: Tables):
 
 @probe("N17_effective_period", """
     select o_orderkey, r.agreement from orders
-    left join (select n_nationkey as k, 'early' as agreement, timestamp '1995-06-01' as s, timestamp '1997-12-31' as e from nation where n_nationkey % 3 <> 2
-               union all select n_nationkey as k, 'late' as agreement, timestamp '1998-01-01' as s, cast(null as timestamp) as e from nation where n_nationkey % 3 = 1
+    left join (select n_nationkey as k, 'early' as agreement, timestamp '1995-06-01' as s, timestamp '1997-12-31' as e from nation where n_regionkey <> 2
+               union all select n_nationkey as k, 'late' as agreement, timestamp '1998-01-01' as s, cast(null as timestamp) as e from nation where n_regionkey in (1, 3)
               ) r on r.k = o_custkey % 30
     where not coalesce(case when o_orderstatus = 'P' then timestamp '1996-01-01' else o_orderdate end < s
                        or case when o_orderstatus = 'P' then timestamp '1996-01-01' else o_orderdate end > e, false)""")
@@ -239,8 +239,8 @@ def _(t: Tables):
             (clock.instant(end) if end else F.lit(None).cast("timestamp_ntz")).alias("end_date"),
         )
 
-    early = agreement(t.nation.where(F.col("n_nationkey") % 3 != 2), "early", dt.datetime(1995, 6, 1), dt.datetime(1997, 12, 31))
-    late = agreement(t.nation.where(F.col("n_nationkey") % 3 == 1), "late", dt.datetime(1998, 1, 1), None)
+    early = agreement(t.nation.where(F.col("n_regionkey") != 2), "early", dt.datetime(1995, 6, 1), dt.datetime(1997, 12, 31))
+    late = agreement(t.nation.where(F.col("n_regionkey").isin(1, 3)), "late", dt.datetime(1998, 1, 1), None)
     cases = t.orders.select(
         "o_orderkey", (F.col("o_custkey") % 30).alias("k"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("admission"),

@@ -178,7 +178,7 @@ VIEWS: dict[str, str] = {
         union all
         select s_name || 'Partner' || '24HR' as key, '9%' as share_pct, '10.62%' as net_share_pct,
                'ON APPROVED AMOUNT' as remarks, '2024-01-21' as start_date, '2024-12-31' as end_date
-        from {supplier} where s_suppkey % 3 = 0
+        from {supplier} where s_acctbal > 6000
         union all
         select s_name || 'Partner' || 'PDC-Own' as key, '4%' as share_pct, '4.72%' as net_share_pct,
                'On Total Bill Amount' as remarks, '1990-01-01' as start_date, '2024-12-31' as end_date
@@ -223,12 +223,12 @@ VIEWS: dict[str, str] = {
                     when event_id % 7 = 3 then '{{{{"insightData":{{{{"personnelType":"CUSTOMER_SUPPORT","agentInSystem":"yes"}}}}}}}}'
                     when event_id % 7 = 4 then '{{{{"insightData":{{{{"agents":["a"],"agentAvailable":"no"}}}}}}}}'
                     else '{{{{"insightData":{{{{}}}}}}}}' end as insight_data
-        from {{events}} where event_id % 8 <> 3
+        from {{events}} where event_type <> 'purchase'
         union all
         select event_id * 3 + 1 as id, 'c' || cast(event_id as string) as call_sid, ts as created_on,
                'INBOUND_PATIENT_CALL_LIST' as insight_type,
                case when event_id % 5 = 0 then '{{{{}}}}' else '{{{{"insightData":{{{{"agents":["z"],"personnelType":"CUSTOMER_SUPPORT"}}}}}}}}' end as insight_data
-        from {{events}} where event_id % 6 = 0
+        from {{events}} where event_type = 'click'
         union all
         select event_id * 3 + 2 as id, 'c' || cast(event_id as string) as call_sid, ts as created_on,
                'INCOMING_EXOTEL_CALL_DETAILS' as insight_type,
@@ -237,7 +237,7 @@ VIEWS: dict[str, str] = {
                     when event_id % 5 = 2 then '{{{{"insightData":{{{{"leg1DetailedStatus":"canceled","leg1AgentNumber":"' || {_phone('event_id % 300')} || '","leg3AgentNumber":"' || {_phone('user_id')} || '"}}}}}}}}'
                     when event_id % 5 = 3 then '{{{{"noPayload":true}}}}'
                     else '{{{{"insightData":{{{{"leg2AgentNumber":""}}}}}}}}' end as insight_data
-        from {{events}} where event_id % 3 <> 1""",
+        from {{events}} where event_type <> 'signup'""",
     "menu_answer": """
         select event_id as id, user_id as entity_id, ts as created_on,
                case when event_id % 3 = 0 then 3 else 4 end as ivr_question_id,
@@ -266,7 +266,7 @@ VIEWS: dict[str, str] = {
         union all
         select o_orderkey as entity_id, 'APPOINTMENT' as entity_type, 'PAID' as status,
                cast(round(o_totalprice * 100) as bigint) - 5000 as amount
-        from {orders} where o_orderkey % 9 <> 0""",
+        from {orders} where o_orderpriority <> '5-LOW'""",
     "card": """
         select p_partkey as card_id, case when p_size % 3 = 0 then 'INACTIVE' else 'ACTIVE' end as status from {part}""",
     "card_payment": f"""
@@ -296,12 +296,12 @@ VIEWS: dict[str, str] = {
         select o_orderkey as id, {_phone('o_custkey % 60')} as from_id,
                case when o_orderkey % 10 = 0 then '0' else {_phone('o_custkey % 60')} end as to_message,
                {SPREAD} as created_on
-        from {{orders}} where o_orderstatus = 'F' and o_orderkey % 2 = 0""",
+        from {{orders}} where o_orderstatus = 'F' and o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
     "ledger_call": f"""
         select o_orderkey as id, {_phone('o_custkey % 60')} as from_no, '1' as to_no,
                case when o_orderkey % 9 = 0 then 'outbound' else 'inbound' end as direction,
                {SPREAD} + interval '330' minute as call_created_on
-        from {{orders}} where o_orderstatus = 'F' and o_orderkey % 2 = 1""",
+        from {{orders}} where o_orderstatus = 'F' and o_orderpriority in ('4-NOT SPECIFIED', '5-LOW')""",
     "transaction": """
         select o_custkey % 700 as patient_id,
                case when o_custkey % 3 = 0 and o_orderpriority = '1-URGENT' then 'CASHBACK' else 'CARD' end as payment_mode,

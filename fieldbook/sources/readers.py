@@ -63,13 +63,20 @@ def read_jdbc(
     )
 
 
-def read_text_sheet(spark: SparkSession, path: str, columns: Mapping[str, str] | Sequence[str]) -> DataFrame:
+def read_text_sheet(
+    spark: SparkSession,
+    path: str,
+    columns: Mapping[str, str] | Sequence[str],
+    multi_line: bool = True,
+) -> DataFrame:
     """A sheet exported as CSV: first row is the header and every cell is text.
 
     ``columns`` lists what is wanted (optionally header → new name); wide sheets lose
-    everything else at the scan. A wanted header that the sheet lacks fails.
+    everything else at the scan. A wanted header that the sheet lacks fails. Cells and headers
+    of a sheet may hold line breaks; without them ``multi_line=False`` lets Spark split files.
     """
-    sheet = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    sheet = reader.option("escape", '"').csv(path)
     wanted = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     absent = [c for c in wanted if c not in sheet.columns]
     if absent:

@@ -41,7 +41,7 @@ def publish(
 
 
 def write_csv(df: DataFrame, path: str, compressed: bool = True) -> None:
-    writer = df.write.mode("overwrite").option("header", True)
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
     if compressed:
         writer = writer.option("compression", "gzip")
     writer.csv(path)
@@ -50,4 +50,4 @@ def write_csv(df: DataFrame, path: str, compressed: bool = True) -> None:
 def write_sheet(df: DataFrame, path: str) -> None:
     """Replace a sheet export: header plus rows, empty cells for NULL."""
     text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
-    text.write.mode("overwrite").option("header", True).csv(path)
+    text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
