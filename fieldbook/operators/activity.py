@@ -24,11 +24,12 @@ def with_next_row(
 ) -> DataFrame:
     """``<value>_lead`` of the following row per key in (ts, id) order.
 
-    Rows without a key have no following row and stay out of the window.
+    A row without a key has no following row.
     """
-    cut = sliced(df.where(F.col(key).isNotNull()), key, F.col(ts), hot)
+    cut = sliced(df, key, F.col(ts), F.col(id), hot)
     carried = F.struct(*values)
     order = Window.partitionBy(*cut.partition).orderBy(MICROS, id)
+    following = F.col("_next")
     found = cut.rows.withColumn("_next", F.lead(carried).over(order))
     if cut.has_hot:
         first_of_slice = cut.per_hot_slice(
@@ -37,16 +38,10 @@ def with_next_row(
             *cut.partition,
             F.lead("_first").over(Window.partitionBy(key).orderBy(SLICE)).alias("_after"),
         )
-        found = found.join(first_of_slice, cut.partition, "left").withColumn(
-            "_next", F.coalesce("_next", "_after")
-        )
-    with_key = found.select(
-        *df.columns, *[F.col(f"_next.{v}").alias(f"{v}{suffix}") for v in values]
-    )
-    without_key = df.where(F.col(key).isNull()).select(
-        "*", *[F.lit(None).cast(df.schema[v].dataType).alias(f"{v}{suffix}") for v in values]
-    )
-    return with_key.unionByName(without_key)
+        found = found.join(first_of_slice, cut.partition, "left")
+        following = F.coalesce("_next", "_after")
+    found = found.withColumn("_next", F.when(F.col(key).isNotNull(), following))
+    return found.select(*df.columns, *[F.col(f"_next.{v}").alias(f"{v}{suffix}") for v in values])
 
 
 def active_seconds(

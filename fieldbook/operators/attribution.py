@@ -58,34 +58,24 @@ def attribute(
     if rivals is None:
         rivals = {c: [o for o in campaigns if o != c] for c in campaigns}
 
-    keyed = messages.where(F.col(key).isNotNull())
-    rows = keyed.select(
+    rows = messages.select(
         F.col(key), F.col(ts).alias("_ts"), F.col(campaign).alias("_campaign"),
-        F.struct(*[F.col(c) for c in messages.columns]).alias("_message"),
+        F.col(id).alias("_id"), F.struct(*[F.col(c) for c in messages.columns]).alias("_message"),
     )
     rows = rows.unionByName(_event_rows(responses, key, ts, "_response", id, ["channel"]), True)
     rows = rows.unionByName(
         _event_rows(spends, key, ts, "_spend", id, ["used_on", "creation_type"]), True
     )
     found = later_minima(
-        rows, key=key, ts="_ts", marks=_marks(campaigns), keep=["_campaign", "_message"],
-        only=F.col("_message").isNotNull(), hot=hot,
+        rows, key=key, ts="_ts", id="_id", marks=_marks(campaigns),
+        keep=["_campaign", "_message"], only=F.col("_message").isNotNull(), hot=hot,
     )
     rival = _first_rival(campaigns, rivals)
-    credited = found.select(
+    return found.select(
         "_message.*",
-        *_credit("_response", rival, "responded", "response_id", id, ["channel"]),
-        *_credit("_spend", rival, "used", "spend_id", id, ["used_on", "creation_type"]),
+        *_credit("_response", rival, "responded", "response_id", ["channel"]),
+        *_credit("_spend", rival, "used", "spend_id", ["used_on", "creation_type"]),
     )
-    unkeyed = messages.where(F.col(key).isNull()).select(
-        "*",
-        *[
-            (F.lit(False) if c in ("responded", "used") else F.lit(None))
-            .cast(credited.schema[c].dataType).alias(c)
-            for c in RESULT_COLUMNS
-        ],
-    )
-    return credited.unionByName(unkeyed)
 
 
 def later_minima(
@@ -93,6 +83,7 @@ def later_minima(
     *,
     key: str,
     ts: str,
+    id: str,
     marks: Mapping[str, Column],
     keep: Sequence[str],
     only: Column | None = None,
@@ -101,26 +92,29 @@ def later_minima(
     """``keep`` plus, per mark, its minimum over the strictly later rows of the same key.
 
     Marks may use ``_us`` (microseconds). All marks share one exchange and one sort.
-    ``only`` limits the rows returned, not the rows looked at.
+    ``only`` limits the rows returned, not the rows looked at. A row without a key is kept
+    and finds nothing.
     """
-    cut = sliced(rows, key, F.col(ts), hot)
+    cut = sliced(rows, key, F.col(ts), F.col(id), hot)
     later = next_strictly_later(MICROS, cut.partition)
+    has_key = F.col(key).isNotNull()
     minima = [F.min(expr).over(later).alias(name) for name, expr in marks.items()]
-    in_slice = cut.rows.select(*cut.partition, *keep, *minima)
+    found = cut.rows.select(*cut.partition, *keep, *minima)
     if only is not None:
-        in_slice = in_slice.where(only)
-    if not cut.has_hot:
-        return in_slice.select(*keep, *marks)
-    return in_slice.join(_later_slices(cut, marks), cut.partition, "left").select(
-        *keep, *[F.coalesce(F.col(n), F.col(f"{n}_later")).alias(n) for n in marks]
-    )
+        found = found.where(only)
+    if cut.has_hot:
+        found = found.join(_later_slices(cut, marks), cut.partition, "left")
+        return found.select(
+            *keep, *[F.when(has_key, F.coalesce(n, f"{n}_later")).alias(n) for n in marks]
+        )
+    return found.select(*keep, *[F.when(has_key, F.col(n)).alias(n) for n in marks])
 
 
 def _event_rows(
     df: DataFrame, key: str, ts: str, name: str, id: str, payload: Sequence[str]
 ) -> DataFrame:
     return df.where(F.col(key).isNotNull()).select(
-        F.col(key), F.col(ts).alias("_ts"),
+        F.col(key), F.col(ts).alias("_ts"), F.col(id).alias("_id"),
         F.struct(F.col(id).alias("id"), *[F.col(p) for p in payload]).alias(name),
     )
 
@@ -165,7 +159,7 @@ def _first_rival(
 
 
 def _credit(
-    name: str, rival: Column, flag: str, id_name: str, id: str, payload: Sequence[str]
+    name: str, rival: Column, flag: str, id_name: str, payload: Sequence[str]
 ) -> list[Column]:
     us = F.col(f"{name}.us")
     ok = us.isNotNull() & (rival.isNull() | (us < rival))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldbook import vocabulary as v
 from fieldbook.functions.clock import Periods
 from fieldbook.functions.text import MONEY
-from fieldbook.operators.lookup import first_per_key, flag_present
+from fieldbook.operators.lookup import first_per_key, flag_present, restrict_to
 
 TOTAL = "ALL"
 
@@ -28,11 +28,10 @@ def visit_facts(
     (entity_id, entity_type, status, amount), app_cases (case_id), field_staff (email).
     Both large tables are cut down to the ledger's own appointments before any grouping.
     """
-    needed = ledger.where(F.col("issued_entity_type").isin(v.APPOINTMENT, v.DIAGNOSTICS)).select(
-        "issued_entity_id"
-    )
-    visits = appointments.withColumn("issued_entity_id", F.col("id").cast("string")).join(
-        needed, "issued_entity_id", "left_semi"
+    needed = ledger.where(F.col("issued_entity_type").isin(v.APPOINTMENT, v.DIAGNOSTICS))
+    visits = restrict_to(
+        appointments.withColumn("issued_entity_id", F.col("id").cast("string")), needed,
+        "issued_entity_id",
     )
     fields = ["lead_id", "user", "creation_type", "consultation_fee"]
     visits = first_per_key(visits, "issued_entity_id", fields, fields)
@@ -43,14 +42,11 @@ def visit_facts(
     visits = flag_present(
         visits.withColumnRenamed("user", "email"), field_staff, "email", "_field_user"
     )
-    paid = (
-        payment_links.where(
-            (F.col("entity_type") == v.APPOINTMENT) & (F.col("status") == v.PAID)
-        )
-        .withColumn("issued_entity_id", F.col("entity_id").cast("string"))
-        .join(needed, "issued_entity_id", "left_semi")
-        .groupBy("issued_entity_id")
-        .agg(F.sum(F.round(F.col("amount") / F.lit(100), 2).cast(MONEY)).alias("_paid"))
+    links = payment_links.where(
+        (F.col("entity_type") == v.APPOINTMENT) & (F.col("status") == v.PAID)
+    ).withColumn("issued_entity_id", F.col("entity_id").cast("string"))
+    paid = restrict_to(links, needed, "issued_entity_id").groupBy("issued_entity_id").agg(
+        F.sum(F.round(F.col("amount") / F.lit(100), 2).cast(MONEY)).alias("_paid")
     )
     fee_met = F.col("consultation_fee").cast(MONEY) == F.coalesce("_paid", F.lit(0).cast(MONEY))
     return visits.join(paid, "issued_entity_id", "left").select(

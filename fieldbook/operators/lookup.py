@@ -90,12 +90,16 @@ def flag_present(df: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFram
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``keys``; the key list never visits the driver."""
-    return df.join(keys.select(*_names(on)), on, "left_semi")
+    """Rows whose key occurs in ``keys``; the key list never visits the driver.
+
+    Keys are made distinct first: that combines on the map side, so a key repeated in a
+    large share of ``keys`` does not load one task.
+    """
+    return df.join(keys.select(*_names(on)).distinct(), on, "left_semi")
 
 
 def without_match(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    return df.join(keys.select(*_names(on)), on, "left_anti")
+    return df.join(keys.select(*_names(on)).distinct(), on, "left_anti")
 
 
 def multi_slot_lookup(

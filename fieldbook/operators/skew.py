@@ -54,7 +54,7 @@ class HotKeys:
 
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with ``_us`` (microseconds) and, if any key is hot, ``_slice``."""
+    """Rows with ``_us`` (microseconds) and ``_slice``; windows run per (key, slice)."""
 
     rows: DataFrame
     key: str
@@ -62,24 +62,27 @@ class Sliced:
 
     @property
     def partition(self) -> list[str]:
-        return [self.key, SLICE] if self.has_hot else [self.key]
+        return [self.key, SLICE]
 
     def per_hot_slice(self, *aggregates: Column) -> DataFrame:
         """One pre-aggregated row per (hot key, slice)."""
-        return self.rows.where(F.col(SLICE) != 0).groupBy(self.key, SLICE).agg(*aggregates)
+        hot = self.rows.where(F.col(self.key).isNotNull() & (F.col(SLICE) != 0))
+        return hot.groupBy(*self.partition).agg(*aggregates)
 
 
-def sliced(df: DataFrame, key: str, ts: Column, policy: HotKeys) -> Sliced:
-    """Slice 0 holds all rows of a key that is not hot; hot keys start at slice 1."""
-    timed = df.withColumn(MICROS, micros(ts))
+def sliced(df: DataFrame, key: str, ts: Column, id: Column, policy: HotKeys) -> Sliced:
+    """Slice 0 holds all rows of a key that is not hot; hot keys start at slice 1.
+
+    Rows without a key match nothing. They are spread by ``id`` instead of meeting in one
+    task; whoever uses them must not look at their neighbours.
+    """
     hot = policy.find(df.select(key), key)
-    if hot is None:
-        return Sliced(timed, key, False)
-    width = policy.slice_seconds * 1_000_000
-    number = F.expr(f"({MICROS} - ({_ORIGIN_MICROS})) div {width}") + 1
-    rows = (
-        timed.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
-        .withColumn(SLICE, F.when(F.col(_HOT), number).otherwise(F.lit(0).cast("long")))
-        .drop(_HOT)
-    )
-    return Sliced(rows, key, True)
+    rows = df.withColumn(MICROS, micros(ts))
+    number = F.lit(0).cast("long")
+    if hot is not None:
+        width = policy.slice_seconds * 1_000_000
+        rows = rows.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
+        by_time = F.expr(f"({MICROS} - ({_ORIGIN_MICROS})) div {width}") + 1
+        number = F.when(F.col(_HOT), by_time).otherwise(number)
+    rows = rows.withColumn(SLICE, F.when(F.col(key).isNull(), F.xxhash64(id)).otherwise(number))
+    return Sliced(rows.drop(_HOT), key, hot is not None)

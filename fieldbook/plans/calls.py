@@ -21,10 +21,23 @@ LEGS = ("leg1", "leg2", "leg3")
 
 
 def caller_cities(
-    patient_cases: DataFrame, patients: DataFrame, customers: DataFrame, city: DataFrame
+    patient_cases: DataFrame,
+    patients: DataFrame,
+    customers: DataFrame,
+    city: DataFrame,
+    inbound: DataFrame | None = None,
 ) -> DataFrame:
     """City per caller number: the case's city, else the patient's; a known city beats none,
-    and a later case beats an earlier one."""
+    and a later case beats an earlier one.
+
+    With ``inbound`` (calls) the customers are cut down to its callers before their case
+    history is joined and grouped.
+    """
+    known = customers.select("customer_id", phone(F.col("customer_number")).alias("customer_no"))
+    if inbound is not None:
+        callers = inbound.select(phone(F.col("from_no")).alias("customer_no"))
+        known = restrict_to(known, callers, "customer_no")
+
     def named(alias: str) -> DataFrame:
         return city.select(F.col("id").alias(f"_{alias}"), F.col("city_name").alias(alias))
 
@@ -36,14 +49,13 @@ def caller_cities(
             ),
             "patient_id",
         )
-        .join(customers.select("customer_id", "customer_number"), "customer_id")
+        .join(known.where(F.col("customer_no").isNotNull()), "customer_id")
         .join(named("case_city"), "_case_city", "left")
         .join(named("home_city"), "_home_city", "left")
         .select(
-            phone(F.col("customer_number")).alias("customer_no"), "case_id",
+            "customer_no", "case_id",
             city_label(F.col("case_city"), F.col("home_city"), missing=v.NO_CITY).alias("city"),
         )
-        .where(F.col("customer_no").isNotNull())
     )
     return last_informative(rows, "customer_no", "case_id", "city", v.NO_CITY)
 
@@ -73,7 +85,6 @@ def call_detail(
     agents: DataFrame,
     *,
     route: Column | None = None,
-    roles: v.Roles = v.ROLES,
 ) -> DataFrame:
     """One wide row per inbound call.
 
@@ -102,8 +113,7 @@ def call_detail(
     )
     rows = multi_slot_lookup(
         rows, agents, slots={f"{leg}_agent": f"{leg}_agent_number" for leg in LEGS},
-        dim_key="agent_no", values=["email", "city"],
-        route=None if route is None else route,
+        dim_key="agent_no", values=["email", "city"], route=route,
         dim_route=None if route is None else "staff_group",
     )
     ts = F.col("call_created_on")

@@ -111,16 +111,17 @@ def campaign_messages(
         "sent_on", to_local(F.col("communication_date"), offset)
     )
     none = F.lit(None).cast("string")
+    # A message can belong to a nudge and to a test campaign: one row for each.
+    nudge = F.when(F.col("tag_id") == v.NUDGE_TAG, F.lit(NUDGE))
+    test = F.when(F.col("asset_id").isin(*v.HOME_PICK_ASSETS), HOME_PICK_NUDGE).when(
+        F.col("asset_id").isin(*v.DIAGNOSTIC_ASSETS), TEST_NUDGE
+    )
+    is_nudge = F.col("campaign") == NUDGE
     flow = F.get_json_object("additional_details", f"$.{roles.flow_key}")
-    nudges = sms.where(F.col("tag_id") == v.NUDGE_TAG).select(
-        F.lit(NUDGE).alias("campaign"), "id", "phone", F.col("patient_id").cast("string").alias("customer"),
-        "sent_on", flow.alias("flow"), none.alias("amount_tier"),
-    )
-    tests = sms.where(F.col("asset_id").isin(*v.DIAGNOSTIC_ASSETS)).select(
-        F.when(F.col("asset_id").isin(*v.HOME_PICK_ASSETS), HOME_PICK_NUDGE)
-        .otherwise(TEST_NUDGE).alias("campaign"),
-        "id", "phone", F.col("customer_id").cast("string").alias("customer"), "sent_on",
-        none.alias("flow"), none.alias("amount_tier"),
+    texts = sms.withColumn("campaign", F.explode(F.array_compact(F.array(nudge, test)))).select(
+        "campaign", "id", "phone",
+        F.when(is_nudge, F.col("patient_id")).otherwise(F.col("customer_id")).cast("string").alias("customer"),
+        "sent_on", F.when(is_nudge, flow).alias("flow"), none.alias("amount_tier"),
     )
     credits = ledger.where(
         (F.col("transaction_type") == v.CREDITED) & (F.col("cashback_type") == v.PROMO_TYPE_CODE)
@@ -129,19 +130,24 @@ def campaign_messages(
         F.col("customer_id").cast("string").alias("customer"), F.col("created_on").alias("sent_on"),
         none.alias("flow"), none.alias("amount_tier"),
     )
-    details = F.col("additional_details")
-    singles = one_time.where(
-        periods.covers(F.col("scheduled_on"), offset)
-        & (F.col("communication_type") == v.SMS)
-        & (F.col("status") == v.SUCCESS)
-        & (F.get_json_object(details, f"$.{roles.promo_done_key}") == "true")
-    ).select(
-        F.lit(ONE_TIME).alias("campaign"), "id", phone(F.col("patient_number")).alias("phone"),
-        phone(F.col("patient_number")).alias("customer"),
-        to_local(F.col("scheduled_on"), offset).alias("sent_on"), none.alias("flow"),
-        F.get_json_object(details, f"$.{roles.promo_amount_key}").alias("amount_tier"),
+    details = F.from_json(
+        "additional_details", f"{roles.promo_done_key} string, {roles.promo_amount_key} string"
+    )
+    singles = (
+        one_time.where(
+            periods.covers(F.col("scheduled_on"), offset)
+            & (F.col("communication_type") == v.SMS)
+            & (F.col("status") == v.SUCCESS)
+        )
+        .withColumns({"details": details, "phone": phone(F.col("patient_number"))})
+        .where(F.col(f"details.{roles.promo_done_key}") == "true")
+        .select(
+            F.lit(ONE_TIME).alias("campaign"), "id", "phone", F.col("phone").alias("customer"),
+            to_local(F.col("scheduled_on"), offset).alias("sent_on"), none.alias("flow"),
+            F.col(f"details.{roles.promo_amount_key}").alias("amount_tier"),
+        )
     )
-    return nudges.unionByName(credits).unionByName(singles).unionByName(tests)
+    return texts.unionByName(credits).unionByName(singles)
 
 
 def replies(

@@ -29,40 +29,36 @@ STATEMENT = (
 )
 
 
-PHASE_FIELDS = {
-    v.DISCHARGE_PHASE: {
-        "collected_by_hospital": "$.surgeryDischargeApprovalInfo.nme",
-        "total_bill_text": "$.surgeryDischargeApprovalInfo.totalBillAmount",
-        "approved_text": "$.surgeryDischargeApprovalInfo.finalApprovedAmount",
-    },
-    v.SURGERY_DONE_PHASE: {
-        "admission_text": "$.surgeryDischargeDoneRequest.admissionDate",
-        "discharge_date": "$.surgeryDischargeDoneRequest.dischargeDate",
-    },
-}
+PHASE_DETAILS = """
+    surgeryDischargeApprovalInfo struct<nme: string, totalBillAmount: string, finalApprovedAmount: string>,
+    surgeryDischargeDoneRequest struct<admissionDate: string, dischargeDate: string>"""
 
 
 def newest_phases(phases: DataFrame) -> DataFrame:
     """Per case: the id of its newest documents phase, and the fields of its newest discharge
-    and surgery-done phases. One scan and one aggregate serve all three."""
-    kind = F.upper("phase_type")
+    and surgery-done phases. One scan, one parse and one aggregate serve all three."""
+    wanted = phases.select(
+        F.col("insurance_case_id").alias("case_id"), "phase_id", F.upper("phase_type").alias("kind"),
+        F.from_json("additional_details", PHASE_DETAILS).alias("d"),
+    ).where(F.col("kind").isin(v.DOCS_PHASE, v.DISCHARGE_PHASE, v.SURGERY_DONE_PHASE))
 
-    def newest(value: Column, phase_type: str) -> Column:
-        return F.max_by(value, F.when(kind == phase_type, F.col("phase_id")))
+    def newest(phase_type: str) -> Column:
+        return F.when(F.col("kind") == phase_type, F.col("phase_id"))
 
-    details = F.col("additional_details")
-    wanted = phases.where(kind.isin(v.DOCS_PHASE, *PHASE_FIELDS))
     return (
-        wanted.groupBy(F.col("insurance_case_id").alias("case_id"))
+        wanted.groupBy("case_id")
         .agg(
-            F.max(F.when(kind == v.DOCS_PHASE, F.col("phase_id"))).alias("docs_phase_id"),
-            *[
-                newest(F.struct(*[F.get_json_object(details, p).alias(n) for n, p in fields.items()]), kind_)
-                .alias(f"_{kind_}")
-                for kind_, fields in PHASE_FIELDS.items()
-            ],
+            F.max(newest(v.DOCS_PHASE)).alias("docs_phase_id"),
+            F.max_by("d.surgeryDischargeApprovalInfo", newest(v.DISCHARGE_PHASE)).alias("approval"),
+            F.max_by("d.surgeryDischargeDoneRequest", newest(v.SURGERY_DONE_PHASE)).alias("done"),
+        )
+        .select(
+            "case_id", "docs_phase_id", F.col("approval.nme").alias("collected_by_hospital"),
+            F.col("approval.totalBillAmount").alias("total_bill_text"),
+            F.col("approval.finalApprovedAmount").alias("approved_text"),
+            F.col("done.admissionDate").alias("admission_text"),
+            F.col("done.dischargeDate").alias("discharge_date"),
         )
-        .select("case_id", "docs_phase_id", *[f"_{kind_}.*" for kind_ in PHASE_FIELDS])
     )
 
 

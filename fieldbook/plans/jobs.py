@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
+from fieldbook.functions.clock import in_local_days
 from fieldbook.plans import calls, cashback, commission, records, staff
 from fieldbook.session import stored
 from fieldbook.sources import readers, schemas, writers
@@ -126,37 +127,32 @@ def _commission(i: Inputs, as_of: dt.date) -> Result:
     return Result(extracts={"commission_statement": current})
 
 
-def _call_inputs(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+def _detail(i: Inputs, rows: DataFrame, routed: bool) -> DataFrame:
     city, people = i.tables("city personnel")
     people = people.withColumnRenamed("personnel_id", "id")
     support, field_staff = (
         calls.agents_by_number(people.where(F.col("personnel_type") == group), city, group)
         for group in (i.roles.support, i.roles.field_staff)
     )
-    cities = calls.caller_cities(*i.tables("patient_case patient customer"), city)
-    return (*i.tables("call call_document"), cities, support, field_staff)
+    agents = support.unionByName(field_staff) if routed else calls.agents_by_priority(support, field_staff)
+    return calls.call_detail(
+        rows, i.table("call_document"),
+        calls.caller_cities(*i.tables("patient_case patient customer"), city, rows), agents,
+        route=calls.staff_route(i.roles) if routed else None,
+    )
 
 
 def _call_detail(i: Inputs, as_of: dt.date) -> Result:
-    rows, documents, cities, support, field_staff = _call_inputs(i)
     yesterday = as_of - dt.timedelta(days=1)
-    rows = rows.where(
-        readers.in_local_days(F.col("call_created_on"), yesterday, yesterday, dt.timedelta(0))
-    )
-    detail = calls.call_detail(
-        rows, documents, cities, support.unionByName(field_staff),
-        route=calls.staff_route(i.roles), roles=i.roles,
+    rows = i.table("call").where(
+        in_local_days(F.col("call_created_on"), yesterday, yesterday, dt.timedelta(0))
     )
-    published = calls.published_calls(detail)
+    published = calls.published_calls(_detail(i, rows, routed=True))
     return Result({"call_detail": (published, schemas.CALL_DETAIL)}, by_run_date=True)
 
 
 def _failed_calls(i: Inputs, as_of: dt.datetime) -> Result:
-    rows, documents, cities, support, field_staff = _call_inputs(i)
-    recent = calls.recent(rows, as_of)
-    detail = calls.call_detail(
-        recent, documents, cities, calls.agents_by_priority(support, field_staff), roles=i.roles
-    )
+    detail = _detail(i, calls.recent(i.table("call"), as_of), routed=False)
     return Result(extracts={"failed_calls": calls.failed_calls(detail, as_of)})
 
 

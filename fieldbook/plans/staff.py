@@ -16,6 +16,8 @@ from fieldbook.operators.reporting import apply_codes, coverage_gaps
 from fieldbook.operators.skew import HotKeys
 from fieldbook.sources import schemas
 
+ACTIVITY = "newAvailabilityValue string, perviousAvailabilityValue string, reason string"
+
 
 def availability_sessions(
     agent_activity: DataFrame,
@@ -33,11 +35,12 @@ def availability_sessions(
     rows = (
         agent_activity.where(up_to_yesterday(F.col("created_on"), as_of, offset))
         .join(support, "personnel_id")
+        .withColumn("change", F.from_json("activity", ACTIVITY))
         .select(
             "id", "assigned_to",
-            F.get_json_object("activity", "$.newAvailabilityValue").alias("new_value"),
-            F.get_json_object("activity", "$.perviousAvailabilityValue").alias("previous_value"),
-            F.get_json_object("activity", "$.reason").alias("reason"),
+            F.col("change.newAvailabilityValue").alias("new_value"),
+            F.col("change.perviousAvailabilityValue").alias("previous_value"),
+            F.col("change.reason").alias("reason"),
             to_local(F.col("created_on"), offset).alias("created_on"),
             "city_id",
         )

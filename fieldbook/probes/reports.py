@@ -291,7 +291,7 @@ def _call_parts(t: Tables):
         group: calls.agents_by_number(people.where(F.col("personnel_type") == group), city, group)
         for group in (v.ROLES.support, v.ROLES.field_staff)
     }
-    return call, docs, calls.caller_cities(cases, patient, customer, city), groups
+    return call, docs, calls.caller_cities(cases, patient, customer, city, call), groups
 
 
 @probe("J12_call_detail", f"""

@@ -665,7 +665,7 @@ def _(t: Tables):
 def _(t: Tables):
     spend = F.when(F.col("event_type") == "purchase", F.col(MICROS))
     return attribution.later_minima(
-        t.events, key="user_id", ts="ts", marks={"next_purchase": spend}, keep=["event_id"],
+        t.events, key="user_id", ts="ts", id="event_id", marks={"next_purchase": spend}, keep=["event_id"],
         hot=HotKeys(min_rows=60, slice_seconds=86_400),
     )
 
