@@ -20,33 +20,34 @@ from fieldbook.session import stored
 
 SLICE = "_slice"
 MICROS = "_us"
-_HOT = "_hot"
-# Slices are numbered from year 1, the earliest representable timestamp, so that the slice
-# of a hot key is never 0.
-_ORIGIN_MICROS = -62_135_596_800_000_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with at least ``min_rows`` rows are cut into slices of ``slice_seconds``.
+    """Keys with at least ``min_rows`` rows are cut into slices of about ``slice_rows``.
 
-    At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast list:
+    At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast table:
     10^12 rows at the default give at most 200,000 keys of a few bytes each.
     """
 
     min_rows: int = 5_000_000
-    slice_seconds: int = 60
+    slice_rows: int = 1_000_000
 
     def find(self, df: DataFrame, key: str) -> DataFrame | None:
-        """The hot keys as a stored table, or None when no key is hot.
+        """(key, start and width of its slices) of the hot keys, stored; None without any.
 
-        Exact counts: partial sums per task, so a hot key shuffles one row per task.
+        Exact counts: partial sums per task, so a hot key shuffles one row per task. A key's
+        slices divide its own time span evenly, however busy it is.
         """
         hot = (
-            df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .where((F.col("_rows") >= self.min_rows) & F.col(key).isNotNull())
-            .select(key)
+            df.where(F.col(key).isNotNull())
+            .groupBy(key)
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min(MICROS).alias("_lo"), F.max(MICROS).alias("_hi"))
+            .where(F.col("_rows") >= self.min_rows)
+            .select(
+                key, "_lo",
+                F.expr(f"(_hi - _lo) div (_rows div {self.slice_rows} + 1) + 1").alias("_width"),
+            )
         )
         table = stored(hot, "hot-keys")
         return None if table.isEmpty() else table
@@ -76,13 +77,11 @@ def sliced(df: DataFrame, key: str, ts: Column, id: Column, policy: HotKeys) ->
     Rows without a key match nothing. They are spread by ``id`` instead of meeting in one
     task; whoever uses them must not look at their neighbours.
     """
-    hot = policy.find(df.select(key), key)
     rows = df.withColumn(MICROS, micros(ts))
+    hot = policy.find(rows.select(key, MICROS), key)
     number = F.lit(0).cast("long")
     if hot is not None:
-        width = policy.slice_seconds * 1_000_000
-        rows = rows.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), key, "left")
-        by_time = F.expr(f"({MICROS} - ({_ORIGIN_MICROS})) div {width}") + 1
-        number = F.when(F.col(_HOT), by_time).otherwise(number)
+        rows = rows.join(F.broadcast(hot), key, "left")
+        number = F.coalesce(F.expr(f"({MICROS} - _lo) div _width + 1"), number)
     rows = rows.withColumn(SLICE, F.when(F.col(key).isNull(), F.xxhash64(id)).otherwise(number))
-    return Sliced(rows.drop(_HOT), key, hot is not None)
+    return Sliced(rows.drop("_lo", "_width"), key, hot is not None)
