@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
-from fieldbook.functions.clock import UTC_OFFSET, Periods, to_local
-from fieldbook.functions.text import counterparty, major_units, phone
+from fieldbook.functions.clock import PERIOD_NAMES, UTC_OFFSET, Periods, to_local
+from fieldbook.functions.text import counterparty, format_inr, major_units, phone
 from fieldbook.operators.attribution import attribute
 from fieldbook.operators.funnel import flow_channel, funnel, use_breakdown
 from fieldbook.operators.ledger import (
@@ -18,13 +18,11 @@ from fieldbook.operators.ledger import (
 from fieldbook.operators.lookup import left_lookup
 from fieldbook.operators.per_user import per_user, with_user_kind
 from fieldbook.operators.skew import HotKeys
+from fieldbook.session import stored
 
 NUDGE, PROMO_CREDIT, ONE_TIME = "nudge", "promo_credit", "one_time"
 TEST_NUDGE, HOME_PICK_NUDGE = "diagnostics_test", "home_pick"
 CAMPAIGNS = (NUDGE, PROMO_CREDIT, ONE_TIME, TEST_NUDGE, HOME_PICK_NUDGE)
-MESSAGE_COLUMNS = (
-    "campaign", "id", "phone", "customer", "sent_on", "flow", "amount_tier",
-)
 
 
 def tagged_ledger(
@@ -66,6 +64,11 @@ def ledger_summary(ledger: DataFrame, as_of: dt.date) -> DataFrame:
     return ledger_matrix(ledger, as_of)
 
 
+def with_text(matrix: DataFrame) -> DataFrame:
+    """Amounts also as they are printed, next to the numbers."""
+    return matrix.withColumns({f"{p}_text": format_inr(F.col(p)) for p in PERIOD_NAMES})
+
+
 def ledger_by_tag(ledger: DataFrame, as_of: dt.date) -> DataFrame:
     return ledger_matrix(ledger, as_of, by_tag=True)
 
@@ -83,7 +86,8 @@ def campaign_messages(
     roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
 ) -> DataFrame:
-    """Every campaign message of the report range in one shape (``MESSAGE_COLUMNS``).
+    """Every campaign message of the report range in one shape: campaign, id, phone,
+    customer, sent_on, flow, amount_tier.
 
     The unique customer differs by campaign: the patient for nudges, the customer for
     credits and test / home-pick nudges, the number for one-time messages.
@@ -184,9 +188,11 @@ def spends(ledger: DataFrame) -> DataFrame:
 def attributed_messages(
     messages: DataFrame, reply_feed: DataFrame, spend_feed: DataFrame, hot: HotKeys = HotKeys()
 ) -> DataFrame:
+    """Messages with their credit. The messages come out of several joins and are read twice
+    (to find hot numbers, then to attribute), so they are stored first."""
     return attribute(
-        messages, reply_feed, spend_feed, key="phone", ts="sent_on", campaign="campaign",
-        id="id", campaigns=CAMPAIGNS, hot=hot,
+        stored(messages, "messages"), reply_feed, spend_feed, key="phone", ts="sent_on",
+        campaign="campaign", id="id", campaigns=CAMPAIGNS, hot=hot,
     )
 
 

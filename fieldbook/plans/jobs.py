@@ -8,7 +8,7 @@ whoever calls this.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +25,17 @@ RATE_COLUMNS = ("key", "share_pct", "net_share_pct", "remarks", "start_date", "e
 
 @dataclass(frozen=True)
 class Inputs:
-    """Tables below one folder, ``<root>/<name>``; text sheets as ``<root>/<name>`` CSV."""
+    """Tables below one folder, ``<root>/<name>``; text sheets as ``<root>/<name>`` CSV.
+
+    ``earlier_cases`` names the sheets of earlier commission cases, each with its headers
+    and the column names they stand for.
+    """
 
     spark: SparkSession
     root: str
     fmt: str = "parquet"
     roles: v.Roles = v.ROLES
+    earlier_cases: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         return readers.read_table(self.spark, f"{self.root}/{name}", fmt=self.fmt)
@@ -124,6 +129,9 @@ def _commission(i: Inputs, as_of: dt.date) -> Result:
         roles=i.roles,
     )
     current = commission.statement(cases, i.sheet("rate_agreement", RATE_COLUMNS), i.roles)
+    if i.earlier_cases:
+        sheets = [i.sheet(name, columns) for name, columns in i.earlier_cases.items()]
+        current = commission.full_statement(current, commission.earlier_statement(*sheets))
     return Result(extracts={"commission_statement": current})
 
 
@@ -179,8 +187,8 @@ def _cashback(i: Inputs, as_of: dt.date) -> Result:
     funnels, rejected = cashback.campaign_funnels(attributed, as_of)
     return Result(extracts={
         "cash_ledger": ledger,
-        "ledger_summary": cashback.ledger_summary(ledger, as_of),
-        "ledger_by_tag": cashback.ledger_by_tag(ledger, as_of),
+        "ledger_summary": cashback.with_text(cashback.ledger_summary(ledger, as_of)),
+        "ledger_by_tag": cashback.with_text(cashback.ledger_by_tag(ledger, as_of)),
         "campaign_messages": attributed,
         "campaign_funnels": funnels,
         "campaign_rejects": rejected.select("id", "campaign", "reject_reason"),

@@ -196,7 +196,7 @@ def phase_sql(kind: str) -> str:
                 from insurance_phase where upper(phase_type) = '{kind}' group by 1)"""
 
 
-@probe("J11_commission_statement", f"""
+CURRENT_SQL = f"""
     with base as (
       select c.id as case_id, c.created_on + interval '330 minutes' as created, c.surgery_id, f.alias_name as hospital_name,
              v.vendor_name, u.name as patient_name, u.customer_number, ct.city_name,
@@ -227,7 +227,10 @@ def phase_sql(kind: str) -> str:
            round(approved - round(amount * net, 4), 4)::double as net_payable, remarks as chargeable_on,
            case when lender_name is null then 'lender_not_updated' when admission is null then 'admission_date_not_updated'
                 when admission >= s and admission <= e then 'commission_calculated' end as statement_note
-    from priced""", COMMISSION_VIEWS + " rate_agreement")
+    from priced"""
+
+
+@probe("J11_commission_statement", CURRENT_SQL, COMMISSION_VIEWS + " rate_agreement")
 def _(t: Tables):
     cases = commission.open_cases(*t.views(COMMISSION_VIEWS), start=J11_START)
     return commission.statement(cases, t.view("rate_agreement")).select(
@@ -247,7 +250,7 @@ SHEET = """
     from {lineitem}"""
 
 
-@probe("J11_earlier_statement", f"""
+EARLIER_SQL = f"""
     with sheet as ({SHEET.format(lineitem='lineitem').replace('as string', 'as varchar')}),
     typed as (select case_id, remarks, try_cast(replace(approved, ',', '') as decimal(18,2)) as approved, try_cast(total_bill as decimal(18,2)) as bill,
                      try_cast(discount as decimal(18,2)) as discount, try_cast(share as decimal(18,2)) as share_amount,
@@ -256,7 +259,10 @@ SHEET = """
     summed as (select *, cast((basis * pct * 118 + 50) // 100 as decimal(18,4)) / 10000 as total_d from cents),
     fixed as (select *, cast(total_d as decimal(18,4)) as total from summed)
     select case_id, approved::double as approved, total::double as total_share, (total - share_amount)::double as tax_amount,
-           (approved - total - 10 + discount + 0)::double as net_payable, '18.00%' as tax, remarks as chargeable_on from fixed""")
+           (approved - total - 10 + discount + 0)::double as net_payable, '18.00%' as tax, remarks as chargeable_on from fixed"""
+
+
+@probe("J11_earlier_statement", EARLIER_SQL)
 def _(t: Tables):
     sheet = t.spark.sql(SHEET, lineitem=t.lineitem)
     return commission.earlier_statement(sheet).select(
@@ -264,6 +270,18 @@ def _(t: Tables):
     )
 
 
+@probe("J11_full_statement", f"""
+    select cast(case_id as varchar) as case_id, approved, total_share, net_payable, chargeable_on from ({CURRENT_SQL})
+    union all select case_id, approved, total_share, net_payable, chargeable_on from ({EARLIER_SQL})""", COMMISSION_VIEWS + " rate_agreement")
+def _(t: Tables):
+    cases = commission.open_cases(*t.views(COMMISSION_VIEWS), start=J11_START)
+    current = commission.statement(cases, t.view("rate_agreement"))
+    earlier = commission.earlier_statement(t.spark.sql(SHEET, lineitem=t.lineitem))
+    return commission.full_statement(current, earlier).select(
+        "case_id", "approved", "total_share", "net_payable", "chargeable_on"
+    )
+
+
 # ---- calls ---------------------------------------------------------------------------
 
 CALL_VIEWS = "call call_document patient_case patient customer_profile city personnel"

@@ -69,3 +69,18 @@ def test_a_rerun_of_a_day_does_not_duplicate(spark, inputs):
     assert once.count() == once.select("sid").distinct().count() > 0
     run("call_detail", inputs, out, dt.date(2024, 1, 16))
     assert spark.read.parquet(f"{out}/call_detail").select("run_date").distinct().count() == 2
+
+
+def test_commission_with_earlier_cases(spark, inputs):
+    sheet = spark.createDataFrame(
+        [("7", "1,000", "2,000", "5", "0", "10", "90", "9.00%", "On Approved Amount")],
+        "`Case ID` string, `Approved \n(Chargeable)` string, `Bill` string, `Discount` string, `Other` string, "
+        "`TDS@1%` string, `Share` string, `Share %` string, `Remarks` string",
+    )
+    writers.write_sheet(sheet, f"{inputs.root}/earlier")
+    names = ["case_id", "approved", "total_bill", "discount", "other_collected", "withheld", "share", "share_pct", "remarks"]
+    both = Inputs(spark, inputs.root, earlier_cases={"earlier": dict(zip(sheet.columns, names))})
+    out = work_folder(spark, "commission")
+    run("commission", both, out, dt.date(2024, 2, 1))
+    row = spark.read.option("header", True).csv(f"{out}/commission_statement").where("case_id = '7' and tax is not null").first()
+    assert (row.total_share, row.tax_amount, row.net_payable, row.tax) == ("106.2000", "16.2000", "888.8000", "18.00%")
