@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERALL = "overall"
@@ -19,19 +19,14 @@ def with_user_kind(
     """One row per (period, user) with its count ``n`` and the user's kind.
 
     A user is ``marked`` if any of their rows satisfies ``marks_user``. Rows are counted
-    per (period, user) first, so the join that spreads the mark over a user's rows sees at
+    per (period, user) first, so the window that spreads the mark over a user's rows sees at
     most one row per period, even for the busiest user.
     """
     counts = tx.groupBy(*period, user).agg(
         F.count(F.lit(1)).alias("n"), F.max(F.coalesce(marks_user, F.lit(False))).alias("_m")
     )
-    kinds = counts.groupBy(user).agg(F.max("_m").alias("_any")).withColumnRenamed(user, "_u")
-    kind = F.when(F.col("_any"), marked).otherwise(other)
-    return (
-        counts.join(kinds, F.col(user).eqNullSafe(F.col("_u")), "left")
-        .withColumn("user_type", kind)
-        .drop("_m", "_any", "_u")
-    )
+    is_marked = F.max("_m").over(Window.partitionBy(user))
+    return counts.withColumn("user_type", F.when(is_marked, marked).otherwise(other)).drop("_m")
 
 
 def per_user(counts: DataFrame, *, user: str, period: list[str], user_type: str = "user_type") -> DataFrame:

@@ -4,27 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.operators.lookup import first_per_key
-
 
 def coverage_gaps(rows: DataFrame, *, entity: str, order: list[str], group: str, covered: Column) -> DataFrame:
     """Entities without cover per group; groups without a gap are kept with 0.
 
-    Each entity is judged once, by its first row, and counted in the group of that row.
+    Each entity is judged once, by its first row, and counted in the group of that row. Rows
+    are reduced to one per (entity, group) first; the window then compares the few groups of
+    an entity.
     """
-    firsts = first_per_key(
-        rows.withColumn("_covered", covered), entity, order, [group, "_covered"]
-    )
-    gaps = firsts.groupBy(group).agg(F.count_if(~F.col("_covered")).alias("uncovered"))
-    groups = rows.select(group).distinct()
-    return (
-        groups.withColumnRenamed(group, "_g")
-        .join(gaps, F.col("_g").eqNullSafe(F.col(group)), "left")
-        .select(F.col("_g").alias(group), F.coalesce("uncovered", F.lit(0)).alias("uncovered"))
+    position = F.struct(*[F.col(c) for c in order])
+    per_group = rows.groupBy(entity, group).agg(
+        F.min(position).alias("_at"), F.min_by(covered, position).alias("_covered")
     )
+    is_first = F.col("_at") == F.min("_at").over(Window.partitionBy(entity))
+    judged = per_group.select(group, (is_first & ~F.col("_covered")).alias("_gap"))
+    return judged.groupBy(group).agg(F.count_if("_gap").alias("uncovered"))
 
 
 def joined_names(df: DataFrame, key: str, name: str, alias: str, separator: str = ",") -> DataFrame:
