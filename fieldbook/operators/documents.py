@@ -14,7 +14,7 @@ LIST_FIELDS = ("agentInSystem", "agentAvailable")
 DETAIL_FIELDS = tuple(
     f"leg{n}{part}" for part in ("DetailedStatus", "AgentNumber", "Status") for n in (1, 2, 3)
 )
-TYPE_FIELD = "personnelType"
+TYPE_FIELD = v.ROLES.staff_key
 
 
 def payload(document: Column, type_field: str = TYPE_FIELD) -> Column:

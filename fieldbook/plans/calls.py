@@ -85,6 +85,7 @@ def call_detail(
     agents: DataFrame,
     *,
     route: Column | None = None,
+    roles: v.Roles = v.ROLES,
 ) -> DataFrame:
     """One wide row per inbound call.
 
@@ -93,7 +94,7 @@ def call_detail(
     """
     inbound = calls.where(F.col("direction") == v.INBOUND)
     docs = restrict_to(documents.withColumnRenamed("call_sid", "sid"), inbound, "sid")
-    facts = call_facts(docs, "sid", ["created_on", "id"])
+    facts = call_facts(docs, "sid", ["created_on", "id"], roles.staff_key)
 
     rows = inbound.withColumn("customer_no", phone(F.col("from_no")))
     rows = left_lookup(rows, cities, "customer_no", {"city": v.NO_CITY})

@@ -16,7 +16,7 @@ from fieldbook.operators.ledger import (
     card_facts, counted, ledger_matrix, tag_ledger, visit_facts,
 )
 from fieldbook.operators.lookup import left_lookup
-from fieldbook.operators.per_user import per_user, with_user_kind
+from fieldbook.operators.per_user import OVERALL, per_user, with_user_kind
 from fieldbook.operators.skew import HotKeys
 from fieldbook.session import stored
 
@@ -155,7 +155,12 @@ def campaign_messages(
 
 
 def replies(
-    chat: DataFrame, calls: DataFrame, as_of: dt.date, offset: dt.timedelta = UTC_OFFSET
+    chat: DataFrame,
+    calls: DataFrame,
+    as_of: dt.date,
+    *,
+    roles: v.Roles = v.ROLES,
+    offset: dt.timedelta = UTC_OFFSET,
 ) -> DataFrame:
     """Inbound chats (stored in UTC) and inbound calls (stored in local time) as one feed."""
     periods = Periods(as_of)
@@ -164,7 +169,7 @@ def replies(
     ).select(
         "id", phone(F.col("to_message")).alias("phone"),
         to_local(F.col("created_on"), offset).alias("sent_on"),
-        F.lit(v.CHAT_CHANNEL).alias("channel"),
+        F.lit(roles.chat_channel).alias("channel"),
     )
     inbound_calls = calls.where(
         periods.covers(F.col("call_created_on"), dt.timedelta(0))
@@ -172,7 +177,7 @@ def replies(
     ).select(
         "id",
         counterparty(F.col("direction"), F.col("from_no"), F.col("to_no")).alias("phone"),
-        F.col("call_created_on").alias("sent_on"), F.lit(v.CALL_CHANNEL).alias("channel"),
+        F.col("call_created_on").alias("sent_on"), F.lit(roles.call_channel).alias("channel"),
     )
     return inbound_chat.unionByName(inbound_calls)
 
@@ -232,7 +237,10 @@ def campaign_uses(attributed: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def transactions_per_user(
-    transactions: DataFrame, grain: str = "month", legacy_month: bool = False
+    transactions: DataFrame,
+    grain: str = "month",
+    legacy_month: bool = False,
+    roles: v.Roles = v.ROLES,
 ) -> DataFrame:
     """Transactions ÷ distinct users by month or week, per kind of user and overall.
 
@@ -248,16 +256,19 @@ def transactions_per_user(
     names = {"week": ["week"]}.get(grain, ["month"] if legacy_month else ["year", "month"])
     counts = with_user_kind(
         transactions, user="patient_id", period=period,
-        marks_user=F.col("payment_mode") == v.CASH_MODE, marked=v.CASH_USER, other=v.OTHER_USER,
+        marks_user=F.col("payment_mode") == roles.cash_mode, marked=roles.cash_user,
+        other=roles.other_user,
     )
     return per_user(counts, user="patient_id", period=names)
 
 
-def per_user_report(result: DataFrame, period: list[str]) -> DataFrame:
+def per_user_report(
+    result: DataFrame, period: list[str], roles: v.Roles = v.ROLES
+) -> DataFrame:
     """One row per period with a column per kind of user, in period order."""
     return (
         result.groupBy(*period)
-        .pivot("user_type", [v.CASH_USER, v.OTHER_USER, "overall"])
+        .pivot("user_type", [roles.cash_user, roles.other_user, OVERALL])
         .agg(F.first("per_user"))
         .orderBy(*period)
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fieldbook import vocabulary as v
 from fieldbook.functions.clock import in_local_days
 from fieldbook.plans import calls, cashback, commission, records, staff
-from fieldbook.session import stored
+from fieldbook.session import split_skewed_joins, stored
 from fieldbook.sources import readers, schemas, writers
 
 RATE_COLUMNS = ("key", "share_pct", "net_share_pct", "remarks", "start_date", "end_date")
@@ -146,7 +146,7 @@ def _detail(i: Inputs, rows: DataFrame, routed: bool) -> DataFrame:
     return calls.call_detail(
         rows, i.table("call_document"),
         calls.caller_cities(*i.tables("patient_case patient customer"), city, rows), agents,
-        route=calls.staff_route(i.roles) if routed else None,
+        route=calls.staff_route(i.roles) if routed else None, roles=i.roles,
     )
 
 
@@ -180,7 +180,7 @@ def _cashback(i: Inputs, as_of: dt.date) -> Result:
         *i.tables("message_log message_tag asset patient customer one_time_message"), ledger,
         as_of, roles=i.roles,
     )
-    replies = cashback.replies(*i.tables("chat_message call"), as_of)
+    replies = cashback.replies(*i.tables("chat_message call"), as_of, roles=i.roles)
     attributed = stored(
         cashback.attributed_messages(messages, replies, cashback.spends(ledger)), "attributed"
     )
@@ -200,7 +200,7 @@ def _per_user(i: Inputs, as_of: dt.date) -> Result:
     transactions = i.table("transaction")
     return Result(extracts={
         f"transactions_per_user_{grain}": cashback.per_user_report(
-            cashback.transactions_per_user(transactions, grain), period
+            cashback.transactions_per_user(transactions, grain, roles=i.roles), period, i.roles
         )
         for grain, period in {"month": ["year", "month"], "week": ["week"]}.items()
     })
@@ -230,6 +230,7 @@ def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:
 
     ``as_of`` is the report date (for the failed-call feed: the date and time).
     """
+    split_skewed_joins(inputs.spark)
     result = JOBS[name](inputs, as_of)
     written = []
     for table, (df, schema) in result.tables.items():

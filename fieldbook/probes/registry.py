@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.probes.views import VIEWS
+from fieldbook.session import split_skewed_joins
 from fieldbook.sources.schemas import struct
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,13 +47,17 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._views: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def view(self, name: str) -> DataFrame:
-        text = VIEWS[name]
-        return self.spark.sql(text, **{n: getattr(self, n) for n in sources_of(text)})
+        if name not in self._views:
+            text = VIEWS[name]
+            inputs = {n: getattr(self, n) for n in sources_of(text)}
+            self._views[name] = self.spark.sql(text, **inputs)
+        return self._views[name]
 
     def views(self, names: str) -> list[DataFrame]:
         return [self.view(n) for n in names.split()]
@@ -85,7 +90,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def probe(name: str, sql: str | None = None, views: str = ""):
     def register(build: Callable[[Tables], DataFrame]):
-        QUERIES[name] = lambda spark, folder: plain(build(Tables(spark, folder)))
+        QUERIES[name] = lambda spark, folder: plain(build(Tables(split_skewed_joins(spark), folder)))
         if sql is not None:
             ORACLES[name] = with_views(views, sql)
         return build

@@ -294,7 +294,7 @@ def attributed_orders(t: Tables, **options):
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("campaign"), "o_orderstatus",
     )
     messages = rows.where(F.col("o_orderstatus") == "O").drop("o_orderstatus")
-    responses = rows.where(F.col("o_orderstatus") == "F").withColumn("channel", F.lit(v.CHAT_CHANNEL))
+    responses = rows.where(F.col("o_orderstatus") == "F").withColumn("channel", F.lit(v.ROLES.chat_channel))
     spends = rows.where(F.col("o_orderstatus") == "P").select(
         "k", "sent_on", "id",
         F.when(F.col("campaign") == "1-URGENT", v.APPOINTMENT)
@@ -314,7 +314,7 @@ def attributed_events(t: Tables, **options):
         F.col("user_id").alias("k"), F.col("ts").alias("sent_on"), F.col("event_id").alias("id"),
         F.col("event_type").alias("campaign"),
     )
-    responses = rows.where(F.col("campaign") == "click").withColumn("channel", F.lit(v.CALL_CHANNEL))
+    responses = rows.where(F.col("campaign") == "click").withColumn("channel", F.lit(v.ROLES.call_channel))
     spends = rows.where(F.col("campaign") == "purchase").select(
         "k", "sent_on", "id", F.lit(v.SURGERY).alias("used_on"), F.lit("").alias("creation_type")
     )
@@ -682,10 +682,10 @@ def _(t: Tables):
     call, chat = t.views("ledger_call chat_message")
     merged = call.select(
         "id", F.col("from_no").alias("k"), F.col("call_created_on").alias("sent_on"),
-        F.lit(v.CALL_CHANNEL).alias("channel"),
+        F.lit(v.ROLES.call_channel).alias("channel"),
     ).unionByName(chat.select(
         "id", F.col("from_id").alias("k"), clock.to_local(F.col("created_on")).alias("sent_on"),
-        F.lit(v.CHAT_CHANNEL).alias("channel"),
+        F.lit(v.ROLES.chat_channel).alias("channel"),
     ))
     led = with_next_row(merged, key="k", ts="sent_on", id="id", values=["sent_on", "channel"])
     return led.select("id", "sent_on_lead", "channel_lead")

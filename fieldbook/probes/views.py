@@ -303,7 +303,7 @@ VIEWS: dict[str, str] = {
                {SPREAD} + interval '330' minute as call_created_on
         from {{orders}} where o_orderstatus = 'F' and o_orderpriority in ('4-NOT SPECIFIED', '5-LOW')""",
     "transaction": """
-        select o_custkey % 700 as patient_id,
+        select o_custkey as patient_id,
                case when o_custkey % 3 = 0 and o_orderpriority = '1-URGENT' then 'CASHBACK' else 'CARD' end as payment_mode,
                o_orderdate as created_on, cast(o_orderkey % 53 as string) as week
         from {orders}""",

@@ -7,15 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
+# A hot key of a join is split over several tasks at run time, also where the split costs
+# one more shuffle because the join feeds an aggregate on the same key.
+SKEW_JOIN = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Facts are joined to unique-key tables; a hot fact key is split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Only the run date written by this run is replaced, so a rerun is idempotent.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+DEFAULTS = {
+    **SKEW_JOIN,
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -29,6 +32,13 @@ def build_session(app: str = "fieldbook", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def split_skewed_joins(spark: SparkSession) -> SparkSession:
+    """Turn on, in a session made elsewhere, what the plans rely on for hot join keys."""
+    for name, value in SKEW_JOIN.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 

@@ -41,11 +41,6 @@ NUDGE_TAG = 275
 HOME_PICK = "Home_pick"
 DIAGNOSTICS_TEST = "Diagnostics_test"
 PATIENT_ENTITY = "PATIENT_PROFILE"
-CHAT_CHANNEL = "WhatsApp"
-CALL_CHANNEL = "Call"
-CASH_USER = "cash"
-OTHER_USER = "non-cash"
-CASH_MODE = "CASHBACK"
 USE_KINDS = {
     "new": "Appointment (New)",
     "follow_up": "Appointment (FollowUp)",
@@ -120,7 +115,7 @@ TAX_TEXT = "18.00%"
 
 @dataclass(frozen=True)
 class Roles:
-    """Names a deployment gives to its staff groups, tenant, JSON keys and case sources."""
+    """Names a deployment gives to its staff groups, tenant, channels, JSON keys and sources."""
 
     field_staff: str = "FIELD_STAFF"
     support: str = "CUSTOMER_SUPPORT"
@@ -129,6 +124,12 @@ class Roles:
     field_mapping: str = "FIELD"
     case_source: str = "Partner"
     patient_source: str = "Dashboard"
+    chat_channel: str = "WhatsApp"
+    call_channel: str = "Call"
+    cash_mode: str = "CASHBACK"
+    cash_user: str = "cash"
+    other_user: str = "non-cash"
+    staff_key: str = "personnelType"
     flow_key: str = "cashNudgingFlow"
     promo_done_key: str = "cashPromoDone"
     promo_amount_key: str = "promotionalCashAmount"

@@ -3,10 +3,13 @@
 import datetime as dt
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clock
 from fieldbook.operators.activity import with_next_row
+from fieldbook.operators.lookup import first_per_key, left_lookup, restrict_to
 from fieldbook.probes.registry import Tables
 from fieldbook.probes.tables import attributed_orders
 
@@ -38,3 +41,48 @@ def test_day_filters_and_columns_reach_the_scan(spark):
         clock.in_local_days(F.col("ts"), dt.date(2024, 1, 5), dt.date(2024, 1, 6))).select("event_id"))
     assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts,2024-01-04T18:30\), LessThan\(ts,2024-01-06T18:30\)", plan)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+SMALL_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "65536",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    """Facts with a third of all rows under one key, and thresholds that fit a small test."""
+    before = {k: spark.conf.get(k, None) for k in SMALL_SKEW}
+    for name, value in SMALL_SKEW.items():
+        spark.conf.set(name, value)
+    yield spark.range(0, 400_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).cast("long").alias("k"),
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("x"),
+    )
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return plan_of(df)
+
+
+def test_hot_lookup_key_is_split(spark, skewed):
+    dim = spark.range(5000).select(F.col("id").alias("k"), F.lit("d").alias("d"))
+    joined = left_lookup(skewed, dim, "k", {"d": ""}).where(F.length("x") > 0)
+    out = joined.groupBy(F.col("id") % 7).agg(F.count("d").alias("n"))
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
+    assert sum(r.n for r in out.collect()) == 400_000
+
+
+def test_hot_key_is_split_between_semi_join_and_aggregate(spark, skewed):
+    keys = spark.range(5000).select(F.col("id").alias("k"))
+    out = first_per_key(restrict_to(skewed, keys, "k"), "k", "id", ["id", "x"])
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
+    assert out.count() == 5000
