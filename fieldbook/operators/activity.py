@@ -32,7 +32,8 @@ def with_next_row(
     following = F.col("_next")
     found = cut.rows.withColumn("_next", F.lead(carried).over(order))
     if cut.has_hot:
-        first_of_slice = cut.per_hot_slice(
+        per_slice = cut.hot_rows.groupBy(*cut.partition)
+        first_of_slice = per_slice.agg(
             F.min_by(carried, F.struct(MICROS, id)).alias("_first")
         ).select(
             *cut.partition,

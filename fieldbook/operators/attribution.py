@@ -97,17 +97,17 @@ def later_minima(
     """
     cut = sliced(rows, key, F.col(ts), F.col(id), hot)
     later = next_strictly_later(MICROS, cut.partition)
-    has_key = F.col(key).isNotNull()
+    wanted = F.lit(True) if only is None else only
     minima = [F.min(expr).over(later).alias(name) for name, expr in marks.items()]
-    found = cut.rows.select(*cut.partition, *keep, *minima)
-    if only is not None:
-        found = found.where(only)
-    if cut.has_hot:
-        found = found.join(_later_slices(cut, marks), cut.partition, "left")
-        return found.select(
-            *keep, *[F.when(has_key, F.coalesce(n, f"{n}_later")).alias(n) for n in marks]
-        )
-    return found.select(*keep, *[F.when(has_key, F.col(n)).alias(n) for n in marks])
+    found = cut.other_rows.select(key, *keep, *minima).where(wanted)
+    found = found.select(
+        *keep, *[F.when(F.col(key).isNotNull(), F.col(n)).alias(n) for n in marks]
+    )
+    if not cut.has_hot:
+        return found
+    asked = cut.hot_rows.where(wanted).select(key, MICROS, *keep)
+    answered = asked.join(_answers_per_instant(cut, marks), [key, MICROS], "left")
+    return found.unionByName(answered.select(*keep, *marks))
 
 
 def _event_rows(
@@ -132,17 +132,31 @@ def _marks(campaigns: Sequence[str]) -> dict[str, Column]:
     return marks
 
 
-def _later_slices(cut: Sliced, marks: Mapping[str, Column]) -> DataFrame:
-    """Per (hot key, slice): the minima over all later slices of that key."""
-    per_slice = cut.per_hot_slice(*[F.min(expr).alias(name) for name, expr in marks.items()])
+def _answers_per_instant(cut: Sliced, marks: Mapping[str, Column]) -> DataFrame:
+    """Per (hot key, instant): each mark's minimum over the later instants of the key.
+
+    All rows of one instant share the answer, so they are combined before the shuffle and
+    a slice is no larger than its number of different instants.
+    """
+    instants = cut.hot_rows.groupBy(*cut.partition, MICROS).agg(
+        *[F.min(expr).alias(name) for name, expr in marks.items()]
+    )
+    later = next_strictly_later(MICROS, cut.partition)
+    in_slice = instants.select(
+        *cut.partition, MICROS, *[F.min(name).over(later).alias(name) for name in marks]
+    )
+    per_slice = instants.groupBy(*cut.partition).agg(*[F.min(n).alias(n) for n in marks])
     after = (
         Window.partitionBy(cut.key)
         .orderBy(F.col(SLICE).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return per_slice.select(
+    later_slices = per_slice.select(
         *cut.partition, *[F.min(name).over(after).alias(f"{name}_later") for name in marks]
     )
+    return in_slice.join(later_slices, cut.partition, "left").select(
+        cut.key, MICROS, *[F.coalesce(n, f"{n}_later").alias(n) for n in marks]
+    )
 
 
 def _first_rival(

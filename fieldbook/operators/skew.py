@@ -24,30 +24,31 @@ MICROS = "_us"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with at least ``min_rows`` rows are cut into slices of about ``slice_rows``.
+    """Keys with at least ``min_rows`` rows are cut into time slices.
 
-    At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast table:
-    10^12 rows at the default give at most 200,000 keys of a few bytes each.
+    - At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast table:
+      10^12 rows at the default give at most 200,000 keys of a few bytes each.
+    - A key has at most ``max_slices`` slices, which bounds the step that connects them.
+    - A slice is ``least_micros`` wide, or wider where the key's time span demands it, and
+      holds at most that many different instants, however bursty the key is.
     """
 
     min_rows: int = 5_000_000
-    slice_rows: int = 1_000_000
+    max_slices: int = 5_000_000
+    least_micros: int = 1_000_000
 
     def find(self, df: DataFrame, key: str) -> DataFrame | None:
         """(key, start and width of its slices) of the hot keys, stored; None without any.
 
-        Exact counts: partial sums per task, so a hot key shuffles one row per task. A key's
-        slices divide its own time span evenly, however busy it is.
+        Exact counts: partial sums per task, so a hot key shuffles one row per task.
         """
+        width = F.expr(f"greatest({self.least_micros}, (_hi - _lo) div {self.max_slices} + 1)")
         hot = (
             df.where(F.col(key).isNotNull())
             .groupBy(key)
             .agg(F.count(F.lit(1)).alias("_rows"), F.min(MICROS).alias("_lo"), F.max(MICROS).alias("_hi"))
             .where(F.col("_rows") >= self.min_rows)
-            .select(
-                key, "_lo",
-                F.expr(f"(_hi - _lo) div (_rows div {self.slice_rows} + 1) + 1").alias("_width"),
-            )
+            .select(key, "_lo", width.alias("_width"))
         )
         table = stored(hot, "hot-keys")
         return None if table.isEmpty() else table
@@ -65,10 +66,13 @@ class Sliced:
     def partition(self) -> list[str]:
         return [self.key, SLICE]
 
-    def per_hot_slice(self, *aggregates: Column) -> DataFrame:
-        """One pre-aggregated row per (hot key, slice)."""
-        hot = self.rows.where(F.col(self.key).isNotNull() & (F.col(SLICE) != 0))
-        return hot.groupBy(*self.partition).agg(*aggregates)
+    @property
+    def hot_rows(self) -> DataFrame:
+        return self.rows.where(F.col(self.key).isNotNull() & (F.col(SLICE) != 0))
+
+    @property
+    def other_rows(self) -> DataFrame:
+        return self.rows.where(F.col(self.key).isNull() | (F.col(SLICE) == 0))
 
 
 def sliced(df: DataFrame, key: str, ts: Column, id: Column, policy: HotKeys) -> Sliced:

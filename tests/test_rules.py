@@ -138,7 +138,7 @@ def sessions(table, rows, **options):
     return {r.id: r.total_active_sec for r in out.collect()}
 
 
-@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(min_rows=2, slice_rows=1)])
+@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(min_rows=2, max_slices=3)])
 def test_availability_sessions(table, hot):
     found = sessions(table, [
         (1, "a", at("2024-01-02 10:00:00"), "true", None), (2, "a", at("2024-01-02 10:00:30.5"), "false", None),
