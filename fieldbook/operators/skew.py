@@ -28,21 +28,23 @@ class HotKeys:
 
     - At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast table:
       10^12 rows at the default give at most 200,000 keys of a few bytes each.
-    - A key has at most ``max_slices`` slices, which bounds the step that connects them.
-    - A slice is ``least_micros`` wide, or wider where the key's time span demands it, and
-      holds at most that many different instants, however bursty the key is.
+    - Slices are meant to hold ``slice_rows`` rows, but are never wider than
+      ``widest_micros``; so a slice has at most that many different instants however bursty
+      the key is, and a key has at most ``rows / slice_rows + span / widest`` slices.
     """
 
     min_rows: int = 5_000_000
-    max_slices: int = 5_000_000
-    least_micros: int = 1_000_000
+    slice_rows: int = 100_000
+    widest_micros: int = 60_000_000
 
     def find(self, df: DataFrame, key: str) -> DataFrame | None:
         """(key, start and width of its slices) of the hot keys, stored; None without any.
 
         Exact counts: partial sums per task, so a hot key shuffles one row per task.
         """
-        width = F.expr(f"greatest({self.least_micros}, (_hi - _lo) div {self.max_slices} + 1)")
+        width = F.expr(
+            f"least({self.widest_micros}, (_hi - _lo) div (_rows div {self.slice_rows} + 1) + 1)"
+        )
         hot = (
             df.where(F.col(key).isNotNull())
             .groupBy(key)

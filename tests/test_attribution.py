@@ -52,9 +52,9 @@ def random_input(seed, size=260, keys=6, instants=25):
 
 POLICIES = {
     "plain": HotKeys(),
-    "one hot key": HotKeys(min_rows=60, max_slices=4),
-    "all hot": HotKeys(min_rows=1, max_slices=2),
-    "fine slices": HotKeys(min_rows=1, least_micros=1),
+    "one hot key": HotKeys(min_rows=60, slice_rows=25, widest_micros=10**12),
+    "all hot": HotKeys(min_rows=1, slice_rows=10),
+    "fine slices": HotKeys(min_rows=1, widest_micros=1),
 }
 
 
@@ -121,7 +121,7 @@ def test_one_key_with_many_rows(spark):
     spends = rows.where("kind = 3").select("k", "sent_on", "id", F.lit("V").alias("used_on"), F.lit("").alias("creation_type"))
     got = attribute(
         messages.drop("kind"), responses.drop("kind"), spends, key="k", ts="sent_on",
-        campaign="campaign", id="id", campaigns=["a", "b"], hot=HotKeys(min_rows=1000, max_slices=60),
+        campaign="campaign", id="id", campaigns=["a", "b"], hot=HotKeys(min_rows=1000, slice_rows=300),
     )
     # Order of kinds is a, b, reply, spend: only b reaches its reply and spend.
     assert tuples(got.groupBy("campaign", "responded", "used").count()) == [
