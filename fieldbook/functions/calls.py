@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from fieldbook import vocabulary as v
 
 
-def leg_status(raw: Column) -> Column:
-    return F.upper(raw)
-
-
 def final_status(
     d1: Column, d2: Column, d3: Column, leg1: Column, leg2: Column, sent: Column
 ) -> Column:

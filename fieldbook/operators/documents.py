@@ -118,6 +118,13 @@ def call_facts(docs: DataFrame, key: str, order: Sequence[str], type_field: str
     )
 
 
+def case_answers(answers: DataFrame) -> DataFrame:
+    """Answers given in the case menu; other templates and entities do not count."""
+    return answers.where(
+        (F.col("template_id") == v.MENU_TEMPLATE) & (F.col("entity_type") == v.MENU_ENTITY)
+    )
+
+
 def menu_levels(answers: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Last answer of each menu level per entity, as an outcome label."""
     position = F.struct(*[F.col(c) for c in order])

@@ -573,9 +573,9 @@ def _(t: Tables):
 @probe("A18_last_answer_per_level", """
     select entity_id, arg_max(case when option_value in (1, 2, 3) then 'Choose Language' else 'WhatsApp Flow' end, id) filter (ivr_question_id = 3) as first_level,
            arg_max(case when option_value = 1 then 'Call Transferred' else 'WhatsApp Flow' end, id) filter (ivr_question_id <> 3) as second_level
-    from menu_answer group by entity_id""", "menu_answer")
+    from menu_answer where template_id = 3 and entity_type = 'PATIENT_CASE' group by entity_id""", "menu_answer")
 def _(t: Tables):
-    return documents.menu_levels(t.view("menu_answer"), "entity_id", ["created_on", "id"])
+    return documents.menu_levels(documents.case_answers(t.view("menu_answer")), "entity_id", ["created_on", "id"])
 
 
 LIST_SQL = """

@@ -241,7 +241,9 @@ VIEWS: dict[str, str] = {
     "menu_answer": """
         select event_id as id, user_id as entity_id, ts as created_on,
                case when event_id % 3 = 0 then 3 else 4 end as ivr_question_id,
-               event_id % 5 as option_value
+               event_id % 5 as option_value,
+               cast(case when event_type = 'error' then 4 else 3 end as int) as template_id,
+               case when event_type = 'view' then 'CUSTOMER' else 'PATIENT_CASE' end as entity_type
         from {events}""",
     # ---- cashback -------------------------------------------------------------------
     "cash_ledger": f"""

@@ -82,6 +82,8 @@ def test_menu(table):
         (1, 1, 3, "1"), (2, 1, 3, "9"), (3, 2, 4, "2"), (4, 2, 4, "1"), (5, 3, 3, "2"), (6, 3, None, None)])
     assert tuples(documents.menu_levels(answers, "entity_id", ["id"])) == [
         (1, v.CHAT_FLOW, None), (2, None, v.TRANSFERRED), (3, v.CHOOSE_LANGUAGE, v.CHAT_FLOW)]
+    kept = documents.case_answers(table("id:l template_id:i entity_type:s", [(1, 3, "PATIENT_CASE"), (2, 4, "PATIENT_CASE"), (3, 3, None)]))
+    assert tuples(kept, "id") == [(1,)]
     flows = table("f:s d:i a:s b:s", [
         (v.SINGLE_LEVEL_FLOW, 1, None, None), (v.SINGLE_LEVEL_FLOW, 2, None, None), (v.MULTI_LEVEL_FLOW, 1, "A", None),
         (v.MULTI_LEVEL_FLOW, 1, "A", "B"), (v.MULTI_LEVEL_FLOW, 1, None, None), ("OTHER", 3, None, None), (None, None, None, None)])
