@@ -35,3 +35,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import language
+
+    docs = table(spark, sf_dir, "documents")
+    texts = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    told = language.predict(docs, texts)
+    return told.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
