@@ -13,8 +13,8 @@ Labels are noisy, so once the dictionaries are made, sampled rows which another
 explains better are taken out and the dictionaries made again.
 
 A null or empty text, or one without a letter, is ``und`` with score 0, and rejected. A tie is settled
-by the sizes of the text's different words, each on its own; if that ties too, the language that
-comes first by name is taken, with score 0. With no labelled rows every text is ``und``.
+by the sizes of the text's different words, each on its own; if that ties too, the language with
+the most labelled rows is taken, with score 0. With no labelled rows every text is ``und``.
 Repeated rows each give a row, a null id stays null, other columns are left out.
 """
 
@@ -34,6 +34,7 @@ from fieldbook.llm.common import id_and_text, slices
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 1000
 PIECE = 512
+LEAST_BYTES = 8192
 # Lazy matching with matches from four bytes tells the languages apart with dictionaries of 10 to 300 KB alike.
 PARAMETERS = {
     "strategy": zstandard.STRATEGY_LAZY, "window_log": 20, "hash_log": 17, "chain_log": 17, "search_log": 4, "min_match": 4,
@@ -51,7 +52,7 @@ def normal(text: str) -> str:
 
 def compressors(texts: dict[str, bytes]) -> list[zstandard.ZstdCompressor]:
     made, parameters = [], zstandard.ZstdCompressionParameters(**PARAMETERS)
-    for language in sorted(texts):
+    for language in texts:
         raw = zstandard.ZstdCompressionDict(texts[language], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         raw.precompute_compress(compression_params=parameters)
         made.append(zstandard.ZstdCompressor(compression_params=parameters, dict_data=raw))
@@ -78,44 +79,45 @@ def judged(text: str, languages: list[str], by: list[zstandard.ZstdCompressor])
 
 
 def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
-    """Language -> raw content of its dictionary, from rows with a text and a label.
+    """Language -> raw content of its dictionary, from rows with a text and a label; the most frequent language first.
 
     At most ``SAMPLE_ROWS`` rows of ``SAMPLE_CHARS`` characters per language reach the driver; the number
     of languages is that of the labels in use.
     """
     first = Window.partitionBy("lang").orderBy("order", "text")
+    labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"),
+        F.xxhash64(F.col(id)).alias("order"),
+        F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"),
+    )
     sample = (
-        docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-        .select(
-            F.col(lang).cast("string").alias("lang"),
-            F.xxhash64(F.col(id)).alias("order"),
-            F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"),
-        )
-        .withColumn("place", F.row_number().over(first))
+        labelled.withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= SAMPLE_ROWS)
     )
     rows = sorted((r.lang, r.text) for r in sample.select("lang", "text").toLocalIterator())
     texts = gathered(rows)
     if len(texts) > 1:
-        by, languages = compressors(texts), sorted(texts)
+        by, languages = compressors(texts), list(texts)
         # A row's own text is in its language's dictionary: leave it out by judging with the other half's dictionaries.
         halves = [rows[0::2], rows[1::2]]
         kept = []
         for mine, other in (halves, halves[::-1]):
             others = gathered(other)
-            by, languages = compressors(others), sorted(others)
+            by, languages = compressors(others), list(others)
             kept += [(lang, text) for lang, text in mine if lang not in others or judged(text, languages, by)[0] in (lang, UNKNOWN)]
         texts = {**texts, **gathered(sorted(kept))}
-    return texts
+    rows_of = {r.lang: r["count"] for r in labelled.groupBy("lang").count().toLocalIterator()}
+    return {lang: texts[lang] for lang in sorted(texts, key=lambda lang: (-rows_of[lang], lang))}
 
 
 def gathered(rows: list[tuple[str, str]]) -> dict[str, bytes]:
-    """Dictionaries of one size, as a longer one would have the better chances."""
+    """Dictionaries of about one size, as a longer one would have the better chances; none for a language without letters."""
     texts: dict[str, list[str]] = {}
     for lang, text in rows:
-        texts.setdefault(lang, []).append(text)
-    raw = {lang: "\n".join(map(normal, parts)).encode() for lang, parts in texts.items()}
-    size = min(map(len, raw.values()), default=0)
+        if any(map(str.isalpha, text)):
+            texts.setdefault(lang, []).append(normal(text))
+    raw = {lang: "\n".join(parts).encode() for lang, parts in texts.items()}
+    size = max(LEAST_BYTES, min(map(len, raw.values()), default=0))
     return {lang: content[-size:] for lang, content in raw.items()}
 
 
@@ -123,7 +125,7 @@ def predict(docs: DataFrame, texts: dict[str, bytes], id: str = "doc_id", text:
     """doc_id, lang_pred, score, rejected; only the text is looked at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by, languages = compressors(texts), sorted(texts)
+        by, languages = compressors(texts), list(texts)
         for batch in slices(batches):
             found = [judged(value, languages, by) for value in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -141,7 +143,7 @@ def accepted(docs: DataFrame, texts: dict[str, bytes], text: str = "text") -> Da
     place = by_name.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by, languages = compressors(texts), sorted(texts)
+        by, languages = compressors(texts), list(texts)
         for batch in slices(batches):
             found = [judged(value or "", languages, by) for value in batch.column(place).to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= MARGIN for lang, score in found], pa.bool_()))

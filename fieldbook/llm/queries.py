@@ -45,3 +45,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
     told = language.predict(docs, texts)
     return told.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import license_scan
+
+    return license_scan.scan(table(spark, sf_dir, "documents"))
