@@ -52,3 +52,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldbook.llm import license_scan
 
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import fingerprint
+
+    return fingerprint.report(table(spark, sf_dir, "documents"))
