@@ -59,3 +59,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldbook.llm import fingerprint
 
     return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
+@query("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "extra")).alias("spans"),
+        F.size("extra").cast("long").alias("n_extra"),
+    )
