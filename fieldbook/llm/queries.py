@@ -74,3 +74,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.listed(F.concat("base", "extra")).alias("spans"),
         F.size("extra").cast("long").alias("n_extra"),
     )
+
+
+@query("op10_quality_cotraining")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import cotrain
+
+    docs, labels, pages = (table(spark, sf_dir, name) for name in ("documents", "labels", "pages"))
+    return cotrain.score(docs, pages, cotrain.fit(docs, labels, pages))
