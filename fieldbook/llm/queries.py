@@ -82,3 +82,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs, labels, pages = (table(spark, sf_dir, name) for name in ("documents", "labels", "pages"))
     return cotrain.score(docs, pages, cotrain.fit(docs, labels, pages))
+
+
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import secret_scan
+
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.where("is_secret").select("doc_id", "kind", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score")
