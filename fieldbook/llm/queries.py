@@ -90,3 +90,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.where("is_secret").select("doc_id", "kind", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score")
+
+
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import jaccard_join
+
+    found = jaccard_join.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("group_id").alias("class_id"), "copies", "n_links")
