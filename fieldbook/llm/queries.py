@@ -98,3 +98,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = jaccard_join.join(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("group_id").alias("class_id"), "copies", "n_links")
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import decontaminate
+
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count("*").alias("n_places"), F.min("first_word").cast("long").alias("first_word"),
+        F.max("n_words").cast("long").alias("n_words"), F.max("n_same").cast("long").alias("n_same"),
+    )
