@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fieldbook.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -109,3 +110,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("n_places"), F.min("first_word").cast("long").alias("first_word"),
         F.max("n_words").cast("long").alias("n_words"), F.max("n_same").cast("long").alias("n_same"),
     )
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
