@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldbook.session import stored
+
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "labels": "doc_id long, quality int, toxic int",
@@ -27,6 +29,20 @@ def id_and_text(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     )
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def once(df: DataFrame, purpose: str) -> DataFrame:
+    """Written to the shared folder and read again; the shuffle files behind it go as soon as it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return stored(df, purpose)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def words(text: Column) -> Column:
     """Runs of anything but ASCII white space, as an array."""
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
