@@ -134,7 +134,8 @@ def proposals(text: str, taken: list[Span]) -> list[Span]:
     return [s for s in found if all(s[2] <= a or b <= s[1] for _, a, b in taken)]
 
 
-# Labelers: (kind, the span's text, lower-case words before it, the characters around) -> 1, 0 or -1.
+# Labelers: (kind, the span's text, lower-case words before it, the characters around) -> 1, 0 or -1. What a candidate's
+# pattern already demands is no vote for it.
 
 
 def by_form(kind: str, span: str, before: list[str], around: str) -> int:
@@ -143,10 +144,10 @@ def by_form(kind: str, span: str, before: list[str], around: str) -> int:
     if kind == "ip":
         return -1 if span.startswith("0.") or re.search(r"(?:\A|\.)0[0-9]", span) else 1
     if kind in ("phone", "local_phone"):
-        return -1 if len(set(filter(str.isdigit, span))) < 3 else 1
+        return -1 if len(set(filter(str.isdigit, span))) < 3 else int(kind == "phone")
     if kind == "national_id":
-        return -1 if span.startswith(("000", "666", "9")) or span[4:6] == "00" or span.endswith("0000") else 1
-    return 1 if len(set(span)) > 4 else -1
+        return -1 if span.startswith(("000", "666", "9")) or span[4:6] == "00" or span.endswith("0000") else 0
+    return 0 if len(set(span)) > 4 else -1
 
 
 def by_list(kind: str, span: str, before: list[str], around: str) -> int:
@@ -173,7 +174,7 @@ def by_context(kind: str, span: str, before: list[str], around: str) -> int:
 
 
 def by_edges(kind: str, span: str, before: list[str], around: str) -> int:
-    return -1 if any(c.isalnum() or c in "_/=#" for c in around) else 1
+    return -1 if any(c.isalnum() or c in "_/=#" for c in around) else int(kind in KINDS)
 
 
 LABELERS = (by_form, by_list, by_sum, by_context, by_edges)
@@ -195,27 +196,28 @@ def features(pattern: str) -> np.ndarray:
     return np.concatenate([[1.0], votes, np.abs(votes), [kind == k for k in named], [float(length) / 4]])
 
 
-def reliabilities(counts: dict[str, int], rounds: int = 50) -> dict[str, float]:
-    """Probability of each pattern to be personal data, by expectation-maximisation over its counts."""
+def reliabilities(counts: dict[str, int], rounds: int = 100) -> dict[str, float]:
+    """Probability of each pattern to be personal data, by expectation-maximisation over its counts.
+
+    An abstention says nothing. Base spans are personal data beyond doubt and hold the classes in place.
+    """
     patterns = sorted(counts)
     weight = np.array([counts[p] for p in patterns], float)
-    votes = np.array([p.split("|")[1].split(",") for p in patterns], int) + 1
-    chance = 1 / (1 + np.exp(-(votes - 1).sum(1).astype(float)))  # to begin with, what most labelers say
-    hot = np.eye(3)[votes]  # pattern, labeler, vote
+    votes = np.array([p.split("|")[1].split(",") for p in patterns], int)
+    sure = np.array([p.split("|")[0] in KINDS for p in patterns])
+    cast = np.stack([votes == 1, votes == -1], 2).astype(float)  # pattern, labeler, for or against
+    chance = np.where(sure, 1.0, 1 / (1 + np.exp(-votes.sum(1).astype(float))))  # to begin with, what most labelers say
     for _ in range(rounds):
         log = []
-        for p in (chance, 1 - chance):
-            share = np.einsum("p,plv->lv", weight * p, hot) + 0.5
+        # A labeler is taken to be right more often than not, until its votes say otherwise.
+        for p, prior in ((chance, (4.0, 1.0)), (1 - chance, (1.0, 4.0))):
+            share = np.einsum("p,plv->lv", weight * p, cast) + prior
             share /= share.sum(1, keepdims=True)
-            log.append(np.einsum("plv,lv->p", hot, np.log(share)) + np.log((weight * p).sum() + 1))
-        new = 1 / (1 + np.exp(np.clip(log[1] - log[0], -500, 500)))
-        if np.abs(new - chance).max() < 1e-6:
+            log.append(np.einsum("plv,lv->p", cast, np.log(share)) + np.log((weight * p * ~sure).sum() + 1))
+        new = np.where(sure, 1.0, 1 / (1 + np.exp(np.clip(log[1] - log[0], -500, 500))))
+        moved, chance = np.abs(new - chance).max(initial=0), new
+        if moved < 1e-6:
             break
-        chance = new
-    # The classes have no names of their own: the one in which labelers approve more is personal data.
-    agree = (votes - 1).sum(1)
-    if np.average(agree, weights=weight * chance + 1e-9) < np.average(agree, weights=weight * (1 - chance) + 1e-9):
-        chance = 1 - chance
     return dict(zip(patterns, chance.tolist(), strict=True))
 
 
@@ -254,7 +256,9 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text") -> dict[str, fl
     if not counts:
         return {}
     w = classifier(counts, reliabilities(counts))
-    return {p: float(1 / (1 + np.exp(-features(p) @ w))) for p in counts}
+    # Where no labeler is in favour, the patterns of others say nothing about it.
+    favoured = [p for p in counts if "1" in p.split("|")[1].replace("-1", "").split(",")]
+    return {p: float(1 / (1 + np.exp(-features(p) @ w))) for p in favoured}
 
 
 def find(docs: DataFrame, scores: dict[str, float], id: str = "doc_id", text: str = "text") -> DataFrame:
