@@ -4,8 +4,10 @@ For each message: the first response and the first spend strictly after it, cred
 only if no message of a rival campaign lies strictly after the message and at or before
 that event. Messages of the same campaign never compete with each other.
 
-All campaigns, responses and spends share one event set, one exchange and one sort; the
-messages travel with their own columns, so nothing is joined back afterwards.
+All campaigns, responses and spends share one event set. Rows of one instant share one
+answer, so they are combined per (key, instant) before the shuffle; a pile of rows at one
+instant is one row from then on. The messages join their instant's answer; their own columns
+are shuffled once. The feeds are read twice: for the events with a few columns, for the messages with all.
 """
 
 from __future__ import annotations
@@ -13,29 +15,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.operators.skew import MICROS, SLICE, HotKeys, Sliced, sliced
+from fieldbook.functions.clock import micros
+from fieldbook.operators.skew import MICROS, Slices, later_minima_of
 
 RESULT_COLUMNS = (
     "responded", "response_id", "channel", "used", "spend_id", "used_on", "creation_type",
 )
 
 
-def next_strictly_later(order: str, partition: Sequence[str]) -> Window:
-    """Rows strictly later than the current one.
-
-    Descending order with a running frame: the forward form of the same frame is
-    recomputed for every row, which is quadratic in the rows of a key.
-    """
-    return (
-        Window.partitionBy(*partition)
-        .orderBy(F.col(order).desc())
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-
-
 def attribute(
     messages: DataFrame,
     responses: DataFrame,
@@ -47,7 +37,7 @@ def attribute(
     id: str,
     campaigns: Sequence[str],
     rivals: Mapping[str, Sequence[str]] | None = None,
-    hot: HotKeys = HotKeys(),
+    slices: Slices = Slices(),
 ) -> DataFrame:
     """Messages plus ``RESULT_COLUMNS``; one output row per message.
 
@@ -60,15 +50,15 @@ def attribute(
 
     rows = messages.select(
         F.col(key), F.col(ts).alias("_ts"), F.col(campaign).alias("_campaign"),
-        F.col(id).alias("_id"), F.struct(*[F.col(c) for c in messages.columns]).alias("_message"),
+        F.struct(*[F.col(c) for c in messages.columns]).alias("_message"),
     )
     rows = rows.unionByName(_event_rows(responses, key, ts, "_response", id, ["channel"]), True)
     rows = rows.unionByName(
         _event_rows(spends, key, ts, "_spend", id, ["used_on", "creation_type"]), True
     )
     found = later_minima(
-        rows, key=key, ts="_ts", id="_id", marks=_marks(campaigns),
-        keep=["_campaign", "_message"], only=F.col("_message").isNotNull(), hot=hot,
+        rows, key=key, ts="_ts", marks=_marks(campaigns), keep=["_campaign", "_message"],
+        only=F.col("_message").isNotNull(), slices=slices,
     )
     rival = _first_rival(campaigns, rivals)
     return found.select(
@@ -83,31 +73,23 @@ def later_minima(
     *,
     key: str,
     ts: str,
-    id: str,
     marks: Mapping[str, Column],
     keep: Sequence[str],
     only: Column | None = None,
-    hot: HotKeys = HotKeys(),
+    slices: Slices = Slices(),
 ) -> DataFrame:
     """``keep`` plus, per mark, its minimum over the strictly later rows of the same key.
 
-    Marks may use ``_us`` (microseconds). All marks share one exchange and one sort.
-    ``only`` limits the rows returned, not the rows looked at. A row without a key is kept
-    and finds nothing.
+    Marks may use ``_us`` (microseconds). ``only`` limits the rows returned, not the rows
+    looked at. A row without a key is kept and finds nothing.
     """
-    cut = sliced(rows, key, F.col(ts), F.col(id), hot)
-    later = next_strictly_later(MICROS, cut.partition)
-    wanted = F.lit(True) if only is None else only
-    minima = [F.min(expr).over(later).alias(name) for name, expr in marks.items()]
-    found = cut.other_rows.select(key, *keep, *minima).where(wanted)
-    found = found.select(
-        *keep, *[F.when(F.col(key).isNotNull(), F.col(n)).alias(n) for n in marks]
+    timed = rows.withColumn(MICROS, micros(F.col(ts)))
+    instants = timed.where(F.col(key).isNotNull()).groupBy(key, MICROS).agg(
+        *[F.min(expr).alias(name) for name, expr in marks.items()]
     )
-    if not cut.has_hot:
-        return found
-    asked = cut.hot_rows.where(wanted).select(key, MICROS, *keep)
-    answered = asked.join(_answers_per_instant(cut, marks), [key, MICROS], "left")
-    return found.unionByName(answered.select(*keep, *marks))
+    answers = later_minima_of(instants, key, MICROS, list(marks), (slices.fine, slices.coarse))
+    wanted = timed if only is None else timed.where(only)
+    return wanted.select(key, MICROS, *keep).join(answers, [key, MICROS], "left").select(*keep, *marks)
 
 
 def _event_rows(
@@ -132,33 +114,6 @@ def _marks(campaigns: Sequence[str]) -> dict[str, Column]:
     return marks
 
 
-def _answers_per_instant(cut: Sliced, marks: Mapping[str, Column]) -> DataFrame:
-    """Per (hot key, instant): each mark's minimum over the later instants of the key.
-
-    All rows of one instant share the answer, so they are combined before the shuffle and
-    a slice is no larger than its number of different instants.
-    """
-    instants = cut.hot_rows.groupBy(*cut.partition, MICROS).agg(
-        *[F.min(expr).alias(name) for name, expr in marks.items()]
-    )
-    later = next_strictly_later(MICROS, cut.partition)
-    in_slice = instants.select(
-        *cut.partition, MICROS, *[F.min(name).over(later).alias(name) for name in marks]
-    )
-    per_slice = instants.groupBy(*cut.partition).agg(*[F.min(n).alias(n) for n in marks])
-    after = (
-        Window.partitionBy(cut.key)
-        .orderBy(F.col(SLICE).desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    later_slices = per_slice.select(
-        *cut.partition, *[F.min(name).over(after).alias(f"{name}_later") for name in marks]
-    )
-    return in_slice.join(later_slices, cut.partition, "left").select(
-        cut.key, MICROS, *[F.coalesce(n, f"{n}_later").alias(n) for n in marks]
-    )
-
-
 def _first_rival(
     campaigns: Sequence[str], rivals: Mapping[str, Sequence[str]]
 ) -> Column:

@@ -1,93 +1,72 @@
-"""Ordered per-key work that survives a hot key.
-
-A window over ``partitionBy(key)`` puts all rows of one key into one task. When one
-phone number or agent owns a large share of the rows that task never ends, so the rows
-of hot keys are cut into time slices: the window runs per (key, slice), and what a
-slice needs to know about later slices is computed from one pre-aggregated row per
-slice. Results do not depend on which keys are treated as hot. Without a hot key there is
-one plain window.
+"""Ordered per-key work whose tasks stay small however the rows of a key lie in time.
+
+A window over ``partitionBy(key)`` puts all rows of one key into one task. Here time is cut
+into slices of a fixed width, for every key alike, and slices into groups of slices, so a
+window never holds more than a known number of different instants:
+
+- ``Slices.fine`` bits of microseconds make a slice (2^20 us, about a second),
+- ``Slices.coarse`` more bits make a group of slices (65,536 slices, about 19 hours),
+- a key has some 460 groups a year.
+
+What a slice needs to know about later ones comes from one pre-aggregated row per slice, and
+likewise for groups. There is one plan for all inputs: nothing is counted beforehand, no key is treated
+in a way of its own, and nothing is broadcast by force.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.functions.clock import micros
-from fieldbook.session import stored
-
 SLICE = "_slice"
 MICROS = "_us"
 
 
 @dataclass(frozen=True)
-class HotKeys:
-    """Keys with at least ``min_rows`` rows are cut into time slices.
-
-    - At most ``total_rows / min_rows`` keys can be hot, which bounds the broadcast table:
-      10^12 rows at the default give at most 200,000 keys of a few bytes each.
-    - Slices are meant to hold ``slice_rows`` rows, but are never wider than
-      ``widest_micros``; so a slice has at most that many different instants however bursty
-      the key is, and a key has at most ``rows / slice_rows + span / widest`` slices.
-    """
+class Slices:
+    """Widths of the slices, in bits. They change the size of the tasks, not the result."""
 
-    min_rows: int = 5_000_000
-    slice_rows: int = 100_000
-    widest_micros: int = 60_000_000
-
-    def find(self, df: DataFrame, key: str) -> DataFrame | None:
-        """(key, start and width of its slices) of the hot keys, stored; None without any.
-
-        Exact counts: partial sums per task, so a hot key shuffles one row per task.
-        """
-        width = F.expr(
-            f"least({self.widest_micros}, (_hi - _lo) div (_rows div {self.slice_rows} + 1) + 1)"
-        )
-        hot = (
-            df.where(F.col(key).isNotNull())
-            .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min(MICROS).alias("_lo"), F.max(MICROS).alias("_hi"))
-            .where(F.col("_rows") >= self.min_rows)
-            .select(key, "_lo", width.alias("_width"))
-        )
-        table = stored(hot, "hot-keys")
-        return None if table.isEmpty() else table
+    fine: int = 20
+    coarse: int = 16
 
+    def of(self, us: Column) -> Column:
+        return F.shiftright(us, self.fine)
 
-@dataclass(frozen=True)
-class Sliced:
-    """Rows with ``_us`` (microseconds) and ``_slice``; windows run per (key, slice)."""
-
-    rows: DataFrame
-    key: str
-    has_hot: bool
 
-    @property
-    def partition(self) -> list[str]:
-        return [self.key, SLICE]
+def next_strictly_later(order: str, partition: Sequence[str]) -> Window:
+    """Rows strictly later than the current one.
 
-    @property
-    def hot_rows(self) -> DataFrame:
-        return self.rows.where(F.col(self.key).isNotNull() & (F.col(SLICE) != 0))
-
-    @property
-    def other_rows(self) -> DataFrame:
-        return self.rows.where(F.col(self.key).isNull() | (F.col(SLICE) == 0))
+    Descending order with a running frame: the forward form of the same frame is
+    recomputed for every row, which is quadratic in the rows of a key.
+    """
+    return (
+        Window.partitionBy(*partition)
+        .orderBy(F.col(order).desc())
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
 
 
-def sliced(df: DataFrame, key: str, ts: Column, id: Column, policy: HotKeys) -> Sliced:
-    """Slice 0 holds all rows of a key that is not hot; hot keys start at slice 1.
+def later_minima_of(rows: DataFrame, key: str, at: str, marks: Sequence[str], bits: Sequence[int]) -> DataFrame:
+    """key, at and, per mark, its minimum over the larger ``at`` of the key.
 
-    Rows without a key match nothing. They are spread by ``id`` instead of meeting in one
-    task; whoever uses them must not look at their neighbours.
+    ``rows`` has each (key, at) once. The first of ``bits`` says how many neighbouring numbers
+    share a window; the next ones how many of those windows do; the last window is the key's.
     """
-    rows = df.withColumn(MICROS, micros(ts))
-    hot = policy.find(rows.select(key, MICROS), key)
-    number = F.lit(0).cast("long")
-    if hot is not None:
-        rows = rows.join(F.broadcast(hot), key, "left")
-        number = F.coalesce(F.expr(f"({MICROS} - _lo) div _width + 1"), number)
-    rows = rows.withColumn(SLICE, F.when(F.col(key).isNull(), F.xxhash64(id)).otherwise(number))
-    return Sliced(rows.drop("_lo", "_width"), key, hot is not None)
+    def later(partition: Sequence[str]) -> list[Column]:
+        window = next_strictly_later(at, partition)
+        return [F.min(m).over(window).alias(m) for m in marks]
+
+    if not bits:
+        return rows.select(key, at, *later([key]))
+    up = f"{at}_up"
+    cut = rows.withColumn(up, F.shiftright(at, bits[0]))
+    inside = cut.select(key, at, up, *later([key, up]))
+    groups = cut.groupBy(key, up).agg(*[F.min(m).alias(m) for m in marks])
+    above = later_minima_of(groups, key, up, marks, bits[1:])
+    above = above.select(key, up, *[F.col(m).alias(f"{m}_above") for m in marks])
+    return inside.join(above, [key, up], "left").select(
+        key, at, *[F.coalesce(m, f"{m}_above").alias(m) for m in marks]
+    )

@@ -17,7 +17,7 @@ from fieldbook.operators.ledger import (
 )
 from fieldbook.operators.lookup import left_lookup
 from fieldbook.operators.per_user import OVERALL, per_user, with_user_kind
-from fieldbook.operators.skew import HotKeys
+from fieldbook.operators.skew import Slices
 from fieldbook.session import stored
 
 NUDGE, PROMO_CREDIT, ONE_TIME = "nudge", "promo_credit", "one_time"
@@ -191,13 +191,13 @@ def spends(ledger: DataFrame) -> DataFrame:
 
 
 def attributed_messages(
-    messages: DataFrame, reply_feed: DataFrame, spend_feed: DataFrame, hot: HotKeys = HotKeys()
+    messages: DataFrame, reply_feed: DataFrame, spend_feed: DataFrame, slices: Slices = Slices()
 ) -> DataFrame:
     """Messages with their credit. The messages come out of several joins and are read twice
-    (to find hot numbers, then to attribute), so they are stored first."""
+    (for the events, then for the messages themselves), so they are stored first."""
     return attribute(
         stored(messages, "messages"), reply_feed, spend_feed, key="phone", ts="sent_on",
-        campaign="campaign", id="id", campaigns=CAMPAIGNS, hot=hot,
+        campaign="campaign", id="id", campaigns=CAMPAIGNS, slices=slices,
     )
 
 

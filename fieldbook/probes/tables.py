@@ -12,7 +12,7 @@ from fieldbook.operators import (
     attribution, documents, funnel, ledger, lookup, per_user, pricing, reporting,
 )
 from fieldbook.operators.activity import active_seconds, with_next_row
-from fieldbook.operators.skew import MICROS, HotKeys
+from fieldbook.operators.skew import MICROS, Slices
 from fieldbook.plans import cashback
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.probes.rows import AS_OF
@@ -336,7 +336,7 @@ def _(t: Tables):
 
 @probe("N18_attribution_hot_keys", ORDER_FEED + attribution_sql(ORDER_CAMPAIGNS))
 def _(t: Tables):
-    return attributed_orders(t, hot=HotKeys(min_rows=8, slice_rows=2, widest_micros=10**15)).select(*ATTRIBUTED)
+    return attributed_orders(t, slices=Slices(41, 4)).select(*ATTRIBUTED)
 
 
 @probe("N19_attribution_without_rivals", EVENT_FEED + attribution_sql(EVENT_CAMPAIGNS, "cast(null as bigint)"))
@@ -624,7 +624,7 @@ def _(t: Tables):
 def _(t: Tables):
     led = with_next_row(
         t.events, key="user_id", ts="ts", id="event_id", values=["ts", "event_type", "props"],
-        hot=HotKeys(min_rows=60, slice_rows=5),
+        slices=Slices(36, 3),
     )
     return led.select("event_id", "ts_lead", "event_type_lead", "props_lead")
 
@@ -665,8 +665,8 @@ def _(t: Tables):
 def _(t: Tables):
     spend = F.when(F.col("event_type") == "purchase", F.col(MICROS))
     return attribution.later_minima(
-        t.events, key="user_id", ts="ts", id="event_id", marks={"next_purchase": spend}, keep=["event_id"],
-        hot=HotKeys(min_rows=60, slice_rows=20, widest_micros=10**15),
+        t.events, key="user_id", ts="ts", marks={"next_purchase": spend}, keep=["event_id"],
+        slices=Slices(37, 3),
     )
 
 

@@ -5,8 +5,8 @@ import pytest
 from conftest import at, tuples
 from pyspark.sql import functions as F
 
-from fieldbook.operators.attribution import attribute
-from fieldbook.operators.skew import HotKeys
+from fieldbook.operators.attribution import attribute, later_minima
+from fieldbook.operators.skew import Slices
 
 MESSAGES = "k:s sent_on:t campaign:s id:l"
 RESPONSES = "k:s sent_on:t id:l channel:s"
@@ -51,10 +51,10 @@ def random_input(seed, size=260, keys=6, instants=25):
 
 
 POLICIES = {
-    "plain": HotKeys(),
-    "one hot key": HotKeys(min_rows=60, slice_rows=25, widest_micros=10**12),
-    "all hot": HotKeys(min_rows=1, slice_rows=10),
-    "fine slices": HotKeys(min_rows=1, widest_micros=1),
+    "default": Slices(),
+    "one slice": Slices(62, 1),
+    "one instant each": Slices(1, 1),
+    "some of each": Slices(27, 2),
 }
 
 
@@ -70,7 +70,7 @@ def test_against_nested_loops(table, policy, rivals):
     got = attribute(
         table(MESSAGES, messages), table(RESPONSES, responses), table(SPENDS, spends),
         key="k", ts="sent_on", campaign="campaign", id="id", campaigns=ABC,
-        rivals=None if rivals == "all" else chosen, hot=POLICIES[policy],
+        rivals=None if rivals == "all" else chosen, slices=POLICIES[policy],
     ).collect()
     found = {r.id: (r.responded, r.response_id, r.used, r.spend_id) for r in got}
     assert found == by_hand(messages, responses, spends, chosen)
@@ -121,9 +121,24 @@ def test_one_key_with_many_rows(spark):
     spends = rows.where("kind = 3").select("k", "sent_on", "id", F.lit("V").alias("used_on"), F.lit("").alias("creation_type"))
     got = attribute(
         messages.drop("kind"), responses.drop("kind"), spends, key="k", ts="sent_on",
-        campaign="campaign", id="id", campaigns=["a", "b"], hot=HotKeys(min_rows=1000, slice_rows=300),
+        campaign="campaign", id="id", campaigns=["a", "b"], slices=Slices(26, 3),
     )
     # Order of kinds is a, b, reply, spend: only b reaches its reply and spend.
     assert tuples(got.groupBy("campaign", "responded", "used").count()) == [
         ("a", False, False, 5000), ("b", True, True, 5000),
     ]
+
+
+def test_a_burst_and_a_pile_stay_in_small_slices(spark):
+    """200,000 rows of one key within 50 seconds, and 50,000 at one instant."""
+    burst = spark.range(200_000).select(F.lit("x").alias("k"), (F.col("id") * 250).alias("us"), "id")
+    pile = spark.range(50_000).select(F.lit("x").alias("k"), F.lit(60_000_000).cast("long").alias("us"), (F.col("id") + 200_000).alias("id"))
+    rows = burst.unionByName(pile).withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
+    slices = Slices()
+    instants = rows.select("k", "us").distinct().groupBy("k", slices.of(F.col("us"))).count()
+    assert instants.agg(F.max("count")).first()[0] <= 4200
+    found = later_minima(rows, key="k", ts="ts", marks={"next": F.col("_us")}, keep=["us", "id"])
+    assert found.count() == 250_000
+    wrong = F.col("next") != F.when(F.col("us") < 49_999_750, F.col("us") + 250).otherwise(60_000_000)
+    assert found.where("us < 60000000").where(wrong | F.col("next").isNull()).count() == 0
+    assert found.where("us = 60000000 and next is not null").count() == 0

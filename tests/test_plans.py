@@ -24,15 +24,18 @@ def exchanges(plan: str) -> int:
     return len(re.findall(r"\bExchange (?:hash|range|Single|RoundRobin)", plan))
 
 
-def test_attribution_needs_one_shuffle(spark):
+def test_attribution_windows_run_inside_slices(spark):
     plan = plan_of(attributed_orders(Tables(spark, FOLDER)))
-    assert exchanges(plan) == 1 and plan.count("Window [") == 1
+    windows = re.findall(r"Window \[.*\], \[([^]]*)\], \[[^]]* DESC", plan)
+    # By (key, group of instants), by (key, group of slices), and by key over one row per group of slices.
+    assert sorted(w.count(",") for w in windows) == [0, 1, 1]
 
 
-def test_three_leads_need_one_shuffle(spark):
+def test_lead_windows_run_inside_slices(spark):
     t = Tables(spark, FOLDER)
     plan = plan_of(with_next_row(t.events, key="user_id", ts="ts", id="event_id", values=["ts", "event_type", "props"]))
-    assert exchanges(plan) == 1 and plan.count("Window [") == 1
+    assert re.search(r"Window \[lead.*\[user_id#\d+L, _slice#\d+L\]", plan)
+    assert len(re.findall(r"Window \[", plan)) == 3
 
 
 def test_day_filters_and_columns_reach_the_scan(spark):

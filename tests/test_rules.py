@@ -11,7 +11,7 @@ from fieldbook import vocabulary as v
 from fieldbook.functions import clock, text
 from fieldbook.operators import funnel, ledger, lookup, per_user, pricing, reporting
 from fieldbook.operators.activity import active_seconds
-from fieldbook.operators.skew import HotKeys
+from fieldbook.operators.skew import Slices
 from fieldbook.plans import cashback, staff
 
 
@@ -138,8 +138,8 @@ def sessions(table, rows, **options):
     return {r.id: r.total_active_sec for r in out.collect()}
 
 
-@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(min_rows=2, slice_rows=1)])
-def test_availability_sessions(table, hot):
+@pytest.mark.parametrize("slices", [Slices(), Slices(1, 1), Slices(40, 3)])
+def test_availability_sessions(table, slices):
     found = sessions(table, [
         (1, "a", at("2024-01-02 10:00:00"), "true", None), (2, "a", at("2024-01-02 10:00:30.5"), "false", None),
         (3, "a", at("2024-01-02 11:00:00"), "false", v.MEETING_REASON),
@@ -147,7 +147,7 @@ def test_availability_sessions(table, hot):
         (5, "a", at("2024-01-02 23:00:00"), None, "x"),
         (6, "b", at("2024-01-01 23:59:50"), "true", None),
         (7, None, at("2024-01-02 23:59:00"), "true", None), (8, None, at("2024-01-02 23:59:30"), "true", None),
-    ], hot=hot)
+    ], slices=slices)
     assert found == {
         1: 30, 2: None, 3: 0,           # equal times: the id decides the order
         4: 46799,                       # next value missing: closes at 23:59:59
