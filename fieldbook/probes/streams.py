@@ -1,9 +1,10 @@
-"""Probes: the streaming feeds, drained once over the driver's tables."""
+"""Probes: the streaming feeds, drained over the driver's tables in unordered batches."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldbook import vocabulary as v
 from fieldbook.functions.clock import to_local
@@ -14,15 +15,20 @@ from fieldbook.session import work_folder
 from fieldbook.streaming import feeds
 
 
-def streamed(t: Tables, table: str) -> DataFrame:
-    schema = getattr(t, table).schema
-    return feeds.file_stream(t.spark, t.folder, schema, f"{table}.parquet")
+def inbox(t: Tables, table: str) -> tuple[str, StructType]:
+    """The table's rows in several files that are not in time order, as a feed may find them."""
+    folder, rows = work_folder(t.spark, "inbox"), getattr(t, table)
+    rows.repartition(4, F.xxhash64(*rows.columns)).write.parquet(folder)
+    return folder, rows.schema
 
 
-def drained(t: Tables, stream: DataFrame) -> DataFrame:
+def fed(t: Tables, table: str, feed: feeds.Feed, bind, files_per_batch: int = 1) -> DataFrame:
+    """What the feed publishes of a table, each file being a batch of its own."""
+    folder, schema = inbox(t, table)
+    stream = bind(feeds.file_stream(t.spark, folder, schema, "*.parquet", files_per_batch))
     out = work_folder(t.spark, "feed")
-    feeds.drain(stream, out, work_folder(t.spark, "feed-state"))
-    return t.spark.read.schema(stream.schema).parquet(out)
+    feeds.drain(stream, feed, out, work_folder(t.spark, "feed-state"))
+    return feeds.published(t.spark, feed, out, feeds.stored_schema(t.spark, feed, stream.schema))
 
 
 CALLS_SQL = """
@@ -44,31 +50,35 @@ def as_calls(events: DataFrame) -> DataFrame:
 @probe("T01_failed_call_counts", f"""
     select w as window_start, w + interval '10 minutes' as window_end, final_status, count(*) as calls
     from (select *, time_bucket(interval '10 minutes', call_created_on, timestamp '1970-01-01') as w from {CALLS_SQL})
-    where final_status <> 'CALL_COMPLETED'
-      and w + interval '10 minutes' <= (select max(call_created_on) from {CALLS_SQL} where final_status <> 'CALL_COMPLETED') - interval '10 minutes'
-    group by all""")
+    where final_status <> 'CALL_COMPLETED' group by all""")
 def _(t: Tables):
-    return drained(t, feeds.failed_call_counts(as_calls(streamed(t, "events"))))
+    return fed(t, "events", feeds.failed_call_counts(), as_calls)
 
 
 @probe("T01_failed_call_rows", f"""
     select sid, call_created_on, final_status from {CALLS_SQL} where final_status <> 'CALL_COMPLETED'""")
 def _(t: Tables):
-    return drained(t, feeds.failed_call_rows(as_calls(streamed(t, "events"))))
+    return fed(t, "events", feeds.failed_calls(), as_calls)
 
 
 @probe("T02_audit_rows", """
     select cast(event_id as varchar) as rev, user_id as customer_id, cast(1 as bigint) as rows from events""")
 def _(t: Tables):
-    events = streamed(t, "events").select(
-        F.col("event_id").cast("string").alias("rev"), F.col("user_id").alias("customer_id"),
-        F.col("ts").alias("created_on"),
-    )
-    # Each revision arrives twice.
-    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return drained(t, feeds.audit_rows(twice)).groupBy("rev", "customer_id").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    def twice(events: DataFrame) -> DataFrame:
+        """Each revision arrives twice in a batch; half of them once more in another."""
+        return events.select(
+            F.col("event_id").cast("string").alias("rev"), F.col("user_id").alias("customer_id"),
+            F.col("ts").alias("created_on"), F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
+        ).drop("copy")
+
+    feed = feeds.audit_rows()
+    folder, schema = inbox(t, "events")
+    t.events.where("event_id % 2 = 0").coalesce(1).write.mode("append").parquet(folder)
+    out = work_folder(t.spark, "feed")
+    stream = twice(feeds.file_stream(t.spark, folder, schema, "*.parquet", 1))
+    feeds.drain(stream, feed, out, work_folder(t.spark, "feed-state"))
+    found = feeds.published(t.spark, feed, out, feeds.stored_schema(t.spark, feed, stream.schema))
+    return found.groupBy("rev", "customer_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 LEDGER_SQL = f"""
@@ -80,11 +90,14 @@ LEDGER_SQL = f"""
 
 @probe("T03_ledger_days", f"""
     select cast(created_on as date) as day, transaction_type, bucket, cast(sum(amount) as double) as amount, count(*) as entries
-    from {LEDGER_SQL}
-    where cast(created_on as date) + interval '1 day' <= (select max(created_on) from {LEDGER_SQL}) - interval '1 day' group by 1, 2, 3""")
+    from {LEDGER_SQL} group by 1, 2, 3""")
 def _(t: Tables):
+    return fed(t, "orders", feeds.ledger_days(), as_ledger, files_per_batch=2)
+
+
+def as_ledger(orders: DataFrame) -> DataFrame:
     debit = F.col("o_orderstatus") == "P"
-    ledger = streamed(t, "orders").select(
+    return orders.select(
         to_local(F.col("o_orderdate")).alias("created_on"),
         F.when(debit, v.DEBITED).otherwise(v.CREDITED).alias("transaction_type"),
         F.lit("PROMO").alias("issued_entity_type"),
@@ -92,4 +105,3 @@ def _(t: Tables):
         F.when(F.col("o_orderpriority") == "5-LOW", v.PARTIAL_PAYMENT).otherwise(v.FULL_PAYMENT).alias("payment_tag"),
         major_units(F.round(F.col("o_totalprice") * 100)).cast(MONEY).alias("amount"),
     )
-    return drained(t, feeds.ledger_days(ledger))

@@ -1,29 +1,38 @@
 """Feeds that would otherwise be polled.
 
-Each function turns a streaming (or batch) DataFrame into another; state is limited to the
-windows or keys that the watermark still keeps open. ``drain`` runs one of them over what
-has arrived so far and remembers its position in the checkpoint.
+A feed turns each batch of arriving rows into rows that can be put together later in any order:
+counts and sums of the batch, or its different rows. They are stored per batch, and
+``published`` puts the stored batches together. So the answer depends only on which rows have
+arrived, not on how files were cut into batches or in which order they came: there is no watermark, no row
+is ever too late, and no state grows in memory. Every window is published, also those that still fill;
+``closed`` tells them apart by the reader's clock.
+
+A batch that is tried again replaces what it stored before, so each row counts once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook import vocabulary as v
-from fieldbook.functions.clock import UTC_OFFSET, clock_time, event_time, to_local
+from fieldbook.functions.clock import UTC_OFFSET, clock_time, instant, micros, to_local
 from fieldbook.functions.text import MONEY
 from fieldbook.operators.ledger import bucket, counted
 
-DELAY = "10 minutes"
+BATCH = "batch"
+CALLS_WIDTH = dt.timedelta(minutes=10)
 
 
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*", files_per_batch: int = 1000
 ) -> DataFrame:
+    """``files_per_batch`` bounds the work of a batch, not the answer."""
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
@@ -32,58 +41,127 @@ def file_stream(
     )
 
 
-def failed_call_rows(calls: DataFrame) -> DataFrame:
-    """Each dropped call as it arrives."""
-    return calls.where(F.col("final_status").isin(*v.FAILED_STATUSES))
+@dataclass(frozen=True)
+class Feed:
+    """``partial`` makes a batch's rows, ``combine`` puts the rows of all batches together.
 
+    Where ``days`` names a column, stored rows are laid out by it, a batch's rows are compared
+    with what is stored for the same days and only new ones are kept; ``keys`` tell rows apart.
+    """
 
-def failed_call_counts(calls: DataFrame, width: str = "10 minutes", delay: str = DELAY) -> DataFrame:
-    """Dropped calls per tumbling window and status; a closed window drops late rows."""
-    return (
-        failed_call_rows(calls)
-        .withColumn("at", event_time(F.col("call_created_on")))
-        .withWatermark("at", delay)
-        .groupBy(F.window("at", width).alias("w"), "final_status")
-        .agg(F.count(F.lit(1)).alias("calls"))
-        .select(
-            clock_time(F.col("w.start")).alias("window_start"),
-            clock_time(F.col("w.end")).alias("window_end"),
-            "final_status", "calls",
-        )
-    )
+    partial: Callable[[DataFrame], DataFrame]
+    combine: Callable[[DataFrame], DataFrame]
+    days: str | None = None
+    keys: tuple[str, ...] = ()
 
+    def batch_twin(self, rows: DataFrame) -> DataFrame:
+        """The answer for rows that are all there already."""
+        return self.combine(self.partial(rows))
 
-def audit_rows(audit: DataFrame, delay: str = "1 day", offset: dt.timedelta = UTC_OFFSET) -> DataFrame:
-    """Every audit revision once, with the local day it belongs to."""
-    return (
-        audit.withColumn("at", event_time(F.col("created_on")))
-        .withWatermark("at", delay)
-        .dropDuplicatesWithinWatermark(["customer_id", "rev"])
-        .drop("at")
-        .withColumn("local_day", to_local(F.col("created_on"), offset).cast("date"))
-    )
+    def save(self, rows: DataFrame, out: str, batch: int) -> None:
+        made = self.partial(rows)
+        if self.days is None:
+            made.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch}")
+            return
+        spark, stored = rows.sparkSession, None
+        made = made.withColumn(BATCH, F.lit(batch).cast("long"))
+        writer_options = {"partitionOverwriteMode": "dynamic"}
+        if _exists(spark, out):
+            # Only the days of this batch are read, and of them only the keys.
+            before = spark.read.schema(made.schema).parquet(out).where(F.col(BATCH) != batch)
+            stored = before.join(made.select(self.days).distinct(), self.days, "left_semi").select(self.days, *self.keys)
+            made = made.join(stored, [self.days, *self.keys], "left_anti")
+        made.write.mode("overwrite").options(**writer_options).partitionBy(self.days, BATCH).parquet(out)
 
 
-def ledger_days(ledger: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Given / used totals per closed local day and bucket; ``created_on`` is local time."""
-    return (
-        counted(ledger)
-        .withColumn("at", event_time(F.col("created_on")))
-        .withWatermark("at", delay)
-        .groupBy(F.window("at", "1 day").alias("w"), "transaction_type", bucket().alias("bucket"))
-        .agg(F.sum(F.col("amount").cast(MONEY)).alias("amount"), F.count(F.lit(1)).alias("entries"))
-        .select(clock_time(F.col("w.start")).cast("date").alias("day"), "transaction_type", "bucket", "amount", "entries")
-    )
+def published(spark: SparkSession, feed: Feed, out: str, schema: T.StructType) -> DataFrame:
+    """The answer so far. ``schema`` is that of the feed's stored rows, as ``stored_schema`` gives it."""
+    rows = spark.read.schema(schema).parquet(out) if _exists(spark, out) else spark.createDataFrame([], schema)
+    return feed.combine(rows)
+
 
+def stored_schema(spark: SparkSession, feed: Feed, schema: T.StructType) -> T.StructType:
+    """Of the rows a feed stores for input of this schema."""
+    return feed.partial(spark.createDataFrame([], schema)).schema
 
-def drain(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Process everything available, then stop. A restart goes on where this run ended."""
+
+def drain(stream: DataFrame, feed: Feed, out: str, checkpoint: str) -> None:
+    """Process everything that has arrived, then stop. A restart goes on where this run ended.
+
+    ``checkpoint`` and ``out`` belong together: batches are numbered by the checkpoint.
+    """
     query = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
+        stream.writeStream.foreachBatch(lambda rows, batch: feed.save(rows, out, batch))
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _window(ts: str, width: dt.timedelta) -> tuple[Column, Column]:
+    size = int(width.total_seconds() * 1_000_000)
+    us = micros(F.col(ts))
+    start = us - F.pmod(us, F.lit(size))
+    return clock_time(F.timestamp_micros(start)), clock_time(F.timestamp_micros(start + size))
+
+
+def failed_call_rows(calls: DataFrame) -> DataFrame:
+    """Each dropped call as it arrives."""
+    return calls.where(F.col("final_status").isin(*v.FAILED_STATUSES))
+
+
+def failed_calls() -> Feed:
+    """Dropped calls, each as often as it arrived."""
+    return Feed(failed_call_rows, lambda rows: rows.drop(BATCH))
+
+
+def failed_call_counts(width: dt.timedelta = CALLS_WIDTH) -> Feed:
+    """Dropped calls per tumbling window and status."""
+    def partial(calls: DataFrame) -> DataFrame:
+        start, end = _window("call_created_on", width)
+        windows = failed_call_rows(calls).select(start.alias("window_start"), end.alias("window_end"), "final_status")
+        return windows.groupBy(*windows.columns).agg(F.count(F.lit(1)).alias("calls"))
+
+    def combine(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window_start", "window_end", "final_status").agg(F.sum("calls").alias("calls"))
+
+    return Feed(partial, combine)
+
+
+def audit_rows(offset: dt.timedelta = UTC_OFFSET) -> Feed:
+    """Every audit revision once, with the local day it belongs to.
+
+    A repeated delivery carries the same ``created_on`` and so falls on the same day.
+    """
+    keys = ("customer_id", "rev")
+
+    def partial(audit: DataFrame) -> DataFrame:
+        day = to_local(F.col("created_on"), offset).cast("date")
+        return audit.withColumn("local_day", day).dropDuplicates(["local_day", *keys])
+
+    return Feed(partial, lambda rows: rows.drop(BATCH).dropDuplicates(["local_day", *keys]), "local_day", keys)
+
+
+def ledger_days() -> Feed:
+    """Given / used totals per local day and bucket; ``created_on`` is local time."""
+    groups = ("day", "transaction_type", "bucket")
+
+    def partial(ledger: DataFrame) -> DataFrame:
+        rows = counted(ledger).select(F.col("created_on").cast("date").alias("day"), "transaction_type", bucket().alias("bucket"), "amount")
+        return rows.groupBy(*groups).agg(F.sum(F.col("amount").cast(MONEY)).alias("amount"), F.count(F.lit(1)).alias("entries"))
+
+    def combine(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*groups).agg(F.sum("amount").alias("amount"), F.sum("entries").alias("entries"))
+
+    return Feed(partial, combine)
+
+
+def closed(rows: DataFrame, end: Column, clock: dt.datetime) -> DataFrame:
+    """With ``closed``: whether the window that ends at ``end`` is over by the reader's clock."""
+    return rows.withColumn("closed", end <= instant(clock))

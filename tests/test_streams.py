@@ -1,64 +1,103 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
 from conftest import at, tuples
+from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
+from fieldbook.operators.ledger import running_totals
 from fieldbook.session import work_folder
 from fieldbook.sources.schemas import struct
 from fieldbook.streaming import feeds
 
 CALLS = "sid:s call_created_on:t final_status:s"
-BAD = v.FAILED_STATUSES[0]
-
-
-def arrive(table, folder, spec, rows):
-    table(spec, rows).coalesce(1).write.mode("append").parquet(folder)
-
-
-def run(spark, build, folder, spec, out, state):
-    feeds.drain(build(feeds.file_stream(spark, folder, struct(spec), "*.parquet")), out, state)
-
-
-def test_failed_calls_close_windows_drop_late_rows_and_survive_restart(spark, table):
-    inbox, out, state = (work_folder(spark, n) for n in ("in", "out", "state"))
-    arrive(table, inbox, CALLS, [("a", at("2024-01-01 10:01:00"), BAD), ("b", at("2024-01-01 10:02:00"), BAD),
-                                 ("c", at("2024-01-01 10:03:00"), "CALL_COMPLETED"), ("d", at("2024-01-01 10:31:00"), BAD)])
-    run(spark, feeds.failed_call_counts, inbox, CALLS, out, state)
-    first = tuples(spark.read.parquet(out), "window_start", "calls")
-    assert first == [(at("2024-01-01 10:00:00"), 2)]
-    # After a restart: one row too late for its closed window, and one that closes the next.
-    arrive(table, inbox, CALLS, [("late", at("2024-01-01 10:04:00"), BAD), ("e", at("2024-01-01 11:00:00"), BAD)])
-    run(spark, feeds.failed_call_counts, inbox, CALLS, out, state)
-    assert tuples(spark.read.parquet(out), "window_start", "calls") == [
-        (at("2024-01-01 10:00:00"), 2), (at("2024-01-01 10:30:00"), 1)]
-
-
 AUDIT = "customer_id:l rev:s created_on:t"
+LEDGER = "transaction_type:s issued_entity_type:s cashback_type:l amount:m created_on:t payment_tag:s"
+BAD = v.FAILED_STATUSES[0]
 
-
-def test_audit_revisions_arrive_once(spark, table):
-    inbox, out, state = (work_folder(spark, n) for n in ("in", "out", "state"))
-    arrive(table, inbox, AUDIT, [(1, "1", at("2024-01-01 18:30:00")), (1, "1", at("2024-01-01 18:30:00")), (2, "1", at("2024-01-01 18:29:59"))])
-    run(spark, feeds.audit_rows, inbox, AUDIT, out, state)
-    arrive(table, inbox, AUDIT, [(1, "1", at("2024-01-01 18:30:00")), (1, "2", at("2024-01-01 19:00:00"))])
-    run(spark, feeds.audit_rows, inbox, AUDIT, out, state)
-    run(spark, feeds.audit_rows, inbox, AUDIT, out, state)
-    got = [(r.customer_id, r.rev, str(r.local_day)) for r in spark.read.parquet(out).collect()]
-    assert sorted(got) == [(1, "1", "2024-01-02"), (1, "2", "2024-01-02"), (2, "1", "2024-01-01")]
+CALL_ROWS = [
+    ("a", at("2024-01-01 18:01:00"), BAD), ("b", at("2024-01-01 10:02:00"), BAD), ("c", at("2024-01-01 10:03:00"), "CALL_COMPLETED"),
+    ("d", at("2024-01-01 10:31:00"), BAD), ("e", at("2024-01-01 10:09:59"), BAD), ("f", at("2024-01-01 18:00:00"), BAD),
+]
+AUDIT_ROWS = [
+    (1, "1", at("2024-01-05 18:30:00")), (1, "1", at("2024-01-05 18:30:00")), (2, "1", at("2024-01-01 18:29:59")),
+    (1, "2", at("2024-01-01 19:00:00")), (2, "1", at("2024-01-01 18:29:59")), (1, "1", at("2024-01-05 18:30:00")),
+]
+LEDGER_ROWS = [
+    (t, v.LOYALTY, 1, Decimal(a), at(f"2024-01-0{d} 1{d}:00:00"), p) for d, t, a, p in (
+        (5, "CREDITED", 2, "NA"), (1, "CREDITED", 5, "NA"), (1, "DEBITED", 7, v.PARTIAL_PAYMENT), (2, "CREDITED", 1, "NA"),
+        (1, "DEBITED", 9, v.FULL_PAYMENT), (5, "DEBITED", 1, v.FULL_PAYMENT))
+]
+FEEDS = {
+    "counts": (feeds.failed_call_counts(), CALLS, CALL_ROWS), "calls": (feeds.failed_calls(), CALLS, CALL_ROWS),
+    "audit": (feeds.audit_rows(), AUDIT, AUDIT_ROWS), "ledger": (feeds.ledger_days(), LEDGER, LEDGER_ROWS),
+}
+
+
+class Run:
+    def __init__(self, spark, table, feed, spec, cap):
+        self.spark, self.table, self.feed, self.spec, self.cap = spark, table, feed, spec, cap
+        self.inbox, self.out, self.state = (work_folder(spark, n) for n in ("in", "out", "state"))
+
+    def arrive(self, rows):
+        self.table(self.spec, rows).coalesce(1).write.mode("append").parquet(self.inbox)
+
+    def drain(self):
+        feeds.drain(feeds.file_stream(self.spark, self.inbox, struct(self.spec), "*.parquet", self.cap), self.feed, self.out, self.state)
+        return self
+
+    def published(self):
+        schema = feeds.stored_schema(self.spark, self.feed, struct(self.spec))
+        return tuples(feeds.published(self.spark, self.feed, self.out, schema))
+
+
+@pytest.mark.parametrize("name", FEEDS)
+@pytest.mark.parametrize("cap", [1, 1000])
+def test_same_answer_however_files_are_batched(spark, table, name, cap):
+    feed, spec, rows = FEEDS[name]
+    run = Run(spark, table, feed, spec, cap)
+    for row in rows:  # unordered in time, a file each
+        run.arrive([row])
+    assert run.drain().published() == tuples(feed.batch_twin(table(spec, rows)))
+
+
+@pytest.mark.parametrize("name", FEEDS)
+def test_late_rows_and_restarts_count(spark, table, name):
+    feed, spec, rows = FEEDS[name]
+    run = Run(spark, table, feed, spec, 1000)
+    run.arrive(rows[:2])
+    run.drain().drain()
+    run.arrive(rows[2:])
+    assert run.drain().published() == tuples(feed.batch_twin(table(spec, rows)))
+
+
+@pytest.mark.parametrize("name", FEEDS)
+def test_a_batch_tried_again_counts_once(spark, table, name):
+    feed, spec, rows = FEEDS[name]
+    run = Run(spark, table, feed, spec, 1000)
+    for _ in range(2):
+        feed.save(table(spec, rows[:3]), run.out, 0)
+    feed.save(table(spec, rows[3:]), run.out, 1)
+    assert run.published() == tuples(feed.batch_twin(table(spec, rows)))
+
+
+def test_counts_by_hand_and_closed_windows(spark, table):
+    rows = feeds.failed_call_counts().batch_twin(table(CALLS, CALL_ROWS))
+    told = tuples(feeds.closed(rows, F.col("window_end"), dt.datetime(2024, 1, 1, 12)), "window_start", "calls", "closed")
+    assert told == [(at("2024-01-01 10:00:00"), 2, True), (at("2024-01-01 10:30:00"), 1, True), (at("2024-01-01 18:00:00"), 2, False)]
+
+
+def test_audit_by_hand(spark, table):
+    got = tuples(feeds.audit_rows().batch_twin(table(AUDIT, AUDIT_ROWS)).selectExpr("customer_id", "rev", "string(local_day)"))
+    assert got == [(1, "1", "2024-01-06"), (1, "2", "2024-01-02"), (2, "1", "2024-01-01")]
 
 
-LEDGER = "transaction_type:s issued_entity_type:s cashback_type:l amount:m created_on:t payment_tag:s"
+def test_ledger_days_equal_the_batch_totals(spark, table):
+    ledger = table(LEDGER, LEDGER_ROWS)
+    assert tuples(feeds.ledger_days().batch_twin(ledger)) == tuples(running_totals(ledger))
 
 
-def test_ledger_days_equal_the_batch_totals(spark, table):
-    from fieldbook.operators.ledger import running_totals
-
-    inbox, out, state = (work_folder(spark, n) for n in ("in", "out", "state"))
-    rows = [(t, v.LOYALTY, 1, a, at(f"2024-01-0{d} 1{d}:00:00"), p) for d, t, a, p in (
-        (1, "CREDITED", 5, "NA"), (1, "DEBITED", 7, v.PARTIAL_PAYMENT), (1, "DEBITED", 9, v.FULL_PAYMENT),
-        (2, "CREDITED", 1, "NA"), (5, "CREDITED", 2, "NA"))]
-    from decimal import Decimal
-
-    rows = [(a, b, c, Decimal(d), e, f) for a, b, c, d, e, f in rows]
-    arrive(table, inbox, LEDGER, rows)
-    run(spark, feeds.ledger_days, inbox, LEDGER, out, state)
-    closed = running_totals(table(LEDGER, rows)).where("day < '2024-01-04'")
-    assert tuples(spark.read.parquet(out)) == tuples(closed)
+def test_nothing_arrived(spark, table):
+    feed, spec, _ = FEEDS["counts"]
+    assert Run(spark, table, feed, spec, 1).published() == []
