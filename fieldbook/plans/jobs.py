@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from fieldbook import vocabulary as v
 from fieldbook.functions.clock import in_local_days
 from fieldbook.plans import calls, cashback, commission, records, staff
-from fieldbook.session import split_skewed_joins, stored
+from fieldbook.session import intermediates, split_skewed_joins, stored
 from fieldbook.sources import readers, schemas, writers
 
 RATE_COLUMNS = ("key", "share_pct", "net_share_pct", "remarks", "start_date", "end_date")
@@ -231,14 +231,15 @@ def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:
     ``as_of`` is the report date (for the failed-call feed: the date and time).
     """
     split_skewed_joins(inputs.spark)
-    result = JOBS[name](inputs, as_of)
     written = []
-    for table, (df, schema) in result.tables.items():
-        path = f"{out}/{table}"
-        writers.publish(df, path, schema, run_date=as_of if result.by_run_date else None)
-        written.append(path)
-    for extract, df in result.extracts.items():
-        path = f"{out}/{extract}"
-        writers.write_csv(df, path)
-        written.append(path)
+    with intermediates(inputs.spark):
+        result = JOBS[name](inputs, as_of)
+        for table, (df, schema) in result.tables.items():
+            path = f"{out}/{table}"
+            writers.publish(df, path, schema, run_date=as_of if result.by_run_date else None)
+            written.append(path)
+        for extract, df in result.extracts.items():
+            path = f"{out}/{extract}"
+            writers.write_csv(df, path)
+            written.append(path)
     return written

@@ -11,10 +11,10 @@ from fieldbook.sources.schemas import struct  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
-        "spark.log.level": "ERROR", "spark.ui.showConsoleProgress": "false",
+        "spark.log.level": "ERROR", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.ui.showConsoleProgress": "false",
     })
     yield session
     session.stop()
