@@ -28,26 +28,21 @@ def visit_facts(
     (entity_id, entity_type, status, amount), app_cases (case_id), field_staff (email).
     Both large tables are cut down to the ledger's own appointments before any grouping.
     """
-    needed = ledger.where(F.col("issued_entity_type").isin(v.APPOINTMENT, v.DIAGNOSTICS))
-    visits = restrict_to(
-        appointments.withColumn("issued_entity_id", F.col("id").cast("string")), needed,
-        "issued_entity_id",
-    )
+    needed = entity_ids(ledger.where(F.col("issued_entity_type").isin(v.APPOINTMENT, v.DIAGNOSTICS)))
+    visits = restrict_to(appointments, needed, "id").withColumn("issued_entity_id", F.col("id").cast("string"))
     fields = ["lead_id", "user", "creation_type", "consultation_fee"]
     visits = first_per_key(visits, "issued_entity_id", fields, fields)
-    visits = flag_present(
-        visits.withColumn("case_id", F.col("lead_id").cast("string")),
-        app_cases.select(F.col("case_id").cast("string")), "case_id", "_from_app",
-    )
+    visits = visits.withColumn("case_id", F.col("lead_id").cast("string"))
+    from_app = restrict_to(app_cases, visits.select(F.col("lead_id").alias("case_id")), "case_id")
+    visits = flag_present(visits, from_app.select(F.col("case_id").cast("string")), "case_id", "_from_app")
     visits = flag_present(
         visits.withColumnRenamed("user", "email"), field_staff, "email", "_field_user"
     )
-    links = payment_links.where(
-        (F.col("entity_type") == v.APPOINTMENT) & (F.col("status") == v.PAID)
-    ).withColumn("issued_entity_id", F.col("entity_id").cast("string"))
-    paid = restrict_to(links, needed, "issued_entity_id").groupBy("issued_entity_id").agg(
-        F.sum(F.round(F.col("amount") / F.lit(100), 2).cast(MONEY)).alias("_paid")
-    )
+    links = payment_links.where((F.col("entity_type") == v.APPOINTMENT) & (F.col("status") == v.PAID))
+    needed = needed.withColumnRenamed("id", "entity_id")
+    paid = restrict_to(links, needed, "entity_id").groupBy(
+        F.col("entity_id").cast("string").alias("issued_entity_id")
+    ).agg(F.sum(F.round(F.col("amount") / F.lit(100), 2).cast(MONEY)).alias("_paid"))
     fee_met = F.col("consultation_fee").cast(MONEY) == F.coalesce("_paid", F.lit(0).cast(MONEY))
     return visits.join(paid, "issued_entity_id", "left").select(
         "issued_entity_id", F.lit(True).alias("_visit"), "_from_app", "_field_user",
@@ -55,16 +50,32 @@ def visit_facts(
     )
 
 
-def card_facts(card_payments: DataFrame, active_cards: DataFrame, field_staff: DataFrame) -> DataFrame:
-    """One row per paid card: who collected the payment, and is the card active?
+def entity_ids(ledger: DataFrame) -> DataFrame:
+    """(id) of the things that these ledger rows name, as numbers.
+
+    The ledger holds ids as text. Turned into numbers here, they meet the id columns of the large
+    tables as they are stored, so those can be pruned; text that isn't a number's plain form meets none.
+    """
+    text = F.col("issued_entity_id")
+    number = text.try_cast("bigint")
+    return ledger.where(number.cast("string") == text).select(number.alias("id"))
+
+
+def card_facts(
+    ledger: DataFrame, card_payments: DataFrame, active_cards: DataFrame, field_staff: DataFrame
+) -> DataFrame:
+    """One row per paid card of the ledger: who collected the payment, and is the card active?
 
-    card_payments (card_id, collected_by), active_cards (card_id).
+    card_payments (card_id, collected_by), active_cards (card_id). Both are cut down to the
+    ledger's own cards before any grouping.
     """
-    cards = first_per_key(card_payments, "card_id", "collected_by", ["collected_by"])
+    not_a_card = F.col("issued_entity_type").isin(v.APPOINTMENT, v.DIAGNOSTICS, v.SURGERY)
+    needed = entity_ids(ledger.where(~F.coalesce(not_a_card, F.lit(False)))).withColumnRenamed("id", "card_id")
+    cards = first_per_key(restrict_to(card_payments, needed, "card_id"), "card_id", "collected_by", ["collected_by"])
     cards = flag_present(
         cards.withColumnRenamed("collected_by", "email"), field_staff, "email", "_field_card"
     )
-    cards = flag_present(cards, active_cards, "card_id", "_card_active")
+    cards = flag_present(cards, restrict_to(active_cards, needed, "card_id"), "card_id", "_card_active")
     return cards.select(
         F.col("card_id").cast("string").alias("issued_entity_id"), F.lit(True).alias("_card"),
         "_field_card", "_card_active",

@@ -26,21 +26,31 @@ def coverage_gaps(rows: DataFrame, *, entity: str, order: list[str], group: str,
     return judged.groupBy(group).agg(F.count_if("_gap").alias("uncovered"))
 
 
-def joined_names(df: DataFrame, key: str, name: str, alias: str, separator: str = ",") -> DataFrame:
-    """All names of a key joined in ascending order, repeats kept, NULLs skipped.
+def name_counts(df: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name, n): how often each name occurs per key, NULL names skipped.
+
+    One row per different name, however many a key has; combined on the map side.
+    """
+    return df.where(F.col(name).isNotNull()).groupBy(key, name).agg(F.count(F.lit(1)).alias("n"))
+
 
-    Names are counted per (key, name) first, so what is gathered per key is bounded by the
-    number of different names, not by the rows of the key.
+def names_text(counts: DataFrame, key: str, name: str, alias: str, separator: str = ",") -> DataFrame:
+    """Rows of ``name_counts`` as one text per key: names ascending, each as often as it occurs.
+
+    For publishing only: a text has to fit into one row, which ``name_counts`` need not.
     """
-    counted = (
-        df.where(F.col(name).isNotNull())
-        .groupBy(key, name)
-        .agg(F.count(F.lit(1)).cast("int").alias("_n"))
+    entry = F.struct(
+        F.col(name).alias("v"), F.expr(f"repeat(concat(`{name}`, '{separator}'), n)").alias("t")
     )
-    entries = F.sort_array(F.collect_list(F.struct(F.col(name).alias("v"), F.col("_n").alias("n"))))
-    expanded = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["v"], e["n"])))
-    named = counted.groupBy(key).agg(F.array_join(expanded, separator).alias(alias))
-    return named
+    entries = F.sort_array(F.collect_list(entry))
+    text = F.array_join(F.transform(entries, lambda e: e["t"]), "")
+    texts = counts.groupBy(key).agg(text.alias("_text"))
+    return texts.select(key, F.expr(f"left(_text, length(_text) - {len(separator)})").alias(alias))
+
+
+def joined_names(df: DataFrame, key: str, name: str, alias: str, separator: str = ",") -> DataFrame:
+    """All names of a key joined in ascending order, repeats kept, NULLs skipped."""
+    return names_text(name_counts(df, key, name), key, name, alias, separator)
 
 
 def apply_codes(df: DataFrame, code: Column, mapping: Mapping[str, str], label: str) -> tuple[DataFrame, DataFrame]:

@@ -41,15 +41,19 @@ def caller_cities(
     def named(alias: str) -> DataFrame:
         return city.select(F.col("id").alias(f"_{alias}"), F.col("city_name").alias(alias))
 
+    # From the callers' customers to their patients to those patients' cases.
     rows = (
-        patient_cases.select("case_id", "patient_id", F.col("city_id").alias("_case_city"))
+        known.where(F.col("customer_no").isNotNull())
         .join(
             patients.select(
                 F.col("id").alias("patient_id"), "customer_id", F.col("city_id").alias("_home_city")
             ),
+            "customer_id",
+        )
+        .join(
+            patient_cases.select("case_id", "patient_id", F.col("city_id").alias("_case_city")),
             "patient_id",
         )
-        .join(known.where(F.col("customer_no").isNotNull()), "customer_id")
         .join(named("case_city"), "_case_city", "left")
         .join(named("home_city"), "_home_city", "left")
         .select(
@@ -87,7 +91,7 @@ def call_detail(
     route: Column | None = None,
     roles: v.Roles = v.ROLES,
 ) -> DataFrame:
-    """One wide row per inbound call.
+    """One wide row per inbound call; ``sid`` is unique.
 
     ``agents`` has (agent_no, email, city) and, with ``route``, ``staff_group``: the
     document's staff group then decides which list a leg's number is looked up in.
@@ -115,7 +119,7 @@ def call_detail(
     rows = multi_slot_lookup(
         rows, agents, slots={f"{leg}_agent": f"{leg}_agent_number" for leg in LEGS},
         dim_key="agent_no", values=["email", "city"], route=route,
-        dim_route=None if route is None else "staff_group",
+        dim_route=None if route is None else "staff_group", row_id="sid",
     )
     ts = F.col("call_created_on")
     return rows.select(

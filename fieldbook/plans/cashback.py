@@ -15,7 +15,7 @@ from fieldbook.operators.funnel import flow_channel, funnel, use_breakdown
 from fieldbook.operators.ledger import (
     card_facts, counted, ledger_matrix, tag_ledger, visit_facts,
 )
-from fieldbook.operators.lookup import left_lookup
+from fieldbook.operators.lookup import left_lookup, restrict_to
 from fieldbook.operators.per_user import OVERALL, per_user, with_user_kind
 from fieldbook.operators.skew import Slices
 from fieldbook.session import stored
@@ -52,7 +52,7 @@ def tagged_ledger(
     )
     visits = visit_facts(in_range, appointments, payment_links, app_cases, field_staff)
     active = cards.where(F.col("status") == v.ACTIVE)
-    rows = tag_ledger(rows, visits, card_facts(card_payments, active, field_staff), roles)
+    rows = tag_ledger(rows, visits, card_facts(in_range, card_payments, active, field_staff), roles)
     labels = cashback_types.where(F.col("is_active") == 1).select(
         F.col("cashback_id").alias("cashback_type"),
         F.col("cashback_type").alias("cashback_label"),
@@ -105,7 +105,9 @@ def campaign_messages(
             "additional_details",
         ), "entity_tag_map_id")
     )
-    person = patients.join(
+    # Only the patients that some message of the range is about.
+    about = sms.where(F.col("entity_type") == v.PATIENT_ENTITY).select(F.col("entity_id").alias("id"))
+    person = restrict_to(patients, about, "id").join(
         customers.select("customer_id", "customer_number"), "customer_id", "left"
     ).select(
         F.col("id").alias("entity_id"), F.lit(v.PATIENT_ENTITY).alias("entity_type"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,11 @@ from fieldbook import vocabulary as v
 from fieldbook.functions.clock import (
     UTC_OFFSET, parse_time, since_local, to_local, year_month_label,
 )
-from fieldbook.functions.text import money
-from fieldbook.operators.lookup import latest_per_key
+from fieldbook.functions.text import money, percent, unreadable
+from fieldbook.operators.lookup import latest_per_key, restrict_to
 from fieldbook.operators.pricing import DEFAULT_TAX, price_cases, price_sheet
 from fieldbook.sources.readers import stack
+from fieldbook.sources.schemas import SchemaMismatch
 
 HISTORY_START = dt.datetime(2022, 10, 12)
 
@@ -77,7 +79,7 @@ def lender_per_phase(sub_phases: DataFrame, lenders: DataFrame) -> DataFrame:
     )
 
 
-def open_cases(
+def case_texts(
     cases: DataFrame,
     vendors: DataFrame,
     facility: DataFrame,
@@ -92,7 +94,7 @@ def open_cases(
     roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
 ) -> DataFrame:
-    """Cases since ``start`` with their dimensions and newest phases, typed for pricing."""
+    """Cases since ``start`` with their dimensions and newest phases, amounts and dates as stored."""
     created = to_local(F.col("created_on"), offset)
     base = cases.where(since_local(F.col("created_on"), start, offset)).select(
         created.alias("case_created_on"),
@@ -104,6 +106,11 @@ def open_cases(
         F.get_json_object("additional_details", "$.tpaName").alias("tpa_name"),
         "treatment_type", "surgery_name", "speciality_name",
     )
+    # Both histories are cut to the cases asked for before their JSON is parsed and grouped.
+    own = base.select(F.col("case_id").alias("insurance_case_id"))
+    newest = newest_phases(restrict_to(phases, own, "insurance_case_id"))
+    docs = newest.select(F.col("docs_phase_id").alias("phase_id"))
+    finance = restrict_to(sub_phases, docs, "phase_id")
     return (
         base.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left")
         .join(
@@ -119,36 +126,80 @@ def open_cases(
             ),
             "customer_id", "left",
         )
-        .join(newest_phases(phases), "case_id", "left")
-        .join(lender_per_phase(sub_phases, lenders), "docs_phase_id", "left")
-        .withColumn("total_bill", money(F.col("total_bill_text")))
-        .withColumn("approved", money(F.col("approved_text")))
-        .withColumn("admission_date", parse_time(F.col("admission_text")))
-        .drop(
-            "total_bill_text", "approved_text", "admission_text", "docs_phase_id", "vendor_id",
-            "facility_id", "city_id", "patient_id", "customer_id",
-        )
+        .join(newest, "case_id", "left")
+        .join(lender_per_phase(finance, lenders), "docs_phase_id", "left")
+        .drop("docs_phase_id", "vendor_id", "facility_id", "city_id", "patient_id", "customer_id")
+    )
+
+
+def typed(texts: DataFrame) -> DataFrame:
+    """Ready for pricing. What can't be read becomes NULL; ``case_rejects`` lists it."""
+    parsed = {c: read(F.col(text)) for text, (c, read) in CASE_TEXTS.items()}
+    return texts.withColumns(parsed).drop(*CASE_TEXTS)
+
+
+def open_cases(*tables: DataFrame, **options) -> DataFrame:
+    """``case_texts``, typed for pricing."""
+    return typed(case_texts(*tables, **options))
+
+
+# Stored text -> the column made from it, and how.
+CASE_TEXTS = {
+    "total_bill_text": ("total_bill", money), "approved_text": ("approved", money),
+    "admission_text": ("admission_date", parse_time),
+}
+RATE_TEXTS = {
+    "share_pct": ("share", percent), "net_share_pct": ("net_share", percent),
+    "start_date": ("start_date", parse_time), "end_date": ("end_date", parse_time),
+}
+
+
+def _rejects(rows: DataFrame, id: str, texts: Mapping) -> DataFrame:
+    entries = [
+        F.when(unreadable(F.col(text), read(F.col(text))), F.struct(F.lit(name).alias("c"), F.col(text).alias("value")))
+        for text, (name, read) in texts.items()
+    ]
+    found = rows.select(F.col(id).cast("string").alias("id"), F.explode(F.array_compact(F.array(*entries))).alias("e"))
+    return found.select(
+        "id", F.col("e.c").alias("column"), F.col("e.value").alias("value"),
+        F.concat(F.lit("unreadable "), F.col("e.c"), F.lit(": "), F.col("e.value")).alias("reject_reason"),
     )
 
 
-def _layout(priced: DataFrame, tax: str | None) -> DataFrame:
+def case_rejects(texts: DataFrame) -> DataFrame:
+    """Amounts and dates of cases that say something but can't be read: (id, column, value, reject_reason)."""
+    return _rejects(texts, "case_id", CASE_TEXTS)
+
+
+def rate_rejects(sheet: DataFrame) -> DataFrame:
+    """The same of the agreements' percentages and dates, by key."""
+    return _rejects(sheet, "key", RATE_TEXTS)
+
+
+def _layout(priced: DataFrame, tax: str | None, empty: Sequence[str] = ()) -> DataFrame:
+    """The published columns. Those in ``empty`` are published as NULL; any other that is missing
+    ends the run, so a renamed or lost input column is noticed."""
     renamed = (
         priced.withColumn("tax", F.lit(tax).cast("string"))
         .withColumn("chargeable_amount", F.col("approved"))
         .withColumnRenamed("remarks", "chargeable_on")
     )
-    return renamed.select(
-        *[F.col(c) if c in renamed.columns else F.lit(None).cast("string").alias(c) for c in STATEMENT]
-    )
+    lost = [c for c in STATEMENT if c not in renamed.columns and c not in empty]
+    if lost:
+        raise SchemaMismatch(f"statement columns {lost} are missing")
+    return renamed.select(*[F.lit(None).cast("string").alias(c) if c in empty else F.col(c) for c in STATEMENT])
 
 
 def statement(cases: DataFrame, rates: DataFrame, roles: v.Roles = v.ROLES) -> DataFrame:
     return _layout(price_cases(cases, rates, roles), None)
 
 
-def earlier_statement(*sheets: DataFrame, tax_rate: str = DEFAULT_TAX) -> DataFrame:
-    """Statement rows of the earlier text sheets, whose columns may differ."""
-    return _layout(price_sheet(stack(*sheets), tax_rate), v.TAX_TEXT)
+def earlier_statement(
+    *sheets: DataFrame, tax_rate: str = DEFAULT_TAX, empty: Sequence[str] = ()
+) -> DataFrame:
+    """Statement rows of the earlier text sheets, whose columns may differ; ``empty`` names the
+    published columns that no sheet has."""
+    return _layout(price_sheet(stack(*sheets), tax_rate), v.TAX_TEXT, empty)
 
 
 def full_statement(current: DataFrame, earlier: DataFrame) -> DataFrame:

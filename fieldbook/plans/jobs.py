@@ -8,7 +8,7 @@ whoever calls this.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,8 @@ class Inputs:
     """Tables below one folder, ``<root>/<name>``; text sheets as ``<root>/<name>`` CSV.
 
     ``earlier_cases`` names the sheets of earlier commission cases, each with its headers
-    and the column names they stand for.
+    and the column names they stand for; ``earlier_empty`` the statement columns that none of them has.
+    ``multi_line`` names the sheets whose cells hold line breaks.
     """
 
     spark: SparkSession
@@ -36,6 +37,8 @@ class Inputs:
     fmt: str = "parquet"
     roles: v.Roles = v.ROLES
     earlier_cases: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
+    earlier_empty: Sequence[str] = ()
+    multi_line: Sequence[str] = ()
 
     def table(self, name: str) -> DataFrame:
         return readers.read_table(self.spark, f"{self.root}/{name}", fmt=self.fmt)
@@ -44,7 +47,8 @@ class Inputs:
         return [self.table(n) for n in names.split()]
 
     def sheet(self, name: str, columns) -> DataFrame:
-        return readers.read_text_sheet(self.spark, f"{self.root}/{name}", columns)
+        broken = name in self.multi_line
+        return readers.read_text_sheet(self.spark, f"{self.root}/{name}", columns, multi_line=broken)
 
 
 @dataclass
@@ -116,23 +120,28 @@ def _attendance(i: Inputs, as_of: dt.date) -> Result:
 
 
 def _tests(i: Inputs, as_of: dt.date) -> Result:
-    rows = records.recommended_tests(*i.tables("appointment diagnostic_outcome diagnostic"), i.roles)
-    return Result({"diagnostic_test": (rows, schemas.DIAGNOSTIC_TEST)})
+    tables = i.tables("appointment diagnostic_outcome diagnostic")
+    rows = records.recommended_tests(*tables, i.roles)
+    counts = records.recommended_test_counts(*tables, i.roles)
+    return Result({"diagnostic_test": (rows, schemas.DIAGNOSTIC_TEST)}, {"diagnostic_test_count": counts})
 
 
 def _commission(i: Inputs, as_of: dt.date) -> Result:
-    cases = commission.open_cases(
+    texts = commission.case_texts(
         *i.tables(
             "insurance_case insurance_vendor facility city patient customer insurance_phase "
             "insurance_sub_phase insurance_lender"
         ),
         roles=i.roles,
     )
-    current = commission.statement(cases, i.sheet("rate_agreement", RATE_COLUMNS), i.roles)
+    rates = i.sheet("rate_agreement", RATE_COLUMNS)
+    current = commission.statement(commission.typed(texts), rates, i.roles)
     if i.earlier_cases:
         sheets = [i.sheet(name, columns) for name, columns in i.earlier_cases.items()]
-        current = commission.full_statement(current, commission.earlier_statement(*sheets))
-    return Result(extracts={"commission_statement": current})
+        earlier = commission.earlier_statement(*sheets, empty=i.earlier_empty)
+        current = commission.full_statement(current, earlier)
+    rejected = commission.case_rejects(texts).unionByName(commission.rate_rejects(rates))
+    return Result(extracts={"commission_statement": current, "commission_rejects": rejected})
 
 
 def _detail(i: Inputs, rows: DataFrame, routed: bool) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from fieldbook import vocabulary as v
 from fieldbook.functions.clock import UTC_OFFSET, in_previous_local_day
-from fieldbook.operators.reporting import joined_names
+from fieldbook.operators.lookup import restrict_to
+from fieldbook.operators.reporting import name_counts, names_text
 from fieldbook.sources import schemas
 
 
@@ -46,19 +47,36 @@ def recommended_tests(
     appointments (id, lead_id, status, consultation_type, creation_type, appointment_date,
     tenant_name, additional_details), outcomes (appointment_id, test_id), tests (id, name).
     """
-    named = outcomes.join(
-        tests.select(F.col("id").alias("test_id"), "name"), "test_id", "left"
-    )
-    lists = joined_names(named, "appointment_id", "name", "test_names")
-    done = appointments.where(
-        (F.col("consultation_type") != v.DIAGNOSTICS_CONSULTATION)
-        & (F.col("status") == v.APPOINTMENT_DONE_STATUS)
-        & (F.col("tenant_name") == roles.tenant)
-    ).select(
+    done = _done(appointments, roles).select(
         "lead_id", F.col("id").alias("appointment_id"), "appointment_date", "creation_type",
         "consultation_type",
         F.get_json_object("additional_details", "$.isDiagnosticsTestRecommended").alias(
             "test_recommended"
         ),
     )
+    counts = recommended_test_counts(appointments, outcomes, tests, roles)
+    lists = names_text(counts, "appointment_id", "name", "test_names")
     return schemas.conform(done.join(lists, "appointment_id", "left"), schemas.DIAGNOSTIC_TEST)
+
+
+def recommended_test_counts(
+    appointments: DataFrame, outcomes: DataFrame, tests: DataFrame, roles: v.Roles = v.ROLES
+) -> DataFrame:
+    """(appointment_id, name, n): how often a completed appointment recommended a test.
+
+    This is the shape that scales; the list as text is made from it for publishing. Outcomes
+    are cut down to completed appointments before they are joined and counted.
+    """
+    finished = _done(appointments, roles).select(F.col("id").alias("appointment_id"))
+    named = restrict_to(outcomes, finished, "appointment_id").join(
+        tests.select(F.col("id").alias("test_id"), "name"), "test_id", "left"
+    )
+    return name_counts(named, "appointment_id", "name")
+
+
+def _done(appointments: DataFrame, roles: v.Roles) -> DataFrame:
+    return appointments.where(
+        (F.col("consultation_type") != v.DIAGNOSTICS_CONSULTATION)
+        & (F.col("status") == v.APPOINTMENT_DONE_STATUS)
+        & (F.col("tenant_name") == roles.tenant)
+    )

@@ -199,7 +199,10 @@ def phase_sql(kind: str) -> str:
 CURRENT_SQL = f"""
     with base as (
       select c.id as case_id, c.created_on + interval '330 minutes' as created, c.surgery_id, f.alias_name as hospital_name,
-             v.vendor_name, u.name as patient_name, u.customer_number, ct.city_name,
+             v.vendor_name, u.name as patient_name, u.customer_number, u.email, ct.city_name, c.status, c.insurance_name,
+             json_extract_string(c.additional_details, '$.tpaName') as tpa_name, c.treatment_type, c.surgery_name, c.speciality_name,
+             json_extract_string(d.d, '$.surgeryDischargeApprovalInfo.nme') as collected_by_hospital,
+             json_extract_string(s.d, '$.surgeryDischargeDoneRequest.dischargeDate') as discharge_date,
              try_cast(json_extract_string(s.d, '$.surgeryDischargeDoneRequest.admissionDate') as timestamp) as admission,
              try_cast(replace(json_extract_string(d.d, '$.surgeryDischargeApprovalInfo.totalBillAmount'), ',', '') as decimal(18,2)) as bill,
              try_cast(replace(json_extract_string(d.d, '$.surgeryDischargeApprovalInfo.finalApprovedAmount'), ',', '') as decimal(18,2)) as approved,
@@ -220,7 +223,10 @@ CURRENT_SQL = f"""
     priced as (select base.*, rates.*, case basis when 'on approved amount' then approved when 'on total bill amount' then bill end as amount
                from base left join rates on rates.key = hospital_name || 'Partner' || category
                where not coalesce(coalesce(admission, created) < s or coalesce(admission, created) > e, false))
-    select case_id, surgery_id, hospital_name, vendor_name, patient_name, customer_number as contact_number, city_name as city, lender_name, category,
+    select created as case_created_on, year(created)::varchar || '-' || month(created)::varchar as case_created_month, email, 'Partner' as source,
+           'Dashboard' as patient_source, status as case_status, discharge_date, insurance_name, tpa_name, treatment_type, surgery_name, speciality_name,
+           collected_by_hospital, 0::double as other_collected, 0::double as discount, 0::double as withheld, null::varchar as tax, approved::double as chargeable_amount,
+           case_id, surgery_id, hospital_name, vendor_name, patient_name, customer_number as contact_number, city_name as city, lender_name, category,
            admission as admission_date, bill::double as total_bill, approved::double as approved, share::double as share, net::double as net_share,
            round(amount * share, 4)::double as share_amount, round(amount * net, 4)::double as total_share,
            round(round(amount * net, 4) - round(amount * share, 4), 4)::double as tax_amount,
@@ -233,12 +239,19 @@ CURRENT_SQL = f"""
 @probe("J11_commission_statement", CURRENT_SQL, COMMISSION_VIEWS + " rate_agreement")
 def _(t: Tables):
     cases = commission.open_cases(*t.views(COMMISSION_VIEWS), start=J11_START)
-    return commission.statement(cases, t.view("rate_agreement")).select(
-        "case_id", "surgery_id", "hospital_name", "vendor_name", "patient_name", "contact_number",
-        "city", "lender_name", "category", "admission_date", "total_bill", "approved", "share",
-        "net_share", "share_amount", "total_share", "tax_amount", "net_payable", "chargeable_on",
-        "statement_note",
-    )
+    return commission.statement(cases, t.view("rate_agreement"))
+
+
+REJECTS_SQL = """
+    select cast(c.id as varchar) as id, 'approved' as "column", 'n/a' as value, 'unreadable approved: n/a' as reject_reason
+    from insurance_case c join (select insurance_case_id, arg_max(json_extract_string(additional_details, '$.surgeryDischargeApprovalInfo.finalApprovedAmount'), phase_id) as approved
+                                from insurance_phase where upper(phase_type) = 'DISCHARGE_DOCS_APPROVAL' group by 1) d on d.insurance_case_id = c.id
+    where approved = 'n/a' and c.created_on + interval '330 minutes' >= timestamp '1997-10-12'"""
+
+
+@probe("J11_rejects", REJECTS_SQL, COMMISSION_VIEWS)
+def _(t: Tables):
+    return commission.case_rejects(commission.case_texts(*t.views(COMMISSION_VIEWS), start=J11_START))
 
 
 SHEET = """
@@ -250,6 +263,11 @@ SHEET = """
     from {lineitem}"""
 
 
+SHEET_LACKS = (
+    "case_created_on case_created_month surgery_id hospital_name patient_name contact_number email city lender_name category source patient_source "
+    "vendor_name case_status admission_date discharge_date insurance_name tpa_name treatment_type surgery_name speciality_name "
+    "collected_by_hospital statement_note"
+).split()
 EARLIER_SQL = f"""
     with sheet as ({SHEET.format(lineitem='lineitem').replace('as string', 'as varchar')}),
     typed as (select case_id, remarks, try_cast(replace(approved, ',', '') as decimal(18,2)) as approved, try_cast(total_bill as decimal(18,2)) as bill,
@@ -265,7 +283,7 @@ EARLIER_SQL = f"""
 @probe("J11_earlier_statement", EARLIER_SQL)
 def _(t: Tables):
     sheet = t.spark.sql(SHEET, lineitem=t.lineitem)
-    return commission.earlier_statement(sheet).select(
+    return commission.earlier_statement(sheet, empty=SHEET_LACKS).select(
         "case_id", "approved", "total_share", "tax_amount", "net_payable", "tax", "chargeable_on"
     )
 
@@ -276,7 +294,7 @@ def _(t: Tables):
 def _(t: Tables):
     cases = commission.open_cases(*t.views(COMMISSION_VIEWS), start=J11_START)
     current = commission.statement(cases, t.view("rate_agreement"))
-    earlier = commission.earlier_statement(t.spark.sql(SHEET, lineitem=t.lineitem))
+    earlier = commission.earlier_statement(t.spark.sql(SHEET, lineitem=t.lineitem), empty=SHEET_LACKS)
     return commission.full_statement(current, earlier).select(
         "case_id", "approved", "total_share", "net_payable", "chargeable_on"
     )
@@ -314,7 +332,12 @@ def _call_parts(t: Tables):
 
 @probe("J12_call_detail", f"""
     with {CALLS_SQL}, agents as (select staff_group, agent_no, arg_min(email, id) as email, arg_min(city, id) as city from people group by 1, 2)
-    select sid, call_created_on, coalesce(duration, 0)::varchar as duration, coalesce(leg_1_duration, 0)::varchar as leg_1_duration,
+    select sid, call_created_on, status, direction, to_no, from_no, exotel_no, price::varchar as price, leg_1_status, leg_2_status,
+           coalesce(leg_2_duration, 0)::varchar as leg_2_duration, recording_url, month(call_created_on)::varchar as month, year(call_created_on)::varchar as year,
+           '' as menu_check, '' as menu_transfer_status, case when listed then agent_available else '' end as agent_available,
+           coalesce(upper(p->>'$.leg3DetailedStatus'), '') as leg3_detailed_status, coalesce(p->>'$.leg1Status', '') as leg1_status,
+           coalesce(p->>'$.leg3Status', '') as leg3_status, coalesce(a2.city, '') as leg2_agent_city,
+           coalesce(duration, 0)::varchar as duration, coalesce(leg_1_duration, 0)::varchar as leg_1_duration,
            cast(call_created_on as date) as mask_date, cast(hour(call_created_on) as varchar) as hour,
            case when hour(call_created_on) between 8 and 20 then 'OFFICE_HOUR' else 'OFF_HOUR' end as hour_tag, customer_no,
            coalesce(cities.city, 'No City') as city, no_sent::varchar as no_sent, requested::varchar as requested,
@@ -333,13 +356,7 @@ def _(t: Tables):
     call, docs, cities, groups = _call_parts(t)
     agents = groups[v.ROLES.support].unionByName(groups[v.ROLES.field_staff])
     detail = calls.call_detail(call, docs, cities, agents, route=calls.staff_route())
-    return calls.published_calls(detail).select(
-        "sid", "call_created_on", "duration", "leg_1_duration", "mask_date", "hour", "hour_tag",
-        "customer_no", "city", "no_sent", "requested", "personnel_type", "agent_in_system",
-        "leg1_detailed_status", "leg2_detailed_status", "final_status", "leg1_agent_number",
-        "leg2_agent_number", "leg3_agent_number", "leg2_status", "leg1_agent_email",
-        "leg2_agent_email", "leg3_agent_email", "leg1_agent_city", "leg3_agent_city",
-    )
+    return calls.published_calls(detail)
 
 
 @probe("J13_failed_calls", f"""
@@ -442,7 +459,7 @@ def facts(t: Tables):
         cases.where(F.col("lead_source") == v.CUSTOMER_APP_SOURCE), staff_emails,
     )
     active = cards.where(F.col("status") == v.ACTIVE)
-    return rows, visits, card_facts(card_payments, active, staff_emails)
+    return rows, visits, card_facts(rows, card_payments, active, staff_emails)
 
 
 @probe("C25_credit_tags", f"""
@@ -506,10 +523,10 @@ def attributed(t: Tables):
 
 @probe("J15_campaign_attribution", f"""
     with {TAGGED_SQL}, {RESULT_SQL}
-    select campaign, id, phone, sent_on, responded, channel, used, used_on, creation_type from result""", CAMPAIGN_VIEWS)
+    select campaign, id, phone, sent_on, responded, response_id, channel, used, spend_id, used_on, creation_type from result""", CAMPAIGN_VIEWS)
 def _(t: Tables):
     return attributed(t).select(
-        "campaign", "id", "phone", "sent_on", "responded", "channel", "used", "used_on", "creation_type"
+        "campaign", "id", "phone", "sent_on", "responded", "response_id", "channel", "used", "spend_id", "used_on", "creation_type"
     )
 
 

@@ -67,13 +67,13 @@ def read_text_sheet(
     spark: SparkSession,
     path: str,
     columns: Mapping[str, str] | Sequence[str],
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A sheet exported as CSV: first row is the header and every cell is text.
 
     ``columns`` lists what is wanted (optionally header → new name); wide sheets lose
-    everything else at the scan. A wanted header that the sheet lacks fails. Cells and headers
-    of a sheet may hold line breaks; without them ``multi_line=False`` lets Spark split files.
+    everything else at the scan. A wanted header that the sheet lacks fails. ``multi_line`` is for
+    sheets whose cells or headers hold line breaks; such a file cannot be split and is read by one task.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line)
     sheet = reader.option("escape", '"').csv(path)

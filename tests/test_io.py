@@ -36,7 +36,7 @@ def test_replace_and_rerun_of_a_day_leave_one_copy(spark, table):
 def test_sheet_round_trip_and_missing_header(spark, table):
     path = work_folder(spark, "s")
     writers.write_sheet(table("a:l b:s", [(1, 'say "hi", ok'), (2, None), (3, "two\nlines")]), path)
-    assert tuples(readers.read_text_sheet(spark, path, {"b": "text", "a": "n"}), "n", "text") == [
+    assert tuples(readers.read_text_sheet(spark, path, {"b": "text", "a": "n"}, multi_line=True), "n", "text") == [
         ("1", 'say "hi", ok'), ("2", None), ("3", "two\nlines")]
     with pytest.raises(ValueError, match="no columns \\['c'\\]"):
         readers.read_text_sheet(spark, path, ["a", "c"])
