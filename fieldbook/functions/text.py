@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldbook.vocabulary import CITY_SHORT, MENU, NOT_MENU
+from fieldbook.vocabulary import MENU, NOT_MENU
 
 MONEY = "decimal(18,2)"
 RATE = "decimal(18,6)"
@@ -59,10 +59,10 @@ def joined_key(*parts: Column) -> Column:
     return F.concat(*parts)
 
 
-def city_label(*names: Column, missing: str) -> Column:
-    """First known city name, shortened where a short name is agreed."""
+def city_label(*names: Column, missing: str, short: Mapping[str, str]) -> Column:
+    """First known city name, shortened where ``short`` has a name for it."""
     name = F.coalesce(*names)
-    return F.coalesce(relabel(name, CITY_SHORT), F.lit(missing))
+    return F.coalesce(relabel(name, short), F.lit(missing))
 
 
 def relabel(value: Column, mapping: Mapping[str, str]) -> Column:

@@ -27,11 +27,11 @@ def coverage_gaps(rows: DataFrame, *, entity: str, order: list[str], group: str,
 
 
 def name_counts(df: DataFrame, key: str, name: str) -> DataFrame:
-    """(key, name, n): how often each name occurs per key, NULL names skipped.
+    """(key, name, times): how often each name occurs per key, NULL names skipped.
 
     One row per different name, however many a key has; combined on the map side.
     """
-    return df.where(F.col(name).isNotNull()).groupBy(key, name).agg(F.count(F.lit(1)).alias("n"))
+    return df.where(F.col(name).isNotNull()).groupBy(key, name).agg(F.count(F.lit(1)).alias("times"))
 
 
 def names_text(counts: DataFrame, key: str, name: str, alias: str, separator: str = ",") -> DataFrame:
@@ -40,7 +40,7 @@ def names_text(counts: DataFrame, key: str, name: str, alias: str, separator: st
     For publishing only: a text has to fit into one row, which ``name_counts`` need not.
     """
     entry = F.struct(
-        F.col(name).alias("v"), F.expr(f"repeat(concat(`{name}`, '{separator}'), n)").alias("t")
+        F.col(name).alias("v"), F.expr(f"repeat(concat(`{name}`, '{separator}'), times)").alias("t")
     )
     entries = F.sort_array(F.collect_list(entry))
     text = F.array_join(F.transform(entries, lambda e: e["t"]), "")

@@ -26,6 +26,7 @@ def caller_cities(
     customers: DataFrame,
     city: DataFrame,
     inbound: DataFrame | None = None,
+    roles: v.Roles = v.ROLES,
 ) -> DataFrame:
     """City per caller number: the case's city, else the patient's; a known city beats none,
     and a later case beats an earlier one.
@@ -58,13 +59,17 @@ def caller_cities(
         .join(named("home_city"), "_home_city", "left")
         .select(
             "customer_no", "case_id",
-            city_label(F.col("case_city"), F.col("home_city"), missing=v.NO_CITY).alias("city"),
+            city_label(
+                F.col("case_city"), F.col("home_city"), missing=v.NO_CITY, short=dict(roles.city_short)
+            ).alias("city"),
         )
     )
     return last_informative(rows, "customer_no", "case_id", "city", v.NO_CITY)
 
 
-def agents_by_number(people: DataFrame, city: DataFrame, group: str) -> DataFrame:
+def agents_by_number(
+    people: DataFrame, city: DataFrame, group: str, roles: v.Roles = v.ROLES
+) -> DataFrame:
     """(group, agent_no, email, city) of people with a phone; first person per number.
 
     people: (id, email, phone, city_id).
@@ -74,7 +79,7 @@ def agents_by_number(people: DataFrame, city: DataFrame, group: str) -> DataFram
         .join(city.select(F.col("id").alias("city_id"), "city_name"), "city_id", "left")
         .select(
             phone(F.col("phone")).alias("agent_no"), "id", "email",
-            city_label(F.col("city_name"), missing=v.NO_CITY).alias("city"),
+            city_label(F.col("city_name"), missing=v.NO_CITY, short=dict(roles.city_short)).alias("city"),
         )
         .where(F.col("agent_no").isNotNull())
     )

@@ -118,9 +118,9 @@ def campaign_messages(
     )
     none = F.lit(None).cast("string")
     # A message can belong to a nudge and to a test campaign: one row for each.
-    nudge = F.when(F.col("tag_id") == v.NUDGE_TAG, F.lit(NUDGE))
-    test = F.when(F.col("asset_id").isin(*v.HOME_PICK_ASSETS), HOME_PICK_NUDGE).when(
-        F.col("asset_id").isin(*v.DIAGNOSTIC_ASSETS), TEST_NUDGE
+    nudge = F.when(F.col("tag_id").isin(*roles.nudge_tags), F.lit(NUDGE))
+    test = F.when(F.col("asset_id").isin(*roles.home_pick_assets), HOME_PICK_NUDGE).when(
+        F.col("asset_id").isin(*roles.diagnostic_assets), TEST_NUDGE
     )
     is_nudge = F.col("campaign") == NUDGE
     flow = F.get_json_object("additional_details", f"$.{roles.flow_key}")
@@ -204,7 +204,7 @@ def attributed_messages(
 
 
 def campaign_funnels(
-    attributed: DataFrame, as_of: dt.date
+    attributed: DataFrame, as_of: dt.date, roles: v.Roles = v.ROLES
 ) -> tuple[DataFrame, DataFrame]:
     """(funnels, rejects): all campaigns in one aggregation over (campaign, split).
 
@@ -219,7 +219,7 @@ def campaign_funnels(
     )
     rows = attributed.withColumn("split", split)
     known = (F.col("campaign") != ONE_TIME) | F.coalesce(
-        F.col("amount_tier").isin(*v.AMOUNT_TIERS), F.lit(False)
+        F.col("amount_tier").isin(*roles.amount_tiers), F.lit(False)
     )
     rejected = rows.where(~known).withColumn(
         "reject_reason", F.concat(F.lit("unknown amount tier: "), F.coalesce("amount_tier", F.lit("NULL")))

@@ -19,6 +19,7 @@ from fieldbook.functions.clock import in_local_days
 from fieldbook.plans import calls, cashback, commission, records, staff
 from fieldbook.session import intermediates, split_skewed_joins, stored
 from fieldbook.sources import readers, schemas, writers
+from fieldbook.streaming import feeds
 
 RATE_COLUMNS = ("key", "share_pct", "net_share_pct", "remarks", "start_date", "end_date")
 
@@ -41,7 +42,8 @@ class Inputs:
     multi_line: Sequence[str] = ()
 
     def table(self, name: str) -> DataFrame:
-        return readers.read_table(self.spark, f"{self.root}/{name}", fmt=self.fmt)
+        """A declared input; one that has drifted ends the job before it starts."""
+        return readers.read_table(self.spark, f"{self.root}/{name}", schemas.INPUTS[name], self.fmt)
 
     def tables(self, names: str) -> list[DataFrame]:
         return [self.table(n) for n in names.split()]
@@ -67,7 +69,7 @@ def _availability(i: Inputs, as_of: dt.date) -> Result:
 
 def _profiles(i: Inputs, as_of: dt.date) -> Result:
     rows, rejected = staff.personnel_profiles(
-        *i.tables("personnel person_facility_map facility personnel_permission")
+        *i.tables("personnel person_facility_map facility personnel_permission"), i.roles
     )
     return Result(
         {"personnel_detail": (rows, schemas.PERSONNEL_DETAIL)}, {"personnel_rejects": rejected}
@@ -148,13 +150,13 @@ def _detail(i: Inputs, rows: DataFrame, routed: bool) -> DataFrame:
     city, people = i.tables("city personnel")
     people = people.withColumnRenamed("personnel_id", "id")
     support, field_staff = (
-        calls.agents_by_number(people.where(F.col("personnel_type") == group), city, group)
+        calls.agents_by_number(people.where(F.col("personnel_type") == group), city, group, i.roles)
         for group in (i.roles.support, i.roles.field_staff)
     )
     agents = support.unionByName(field_staff) if routed else calls.agents_by_priority(support, field_staff)
     return calls.call_detail(
         rows, i.table("call_document"),
-        calls.caller_cities(*i.tables("patient_case patient customer"), city, rows), agents,
+        calls.caller_cities(*i.tables("patient_case patient customer"), city, rows, i.roles), agents,
         route=calls.staff_route(i.roles) if routed else None, roles=i.roles,
     )
 
@@ -193,7 +195,7 @@ def _cashback(i: Inputs, as_of: dt.date) -> Result:
     attributed = stored(
         cashback.attributed_messages(messages, replies, cashback.spends(ledger)), "attributed"
     )
-    funnels, rejected = cashback.campaign_funnels(attributed, as_of)
+    funnels, rejected = cashback.campaign_funnels(attributed, as_of, i.roles)
     return Result(extracts={
         "cash_ledger": ledger,
         "ledger_summary": cashback.with_text(cashback.ledger_summary(ledger, as_of)),
@@ -234,6 +236,39 @@ JOBS: dict[str, Callable[[Inputs, dt.date], Result]] = {
 }
 
 
+@dataclass(frozen=True)
+class FeedJob:
+    """A feed over one input's inbox."""
+
+    table: str
+    feed: feeds.Feed
+
+
+FEEDS: dict[str, FeedJob] = {
+    "failed_call_counts": FeedJob("call_status", feeds.failed_call_counts()),
+    "failed_call_rows": FeedJob("call_status", feeds.failed_calls()),
+    "audit_rows": FeedJob("customer_audit", feeds.audit_rows()),
+    "ledger_days": FeedJob("tagged_ledger", feeds.ledger_days()),
+}
+
+
+def run_feed(name: str, inputs: Inputs, out: str, files_per_batch: int = 1000) -> DataFrame:
+    """Take in what has arrived below ``<root>/inbox/<table>`` and return what the feed publishes now.
+
+    Stored batches are kept in ``<out>/<name>/rows`` and the feed's position beside them in
+    ``<out>/<name>/position``; the two belong together. The published rows are written to
+    ``<out>/<name>/published``.
+    """
+    job = FEEDS[name]
+    feed, schema = job.feed, schemas.FEED_INPUTS[job.table]
+    stream = feeds.file_stream(inputs.spark, f"{inputs.root}/inbox/{job.table}", schema, "*.parquet", files_per_batch)
+    rows = f"{out}/{name}/rows"
+    feeds.drain(stream, feed, rows, f"{out}/{name}/position")
+    answer = feeds.published(inputs.spark, feed, rows, feeds.stored_schema(inputs.spark, feed, schema))
+    answer.write.mode("overwrite").parquet(f"{out}/{name}/published")
+    return inputs.spark.read.schema(answer.schema).parquet(f"{out}/{name}/published")
+
+
 def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:
     """Run one job and publish what it produced; returns the paths written.
 

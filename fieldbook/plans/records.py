@@ -62,7 +62,7 @@ def recommended_tests(
 def recommended_test_counts(
     appointments: DataFrame, outcomes: DataFrame, tests: DataFrame, roles: v.Roles = v.ROLES
 ) -> DataFrame:
-    """(appointment_id, name, n): how often a completed appointment recommended a test.
+    """(appointment_id, name, times): how often a completed appointment recommended a test.
 
     This is the shape that scales; the list as text is made from it for publishing. Outcomes
     are cut down to completed appointments before they are joined and counted.

@@ -58,7 +58,7 @@ def personnel_profiles(
     facility_map: DataFrame,
     facility: DataFrame,
     permissions: DataFrame,
-    city_codes: dict[str, str] = v.CITY_CODES,
+    roles: v.Roles = v.ROLES,
 ) -> tuple[DataFrame, DataFrame]:
     """(profiles, rejects): person, city, first facility mapping and first permission.
 
@@ -71,7 +71,7 @@ def personnel_profiles(
         ["alias_name", "facility_type", "mapping_type", "availability_type"],
     )
     first_permission = first_per_key(permissions, "personnel_id", "id", ["permission_type"])
-    accepted, rejected = apply_codes(personnel, F.col("city_id"), city_codes, "city")
+    accepted, rejected = apply_codes(personnel, F.col("city_id"), dict(roles.city_codes), "city")
     full = left_lookup(
         accepted, first_map, "personnel_id",
         {"alias_name": "", "facility_type": "", "mapping_type": "", "availability_type": ""},
@@ -109,7 +109,7 @@ def person_facilities(
         .join(facility.select("facility_id", "alias_name"), "facility_id")
         .join(city.select(F.col("id").alias("city_id"), "city_name"), "city_id", "left")
         .select(
-            "email", city_label(F.col("city_name"), missing="NA").alias("city"),
+            "email", city_label(F.col("city_name"), missing="NA", short=dict(roles.city_short)).alias("city"),
             F.col("alias_name").alias("hospital"),
         ),
         schemas.PERSON_FACILITY,
@@ -158,7 +158,7 @@ def attendance_with_last_seen(
         .join(city.select(F.col("id").alias("city_id"), "city_name"), "city_id", "left")
         .select(
             "email", to_local(F.col("login_time"), offset).alias("login_time"),
-            city_label(F.col("city_name"), missing="NA").alias("city"),
+            city_label(F.col("city_name"), missing="NA", short=dict(roles.city_short)).alias("city"),
         )
     )
     out = left_lookup(logins, hospital, "email", {"hospital_name": ""})

@@ -11,6 +11,7 @@ from fieldbook.functions.clock import Periods, micros
 from fieldbook.operators.ledger import card_facts, tag_ledger, visit_facts
 from fieldbook.operators.reporting import reject_counts
 from fieldbook.plans import calls, cashback, commission, records, staff
+from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.probes.rows import AS_OF, CODE_SQL, EVENT_DAY, PHONE_SQL, STATUS_SQL, base_status_sql
 from fieldbook.probes.tables import (
@@ -63,7 +64,7 @@ def _(t: Tables):
     where p.city_id between 1 and 5""", "personnel person_facility_map facility personnel_permission")
 def _(t: Tables):
     return staff.personnel_profiles(
-        *t.views("personnel person_facility_map facility personnel_permission")
+        *t.views("personnel person_facility_map facility personnel_permission"), ROLES
     )[0]
 
 
@@ -72,7 +73,7 @@ def _(t: Tables):
     from personnel where city_id not between 1 and 5 group by 1""", "personnel")
 def _(t: Tables):
     views = t.views("personnel person_facility_map facility personnel_permission")
-    return reject_counts(staff.personnel_profiles(*views)[1])
+    return reject_counts(staff.personnel_profiles(*views, ROLES)[1])
 
 
 @probe("J03_audit_increment", """
@@ -147,7 +148,7 @@ CITY_SQL = "coalesce(case c.city_name when 'Chandigarh' then 'CHD' when 'Bangalo
     where p.is_available = 1 and m.is_valid = 1 and m.tenant_name = 'MAIN' and p.personnel_type = 'FIELD_STAFF'
       and m.mapping_type = 'FIELD' and p.has_left = 0""", "personnel person_facility_map facility city")
 def _(t: Tables):
-    return staff.person_facilities(*t.views("personnel person_facility_map facility city"))
+    return staff.person_facilities(*t.views("personnel person_facility_map facility city"), ROLES)
 
 
 @probe("J09_attendance_last_seen", f"""
@@ -165,7 +166,8 @@ def _(t: Tables):
        "attendance location_ping personnel person_facility_map facility city")
 def _(t: Tables):
     out = staff.attendance_with_last_seen(
-        *t.views("attendance location_ping personnel person_facility_map facility city"), EVENT_DAY
+        *t.views("attendance location_ping personnel person_facility_map facility city"), EVENT_DAY,
+        roles=ROLES,
     )
     login = micros(F.col("login_time").cast("timestamp_ntz"))
     return out.withColumn("login_us", login).drop("login_time")
@@ -324,10 +326,10 @@ def _call_parts(t: Tables):
     call, docs, cases, patient, customer, city, people = t.views(CALL_VIEWS)
     people = people.withColumnRenamed("personnel_id", "id")
     groups = {
-        group: calls.agents_by_number(people.where(F.col("personnel_type") == group), city, group)
+        group: calls.agents_by_number(people.where(F.col("personnel_type") == group), city, group, ROLES)
         for group in (v.ROLES.support, v.ROLES.field_staff)
     }
-    return call, docs, calls.caller_cities(cases, patient, customer, city, call), groups
+    return call, docs, calls.caller_cities(cases, patient, customer, city, call, ROLES), groups
 
 
 @probe("J12_call_detail", f"""
@@ -516,7 +518,7 @@ RESULT_SQL = f"""
 def attributed(t: Tables):
     ledger = stored(tagged(t), "ledger")
     names = "message_log message_tag asset patient customer_profile one_time_message"
-    messages = cashback.campaign_messages(*t.views(names), ledger, AS_OF)
+    messages = cashback.campaign_messages(*t.views(names), ledger, AS_OF, roles=ROLES)
     feed = cashback.replies(*t.views("chat_message ledger_call"), AS_OF)
     return cashback.attributed_messages(messages, feed, cashback.spends(ledger))
 
@@ -536,14 +538,14 @@ def _(t: Tables):
     select cell.c as campaign, cell.s as split, * exclude (cell) from ({funnel_sql('select * from known', 'cell', '(campaign, customer)', True)})
     where not (cell.c = 'one_time' and period = 'yesterday')""", CAMPAIGN_VIEWS)
 def _(t: Tables):
-    return cashback.campaign_funnels(attributed(t), AS_OF)[0]
+    return cashback.campaign_funnels(attributed(t), AS_OF, ROLES)[0]
 
 
 @probe("J16_unknown_tiers", f"""
     with {TAGGED_SQL}, {RESULT_SQL} select 'unknown amount tier: ' || split as reject_reason, count(*) as rows
     from result where campaign = 'one_time' and split not in ('100', '300', '500', '1000') group by 1""", CAMPAIGN_VIEWS)
 def _(t: Tables):
-    return reject_counts(cashback.campaign_funnels(attributed(t), AS_OF)[1])
+    return reject_counts(cashback.campaign_funnels(attributed(t), AS_OF, ROLES)[1])
 
 
 @probe("J16_campaign_uses", f"""

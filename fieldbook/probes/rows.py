@@ -10,6 +10,7 @@ from fieldbook import vocabulary as v
 from fieldbook.functions import calls, clock, text
 from fieldbook.operators import lookup, pricing, reporting
 from fieldbook.operators.documents import array_filled, payload
+from fieldbook.probes.deployment import CITY_CODES, CITY_SHORT, ROLES
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.sources import readers, schemas, writers
 from fieldbook.session import work_folder
@@ -245,7 +246,7 @@ def _(t: Tables):
         .join(case_city, "case_city_id", "left")
         .join(home_city, "home_city_id", "left")
     )
-    label = text.city_label(F.col("case_city"), F.col("home_city"), missing=v.NO_CITY)
+    label = text.city_label(F.col("case_city"), F.col("home_city"), missing=v.NO_CITY, short=CITY_SHORT)
     return rows.select("id", label.alias("city"))
 
 
@@ -255,7 +256,7 @@ CODE_SQL = "case city_id when 1 then 'CHD' when 2 then 'BLR' when 3 then 'Jaipur
 @probe("F12_code_map", f"""
     select personnel_id, {CODE_SQL} as city from personnel where city_id between 1 and 5""", "personnel")
 def _(t: Tables):
-    rows, _rejected = reporting.apply_codes(t.view("personnel"), F.col("city_id"), v.CITY_CODES, "city")
+    rows, _rejected = reporting.apply_codes(t.view("personnel"), F.col("city_id"), CITY_CODES, "city")
     return rows.select("personnel_id", "city")
 
 
@@ -263,7 +264,7 @@ def _(t: Tables):
     select 'unknown code for city: ' || cast(city_id as varchar) as reject_reason, count(*) as rows
     from personnel where city_id not between 1 and 5 group by 1""", "personnel")
 def _(t: Tables):
-    _rows, rejected = reporting.apply_codes(t.view("personnel"), F.col("city_id"), v.CITY_CODES, "city")
+    _rows, rejected = reporting.apply_codes(t.view("personnel"), F.col("city_id"), CITY_CODES, "city")
     return reporting.reject_counts(rejected)
 
 
@@ -340,8 +341,8 @@ def _(t: Tables):
     select id, case when asset_id in (255, 256) then 'Home_pick' else 'Diagnostics_test' end as nudge
     from message_log where asset_id in (251, 252, 253, 254, 255, 256, 258)""", "message_log")
 def _(t: Tables):
-    nudge = F.when(F.col("asset_id").isin(*v.HOME_PICK_ASSETS), v.HOME_PICK).otherwise(v.DIAGNOSTICS_TEST)
-    rows = t.view("message_log").where(F.col("asset_id").isin(*v.DIAGNOSTIC_ASSETS))
+    nudge = F.when(F.col("asset_id").isin(*ROLES.home_pick_assets), v.HOME_PICK).otherwise(v.DIAGNOSTICS_TEST)
+    rows = t.view("message_log").where(F.col("asset_id").isin(*ROLES.diagnostic_assets))
     return rows.select("id", nudge.alias("nudge"))
 
 

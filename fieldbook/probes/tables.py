@@ -14,6 +14,7 @@ from fieldbook.operators import (
 from fieldbook.operators.activity import active_seconds, with_next_row
 from fieldbook.operators.skew import MICROS, Slices
 from fieldbook.plans import cashback
+from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.probes.rows import AS_OF
 
@@ -541,7 +542,7 @@ def _(t: Tables):
 def _tiers(t: Tables):
     amount = F.get_json_object("additional_details", "$.promotionalCashAmount")
     rows = t.view("one_time_message").select("id", amount.alias("amount"))
-    return reporting.apply_codes(rows, F.col("amount"), {a: a for a in v.AMOUNT_TIERS}, "tier")
+    return reporting.apply_codes(rows, F.col("amount"), {a: a for a in ROLES.amount_tiers}, "tier")
 
 
 def per_user_sql(period: str, group: str) -> str:

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.functions.clock import UTC_OFFSET, in_local_days
-from fieldbook.sources.schemas import assert_columns
+from fieldbook.sources.schemas import assert_stored
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """A stored table. With ``schema`` the stored columns must be exactly those declared."""
+    """A stored table. With ``schema`` the stored columns and types must be exactly those
+    declared, which is checked before anything is read."""
     df = spark.read.format(fmt).load(path)
     if schema is not None:
-        assert_columns(df, schema)
+        assert_stored(df, schema)
     return df
 
 

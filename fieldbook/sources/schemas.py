@@ -75,10 +75,93 @@ CALL_DETAIL = struct(
 )
 
 
+# The jobs' inputs as they are stored.
+INPUTS = {
+    "personnel": struct(
+        "personnel_id:l personnel_type:s email:s name:s phone:s is_available:i has_left:i is_manager:s "
+        "city_id:l created_on:s updated_on:s is_test_account:s additional_details:s"
+    ),
+    "personnel_permission": struct("id:l personnel_id:l permission_type:s"),
+    "facility": struct("facility_id:l alias_name:s zone:s city_id:l active:i"),
+    "person_facility_map": struct(
+        "id:l person_id:l facility_id:l facility_type:s mapping_type:s availability_type:s is_valid:i tenant_name:s"
+    ),
+    "city": struct("id:l city_name:s"),
+    "agent_activity": struct("id:l personnel_id:l created_on:t activity:s"),
+    "attendance": struct("id:l personnel_id:l login_time:t attendance_date:d"),
+    "location_ping": struct("id:l email:s created_on:t date:d"),
+    "customer_audit": CUSTOMER_AUDIT,
+    "lead_comment": struct(
+        "comment_id:s lead_id:l text:s lead_type:s user:s created_on:d comment_type:s"
+    ),
+    "appointment": struct(
+        "id:l lead_id:l user:s status:i consultation_type:s creation_type:s consultation_fee:m "
+        "appointment_date:d tenant_name:s additional_details:s"
+    ),
+    "diagnostic_outcome": struct("appointment_id:l test_id:l"),
+    "diagnostic": struct("id:l name:s"),
+    "surgery_audit": struct(
+        "case_id:l created_on:d user:s tenant_name:s treatment_type:s admission_date:d discharge_date:d "
+        "doctor_id:l hospital_id:l owner_id:l package_type:s surgery_status:s follow_up_date:d surgery_id:i "
+        "treatment_name:s promised_price:m discount:m price:m lead_uniqueness_status:s additional_details:s"
+    ),
+    "insurance_case": INSURANCE_CASE,
+    "insurance_phase": INSURANCE_PHASE,
+    "insurance_sub_phase": struct("sub_phase_id:l phase_id:l sub_phase_type:s additional_details:s"),
+    "insurance_lender": INSURANCE_LENDER,
+    "insurance_vendor": struct("vendor_id:l vendor_name:s"),
+    "patient": struct("id:l customer_id:l city_id:l"),
+    "customer": struct("customer_id:l name:s email:s customer_number:s"),
+    "patient_case": struct("case_id:l patient_id:l city_id:l lead_source:s"),
+    "call": struct(
+        "id:l sid:s call_created_on:t status:s direction:s to_no:s from_no:s exotel_no:s duration:l price:m "
+        "leg_1_status:s leg_1_duration:l leg_2_status:s leg_2_duration:l recording_url:s"
+    ),
+    "call_document": struct("id:l call_sid:s created_on:t insight_type:s insight_data:s"),
+    "cash_ledger": struct(
+        "id:l customer_id:l cashback_type:l amount:l issued_entity_type:s issued_entity_id:l "
+        "transaction_type:s created_on:t"
+    ),
+    "cashback_type": struct("cashback_id:l cashback_type:s is_active:i"),
+    "payment_link": struct("entity_id:l entity_type:s status:s amount:l"),
+    "card": struct("card_id:l status:s"),
+    "card_payment": struct("card_id:l collected_by:s"),
+    "message_log": struct(
+        "id:l entity_tag_map_id:l communication_date:t communication_done:i communication_type:s asset_id:l"
+    ),
+    "message_tag": struct("id:l tag_id:i entity_id:l entity_type:s additional_details:s"),
+    "asset": struct("id:l"),
+    "one_time_message": struct(
+        "id:l scheduled_on:t patient_number:s communication_type:s status:s additional_details:s"
+    ),
+    "chat_message": struct("id:l from_id:s to_message:s created_on:t"),
+    "transaction": struct("patient_id:l payment_mode:s created_on:t week:s"),
+}
+
+
+# What arrives in the inboxes of the feeds.
+FEED_INPUTS = {
+    "call_status": struct("sid:s call_created_on:t final_status:s"),
+    "customer_audit": CUSTOMER_AUDIT,
+    "tagged_ledger": struct(
+        "transaction_type:s issued_entity_type:s cashback_type:l amount:m created_on:t payment_tag:s"
+    ),
+}
+
+
 class SchemaMismatch(ValueError):
     pass
 
 
+def assert_stored(df: DataFrame, schema: T.StructType) -> None:
+    """The stored columns and their types are those declared, in any order."""
+    assert_columns(df, schema)
+    have = {f.name: f.dataType for f in df.schema}
+    wrong = {f.name: f"{have[f.name].simpleString()}, not {f.dataType.simpleString()}" for f in schema if have[f.name] != f.dataType}
+    if wrong:
+        raise SchemaMismatch(f"columns of another type: {wrong}")
+
+
 def assert_columns(df: DataFrame, schema: T.StructType) -> None:
     have, want = set(df.columns), set(schema.fieldNames())
     if have != want:

@@ -34,10 +34,6 @@ SUPPORT_TAG = "CS_AGENT"
 SMS = "SMS"
 SUCCESS = "SUCCESS"
 AFTER_VISIT_FLOWS = ("APP_DONE", "APP_CONFIRM_CANCEL", "APP_CANCEL")
-AMOUNT_TIERS = ("100", "300", "500", "1000")
-HOME_PICK_ASSETS = (255, 256)
-DIAGNOSTIC_ASSETS = (251, 252, 253, 254, 255, 256, 258)
-NUDGE_TAG = 275
 HOME_PICK = "Home_pick"
 DIAGNOSTICS_TEST = "Diagnostics_test"
 PATIENT_ENTITY = "PATIENT_PROFILE"
@@ -52,8 +48,6 @@ USE_KINDS = {
 }
 
 # --- fixed values: cities ----------------------------------------------------------
-CITY_SHORT = {"Chandigarh": "CHD", "Bangalore": "BLR"}
-CITY_CODES = {"1": "CHD", "2": "BLR", "3": "Jaipur", "4": "NCR", "5": "Hyderabad"}
 NO_CITY = "No City"
 
 # --- fixed values: calls -----------------------------------------------------------
@@ -115,7 +109,8 @@ TAX_TEXT = "18.00%"
 
 @dataclass(frozen=True)
 class Roles:
-    """Names a deployment gives to its staff groups, tenant, channels, JSON keys and sources."""
+    """What a deployment chooses: names of its staff groups, tenant, channels, JSON keys and
+    sources, and its mappings (codes, short names, ids, tiers), which are empty by default."""
 
     field_staff: str = "FIELD_STAFF"
     support: str = "CUSTOMER_SUPPORT"
@@ -137,6 +132,13 @@ class Roles:
         ("Own PDC", "PDC-Own"),
         ("Hospital PDC", "PDC Hospital"),
     )
+    # City code -> city, and city -> the short name it is published under.
+    city_codes: tuple[tuple[str, str], ...] = ()
+    city_short: tuple[tuple[str, str], ...] = ()
+    home_pick_assets: tuple[int, ...] = ()
+    diagnostic_assets: tuple[int, ...] = ()
+    nudge_tags: tuple[int, ...] = ()
+    amount_tiers: tuple[str, ...] = ()
 
 
 ROLES = Roles()

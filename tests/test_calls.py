@@ -8,6 +8,7 @@ from fieldbook import vocabulary as v
 from fieldbook.functions.calls import document_call_id, final_status, menu_outcome
 from fieldbook.functions.text import counterparty, number_class
 from fieldbook.operators import documents
+from fieldbook.probes.deployment import ROLES
 from fieldbook.plans import calls
 
 
@@ -130,12 +131,12 @@ def test_call_detail_and_failed_feed(table):
     cities = calls.caller_cities(
         table("case_id:l patient_id:l city_id:l", [(1, 1, 2), (2, 1, None), (3, 2, None)]),
         table("id:l customer_id:l city_id:l", [(1, 1, 1), (2, 2, None)]),
-        table("customer_id:l customer_number:s", [(1, "9000000001"), (2, "9000000002")]), city,
+        table("customer_id:l customer_number:s", [(1, "9000000001"), (2, "9000000002")]), city, roles=ROLES,
     )
     assert tuples(cities) == [("9000000001", "CHD"), ("9000000002", v.NO_CITY)]
     people = "id:l email:s phone:s city_id:l"
-    support = calls.agents_by_number(table(people, [(1, "s@x", "98", 2), (2, "t@x", "98", 1), (3, "u@x", "", 1)]), city, "CUSTOMER_SUPPORT")
-    field = calls.agents_by_number(table(people, [(4, "f@x", "98", None), (5, "g@x", "99", 1)]), city, "FIELD_STAFF")
+    support = calls.agents_by_number(table(people, [(1, "s@x", "98", 2), (2, "t@x", "98", 1), (3, "u@x", "", 1)]), city, "CUSTOMER_SUPPORT", ROLES)
+    field = calls.agents_by_number(table(people, [(4, "f@x", "98", None), (5, "g@x", "99", 1)]), city, "FIELD_STAFF", ROLES)
     detail = calls.call_detail(rows, papers, cities, support.unionByName(field), route=calls.staff_route())
     found = {r.sid: r for r in calls.published_calls(detail).collect()}
     assert set(found) == {"a", "b", "c"}

@@ -1,15 +1,20 @@
 """Every job from stored inputs to published outputs."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
+from conftest import at, tuples
 from pyspark.sql import functions as F
 
-from fieldbook.plans.jobs import JOBS, Inputs, run
+from fieldbook import vocabulary as v
+from fieldbook.plans.jobs import FEEDS, JOBS, RATE_COLUMNS, Inputs, run, run_feed
+from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables
+from fieldbook.probes.reports import SHEET_LACKS
 from fieldbook.probes.views import VIEWS
 from fieldbook.session import work_folder
-from fieldbook.sources import writers
+from fieldbook.sources import schemas, writers
 
 RENAMED = {"customer_profile": "customer"}
 AS_OF = {
@@ -40,7 +45,7 @@ def inputs(spark):
             writers.write_sheet(df, f"{root}/{name}")
         else:
             df.write.parquet(f"{root}/{RENAMED.get(name, name)}")
-    return Inputs(spark, root)
+    return Inputs(spark, root, roles=ROLES)
 
 
 @pytest.mark.parametrize("name", JOBS)
@@ -79,8 +84,70 @@ def test_commission_with_earlier_cases(spark, inputs):
     )
     writers.write_sheet(sheet, f"{inputs.root}/earlier")
     names = ["case_id", "approved", "total_bill", "discount", "other_collected", "withheld", "share", "share_pct", "remarks"]
-    both = Inputs(spark, inputs.root, earlier_cases={"earlier": dict(zip(sheet.columns, names))})
+    both = Inputs(
+        spark, inputs.root, roles=ROLES, earlier_cases={"earlier": dict(zip(sheet.columns, names))}, earlier_empty=SHEET_LACKS,
+        multi_line=["earlier"],
+    )
     out = work_folder(spark, "commission")
     run("commission", both, out, dt.date(2024, 2, 1))
     row = spark.read.option("header", True).csv(f"{out}/commission_statement").where("case_id = '7' and tax is not null").first()
     assert (row.total_share, row.tax_amount, row.net_payable, row.tax) == ("106.2000", "16.2000", "888.8000", "18.00%")
+
+
+@pytest.mark.parametrize("drift, message", [
+    (lambda df: df.drop("is_active"), "missing columns"),
+    (lambda df: df.withColumn("more", F.lit(1)), "unexpected columns"),
+    (lambda df: df.withColumn("cashback_id", F.col("cashback_id").cast("string")), "another type"),
+])
+def test_a_drifted_input_ends_the_job_at_its_start(spark, inputs, drift, message):
+    root = work_folder(spark, "drifted")
+    drift(inputs.table("cashback_type")).write.parquet(f"{root}/cashback_type")
+    with pytest.raises(schemas.SchemaMismatch, match=message):
+        Inputs(spark, root).table("cashback_type")
+
+
+def test_a_lost_statement_column_is_not_published_empty(spark, inputs):
+    from fieldbook.plans import commission
+
+    tables = "insurance_case insurance_vendor facility city patient customer insurance_phase insurance_sub_phase insurance_lender"
+    cases = commission.open_cases(*inputs.tables(tables))
+    rates = inputs.sheet("rate_agreement", RATE_COLUMNS)
+    assert commission.statement(cases, rates).columns == list(commission.STATEMENT)
+    with pytest.raises(schemas.SchemaMismatch, match="tpa_name"):
+        commission.statement(cases.drop("tpa_name"), rates)
+
+
+def test_unreadable_amounts_and_dates_are_listed(spark):
+    from fieldbook.plans import commission
+
+    texts = spark.createDataFrame(
+        [(1, "n/a", "1,200", "2024-01-02"), (2, "", None, "soon"), (3, "12", "abc", "")],
+        "case_id long, total_bill_text string, approved_text string, admission_text string",
+    )
+    got = sorted((r.id, r.column, r.value) for r in commission.case_rejects(texts).collect())
+    assert got == [("1", "total_bill", "n/a"), ("2", "admission_date", "soon"), ("3", "approved", "abc")]
+    rates = spark.createDataFrame([("k", "10%", "x%", "r", "2024-13-01", "")], "key string, share_pct string, net_share_pct string, remarks string, start_date string, end_date string")
+    assert sorted((r.id, r.column) for r in commission.rate_rejects(rates).collect()) == [("k", "net_share"), ("k", "start_date")]
+
+
+@pytest.mark.parametrize("name", FEEDS)
+def test_feed_job_takes_in_what_arrives(spark, name):
+    job, root = FEEDS[name], work_folder(spark, "feeds")
+    schema = schemas.FEED_INPUTS[job.table]
+    values = {"final_status": v.FAILED_STATUSES[0], "transaction_type": v.CREDITED, "issued_entity_type": v.LOYALTY, "payment_tag": "NA"}
+
+    def arrive(n):
+        row = tuple(
+            values.get(f.name, f"{n}") if f.dataType.simpleString() == "string" else at("2024-01-01 10:00:00")
+            if f.dataType.simpleString() == "timestamp_ntz" else Decimal(n) if f.dataType.simpleString().startswith("decimal") else n
+            for f in schema
+        )
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{root}/inbox/{job.table}")
+        return row
+
+    rows = [arrive(1)]
+    first = run_feed(name, Inputs(spark, root), f"{root}/out")
+    assert tuples(first) == tuples(job.feed.batch_twin(spark.createDataFrame(rows, schema)))
+    rows += [arrive(2), arrive(1)]
+    again = run_feed(name, Inputs(spark, root), f"{root}/out", files_per_batch=1)
+    assert tuples(again) == tuples(job.feed.batch_twin(spark.createDataFrame(rows, schema)))

@@ -12,6 +12,7 @@ from fieldbook.functions import clock, text
 from fieldbook.operators import funnel, ledger, lookup, per_user, pricing, reporting
 from fieldbook.operators.activity import active_seconds
 from fieldbook.operators.skew import Slices
+from fieldbook.probes.deployment import CITY_CODES, ROLES
 from fieldbook.plans import cashback, staff
 
 
@@ -28,6 +29,14 @@ def test_missing_values_stay_null_as_text(table):
 def test_names_are_sorted_keep_repeats_and_skip_null(table):
     df = table("k:l n:s", [(1, "b"), (1, "a"), (1, "b"), (1, None), (2, None)])
     assert tuples(reporting.joined_names(df, "k", "n", "names")) == [(1, "a,b,b")]
+    assert tuples(reporting.name_counts(df, "k", "n")) == [(1, "a", 1), (1, "b", 2)]
+
+
+def test_names_of_a_very_large_key_are_counted_not_gathered(spark):
+    rows = spark.range(300_000).selectExpr("0 as k", "concat('n', id % 200000) as n")
+    counts = reporting.name_counts(rows.withColumnRenamed("n", "name"), "k", "name")
+    assert counts.count() == 200_000 and counts.agg(F.sum("times")).first()[0] == 300_000
+    assert "collect" not in counts._jdf.queryExecution().executedPlan().toString()
 
 
 # D4
@@ -40,7 +49,7 @@ def test_time_slot_wraps_midnight(table):
 # D5
 def test_unknown_code_is_rejected_not_lost(table):
     df = table("id:l city_id:l", [(1, 2), (2, 9), (3, None)])
-    good, bad = reporting.apply_codes(df, F.col("city_id"), v.CITY_CODES, "city")
+    good, bad = reporting.apply_codes(df, F.col("city_id"), CITY_CODES, "city")
     assert tuples(good) == [(1, 2, "BLR")]
     assert tuples(bad, "id", "reject_reason") == [
         (2, "unknown code for city: 9"), (3, "unknown code for city: NULL"),
@@ -254,7 +263,7 @@ def test_ledger_tags(table):
     ])
     field = table("email:s", [("f@x",), ("f@x",)])
     visits = ledger.visit_facts(entries, appointments, links, table("case_id:l", [(500,)]), field)
-    cards = ledger.card_facts(table("card_id:l collected_by:s", [(7, "f@x"), (8, "s@x")]), table("card_id:l", [(7,)]), field)
+    cards = ledger.card_facts(entries, table("card_id:l collected_by:s", [(7, "f@x"), (8, "s@x")]), table("card_id:l", [(7,)]), field)
     out = ledger.tag_ledger(entries, visits, cards)
     found = {r.id: (r.tag, r.payment_tag, r.creation_type) for r in out.collect()}
     F_, CS, full, part = v.ROLES.field_staff, v.SUPPORT_TAG, v.FULL_PAYMENT, v.PARTIAL_PAYMENT
@@ -327,6 +336,6 @@ def test_funnel_first_touch_and_overlapping_periods(table):
 def test_unknown_tier_is_reported(table):
     spec = MESSAGES.replace("split:s", "flow:s amount_tier:s")
     row = lambda i, tier: ("one_time", None, tier, i, "c", at("2024-05-03 09:00:00"), False, False, None, None)
-    shown, bad = cashback.campaign_funnels(table(spec, [row(1, "100"), row(2, "70"), row(3, None)]), dt.date(2024, 5, 20))
+    shown, bad = cashback.campaign_funnels(table(spec, [row(1, "100"), row(2, "70"), row(3, None)]), dt.date(2024, 5, 20), ROLES)
     assert tuples(reporting.reject_counts(bad)) == [("unknown amount tier: 70", 1), ("unknown amount tier: NULL", 1)]
     assert {(r.split, r.period, r.sent) for r in shown.collect()} == {("100", "month_to_date", 1), ("100", "last_month", 0)}
