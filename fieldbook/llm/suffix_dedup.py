@@ -47,7 +47,7 @@ from fieldbook.llm.common import id_and_text, once, slices
 LENGTH = 50
 GRAM = 16
 REACH = LENGTH - GRAM  # a sample lies at most so far behind its string's start
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 BLOCK_CONTEXTS = 100_000
 LARGE = 20_000
 SAMPLED = 64
