@@ -25,7 +25,7 @@ from fieldbook.llm.common import hashed_words, id_and_text
 from fieldbook.session import stored
 
 SHINGLE = 5
-K = 128
+K = 256
 # Hashes are spread evenly over the signed 64-bit numbers.
 LOWEST, SPAN = -(2.0**63), 2.0**64
 
