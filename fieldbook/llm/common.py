@@ -35,7 +35,7 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def once(df: DataFrame, purpose: str) -> DataFrame:
     """Written to the shared folder and read again; the shuffle files behind it go as soon as it is written."""
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP)
+    before = conf.get(CLEANUP, "false")
     conf.set(CLEANUP, "true")
     try:
         return stored(df, purpose)
@@ -43,6 +43,17 @@ def once(df: DataFrame, purpose: str) -> DataFrame:
         conf.set(CLEANUP, before)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the frame has a column called so already."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def words(text: Column) -> Column:
     """Runs of anything but ASCII white space, as an array."""
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")

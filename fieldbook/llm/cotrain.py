@@ -193,11 +193,11 @@ def page_facts(pages: DataFrame) -> DataFrame:
     return first.select("page_of", "pages", "page.host", "page.form")
 
 
-def plain(docs: DataFrame, *more: str) -> DataFrame:
+def plain(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-        F.col("n_chars").cast("long").alias("n_chars"), *more,
+        F.col("n_chars").cast("long").alias("n_chars"),
     )
 
 
@@ -219,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, pages: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in (0, 2, 3, 4, 5)] + [pa.array(x, pa.list_(pa.float64()))],
                                              ["doc_id", "source", "lang", "n_chars", "label", "x"])
 
-    sampled = plain(docs.join(chosen, "doc_id"), "label").mapInArrow(
+    sampled = plain(docs).join(chosen, "doc_id").mapInArrow(
         features, "doc_id long, source string, lang string, n_chars long, label int, x array<double>"
     )
     facts = page_facts(pages)

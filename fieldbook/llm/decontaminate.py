@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import id_and_text
+from fieldbook.llm.common import free_names, id_and_text
 from fieldbook.llm.license_scan import scan_words
 from fieldbook.session import stored
 
@@ -118,7 +118,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
 
 def clean(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns, that overlap no test item."""
-    found = overlaps(docs, benchmark, id, text).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    hashed = docs.withColumn("_of", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    leaked = hashed[id].cast("long").eqNullSafe(found["_id"]) & (hashed["_of"] == found["_hash"])
+    own, leaked_id, leaked_hash = free_names(docs, "own_hash", "leaked_id", "leaked_hash")
+    found = overlaps(docs, benchmark, id, text)
+    found = found.select(F.col("doc_id").alias(leaked_id), F.col("text_hash").alias(leaked_hash)).distinct()
+    hashed = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    leaked = hashed[id].cast("long").eqNullSafe(found[leaked_id]) & (hashed[own] == found[leaked_hash])
     return hashed.join(found, leaked, "left_anti").select(*docs.columns)

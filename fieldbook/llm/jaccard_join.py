@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import hashed_words, id_and_text, slices
+from fieldbook.llm.common import free_names, hashed_words, id_and_text, slices
 from fieldbook.llm.components import components
 from fieldbook.session import stored
 
@@ -229,9 +229,10 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     """
     told = stored(join(docs, id, text), "groups").where("doc_id is not null")
     first = told.groupBy("group_id").agg(F.min(F.struct("doc_id", "text_key")).alias("kept")).select("kept.*")
-    kept = told.join(first, ["doc_id", "text_key"]).groupBy("doc_id", "text_key").agg((F.count("*") > 1).alias("_repeated"))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_repeated")
-    key = text_key(F.coalesce(F.col(text).cast("string"), F.lit("")))
-    staying = docs.withColumn("_of", key).join(kept, (F.col(id).cast("long") == F.col("_id")) & (F.col("_of") == F.col("_key")))
-    once = staying.where("not _repeated").unionByName(staying.where("_repeated").dropDuplicates(["_id", "_key"]))
+    own, kept_id, kept_key, repeated = free_names(docs, "own_key", "kept_id", "kept_key", "repeated")
+    kept = told.join(first, ["doc_id", "text_key"]).groupBy("doc_id", "text_key").agg((F.count("*") > 1).alias(repeated))
+    kept = kept.select(F.col("doc_id").alias(kept_id), F.col("text_key").alias(kept_key), repeated)
+    keyed = docs.withColumn(own, text_key(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    staying = keyed.join(kept, (keyed[id].cast("long") == kept[kept_id]) & (keyed[own] == kept[kept_key]))
+    once = staying.where(~F.col(repeated)).unionByName(staying.where(F.col(repeated)).dropDuplicates([kept_id, kept_key]))
     return once.select(*docs.columns).unionByName(docs.where(F.col(id).isNull()))

@@ -15,8 +15,9 @@ format or an assigned random value is a secret; a mail address, a dotted or plai
 words isn't. What it can't tell gets no label, and the forest decides.
 
 Null and empty texts have no candidates. Repeated documents have the same findings, given once per id and
-text. A null id or path is allowed. Other columns are left out. With labels of a single class there is nothing to
-learn: every candidate that this label says is a secret keeps its pattern's verdict. Positions are code points.
+text. A null id or path is allowed. Other columns are left out. With labels of a single class, and for kinds of
+candidates without labels, there is nothing to learn: the pattern's verdict stands, by which a format or an assigned value is a
+secret and any other token isn't. Positions are code points.
 """
 
 from __future__ import annotations
@@ -25,16 +26,17 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import slices
+from fieldbook.llm.common import free_names, slices
 from fieldbook.session import stored
 
 DICTIONARY = 4_000
@@ -213,25 +215,35 @@ def reviewed(findings: DataFrame) -> DataFrame:
     return findings.withColumn("label", label).where(F.col("label").isNotNull())
 
 
-def train(labelled: DataFrame):
-    """A forest, or None where the labels are of a single class."""
+@dataclass(frozen=True)
+class Forest:
+    """A model, None where the labels were of a single class, and the kinds of candidates it has learned from."""
+
+    model: RandomForestClassificationModel | None
+    kinds: tuple[str, ...] = ()
+
+
+def train(labelled: DataFrame) -> Forest:
     sample = (
-        labelled.select("features", F.col("label").cast("double").alias("label"), F.xxhash64("doc_id", "start", "value").alias("order"))
+        labelled.select("kind", "features", F.col("label").cast("double").alias("label"), F.xxhash64("doc_id", "start", "value").alias("order"))
         .orderBy("order").limit(LABELLED)
     )
-    sample = stored(sample.select(array_to_vector("features").alias("features"), "label"), "secret-labels")
-    if sample.select("label").distinct().count() < 2:
-        return None
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label").fit(sample)
-
-
-def scored(findings: DataFrame, forest) -> DataFrame:
-    """Findings with ``score`` and ``is_secret``."""
-    if forest is None:
-        told = findings.withColumn("score", F.when(F.col("kind") == "token", 0.0).otherwise(1.0))
+    sample = stored(sample.select("kind", array_to_vector("features").alias("features"), "label"), "secret-labels")
+    seen = sample.select("kind", "label").distinct().collect()  # two labels of a few kinds
+    if len({row.label for row in seen}) < 2:
+        return Forest(None)
+    classifier = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
+    return Forest(classifier.fit(sample), tuple(sorted({row.kind for row in seen})))
+
+
+def scored(findings: DataFrame, forest: Forest) -> DataFrame:
+    """Findings with ``score`` and ``is_secret``. What the forest has learned nothing about keeps its pattern's verdict."""
+    by_pattern = F.when(F.col("kind") == "token", 0.0).otherwise(1.0)
+    if forest.model is None:
+        told = findings.withColumn("score", by_pattern)
     else:
-        told = forest.transform(findings.withColumn("features", array_to_vector("features")))
-        told = told.withColumn("score", vector_to_array("probability")[1])
+        told = forest.model.transform(findings.withColumn("features", array_to_vector("features")))
+        told = told.withColumn("score", F.when(F.col("kind").isin(*forest.kinds), vector_to_array("probability")[1]).otherwise(by_pattern))
     return told.select("doc_id", "text_hash", "kind", "start", "end", "value", "score", (F.col("score") >= 0.5).alias("is_secret"))
 
 
@@ -243,19 +255,20 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str = "s
 
 def redacted(docs: DataFrame, secrets: DataFrame, mask: str = "[secret]") -> DataFrame:
     """Documents, all columns, with the secrets of their text replaced by ``mask`` and ``n_chars`` brought up to date."""
+    key, id, hash, found = free_names(docs, "key", "id", "hash", "spans")
     spans = secrets.where("is_secret").groupBy("doc_id", "text_hash").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans")
-    ).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans")
-    keyed = docs.withColumn("_key", text_key(F.col("text")))
-    joined = keyed.join(spans, keyed["doc_id"].eqNullSafe(spans["_id"]) & (keyed["_key"] == spans["_hash"]), "left")
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias(found)
+    ).select(F.col("doc_id").alias(id), F.col("text_hash").alias(hash), found)
+    keyed = docs.withColumn(key, text_key(F.col("text")))
+    joined = keyed.join(spans, keyed["doc_id"].eqNullSafe(spans[id]) & (keyed[key] == spans[hash]), "left")
     # What stands between the spans, put together with the mask; a span's start and end count code points.
-    ends = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["end"]))
-    starts = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.char_length("text")))
+    ends = F.concat(F.array(F.lit(0)), F.transform(found, lambda s: s["end"]))
+    starts = F.concat(F.transform(found, lambda s: s["start"]), F.array(F.char_length("text")))
     pieces = F.transform(
         F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda p: F.substring(F.col("text"), p["a"] + 1, F.greatest(p["b"] - p["a"], F.lit(0)))
     )
-    cleaned = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.array_join(pieces, mask))
+    cleaned = F.when(F.col(found).isNull(), F.col("text")).otherwise(F.array_join(pieces, mask))
     out = joined.withColumn("text", cleaned)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
     return out.select(*docs.columns)
