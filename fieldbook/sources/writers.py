@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +15,23 @@ from fieldbook.sources.schemas import conform
 RUN_DATE = "run_date"
 
 
+def replace(path: str, df: DataFrame, write: Callable[[str], None]) -> None:
+    """Write to a new folder beside ``path`` and put it in the old one's place once it is complete.
+
+    A run that dies while writing leaves the old table as it was.
+    """
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    name = uuid.uuid4().hex[:12]
+    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{name}", f"{path}.old-{name}"))
+    fs = here.getFileSystem(conf)
+    write(new.toString())
+    if fs.exists(here):
+        fs.rename(here, old)
+    if not fs.rename(new, here):
+        raise OSError(f"{new.toString()} is complete but could not be put in place of {path}")
+    fs.delete(old, True)
+
+
 def publish(
     df: DataFrame,
     path: str,
@@ -28,7 +47,7 @@ def publish(
     """
     out = conform(df, schema)
     if run_date is None:
-        out.write.mode("overwrite").format(fmt).save(path)
+        replace(path, out, lambda new: out.write.format(fmt).save(new))
         return
     (
         out.withColumn(RUN_DATE, F.lit(run_date))
@@ -41,13 +60,13 @@ def publish(
 
 
 def write_csv(df: DataFrame, path: str, compressed: bool = True) -> None:
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = df.write.option("header", True).option("escape", '"')
     if compressed:
         writer = writer.option("compression", "gzip")
-    writer.csv(path)
+    replace(path, df, writer.csv)
 
 
 def write_sheet(df: DataFrame, path: str) -> None:
     """Replace a sheet export: header plus rows, empty cells for NULL."""
     text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
-    text.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    replace(path, text, text.write.option("header", True).option("escape", '"').csv)

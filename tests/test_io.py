@@ -85,3 +85,13 @@ def test_jdbc_reads_in_parallel_ranges():
     got = readers.read_jdbc(Session, {"url": "jdbc:x"}, "calls", split_on="id", lower=1, upper=99, partitions=8)
     assert got == {"format": "jdbc", "url": "jdbc:x", "dbtable": "calls", "partitionColumn": "id",
                    "lowerBound": 1, "upperBound": 99, "numPartitions": 8}
+
+
+def test_a_write_that_fails_leaves_the_old_table(spark, table):
+    path = work_folder(spark, "kept")
+    writers.write_csv(table("a:l", [(1,)]), path)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|division"):
+        writers.write_csv(table("a:l", [(1,), (0,)]).selectExpr("1 div a as a"), path)
+    assert tuples(spark.read.option("header", True).csv(path)) == [("1",)]
+    writers.write_csv(table("a:l", [(2,)]), path)
+    assert tuples(spark.read.option("header", True).csv(path)) == [("2",)]
