@@ -39,6 +39,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ GRAM = 16
 REACH = LENGTH - GRAM  # a sample lies at most so far behind its string's start
 BLOCK_BYTES = 1_000_000
 BLOCK_CONTEXTS = 100_000
-LARGE = 20_000
+LARGE = 100_000
 SAMPLED = 64
 FREQUENT = 5_000  # a sample with more than one in so many of all sample positions is spread
 
@@ -109,11 +110,20 @@ class Block:
         return self.owner[first], first, count, sample, whole
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[list], list[bytes]]]:
+def columns_of(column: pa.Array) -> list[list]:
+    """A column's rows; for an array of structs one list of numpy arrays for each field."""
+    if not pa.types.is_list(column.type):
+        return [column.to_pylist()]
+    ends, structs = column.offsets.to_numpy(), column.values
+    fields = [structs.field(i).to_numpy(zero_copy_only=False) for i in range(structs.type.num_fields)]
+    return [[field[a:b] for a, b in zip(ends, ends[1:], strict=False)] for field in fields]
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[bytes]]]:
     """Rows and their texts' bytes; the text is the second column. A block has BLOCK_BYTES or a little more."""
     rows, texts, size = [], [], 0
     for batch in slices(batches):
-        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        for row in zip(*[values for c in batch.columns for values in columns_of(c)], strict=True):
             raw = row[1].encode()
             rows.append(row)
             texts.append(raw)
@@ -228,21 +238,19 @@ def strings(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw in blocks(batches):
             block = Block(raw)
-            asked = [(i, a["first"], a["n"], a["sample"], a["large"]) for i, r in enumerate(rows) for a in r[2]]
-            owner, first, n, bucket, large = (np.array(c) for c in zip(*asked, strict=True))
+            owner = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
+            first, n, bucket, large = (np.concatenate([r[i] for r in rows]) for i in (2, 3, 4, 5))
             each = np.where(large, n, 1)
             at = np.repeat(np.arange(len(owner)), each)
             shift = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
             owner, first, bucket, large = owner[at], first[at] + shift, bucket[at], large[at]
             n = np.where(large, 1, n[at])
             start = first + block.starts[owner]
-            near = block.hashes[start[:, None] + np.arange(REACH + 1)] >> U(32)
-            sample = start + near.argmin(1)
-            end = start + n - 1 + LENGTH
-            before = sample[:, None] - 1 - np.arange(REACH)
-            after = sample[:, None] + np.arange(LENGTH)
-            left = np.where(before >= start[:, None], block.raw[np.maximum(before, 0)], 0)
-            right = np.where(after < end[:, None], block.raw[np.minimum(after, len(block.raw) - 1)], 0)
+            sample = start + sliding_window_view(block.hashes >> U(32), REACH + 1)[start].argmin(1)
+            padded = np.concatenate([np.zeros(REACH, np.uint8), block.raw, np.zeros(LENGTH, np.uint8)])
+            around = sliding_window_view(padded, REACH + LENGTH)[sample]
+            left = around[:, REACH - 1 :: -1] * (np.arange(REACH) < (sample - start)[:, None])
+            right = around[:, REACH:] * (np.arange(LENGTH) < (start + n - 1 + LENGTH - sample)[:, None])
             ids, versions = np.array([r[0] for r in rows], np.int64), np.array([crc32(t) for t in raw], np.int64)
             doc, settled = ids[owner], np.zeros(len(owner), bool)
             if large.any():
@@ -369,16 +377,15 @@ def kept(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            for text, gone in zip(*[batch.column(i).to_pylist() for i in (1, 2)], strict=True):
+            for text, first, n in zip(batch.column(1).to_pylist(), *columns_of(batch.column(2)), strict=True):
                 raw = text.encode()
-                bounds = np.zeros(len(raw) + 1, np.int32)
-                for stretch in gone or ():
-                    bounds[stretch["first"]] += 1
-                    bounds[stretch["first"] + stretch["n"] - 1 + LENGTH] -= 1
-                out_of = np.cumsum(bounds[:-1]) > 0
-                left = np.frombuffer(raw, np.uint8)[~out_of].tobytes() if gone else raw
-                spans = int(out_of[:1].sum() + (np.diff(out_of.astype(np.int8)) == 1).sum())
-                out.append((len(raw), int(out_of.sum()), spans, left))
+                if not len(first):
+                    out.append((len(raw), 0, 0, raw))
+                    continue
+                bounds = np.bincount(first, minlength=len(raw) + 1) - np.bincount(first + n - 1 + LENGTH, minlength=len(raw) + 1)
+                gone = np.cumsum(bounds[:-1]) > 0
+                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+                out.append((len(raw), int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
             columns = zip(*out, strict=True) if out else ((), (), (), ())
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
