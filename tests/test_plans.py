@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clock
+from fieldbook.operators import ledger
 from fieldbook.operators.activity import with_next_row
 from fieldbook.operators.lookup import first_per_key, left_lookup, restrict_to
+from fieldbook.plans import calls, commission, records
 from fieldbook.probes.registry import Tables
 from fieldbook.probes.tables import attributed_orders
 
@@ -89,3 +91,54 @@ def test_hot_key_is_split_between_semi_join_and_aggregate(spark, skewed):
     out = first_per_key(restrict_to(skewed, keys, "k"), "k", "id", ["id", "x"])
     assert "SortMergeJoin(skew=true)" in final_plan(out)
     assert out.count() == 5000
+
+
+def subtree(plan: str, top: str) -> str:
+    """The first node that matches, and everything below it."""
+    lines = plan.splitlines()
+    depth = lambda line: len(re.match(r"[\s:+\-]*", line).group())
+    at = next(i for i, line in enumerate(lines) if re.search(top, line))
+    end = next((i for i in range(at + 1, len(lines)) if depth(lines[i]) <= depth(lines[at])), len(lines))
+    return "\n".join(lines[at:end])
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.fixture
+def t(spark):
+    return Tables(spark, FOLDER)
+
+
+def test_outcomes_are_cut_before_they_are_counted(t):
+    appointments, outcomes, tests = t.views("appointment diagnostic_outcome diagnostic")
+    plan = optimized(records.recommended_test_counts(appointments, outcomes, tests))
+    counting = subtree(plan, r"Aggregate \[appointment_id.*name")
+    # Below the join with the names, which is below the count.
+    assert "LeftSemi" in subtree(counting, r"Join (?:Inner|LeftOuter)")
+
+
+def test_phase_histories_are_cut_before_their_json_is_parsed(t):
+    names = "insurance_case insurance_vendor facility city patient customer_profile insurance_phase insurance_sub_phase insurance_lender"
+    plan = optimized(commission.case_texts(*t.views(names)))
+    assert "LeftSemi" in subtree(plan, r"from_json\(.*surgeryDischargeApprovalInfo")
+    assert "LeftSemi" in subtree(plan, r"financeEligibilityInfo")
+
+
+def test_callers_cities_start_from_the_callers(t):
+    call, cases, patient, customer, city = t.views("call patient_case patient customer_profile city")
+    plan = optimized(calls.caller_cities(cases, patient, customer, city, call))
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    inner = subtree(plan, r"Join Inner.*patient_id")
+    assert len(joins) == 2 and "LeftSemi" in subtree(inner, r"Join Inner.*customer_id")
+
+
+def test_cards_and_visits_are_cut_to_the_ledger(t):
+    ledger_rows = t.view("cash_ledger").withColumn("issued_entity_id", F.col("issued_entity_id").cast("string"))
+    payments, cards, people = t.views("card_payment card personnel")
+    plan = optimized(ledger.card_facts(ledger_rows, payments, cards.select("card_id"), people.select("email")))
+    assert "LeftSemi" in subtree(plan, r"Aggregate \[card_id.*min_by|Aggregate \[card_id.*collected_by")
+    appts = t.view("appointment").withColumnRenamed("user_email", "user")
+    plan = optimized(ledger.visit_facts(ledger_rows, appts, t.view("payment_link"), t.view("patient_case"), people.select("email")))
+    assert all("LeftSemi" in subtree(plan, top) for top in (r"Aggregate \[.*_paid", r"Aggregate \[.*lead_id", r"_from_app"))
