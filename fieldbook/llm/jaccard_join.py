@@ -40,7 +40,7 @@ SIMILARITY = 0.8
 TREES = 20
 DEEPEST = 8
 RECALL = 0.9995
-BLOCK_TEXTS = 2048
+BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 1_000_000
 STEP = 4096
 
