@@ -55,7 +55,7 @@ class Inputs:
 
 @dataclass
 class Result:
-    """Tables with a declared layout, and report extracts without one."""
+    """Tables with a declared layout, and report extracts, whose layouts ``schemas.EXTRACTS`` declares."""
 
     tables: dict = field(default_factory=dict)
     extracts: dict[str, DataFrame] = field(default_factory=dict)
@@ -137,11 +137,13 @@ def _commission(i: Inputs, as_of: dt.date) -> Result:
         roles=i.roles,
     )
     rates = i.sheet("rate_agreement", RATE_COLUMNS)
-    current = commission.statement(commission.typed(texts), rates, i.roles)
+    current = schemas.conform(
+        commission.statement(commission.typed(texts), rates, i.roles), schemas.COMMISSION_STATEMENT
+    )
     if i.earlier_cases:
         sheets = [i.sheet(name, columns) for name, columns in i.earlier_cases.items()]
         earlier = commission.earlier_statement(*sheets, empty=i.earlier_empty)
-        current = commission.full_statement(current, earlier)
+        current = schemas.conform(commission.full_statement(current, earlier), schemas.FULL_STATEMENT)
     rejected = commission.case_rejects(texts).unionByName(commission.rate_rejects(rates))
     return Result(extracts={"commission_statement": current, "commission_rejects": rejected})
 
@@ -284,6 +286,8 @@ def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:
             written.append(path)
         for extract, df in result.extracts.items():
             path = f"{out}/{extract}"
+            if extract in schemas.EXTRACTS:
+                df = schemas.conform(df, schemas.EXTRACTS[extract])
             writers.write_csv(df, path)
             written.append(path)
     return written

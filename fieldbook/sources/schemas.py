@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "s": T.StringType(), "l": T.LongType(), "t": T.TimestampNTZType(), "d": T.DateType(),
-    "m": T.DecimalType(18, 2), "b": T.BooleanType(), "i": T.IntegerType(), "f": T.DoubleType(),
+    "m": T.DecimalType(18, 2), "a": T.DecimalType(18, 4), "r": T.DecimalType(18, 6), "M": T.DecimalType(28, 2), "b": T.BooleanType(), "i": T.IntegerType(), "f": T.DoubleType(),
 }
 
 
@@ -139,6 +139,46 @@ INPUTS = {
 }
 
 
+COMMISSION_STATEMENT = struct(
+    "case_created_on:t case_created_month:s case_id:l surgery_id:l hospital_name:s patient_name:s "
+    "contact_number:s email:s city:s lender_name:s category:s source:s patient_source:s vendor_name:s "
+    "case_status:s admission_date:t discharge_date:s insurance_name:s tpa_name:s treatment_type:s "
+    "surgery_name:s speciality_name:s total_bill:m approved:m collected_by_hospital:s other_collected:m "
+    "discount:m share:r tax:s net_share:r share_amount:a tax_amount:a total_share:a withheld:m "
+    "net_payable:a chargeable_amount:m chargeable_on:s statement_note:s"
+)
+# With the earlier sheets, whose dates and ids are text.
+FULL_STATEMENT = T.StructType([
+    T.StructField(f.name, T.StringType())
+    if f.name in ("case_created_on", "admission_date", "discharge_date", "case_id", "surgery_id") else f
+    for f in COMMISSION_STATEMENT
+])
+_MATRIX = "bucket:s yesterday:M month_to_date:M last_month:M yesterday_text:s month_to_date_text:s last_month_text:s"
+# Layouts of the report extracts. Those with a column per period's kind of user take its names from ``Roles``.
+EXTRACTS = {
+    "uncovered_facilities": struct("city_name:s hospital_name:s zone:s"),
+    "coverage_by_city": struct("city_name:s uncovered:l"),
+    "diagnostic_test_count": struct("appointment_id:l name:s times:l"),
+    "personnel_rejects": T.StructType([*INPUTS["personnel"], T.StructField("reject_reason", T.StringType())]),
+    "commission_rejects": struct("id:s column:s value:s reject_reason:s"),
+    "failed_calls": struct("sid:s call_created_on:t final_status:s notify:s"),
+    "cash_ledger": struct(
+        "id:l customer_id:l cashback_type:l amount:m issued_entity_type:s issued_entity_id:s "
+        "transaction_type:s created_on:t phone:s tag:s payment_tag:s creation_type:s cashback_label:s"
+    ),
+    "ledger_summary": struct(f"direction:s {_MATRIX}"),
+    "ledger_by_tag": struct(f"tag:s {_MATRIX}"),
+    "campaign_messages": struct(
+        "campaign:s id:l phone:s customer:s sent_on:t flow:s amount_tier:s responded:b response_id:l "
+        "channel:s used:b spend_id:l used_on:s creation_type:s"
+    ),
+    "campaign_funnels": struct(
+        "campaign:s split:s period:s sent:l responded:l used:l unique_customers:l response_pct:m conversion_pct:m"
+    ),
+    "campaign_rejects": struct("id:l campaign:s reject_reason:s"),
+    "campaign_uses": struct("campaign:s use_kind:s yesterday:l month_to_date:l last_month:l"),
+}
+
 # What arrives in the inboxes of the feeds.
 FEED_INPUTS = {
     "call_status": struct("sid:s call_created_on:t final_status:s"),

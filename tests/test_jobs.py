@@ -151,3 +151,9 @@ def test_feed_job_takes_in_what_arrives(spark, name):
     rows += [arrive(2), arrive(1)]
     again = run_feed(name, Inputs(spark, root), f"{root}/out", files_per_batch=1)
     assert tuples(again) == tuples(job.feed.batch_twin(spark.createDataFrame(rows, schema)))
+
+
+def test_a_drifted_extract_is_not_published(spark, inputs, monkeypatch):
+    monkeypatch.setitem(schemas.EXTRACTS, "uncovered_facilities", schemas.struct("city_name:s hospital_name:s zone:s more:s"))
+    with pytest.raises(schemas.SchemaMismatch, match="more"):
+        run("coverage_gaps", inputs, work_folder(spark, "drift"), dt.date(2024, 1, 15))
