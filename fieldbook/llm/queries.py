@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fieldbook.llm import oracles
 from fieldbook.llm.common import table
 
 QUERIES, ORACLES = {}, {}
@@ -48,7 +49,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@query("op8_license_scan")
+@query("op8_license_scan", oracles.LICENSE_SCAN)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldbook.llm import license_scan
 
@@ -93,7 +94,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("is_secret").select("doc_id", "kind", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score")
 
 
-@query("op2_jaccard_join")
+@query("op2_jaccard_join", oracles.JACCARD_JOIN)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldbook.llm import jaccard_join
 
@@ -101,7 +102,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("group_id").alias("class_id"), "copies", "n_links")
 
 
-@query("op6_decontamination")
+@query("op6_decontamination", oracles.DECONTAMINATION)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldbook.llm import decontaminate
 
@@ -117,7 +118,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-@query("op7_suffix_dedup")
+@query("op7_suffix_dedup", oracles.SUFFIX_DEDUP)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldbook.llm import suffix_dedup
 
