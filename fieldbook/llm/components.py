@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.session import stored
+from fieldbook.session import split_skewed_joins, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,9 +14,10 @@ def components(edges: DataFrame) -> DataFrame:
     In a round every node hands its larger neighbours, then its smaller ones, to its smallest
     neighbour, until the edges are stars. Distances halve, so the rounds grow with the logarithm of the
     longest path. The smallest neighbour is an aggregate that combines before the shuffle, and a hub's
-    edges are joined, not gathered, so no node needs its neighbours in one place. Each round's
-    edges are written to the shared folder.
+    edges are joined, not gathered; the session is set to split such a join over several tasks, so no node
+    needs its neighbours in one place. Each round's edges are written to the shared folder.
     """
+    split_skewed_joins(edges.sparkSession)
     a, b = F.col("a"), F.col("b")
     edges = edges.where("a <> b").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     edges, before = stored(edges, "edges"), None

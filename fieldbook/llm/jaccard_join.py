@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.llm.common import free_names, hashed_words, id_and_text, slices
 from fieldbook.llm.components import components
-from fieldbook.session import stored
+from fieldbook.session import split_skewed_joins, stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -191,6 +191,7 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     ``group_id`` is the least id of the documents that hang together by links, ``copies`` the number of documents with
     the same text, ``n_links`` the number of other documents similar enough, copies included.
     """
+    split_skewed_joins(docs.sparkSession)
     texts = id_and_text(docs, id, text)
     known = texts.where("doc_id is not null")
     rows = stored(labelled(known, prefix_length()), "signatures")
