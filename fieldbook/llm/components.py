@@ -14,8 +14,11 @@ def components(edges: DataFrame) -> DataFrame:
     In a round every node hands its larger neighbours, then its smaller ones, to its smallest
     neighbour, until the edges are stars. Distances halve, so the rounds grow with the logarithm of the
     longest path. The smallest neighbour is an aggregate that combines before the shuffle, and a hub's
-    edges are joined, not gathered; the session is set to split such a join over several tasks, so no node
-    needs its neighbours in one place. Each round's edges are written to the shared folder.
+    edges are joined, not gathered: they pass through a task as a stream of pairs of numbers. Each
+    round's edges are written to the shared folder.
+
+    Limit: as one side of that join is an aggregate, Spark does not split a hub's pairs over several
+    tasks, though the session is set to split skewed joins.
     """
     split_skewed_joins(edges.sparkSession)
     a, b = F.col("a"), F.col("b")
