@@ -558,7 +558,12 @@ def per_user_sql(period: str, group: str) -> str:
 @probe("A15_A17_per_user_by_month", per_user_sql(
     "cast(year(created_on) as int) as year, cast(month(created_on) as int) as month", "year, month"), "transaction")
 def _(t: Tables):
-    return cashback.transactions_per_user(t.view("transaction"), "month")
+    counts = per_user.with_user_kind(
+        t.view("transaction"), user="patient_id",
+        period=[F.year("created_on").alias("year"), F.month("created_on").alias("month")],
+        marks_user=F.col("payment_mode") == "CASHBACK", marked="cash", other="non-cash",
+    )
+    return per_user.per_user(counts, user="patient_id", period=["year", "month"])
 
 
 @probe("A15_per_user_legacy_month", per_user_sql("cast(month(created_on) as int) as month", "month"), "transaction")
