@@ -119,20 +119,29 @@ def columns_of(column: pa.Array) -> list[list]:
     return [[field[a:b] for a, b in zip(ends, ends[1:], strict=False)] for field in fields]
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[bytes]]]:
-    """Rows and their texts' bytes; the text is the second column. A block has BLOCK_BYTES or a little more."""
-    rows, texts, size = [], [], 0
+def blocks(batches: Iterator[pa.RecordBatch], more: int) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray, list[bytes]]]:
+    """Rows, where their piece of text begins, their text's checksum, and the piece's bytes; the text is the second column.
+
+    A piece has BLOCK_BYTES bytes and ``more`` of the following ones, and a block one piece or small texts of as many
+    bytes, so its arrays are bounded however long a text is. Which sample a string has depends on its own bytes
+    alone, so cutting a text only cuts the context that lies across the border in two.
+    """
+    rows, offsets, versions, texts, size = [], [], [], [], 0
     for batch in slices(batches):
         for row in zip(*[values for c in batch.columns for values in columns_of(c)], strict=True):
             raw = row[1].encode()
-            rows.append(row)
-            texts.append(raw)
-            size += len(raw)
-            if size >= BLOCK_BYTES:
-                yield rows, texts
-                rows, texts, size = [], [], 0
+            version = crc32(raw)
+            for offset in range(0, max(len(raw), 1), BLOCK_BYTES):
+                rows.append(row)
+                offsets.append(offset)
+                versions.append(version)
+                texts.append(raw[offset : offset + BLOCK_BYTES + more])
+                size += len(texts[-1])
+                if size >= BLOCK_BYTES:
+                    yield rows, np.array(offsets, np.int64), np.array(versions, np.int64), texts
+                    rows, offsets, versions, texts, size = [], [], [], [], 0
     if rows:
-        yield rows, texts
+        yield rows, np.array(offsets, np.int64), np.array(versions, np.int64), texts
 
 
 def place(first: np.ndarray, version: np.ndarray) -> np.ndarray:
@@ -150,9 +159,9 @@ def contexts(texts: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
     frequent = np.empty(0, np.int64) if frequent is None else np.sort(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw in blocks(batches):
+        for rows, offsets, versions, raw in blocks(batches, LENGTH - 1):
             block = Block(raw)
-            ids, versions = np.array([r[0] for r in rows], np.int64), np.array([crc32(t) for t in raw], np.int64)
+            ids = np.array([r[0] for r in rows], np.int64)
             owner, first, count, sample, whole = block.contexts()
             key, doc = block.hashes[sample].view(np.int64), ids[owner]
             order = np.lexsort((doc, whole, key))
@@ -170,7 +179,7 @@ def contexts(texts: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
             missing = np.arange(len(row)) < len(told)
             yield pa.RecordBatch.from_arrays([
                 pa.array(key[row], mask=missing), pa.array(whole[row].view(np.int64), mask=missing), pa.array(doc[row]),
-                pa.array(place(first[row] - block.starts[owner[row]], versions[owner[row]])),
+                pa.array(place(first[row] - block.starts[owner[row]] + offsets[owner[row]], versions[owner[row]])),
                 pa.array(np.concatenate([stretch, count[open_] * sign]).astype(np.int32)),
             ], schema=CONTEXT)
 
@@ -236,10 +245,15 @@ def strings(texts: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw in blocks(batches):
+        for rows, offsets, versions, raw in blocks(batches, REACH + LENGTH):
             block = Block(raw)
             owner = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
             first, n, bucket, large = (np.concatenate([r[i] for r in rows]) for i in (2, 3, 4, 5))
+            here = (first >= offsets[owner]) & (first < offsets[owner] + BLOCK_BYTES)
+            owner, n, bucket, large = owner[here], n[here], bucket[here], large[here]
+            first = first[here] - offsets[owner]
+            if not len(owner):
+                continue
             each = np.where(large, n, 1)
             at = np.repeat(np.arange(len(owner)), each)
             shift = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
@@ -251,7 +265,7 @@ def strings(texts: DataFrame) -> DataFrame:
             around = sliding_window_view(padded, REACH + LENGTH)[sample]
             left = around[:, REACH - 1 :: -1] * (np.arange(REACH) < (sample - start)[:, None])
             right = around[:, REACH:] * (np.arange(LENGTH) < (start + n - 1 + LENGTH - sample)[:, None])
-            ids, versions = np.array([r[0] for r in rows], np.int64), np.array([crc32(t) for t in raw], np.int64)
+            ids = np.array([r[0] for r in rows], np.int64)
             doc, settled = ids[owner], np.zeros(len(owner), bool)
             if large.any():
                 sums, inverse = block.powers()
@@ -264,7 +278,7 @@ def strings(texts: DataFrame) -> DataFrame:
             found = np.concatenate([left, right, (sample - start)[:, None]], 1).astype(np.uint8)
             held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(REACH + LENGTH + 1), len(found), [None, pa.py_buffer(found.tobytes())])
             yield pa.RecordBatch.from_arrays([
-                pa.array(bucket, mask=settled), pa.array(doc), pa.array(place(first, versions[owner])), pa.array(n.astype(np.int32)),
+                pa.array(bucket, mask=settled), pa.array(doc), pa.array(place(first + offsets[owner], versions[owner])), pa.array(n.astype(np.int32)),
                 held.cast(pa.binary()),
             ], ["bucket", "doc_id", "place", "n", "bytes"])
 
@@ -382,10 +396,12 @@ def kept(texts: DataFrame) -> DataFrame:
                 if not len(first):
                     out.append((len(raw), 0, 0, raw))
                     continue
-                bounds = np.bincount(first, minlength=len(raw) + 1) - np.bincount(first + n - 1 + LENGTH, minlength=len(raw) + 1)
-                gone = np.cumsum(bounds[:-1]) > 0
-                spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                out.append((len(raw), int(gone.sum()), spans, np.frombuffer(raw, np.uint8)[~gone].tobytes()))
+                order = np.argsort(first)
+                start, end = first[order], np.maximum.accumulate((first.astype(np.int64) + n - 1 + LENGTH)[order])
+                new = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
+                start, end = start[new].tolist(), end[np.append(new[1:], len(end)) - 1].tolist()
+                left = [raw[a:b] for a, b in zip([0, *end], [*start, len(raw)], strict=True)]
+                out.append((len(raw), sum(end) - sum(start), len(start), b"".join(left)))
             columns = zip(*out, strict=True) if out else ((), (), (), ())
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(

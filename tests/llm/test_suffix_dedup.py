@@ -64,6 +64,20 @@ def test_large_buckets_and_frequent_samples_give_the_same(docs, monkeypatch):
     assert deduped(docs(rows)) == brute(rows)
 
 
+def test_pieces_of_long_texts(spark):
+    """Texts of several pieces, with repeats across the borders."""
+    pick = random.Random(3)
+    size = sd.BLOCK_BYTES
+    long = "".join(pick.choices("abcdefgh ", k=2 * size + 500))
+    rows = [(1, long), (2, "xyz" + long[size - 400 : size + 400]), (3, long[: size + 60] + "#" + long[size + 60 :]), (4, long[-70:] + "!" * 60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in sd.dedup(frame).collect()}
+    assert got[1] == (len(long), 0, 0, long.encode())
+    assert got[2] == (803, 800, 1, b"xyz")
+    assert got[3] == (len(long) + 1, len(long), 2, b"#")
+    assert got[4] == (130, 70, 1, b"!" * 60)
+
+
 def test_the_table(table):
     docs = table("documents")
     assert deduped(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
