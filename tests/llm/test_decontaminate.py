@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import re
 
@@ -93,3 +95,29 @@ def test_place_and_size_of_an_overlap(docs, items):
 def test_no_python_in_the_plan(docs, items):
     plan = dc.overlaps(docs(ODD), items[1])._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_every_pattern_of_replaced_words_leaves_a_mask_unharmed():
+    for width in range(dc.SPAN, dc.WINDOW + 1):
+        fits = [{at + p for p in mask} for mask in dc.MASKS for at in range(width - max(mask))]
+        for replaced in itertools.combinations(range(width), width - math.ceil(dc.MATCHING * width)):
+            assert any(fit.isdisjoint(replaced) for fit in fits), (width, replaced)
+
+
+def test_every_pattern_of_replaced_words_is_found(spark, docs):
+    rows, texts = [], {}
+    for width in range(dc.SPAN, dc.WINDOW + 1):
+        texts[width] = [f"w{width}x{j}" for j in range(width)]
+        for n in range(width - math.ceil(dc.MATCHING * width) + 2):  # up to one more than an overlap allows
+            rows += [(width, replaced) for replaced in itertools.combinations(range(width), n)]
+    passages = [(i, " ".join("other" if j in replaced else w for j, w in enumerate(texts[width]))) for i, (width, replaced) in enumerate(rows)]
+    benchmark = spark.createDataFrame([(width, " ".join(t)) for width, t in texts.items()], "item_id long, text string")
+    want = {(i, width) for i, (width, replaced) in enumerate(rows) if width - len(replaced) >= dc.MATCHING * width}
+    assert found(docs(passages), benchmark) == want
+
+
+def test_every_fourth_word_replaced(spark, docs):
+    item = [f"w{j}" for j in range(40)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(first, " ".join("other" if j % 4 == first else w for j, w in enumerate(item))) for first in range(4)]
+    assert found(docs(rows), benchmark) == {(first, 1) for first in range(4)}
