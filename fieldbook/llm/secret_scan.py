@@ -2,8 +2,8 @@
 
 1. ``corpus_statistics``: one pass over all texts counts the transitions between neighbouring
    bytes and the short words; the ``DICTIONARY`` most frequent words are the dictionary.
-2. ``candidates``: known key formats, values assigned to names like *password*, and any long token
-   with a digit in it. Each gets its features: length, transitions (how likely its bytes follow
+2. ``candidates``: known key formats, values assigned to names like *password* with any number of blanks
+   around the sign, and any long token with a digit in it; keys without a fixed length may be of any. Each gets its features: length, transitions (how likely its bytes follow
    each other in the corpus, how often letters, capitals, digits and signs take turns), how much
    of it dictionary words cover, the document's path, and the neighbouring words.
 3. ``train``: a random forest on labelled findings (candidates with a 0 or 1), at most
@@ -48,15 +48,20 @@ LEAST = 14
 FORMATS = {
     "aws": r"(?:AKIA|ASIA)[0-9A-Z]{16}",
     "github": r"gh[pousr]_[A-Za-z0-9]{36}",
-    "slack": r"xox[abprs]-[A-Za-z0-9-]{10,80}",
+    "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}+",
     "google": r"AIza[0-9A-Za-z_-]{35}",
-    "stripe": r"[sr]k_(?:live|test)_[0-9A-Za-z]{16,64}",
-    "jwt": r"eyJ[A-Za-z0-9_-]{8,4000}\.[A-Za-z0-9_-]{8,4000}\.[A-Za-z0-9_-]{8,4000}",
+    "stripe": r"[sr]k_(?:live|test)_[0-9A-Za-z]{16,}+",
     "private_key": r"-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----",
 }
 NAMES = r"password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?secret|credential"
 FORMAT = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"(?P<{name}>{form})" for name, form in FORMATS.items()) + ")(?![A-Za-z0-9])").finditer
-ASSIGNED = re.compile(rf"(?i:{NAMES})[\"']?[ \t]{{0,4}}(?:=|:|=>|:=)[ \t]{{0,4}}[\"']?(?P<value>[^\s\"',;<>(){{}}]{{6,}})").finditer
+# Three parts of any length. Whether a run of the first part's characters is followed by two more is told once, at the run's start:
+# told again at every eyJ within the run, the time would grow with the square of its length.
+PART = "[A-Za-z0-9_-]"
+JWT = re.compile(
+    rf"(?<!{PART})(?={PART}{{11,}}+\.{PART}{{8,}}+\.{PART}{{8}}){PART}*?(?<![A-Za-z0-9])(?P<jwt>eyJ{PART}{{8,}}+\.{PART}{{8,}}+\.{PART}{{8,}}+)"
+).finditer
+ASSIGNED = re.compile(rf"(?i:{NAMES})[\"']?[ \t]*+(?:=|:|=>|:=)[ \t]*+[\"']?(?P<value>[^\s\"',;<>(){{}}]{{6,}})").finditer
 TOKEN = re.compile(r"[A-Za-z0-9+/=_.@-]{14,}").finditer
 WORDS = re.compile(r"(?<![^\W\d_])[^\W\d_]{2,6}(?![^\W\d_])").findall
 NEIGHBOUR = re.compile(r"[^\W_]+").findall
@@ -124,6 +129,8 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> Statistics:
 def found(text: str) -> list[tuple[str, int, int]]:
     """Candidates of a text as (kind, start, end); of overlapping ones the first kind stays."""
     taken: list[tuple[str, int, int]] = [(m.lastgroup, *m.span()) for m in FORMAT(text)]
+    if "eyJ" in text:
+        taken += [("jwt", *m.span("jwt")) for m in JWT(text)]
     if "=" in text or ":" in text:
         taken += [("assigned", *m.span("value")) for m in ASSIGNED(text)]
     taken += [("token", *m.span()) for m in TOKEN(text) if any(map(str.isdigit, m.group()))]
@@ -132,6 +139,8 @@ def found(text: str) -> list[tuple[str, int, int]]:
         if kind == "token" or kind == "assigned":
             if any(start < b and a < end for a, b in free):
                 continue
+        elif free and start < free[-1][1]:
+            continue
         free.append((start, end))
         kept.append((kind, start, end))
     return sorted(kept, key=lambda c: c[1:])
@@ -147,9 +156,24 @@ def entropy(value: str) -> float:
     return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
 
 
+def lead(text: str, start: int) -> str:
+    """The last 40 characters before a position, where a run of blanks counts as one, so that aligned settings look like others."""
+    near = text[max(0, start - 40) : start]
+    if "  " not in near and "\t" not in near:
+        return near
+    kept: list[str] = []
+    while start > 0 and len(kept) < 40:
+        start -= 1
+        blank = text[start] in " \t"
+        if not (blank and kept and kept[-1] == " "):
+            kept.append(" " if blank else text[start])
+    return "".join(reversed(kept))
+
+
 def features(text: str, start: int, end: int, path: str | None, known: Statistics) -> list[float]:
     value, path = text[start:end], path or ""
-    before, after = NEIGHBOUR(text[max(0, start - 40) : start]), NEIGHBOUR(text[end : end + 40])
+    leading = lead(text, start)
+    before, after = NEIGHBOUR(leading), NEIGHBOUR(text[end : end + 40])
     shape = value.strip("=")
     near = [0.0] * BUCKETS
     for word in before[-2:]:
@@ -170,7 +194,7 @@ def features(text: str, start: int, end: int, path: str | None, known: Statistic
         float(crc32(path.rpartition(".")[2].encode()) % BUCKETS) if "." in path else -1.0,
         float(bool(before and CUE(before[-1]))),
         float(any(map(CUE, before))),
-        float(text[max(0, start - 3) : start].strip(" \"'")[-1:] in ("=", ":")),
+        float(leading[-3:].strip(" \"'")[-1:] in ("=", ":")),
         np.mean([known.coverage(w) for w in before[-3:]]) if before else -1.0,
         np.mean([known.coverage(w) for w in after[:3]]) if after else -1.0,
         *near,

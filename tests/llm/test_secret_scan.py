@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -64,3 +65,34 @@ def test_candidates_do_not_overlap():
     text = f'secret_key = "{secret(5)}" ghp_{"aB3" * 12} -----BEGIN RSA PRIVATE KEY----- api-key: eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF'
     spans = [(a, b) for _, a, b in ss.found(text)]
     assert len(spans) == 4 and all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+
+
+@pytest.mark.parametrize("gap", [" ", " " * 5, " " * 60, "\t" * 8, " \t" * 30])
+def test_aligned_assignments_are_candidates_and_look_like_others(docs, forest, gap):
+    known, model = forest
+    for text, value in [(f"password{gap}={gap}hunter2xyz", "hunter2xyz"), (f'api_key:{gap}"abc123def9"', "abc123def9"), (f"token{gap}={gap}'{secret(4)}'", secret(4))]:
+        ((kind, start, end),) = ss.found(text)
+        assert (kind, text[start:end]) == ("assigned", value)
+        plain = text.replace(gap, " ")
+        assert ss.features(text, start, end, None, known) == ss.features(plain, plain.index(value), plain.index(value) + len(value), None, known)
+    rows = [(1, f"here token{gap}={gap}{secret(6)} stays"), (2, f"here password{gap}={gap}{secret(7)} stays")]
+    secrets = ss.scored(ss.candidates(docs(rows), known), model)
+    clean = {r.doc_id: r.text for r in ss.redacted(docs(rows), secrets).collect()}
+    assert clean == {1: f"here token{gap}={gap}[secret] stays", 2: f"here password{gap}={gap}[secret] stays"}
+
+
+def test_keys_of_any_length_are_formats_and_whole():
+    for kind, key in [
+        ("jwt", f"eyJ{'aB3_' * 5}.{'x9-Y' * 1500}.{'Zk4' * 2000}"), ("jwt", f"eyJ{'aB3_' * 2000}.{'x9-Y' * 3}.{'Zk4' * 9}"),
+        ("slack", f"xoxb-{'12aB-' * 60}9"), ("stripe", f"sk_live_{'4eC39' * 40}"),
+    ]:
+        for before, after in (("", ""), ("the key ", " is here"), ("x-", "\n")):
+            assert ss.found(before + key + after) == [(kind, len(before), len(before) + len(key))]
+
+
+def test_time_of_the_patterns_grows_with_the_text():
+    began = time.process_time()
+    for text in ("eyJ-" * 150_000, "eyJ-" * 150_000 + ".", "eyJaaaaaaaa." + "eyJ-" * 150_000, "eyJ-" * 75_000 + "." + "eyJ-" * 75_000 + ".eyJ", "xoxb-" * 100_000,
+                 "password" + " " * 600_000, ("password" + " " * 50) * 10_000, "password=" + " " * 600_000, "sk_live_" * 75_000):
+        ss.found(text)
+    assert time.process_time() - began < 20
