@@ -1,9 +1,9 @@
-"""Similarity join of documents by their sets of word shingles, with a MinHash LSH forest.
+"""Similarity join of documents by their sets of word shingles, with MinHash in fixed bands.
 
 1. Equal texts become one class; from here on a class counts once.
-2. Each class has a MinHash signature, cut into ``TREES`` labels of up to ``DEEPEST`` values. A tree is the
-   trie of its labels in sorted order; texts below one trie node share a prefix. From the deepest level
-   the prefix is shortened until pairs of the wanted similarity meet in some tree with the target
+2. Each class has a MinHash signature, cut into ``TREES`` labels. Texts that share a label's prefix are
+   candidates. How long the prefix is follows from the similarity alone, before any data are read: the
+   longest of at most ``DEEPEST`` values by which pairs of the wanted similarity meet with the target
    probability (``prefix_length``); with the defaults that is 5 of 8 values and 0.9996.
 3. Classes below a node are linked to its smallest one, which joins candidates into clusters without
    ever forming pairs.
