@@ -15,6 +15,7 @@ SCHEMAS = {
     "labels": "doc_id long, quality int, toxic int",
     "benchmark": "item_id long, text string",
     "pages": "page_id long, url string, html string",
+    "conversations": "conv_id long, turn long, role string, text string",
 }
 
 

@@ -89,3 +89,51 @@ LICENSE_SCAN = f"""
     select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
            coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score, coalesce(n_notices, 0) as n_notices
     from docs d left join told using (doc_id)"""
+
+
+# The checksum of a list of bytes by the usual table of 256 words, which the query builds.
+CRC_TABLE = """
+    crc_steps(i, step, c) as (select range, 0, range from range(256) union all
+      select i, step + 1, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end from crc_steps where step < 8),
+    crc_table as (select list(c order by i) as words from crc_steps where step = 8)"""
+
+
+def crc32(text: str) -> str:
+    """Of ASCII text; ``words`` of ``crc_table`` must be in reach."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda a, b: xor(a // 256, words[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+def _part(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar)::varchar || ':' || {value}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_part(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+MERKLE_MANIFEST = f"""
+    with recursive {CRC_TABLE},
+    leaves as (select row_number() over (order by source nulls first, doc_id nulls first) as id, dense_rank() over (order by source nulls first) as g,
+                      row_number() over (partition by source order by doc_id nulls first, {_leaf('text')}) - 1 as place, doc_id, {_leaf('text')} as leaf,
+                      case when {crc32('doc_id::varchar')} % 2 = 0 then {_leaf("replace(text, chr(10), '')")} else {_leaf('text')} end as other
+               from documents, crc_table),
+    low(g, level, place, h, n) as (select g, 0, place, leaf, count(*) over (partition by g) from leaves
+      union all select g, any_value(level) + 1, place // 3, sha256(string_agg(h, '' order by place)), (any_value(n) + 2) // 3 from low where n > 1 group by g, place // 3),
+    subroots as (select g, level as top, h as subroot from low where n = 1),
+    high(level, place, h, n) as (select 0, row_number() over (order by g) - 1, subroot, count(*) over () from subroots
+      union all select any_value(level) + 1, place // 3, sha256(string_agg(h, '' order by place)), (any_value(n) + 2) // 3 from high where n > 1 group by place // 3),
+    root as (select h as root from high where n = 1),
+    steps as (select id, level, l.place // (3 ** level)::bigint as own, leaf, other, g, 0 as tree from leaves l join subroots s using (g), range(s.top) t(level)
+              union all select id, level + 1000, (l.g - 1) // (3 ** level)::bigint, leaf, other, g, 1 from leaves l, (select level from high where n > 1 group by level)),
+    nodes as (select g, level, place, h, 0 as tree from low union all select null, level + 1000, place, h, 1 from high),
+    pairs as (select s.id, s.level, s.own, coalesce(string_agg(n.h, '' order by n.place) filter (n.place < s.own), '') as before,
+                     coalesce(string_agg(n.h, '' order by n.place) filter (n.place > s.own), '') as after
+              from steps s join nodes n on n.tree = s.tree and n.level = s.level and n.place // 3 = s.own // 3 and (s.tree = 1 or n.g = s.g) group by all),
+    proofs as (select id, list(struct_pack(b := before, a := after) order by level) as proof from pairs group by id),
+    fold(id, i, h, proof) as (select id, 0, other, proof from leaves left join proofs using (id)
+      union all select id, i + 1, sha256(proof[i + 1].b || h || proof[i + 1].a), proof from fold where i < coalesce(len(proof), 0)),
+    done as (select id, h from fold where i = coalesce(len(proof), 0))
+    select l.doc_id, l.leaf, s.subroot, r.root, sha256(coalesce(array_to_string(list_transform(p.proof, lambda x: x.b || x.a), ''), '')) as proof_sha256,
+           d.h as folded_root, d.h = r.root as verified
+    from leaves l join subroots s using (g) join done d using (id) left join proofs p using (id), root r"""

@@ -124,3 +124,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     left = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_merkle_manifest", oracles.MERKLE_MANIFEST)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import merkle
+
+    docs = table(spark, sf_dir, "documents")
+    values = {name: F.col(name) for name in merkle.FIELDS}
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = merkle.leaf({**values, "text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))})
+    made = merkle.manifest(docs, {"tampered": F.when(changed, tampered)})
+    made = made.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
