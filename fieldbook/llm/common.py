@@ -71,6 +71,23 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def clear_of(spans: list[tuple], taken: list[tuple[int, int]]) -> list[tuple]:
+    """Of spans (kind, start, end) by start those that overlap none of ``taken``, (start, end) in any order; one walk over both."""
+    joined: list[list[int]] = []
+    for start, end in sorted(taken):
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], end)
+        else:
+            joined.append([start, end])
+    free, at = [], 0
+    for span in spans:
+        while at < len(joined) and joined[at][1] <= span[1]:
+            at += 1
+        if at == len(joined) or span[2] <= joined[at][0]:
+            free.append(span)
+    return free
+
+
 def rank_file(path: str) -> dict[bytes, int]:
     """Token bytes and ranks of a file with one base64 token and one rank on each line."""
     import base64

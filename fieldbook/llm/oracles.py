@@ -137,3 +137,57 @@ MERKLE_MANIFEST = f"""
     select l.doc_id, l.leaf, s.subroot, r.root, sha256(coalesce(array_to_string(list_transform(p.proof, lambda x: x.b || x.a), ''), '')) as proof_sha256,
            d.h as folded_root, d.h = r.root as verified
     from leaves l join subroots s using (g) join done d using (id) left join proofs p using (id), root r"""
+
+
+def edit_rows() -> str:
+    """(initial, must go, state before, state after, letters, cost): up to two inserts, then the row's edit; states 0 none, 1 s, 2 u, 3 a."""
+    turn = {0: "u", 1: "u", 2: "a", 3: "u"}
+    state_of = {"u": 2, "a": 3}
+    rows = []
+    for start in range(4):
+        state, letters = start, ""
+        for _ in range(3):
+            for initial in "sua-":
+                rows.append((initial, state, letters + "D", start, state, 2 * len(letters) + 3, True))
+                if initial == turn[state]:
+                    rows.append((initial, state, letters + "K", start, state_of[initial], 2 * len(letters), False))
+                if initial == "s" and state == 0:
+                    rows.append((initial, state, letters + "K", start, 1, 2 * len(letters), False))
+                rows.append((initial, state, letters + "R", start, state_of[turn[state]], 2 * len(letters) + 2, False))
+            state, letters = state_of[turn[state]], letters + "I"
+    return ", ".join(f"('{i}', {gone}, {start}, {after}, '{letters}', {cost})" for i, _, letters, start, after, cost, gone in rows)
+
+
+CONVERSATION_REPAIR = rf"""
+    with recursive {CRC_TABLE},
+    lots as (select conv_id, coalesce(conv_id::varchar, ' ') as conv, turn, coalesce(role, ' ') as role, coalesce("text", ' ') as "text",
+                    {crc32("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 as lot from conversations, crc_table),
+    hurt as (select conv, turn, case when lot = 4 then 'user' else role end as role,
+                    case lot when 1 then '' when 2 then regexp_replace("text", '[.!?]', '', 'g') else "text" end as "text", unnest(range(case when lot = 3 then 2 else 1 end)) as copy
+             from lots where lot <> 0),
+    numbered as (select *, row_number() over (partition by conv order by turn nulls first, role, "text") as i from hurt),
+    faulty as (select *, left(role, 1) as initial, case when not regexp_matches("text", '[^\x20\x09-\x0D]') then 'b'
+                         when row_number() over (partition by conv, role, "text" order by i) > 1 then 'd'
+                         when not regexp_matches("text", '[.!?][\x20\x09-\x0D]*$') then 't' else '-' end as fault,
+                      lag(left(role, 1)) over (partition by conv order by i) as initial_before, max(i) over (partition by conv) as n from numbered),
+    edits(initial, gone, start, after, letters, cost) as (values {edit_rows()}),
+    walk(conv, i, state, told) as (select distinct conv, 0::bigint, 0, '000000000' from faulty
+      union all select w.conv, any_value(f.i), e.after, min(lpad((substr(told, 1, 9)::bigint + e.cost + case when f.fault = 't' and not e.gone then 1 else 0 end)::varchar, 9, '0') || substr(told, 10) || e.letters)
+      from walk w join faulty f on f.conv = w.conv and f.i = w.i + 1
+      join edits e on e.start = w.state and e.initial = case when f.initial in ('s', 'u', 'a') then f.initial else '-' end and (e.gone or f.fault not in ('b', 'd'))
+      group by w.conv, e.after),
+    ends(state, letters, cost) as (values (0, '', 0), (0, 'II', 4), (1, 'II', 4), (2, 'I', 2), (3, '', 0), (3, 'II', 4)),
+    best as (select w.conv, min(lpad((substr(told, 1, 9)::bigint + e.cost)::varchar, 9, '0') || substr(told, 10) || e.letters) as told
+             from walk w join ends e using (state) join (select conv, max(i) as n from faulty group by 1) c on c.conv = w.conv and c.n = w.i group by 1),
+    letters as (select conv, told, unnest(string_split(substr(told, 10), '')) as letter, generate_subscripts(string_split(substr(told, 10), ''), 1) as p from best where length(told) > 9),
+    aligned as (select *, count(*) filter (letter <> 'I') over (partition by conv order by p) as i from letters),
+    outs as (select a.conv, a.p, a.letter, f.role, f."text", coalesce(a.letter = 'K' and f.initial = 's', false) as leads
+             from aligned a left join faulty f on f.conv = a.conv and f.i = a.i and a.letter <> 'I' where a.letter <> 'D'),
+    ranked as (select *, row_number() over (partition by conv order by p) - max(leads::int) over (partition by conv) as turn_no from outs),
+    lines as (select conv, p, case when letter = 'K' then role when turn_no % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce("text", '') as line from ranked),
+    repaired as (select conv, string_agg(line, chr(10) order by p) as whole from lines group by 1),
+    counts as (select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+                      count(*) filter (fault = 't') as truncated, count(*) filter (i > 1 and initial_before || initial not in ('su', 'ua', 'au')) as illegal from faulty group by 1)
+    select l.conv_id, coalesce(c.gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+           coalesce(illegal, 0) as illegal, coalesce(substr(told, 1, 9)::bigint, 0) as cost, coalesce(substr(told, 10), '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+    from (select distinct conv_id, conv from lots) l left join counts c using (conv) left join best using (conv) left join repaired using (conv)"""

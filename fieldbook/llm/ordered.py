@@ -16,9 +16,13 @@ def before(name: str) -> str:
     return f"_before_{name}"
 
 
+def total(name: str) -> str:
+    return f"_total_{name}"
+
+
 def placed(rows: DataFrame, group: str, order: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
     """``rows`` with their place in their group (from 0, by ``order``), the group's size, and for each of
-    ``sums`` the total over the rows before.
+    ``sums`` the total over the rows before and over the group.
 
     The rows are sorted as a whole, so a hot group lies in many partitions; places inside a partition come from the
     rows' ids there, and what lies before a partition from one row per group and partition. ``_at`` is unique
@@ -36,9 +40,11 @@ def placed(rows: DataFrame, group: str, order: Sequence[str], sums: Sequence[str
     parts = parts.select(
         group, PART, (F.coalesce(F.sum("_rows").over(earlier), zero) - F.col("_first")).alias("_shift"), F.sum("_rows").over(whole).alias(OF),
         *[F.coalesce(F.sum(f"_sum_{s}").over(earlier), zero).alias(f"_sum_{s}") for s in sums],
+        *[F.sum(f"_sum_{s}").over(whole).alias(total(s)) for s in sums],
     )
     here = Window.partitionBy(group, PART).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
     return ordered.join(parts, [group, PART]).select(
         *rows.columns, AT, OF, (F.col(AT) + F.col("_shift")).alias(PLACE),
         *[(F.col(f"_sum_{s}") + F.coalesce(F.sum(s).over(here), zero)).alias(before(s)) for s in sums],
+        *[total(s) for s in sums],
     )

@@ -140,3 +140,18 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("proof"))).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query("op12_conversation_repair", oracles.CONVERSATION_REPAIR)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import conversations
+
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
+@query("op13_source_mixing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldbook.llm import mixing
+
+    return mixing.report(table(spark, sf_dir, "documents"))
