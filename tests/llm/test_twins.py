@@ -15,6 +15,7 @@ COLUMNS = {
     "op5_fingerprints": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     "op9_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
     "op10_quality_cotraining": "doc_id score keep",
+    "op13_source_mixing": "doc_id size source_size target taken",
 }
 
 
@@ -38,5 +39,5 @@ def test_a_row_for_each_document(spark, table, name):
 def test_all_are_registered():
     import __spark_entry__ as contract
 
-    assert set(queries.QUERIES) <= set(contract.queries()) and len(queries.QUERIES) == 11
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")) == list(range(1, 11))
+    assert set(queries.QUERIES) <= set(contract.queries()) and len(queries.QUERIES) == 14
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")) == list(range(1, 14))
