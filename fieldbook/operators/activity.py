@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.functions.clock import elapsed_seconds, instant, micros
-from fieldbook.operators.skew import MICROS, SLICE, Slices, later_minima_of
+from fieldbook.functions.clock import elapsed_seconds, instant
+from fieldbook.operators.ranges import next_rows
 
 
 def with_next_row(
@@ -19,28 +19,13 @@ def with_next_row(
     ts: str,
     id: str,
     values: Sequence[str],
-    slices: Slices = Slices(),
     suffix: str = "_lead",
 ) -> DataFrame:
-    """``<value>_lead`` of the following row per key in (ts, id) order.
+    """``<value>_lead`` of the following row per key in (ts, id) order; a row without a key has no following row.
 
-    Inside a slice of time the following row is a window's; the last row of a slice takes the
-    first row of the next slice that has any. A row without a key has no following row; such
-    rows are spread by ``id``. Rows of one key within one slice share a task.
+    The rows are sorted into ranges and walked once (``ranges``), so a hot key lies in many tasks.
     """
-    keyed = F.col(key).isNotNull()
-    place = F.when(keyed, slices.of(F.col(MICROS))).otherwise(F.xxhash64(id))
-    rows = df.withColumn(MICROS, micros(F.col(ts))).withColumn(SLICE, place)
-    order = Window.partitionBy(key, SLICE).orderBy(MICROS, id)
-    inside = rows.withColumn("_next", F.lead(F.struct(*values)).over(order))
-    # The first row of a slice in (ts, id) order, as the least of structs that begin so.
-    first = F.struct(MICROS, F.col(id).alias("_id"), F.struct(*values).alias("_values"))
-    starts = rows.where(keyed).groupBy(key, SLICE).agg(F.min_by(first, F.struct(MICROS, id)).alias("_first"))
-    after = later_minima_of(starts, key, SLICE, ["_first"], (slices.coarse,))
-    after = after.select(key, SLICE, F.col("_first._values").alias("_after"))
-    found = inside.join(after, [key, SLICE], "left")
-    following = F.when(keyed, F.coalesce("_next", "_after"))
-    found = found.withColumn("_next", following)
+    found = next_rows(df, key=key, ts=ts, id=id, name="_next", values=values, keep=df.columns)
     return found.select(*df.columns, *[F.col(f"_next.{v}").alias(f"{v}{suffix}") for v in values])
 
 
@@ -54,14 +39,13 @@ def active_seconds(
     reason: str,
     active: Column,
     as_of: dt.date,
-    slices: Slices = Slices(),
 ) -> DataFrame:
     """Seconds until the next event, for active rows only.
 
     A session is open when the next row has no *value* (or there is no next row); it then
     ends at 23:59:59 of the day before ``as_of``.
     """
-    led = with_next_row(df, key=agent, ts=ts, id=id, values=[ts, reason, value], slices=slices)
+    led = with_next_row(df, key=agent, ts=ts, id=id, values=[ts, reason, value])
     close = instant(dt.datetime.combine(as_of - dt.timedelta(days=1), dt.time(23, 59, 59)))
     end = F.when(F.col(f"{value}_lead").isNull(), close).otherwise(F.col(f"{ts}_lead"))
     seconds = F.when(active, elapsed_seconds(F.col(ts), end))

@@ -4,10 +4,8 @@ For each message: the first response and the first spend strictly after it, cred
 only if no message of a rival campaign lies strictly after the message and at or before
 that event. Messages of the same campaign never compete with each other.
 
-All campaigns, responses and spends share one event set. Rows of one instant share one
-answer, so they are combined per (key, instant) before the shuffle; a pile of rows at one
-instant is one row from then on. The messages join their instant's answer; their own columns
-are shuffled once. The feeds are read twice: for the events with a few columns, for the messages with all.
+All campaigns, responses and spends are one set of rows, sorted once into ranges and walked once
+(``ranges``); no row is joined with another, however hot a key or bursty a feed.
 """
 
 from __future__ import annotations
@@ -18,8 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.functions.clock import micros
-from fieldbook.operators.skew import MICROS, Slices, later_minima_of
+from fieldbook.operators.ranges import MICROS, later_minima
 
 RESULT_COLUMNS = (
     "responded", "response_id", "channel", "used", "spend_id", "used_on", "creation_type",
@@ -37,7 +34,6 @@ def attribute(
     id: str,
     campaigns: Sequence[str],
     rivals: Mapping[str, Sequence[str]] | None = None,
-    slices: Slices = Slices(),
 ) -> DataFrame:
     """Messages plus ``RESULT_COLUMNS``; one output row per message.
 
@@ -58,7 +54,7 @@ def attribute(
     )
     found = later_minima(
         rows, key=key, ts="_ts", marks=_marks(campaigns), keep=["_campaign", "_message"],
-        only=F.col("_message").isNotNull(), slices=slices,
+        only=F.col("_message").isNotNull(),
     )
     rival = _first_rival(campaigns, rivals)
     return found.select(
@@ -68,30 +64,6 @@ def attribute(
     )
 
 
-def later_minima(
-    rows: DataFrame,
-    *,
-    key: str,
-    ts: str,
-    marks: Mapping[str, Column],
-    keep: Sequence[str],
-    only: Column | None = None,
-    slices: Slices = Slices(),
-) -> DataFrame:
-    """``keep`` plus, per mark, its minimum over the strictly later rows of the same key.
-
-    Marks may use ``_us`` (microseconds). ``only`` limits the rows returned, not the rows
-    looked at. A row without a key is kept and finds nothing.
-    """
-    timed = rows.withColumn(MICROS, micros(F.col(ts)))
-    instants = timed.where(F.col(key).isNotNull()).groupBy(key, MICROS).agg(
-        *[F.min(expr).alias(name) for name, expr in marks.items()]
-    )
-    answers = later_minima_of(instants, key, MICROS, list(marks), (slices.fine, slices.coarse))
-    wanted = timed if only is None else timed.where(only)
-    return wanted.select(key, MICROS, *keep).join(answers, [key, MICROS], "left").select(*keep, *marks)
-
-
 def _event_rows(
     df: DataFrame, key: str, ts: str, name: str, id: str, payload: Sequence[str]
 ) -> DataFrame:

@@ -17,7 +17,6 @@ from fieldbook.operators.ledger import (
 )
 from fieldbook.operators.lookup import left_lookup, restrict_to
 from fieldbook.operators.per_user import OVERALL, per_user, with_user_kind
-from fieldbook.operators.skew import Slices
 from fieldbook.session import stored
 
 NUDGE, PROMO_CREDIT, ONE_TIME = "nudge", "promo_credit", "one_time"
@@ -192,14 +191,12 @@ def spends(ledger: DataFrame) -> DataFrame:
     )
 
 
-def attributed_messages(
-    messages: DataFrame, reply_feed: DataFrame, spend_feed: DataFrame, slices: Slices = Slices()
-) -> DataFrame:
-    """Messages with their credit. The messages come out of several joins and are read twice
-    (for the events, then for the messages themselves), so they are stored first."""
+def attributed_messages(messages: DataFrame, reply_feed: DataFrame, spend_feed: DataFrame) -> DataFrame:
+    """Messages with their credit. The messages come out of several joins and are evaluated twice
+    (for the bounds of the ranges, then for the sort), so they are stored first."""
     return attribute(
         stored(messages, "messages"), reply_feed, spend_feed, key="phone", ts="sent_on",
-        campaign="campaign", id="id", campaigns=CAMPAIGNS, slices=slices,
+        campaign="campaign", id="id", campaigns=CAMPAIGNS,
     )
 
 

@@ -13,7 +13,6 @@ from fieldbook.functions.text import city_label, stringify
 from fieldbook.operators.activity import active_seconds
 from fieldbook.operators.lookup import first_per_key, latest_per_key, left_lookup
 from fieldbook.operators.reporting import apply_codes, coverage_gaps
-from fieldbook.operators.skew import Slices
 from fieldbook.sources import schemas
 
 ACTIVITY = "newAvailabilityValue string, perviousAvailabilityValue string, reason string"
@@ -26,7 +25,6 @@ def availability_sessions(
     *,
     roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
-    slices: Slices = Slices(),
 ) -> DataFrame:
     """How long was each support agent available?"""
     support = personnel.where(F.col("personnel_type") == roles.support).select(
@@ -48,7 +46,7 @@ def availability_sessions(
     active = (F.col("new_value") == "true") | (F.col("reason") == v.MEETING_REASON)
     timed = active_seconds(
         rows, agent="assigned_to", ts="created_on", id="id", value="new_value",
-        reason="reason", active=active, as_of=as_of, slices=slices,
+        reason="reason", active=active, as_of=as_of,
     )
     return schemas.conform(timed, schemas.AGENT_ACTIVE)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
@@ -12,7 +13,7 @@ from fieldbook.operators import (
     attribution, documents, funnel, ledger, lookup, per_user, pricing, reporting,
 )
 from fieldbook.operators.activity import active_seconds, with_next_row
-from fieldbook.operators.skew import MICROS, Slices
+from fieldbook.operators.ranges import MICROS, later_minima
 from fieldbook.plans import cashback
 from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables, probe
@@ -289,9 +290,17 @@ EVENT_FEED = """
 ATTRIBUTED = ("id", "campaign", "responded", "response_id", "used", "spend_id")
 
 
-def attributed_orders(t: Tables, **options):
+# A third of all rows under one key.
+HOT_ORDER_FEED = ORDER_FEED.replace("select o_custkey as k", "select case when o_custkey % 3 = 0 then 0 else o_custkey end as k")
+
+
+def hot(key: str) -> Column:
+    return F.when(F.col(key) % 3 == 0, 0).otherwise(F.col(key))
+
+
+def attributed_orders(t: Tables, key: Column | None = None, **options):
     rows = t.orders.select(
-        F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("sent_on"),
+        (F.col("o_custkey") if key is None else key).alias("k"), F.col("o_orderdate").alias("sent_on"),
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("campaign"), "o_orderstatus",
     )
     messages = rows.where(F.col("o_orderstatus") == "O").drop("o_orderstatus")
@@ -335,9 +344,9 @@ def _(t: Tables):
     return attributed_events(t).select(*ATTRIBUTED)
 
 
-@probe("N18_attribution_hot_keys", ORDER_FEED + attribution_sql(ORDER_CAMPAIGNS))
+@probe("N18_attribution_hot_keys", HOT_ORDER_FEED + attribution_sql(ORDER_CAMPAIGNS))
 def _(t: Tables):
-    return attributed_orders(t, slices=Slices(41, 4)).select(*ATTRIBUTED)
+    return attributed_orders(t, hot("o_custkey")).select(*ATTRIBUTED)
 
 
 @probe("N19_attribution_without_rivals", EVENT_FEED + attribution_sql(EVENT_CAMPAIGNS, "cast(null as bigint)"))
@@ -626,12 +635,10 @@ def _(t: Tables):
     return led.select("event_id", "ts_lead", "event_type_lead", "props_lead")
 
 
-@probe("W01_lead_hot_keys", LEAD_SQL)
+@probe("W01_lead_hot_keys", LEAD_SQL.replace("partition by user_id", "partition by case when user_id % 3 = 0 then 0 else user_id end"))
 def _(t: Tables):
-    led = with_next_row(
-        t.events, key="user_id", ts="ts", id="event_id", values=["ts", "event_type", "props"],
-        slices=Slices(36, 3),
-    )
+    rows = t.events.withColumn("user_id", hot("user_id"))
+    led = with_next_row(rows, key="user_id", ts="ts", id="event_id", values=["ts", "event_type", "props"])
     return led.select("event_id", "ts_lead", "event_type_lead", "props_lead")
 
 
@@ -670,10 +677,7 @@ def _(t: Tables):
       partition by user_id order by epoch_us(ts) range between 1 following and unbounded following) as next_purchase from events""")
 def _(t: Tables):
     spend = F.when(F.col("event_type") == "purchase", F.col(MICROS))
-    return attribution.later_minima(
-        t.events, key="user_id", ts="ts", marks={"next_purchase": spend}, keep=["event_id"],
-        slices=Slices(37, 3),
-    )
+    return later_minima(t.events, key="user_id", ts="ts", marks={"next_purchase": spend}, keep=["event_id"])
 
 
 # ---- sorts and set operations --------------------------------------------------------

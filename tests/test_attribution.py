@@ -5,8 +5,10 @@ import pytest
 from conftest import at, tuples
 from pyspark.sql import functions as F
 
-from fieldbook.operators.attribution import attribute, later_minima
-from fieldbook.operators.skew import Slices
+from fieldbook.operators import ranges
+from fieldbook.operators.activity import with_next_row
+from fieldbook.operators.attribution import attribute
+from fieldbook.operators.ranges import later_minima
 
 MESSAGES = "k:s sent_on:t campaign:s id:l"
 RESPONSES = "k:s sent_on:t id:l channel:s"
@@ -50,18 +52,39 @@ def random_input(seed, size=260, keys=6, instants=25):
     return messages, responses, spends
 
 
-POLICIES = {
-    "default": Slices(),
-    "one slice": Slices(62, 1),
-    "one instant each": Slices(1, 1),
-    "some of each": Slices(27, 2),
-}
+@pytest.fixture
+def cut(spark):
+    """``cut(n)``: later sorts make n ranges, also of few rows."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = {name: spark.conf.get(name) for name in names}
 
+    def make(n, batch=10_000):
+        for name, value in zip(names, (n, "false", batch), strict=True):
+            spark.conf.set(name, str(value))
 
-@pytest.mark.parametrize("policy", POLICIES)
+    yield make
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.fixture
+def walked(monkeypatch):
+    """What was written of the walks: each plan's frame and the table read back."""
+    seen, real = [], ranges.stored
+
+    def stored(df, purpose):
+        seen.append((df, real(df, purpose)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(ranges, "stored", stored)
+    return seen
+
+
+@pytest.mark.parametrize("many, batch", [(1, 10_000), (1, 7), (5, 10_000), (40, 3), (200, 10_000)])
 @pytest.mark.parametrize("rivals", ["all", "none", "one"])
-def test_against_nested_loops(table, policy, rivals):
-    messages, responses, spends = random_input(seed=len(policy) * 31 + len(rivals))
+def test_against_nested_loops(table, cut, many, batch, rivals):
+    cut(many, batch)
+    messages, responses, spends = random_input(seed=many * 31 + len(rivals))
     chosen = {
         "all": {c: [o for o in ABC if o != c] for c in ABC},
         "none": {c: [] for c in ABC},
@@ -70,7 +93,7 @@ def test_against_nested_loops(table, policy, rivals):
     got = attribute(
         table(MESSAGES, messages), table(RESPONSES, responses), table(SPENDS, spends),
         key="k", ts="sent_on", campaign="campaign", id="id", campaigns=ABC,
-        rivals=None if rivals == "all" else chosen, slices=POLICIES[policy],
+        rivals=None if rivals == "all" else chosen,
     ).collect()
     found = {r.id: (r.responded, r.response_id, r.used, r.spend_id) for r in got}
     assert found == by_hand(messages, responses, spends, chosen)
@@ -121,7 +144,7 @@ def test_one_key_with_many_rows(spark):
     spends = rows.where("kind = 3").select("k", "sent_on", "id", F.lit("V").alias("used_on"), F.lit("").alias("creation_type"))
     got = attribute(
         messages.drop("kind"), responses.drop("kind"), spends, key="k", ts="sent_on",
-        campaign="campaign", id="id", campaigns=["a", "b"], slices=Slices(26, 3),
+        campaign="campaign", id="id", campaigns=["a", "b"],
     )
     # Order of kinds is a, b, reply, spend: only b reaches its reply and spend.
     assert tuples(got.groupBy("campaign", "responded", "used").count()) == [
@@ -129,16 +152,52 @@ def test_one_key_with_many_rows(spark):
     ]
 
 
-def test_a_burst_and_a_pile_stay_in_small_slices(spark):
+def burst(spark):
     """200,000 rows of one key within 50 seconds, and 50,000 at one instant."""
-    burst = spark.range(200_000).select(F.lit("x").alias("k"), (F.col("id") * 250).alias("us"), "id")
+    even = spark.range(200_000).select(F.lit("x").alias("k"), (F.col("id") * 250).alias("us"), "id")
     pile = spark.range(50_000).select(F.lit("x").alias("k"), F.lit(60_000_000).cast("long").alias("us"), (F.col("id") + 200_000).alias("id"))
-    rows = burst.unionByName(pile).withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
-    slices = Slices()
-    instants = rows.select("k", "us").distinct().groupBy("k", slices.of(F.col("us"))).count()
-    assert instants.agg(F.max("count")).first()[0] <= 4200
-    found = later_minima(rows, key="k", ts="ts", marks={"next": F.col("_us")}, keep=["us", "id"])
+    return even.unionByName(pile).withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
+
+
+def test_a_burst_and_a_pile_spread_over_ranges(spark, cut, walked):
+    cut(16)
+    found = later_minima(burst(spark), key="k", ts="ts", marks={"next": F.col("_us")}, keep=["us", "id"])
     assert found.count() == 250_000
     wrong = F.col("next") != F.when(F.col("us") < 49_999_750, F.col("us") + 250).otherwise(60_000_000)
     assert found.where("us < 60000000").where(wrong | F.col("next").isNull()).count() == 0
     assert found.where("us = 60000000 and next is not null").count() == 0
+    sizes = [r["count"] for r in walked[0][1].groupBy("_range").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 40_000
+    assert walked[0][1].where(F.col("_role") != ranges.ROW).count() == 3 * len(sizes)
+
+
+def test_next_rows_over_ranges(spark, cut, walked):
+    cut(16)
+    found = with_next_row(burst(spark), key="k", ts="ts", id="id", values=["us", "id"])
+    assert found.where("id = 249999").select("id_lead", "us_lead").first() == (None, None)
+    assert found.where("id < 249999 and (id_lead is null or id_lead <> id + 1 or us_lead < us)").count() == 0
+    assert max(r["count"] for r in walked[0][1].groupBy("_range").count().collect()) < 40_000
+
+
+@pytest.mark.parametrize("many, batch", [(1, 4), (6, 10_000), (50, 2)])
+def test_next_rows_against_a_sort(table, cut, many, batch):
+    cut(many, batch)
+    draw = random.Random(many)
+    rows = [(draw.choice(["a", "b", "b", None]), at("2024-01-01 00:00:00") + dt.timedelta(seconds=draw.randrange(30)), i) for i in range(150)]
+    want = {}
+    for key in ("a", "b"):
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: r[1:])
+        want |= {a[2]: (b and b[1], b and b[2]) for a, b in zip(mine, [*mine[1:], None], strict=True)}
+    got = with_next_row(table("k:s ts:t id:l", rows), key="k", ts="ts", id="id", values=["ts", "id"]).collect()
+    assert {r.id: (r.ts_lead, r.id_lead) for r in got} == want | {r[2]: (None, None) for r in rows if r[0] is None}
+
+
+def test_other_columns_may_have_any_name_and_type(spark):
+    rows = spark.sql("""
+        select id, 'x' as k, timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as ts, map('a', id) as _keep, array(id) as _m0,
+               cast(id as decimal(9, 2)) as _role, timestamp'2024-01-01' as _range, named_struct('z', id) as _place from range(5)""")
+    found = with_next_row(rows, key="k", ts="ts", id="id", values=["_m0", "_place"]).orderBy("id").collect()
+    assert [r["_m0_lead"] for r in found] == [[1], [2], [3], [4], None]
+    assert [r["_keep"] for r in found] == [{"a": i} for i in range(5)] and found[0]["_place_lead"].z == 1
+    empty = later_minima(rows.limit(0), key="k", ts="ts", marks={"next": F.col("_us")}, keep=["id"])
+    assert empty.columns == ["id", "next"] and empty.count() == 0

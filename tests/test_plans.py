@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clock
-from fieldbook.operators import ledger
+from fieldbook.operators import ledger, ranges
 from fieldbook.operators.activity import with_next_row
 from fieldbook.operators.lookup import first_per_key, left_lookup, restrict_to
 from fieldbook.plans import calls, commission, records
@@ -26,18 +26,44 @@ def exchanges(plan: str) -> int:
     return len(re.findall(r"\bExchange (?:hash|range|Single|RoundRobin)", plan))
 
 
-def test_attribution_windows_run_inside_slices(spark):
-    plan = plan_of(attributed_orders(Tables(spark, FOLDER)))
-    windows = re.findall(r"Window \[.*\], \[([^]]*)\], \[[^]]* DESC", plan)
-    # By (key, group of instants), by (key, group of slices), and by key over one row per group of slices.
-    assert sorted(w.count(",") for w in windows) == [0, 1, 1]
+@pytest.fixture
+def written(monkeypatch):
+    """The frames whose walk was written, before they are."""
+    seen, real = [], ranges.stored
+
+    def stored(df, purpose):
+        seen.append(df)
+        return real(df, purpose)
+
+    monkeypatch.setattr(ranges, "stored", stored)
+    return seen
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_attribution_sorts_its_rows_once(spark, written, without_broadcasts):
+    found = attributed_orders(Tables(spark, FOLDER))
+    (walk,) = written
+    # The rows by (key, time); then only the ends of the ranges, by key.
+    assert exchanges(plan_of(walk)) == 1 and "rangepartitioning(_key" in plan_of(walk)
+    assert exchanges(plan_of(found)) == 1 and "SortMergeJoin" not in plan_of(found)
 
 
-def test_lead_windows_run_inside_slices(spark):
+def test_three_leads_sort_the_feed_once(spark, written, without_broadcasts):
     t = Tables(spark, FOLDER)
-    plan = plan_of(with_next_row(t.events, key="user_id", ts="ts", id="event_id", values=["ts", "event_type", "props"]))
-    assert re.search(r"Window \[lead.*\[user_id#\d+L, _slice#\d+L\]", plan)
-    assert len(re.findall(r"Window \[", plan)) == 3
+    led = with_next_row(t.events, key="user_id", ts="ts", id="event_id", values=["ts", "event_type", "props"])
+    (walk,) = written
+    assert exchanges(plan_of(walk)) == 1 and plan_of(walk).count("FileScan") == 1
+    assert exchanges(plan_of(led)) == 1 and "SortMergeJoin" not in plan_of(led)
 
 
 def test_day_filters_and_columns_reach_the_scan(spark):

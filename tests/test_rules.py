@@ -11,7 +11,6 @@ from fieldbook import vocabulary as v
 from fieldbook.functions import clock, text
 from fieldbook.operators import funnel, ledger, lookup, per_user, pricing, reporting
 from fieldbook.operators.activity import active_seconds
-from fieldbook.operators.skew import Slices
 from fieldbook.probes.deployment import CITY_CODES, ROLES
 from fieldbook.plans import cashback, staff
 
@@ -137,18 +136,17 @@ def test_user_of_two_kinds_counts_once_overall(table):
 
 
 # D10
-def sessions(table, rows, **options):
+def sessions(table, rows):
     df = table("id:l agent:s ts:t value:s reason:s", rows)
     active = (F.col("value") == "true") | (F.col("reason") == v.MEETING_REASON)
     out = active_seconds(
         df, agent="agent", ts="ts", id="id", value="value", reason="reason", active=active,
-        as_of=dt.date(2024, 1, 3), **options,
+        as_of=dt.date(2024, 1, 3),
     )
     return {r.id: r.total_active_sec for r in out.collect()}
 
 
-@pytest.mark.parametrize("slices", [Slices(), Slices(1, 1), Slices(40, 3)])
-def test_availability_sessions(table, slices):
+def test_availability_sessions(table):
     found = sessions(table, [
         (1, "a", at("2024-01-02 10:00:00"), "true", None), (2, "a", at("2024-01-02 10:00:30.5"), "false", None),
         (3, "a", at("2024-01-02 11:00:00"), "false", v.MEETING_REASON),
@@ -156,7 +154,7 @@ def test_availability_sessions(table, slices):
         (5, "a", at("2024-01-02 23:00:00"), None, "x"),
         (6, "b", at("2024-01-01 23:59:50"), "true", None),
         (7, None, at("2024-01-02 23:59:00"), "true", None), (8, None, at("2024-01-02 23:59:30"), "true", None),
-    ], slices=slices)
+    ])
     assert found == {
         1: 30, 2: None, 3: 0,           # equal times: the id decides the order
         4: 46799,                       # next value missing: closes at 23:59:59
