@@ -41,6 +41,7 @@ SEED = 13
 # Sources whose shares are drawn together, and shards whose counts are summed together.
 TOGETHER = 1024
 ROUNDS = 6
+SLOTS_A_TASK = 200_000
 SOURCE = "_source"
 
 
@@ -176,7 +177,7 @@ def _rng(seed: int, *at: int) -> np.random.Generator:
 
 
 def slots(sources: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
-    """shard, lot, source, number, block, upto: every slot of the mix and the block that it shows.
+    """shard, lot, source, number, block, upto: every slot of the mix and the block that it shows; stored.
 
     Slots of a shard are ordered by ``lot``; of a block the first ``upto`` words are used.
     """
@@ -256,8 +257,11 @@ def slots(sources: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([columns[0], pa.array([row[SOURCE]] * row["n"], pa.string()), *columns[1:]],
                                                  names=["shard", SOURCE, "number", "block", "upto"])
 
-    shown = runs.where("n > 0").unionByName(owed).mapInArrow(show, f"shard long, {SOURCE} string, number long, block long, upto long")
-    return shown.withColumn("lot", F.xxhash64("shard", SOURCE, "number"))
+    # A short row makes many slots, so the tasks are counted by slots. Written, as Spark can't tell the size of what a task makes.
+    tasks = -(-all_slots // SLOTS_A_TASK) or 1
+    runs = runs.where("n > 0").unionByName(owed).repartition(tasks, "shard", SOURCE, "start")
+    shown = runs.mapInArrow(show, f"shard long, {SOURCE} string, number long, block long, upto long")
+    return once(shown.withColumn("lot", F.xxhash64("shard", SOURCE, "number")), "slots")
 
 
 def blocks(rows: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
