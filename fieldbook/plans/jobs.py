@@ -255,20 +255,19 @@ FEEDS: dict[str, FeedJob] = {
 
 
 def run_feed(name: str, inputs: Inputs, out: str, files_per_batch: int = 1000) -> DataFrame:
-    """Take in what has arrived below ``<root>/inbox/<table>`` and return what the feed publishes now.
+    """Take in what has arrived below ``<root>/inbox/<table>``, publish what that changes, and return what is published now.
 
-    Stored batches are kept in ``<out>/<name>/rows`` and the feed's position beside them in
-    ``<out>/<name>/position``; the two belong together. The published rows are written to
-    ``<out>/<name>/published``.
+    Below ``<out>/<name>``: the stored batches in ``rows``, the feed's position in ``position`` (the two belong
+    together), the answer in ``published``, laid out by its days.
     """
     job = FEEDS[name]
-    feed, schema = job.feed, schemas.FEED_INPUTS[job.table]
+    schema = schemas.FEED_INPUTS[job.table]
+    kept = feeds.store(inputs.spark, job.feed, f"{out}/{name}", schema)
     stream = feeds.file_stream(inputs.spark, f"{inputs.root}/inbox/{job.table}", schema, "*.parquet", files_per_batch)
-    rows = f"{out}/{name}/rows"
-    feeds.drain(stream, feed, rows, f"{out}/{name}/position")
-    answer = feeds.published(inputs.spark, feed, rows, feeds.stored_schema(inputs.spark, feed, schema))
-    answer.write.mode("overwrite").parquet(f"{out}/{name}/published")
-    return inputs.spark.read.schema(answer.schema).parquet(f"{out}/{name}/published")
+    feeds.drain(stream, kept, f"{out}/{name}/position")
+    kept.publish()
+    kept.compact()
+    return kept.published()
 
 
 def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from fieldbook import vocabulary as v
 from fieldbook.functions.clock import to_local
@@ -15,20 +14,27 @@ from fieldbook.session import work_folder
 from fieldbook.streaming import feeds
 
 
-def inbox(t: Tables, table: str) -> tuple[str, StructType]:
-    """The table's rows in several files that are not in time order, as a feed may find them."""
-    folder, rows = work_folder(t.spark, "inbox"), getattr(t, table)
-    rows.repartition(4, F.xxhash64(*rows.columns)).write.parquet(folder)
-    return folder, rows.schema
+POLLS = 3
 
 
-def fed(t: Tables, table: str, feed: feeds.Feed, bind, files_per_batch: int = 1) -> DataFrame:
-    """What the feed publishes of a table, each file being a batch of its own."""
-    folder, schema = inbox(t, table)
-    stream = bind(feeds.file_stream(t.spark, folder, schema, "*.parquet", files_per_batch))
-    out = work_folder(t.spark, "feed")
-    feeds.drain(stream, feed, out, work_folder(t.spark, "feed-state"))
-    return feeds.published(t.spark, feed, out, feeds.stored_schema(t.spark, feed, stream.schema))
+def arrivals(rows: DataFrame) -> list[DataFrame]:
+    """The rows in parts that are not in time order, as a feed may find them one after another."""
+    lot = F.pmod(F.xxhash64(*rows.columns), F.lit(POLLS))
+    return [rows.where(lot == i) for i in range(POLLS)]
+
+
+def fed(t: Tables, parts: list[DataFrame], feed: feeds.Feed, bind) -> DataFrame:
+    """What the feed has published after a poll for each part; as many tasks write and read a part as it needs."""
+    folder = work_folder(t.spark, "inbox")
+    stream = bind(feeds.file_stream(t.spark, folder, parts[0].schema, "*.parquet"))
+    kept = feeds.store(t.spark, feed, work_folder(t.spark, "feed"), stream.schema)
+    position = work_folder(t.spark, "feed-position")
+    for rows in parts:
+        rows.write.mode("append").parquet(folder)
+        feeds.drain(stream, kept, position)
+        kept.publish()
+        kept.compact(fanout=2)
+    return kept.published()
 
 
 CALLS_SQL = """
@@ -52,13 +58,13 @@ def as_calls(events: DataFrame) -> DataFrame:
     from (select *, time_bucket(interval '10 minutes', call_created_on, timestamp '1970-01-01') as w from {CALLS_SQL})
     where final_status <> 'CALL_COMPLETED' group by all""")
 def _(t: Tables):
-    return fed(t, "events", feeds.failed_call_counts(), as_calls)
+    return fed(t, arrivals(t.events), feeds.failed_call_counts(), as_calls)
 
 
 @probe("T01_failed_call_rows", f"""
     select sid, call_created_on, final_status from {CALLS_SQL} where final_status <> 'CALL_COMPLETED'""")
 def _(t: Tables):
-    return fed(t, "events", feeds.failed_calls(), as_calls)
+    return fed(t, arrivals(t.events), feeds.failed_calls(), as_calls)
 
 
 @probe("T02_audit_rows", """
@@ -71,13 +77,8 @@ def _(t: Tables):
             F.col("ts").alias("created_on"), F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
         ).drop("copy")
 
-    feed = feeds.audit_rows()
-    folder, schema = inbox(t, "events")
-    t.events.where("event_id % 2 = 0").coalesce(1).write.mode("append").parquet(folder)
-    out = work_folder(t.spark, "feed")
-    stream = twice(feeds.file_stream(t.spark, folder, schema, "*.parquet", 1))
-    feeds.drain(stream, feed, out, work_folder(t.spark, "feed-state"))
-    found = feeds.published(t.spark, feed, out, feeds.stored_schema(t.spark, feed, stream.schema))
+    again = t.events.where("event_id % 2 = 0")
+    found = fed(t, [*arrivals(t.events), again], feeds.audit_rows(buckets=4), twice)
     return found.groupBy("rev", "customer_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -92,7 +93,7 @@ LEDGER_SQL = f"""
     select cast(created_on as date) as day, transaction_type, bucket, cast(sum(amount) as double) as amount, count(*) as entries
     from {LEDGER_SQL} group by 1, 2, 3""")
 def _(t: Tables):
-    return fed(t, "orders", feeds.ledger_days(), as_ledger, files_per_batch=2)
+    return fed(t, arrivals(t.orders), feeds.ledger_days(), as_ledger)
 
 
 def as_ledger(orders: DataFrame) -> DataFrame:

@@ -10,15 +10,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.functions.clock import UTC_OFFSET, in_local_days
+from fieldbook.sources.files import COMPLETE, Files, numbered
 from fieldbook.sources.schemas import assert_stored
+from fieldbook.sources.writers import CURRENT, VERSION
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder to read: of a table that is replaced as a whole its current version, else the path itself.
+
+    Should the file that names it be missing, as between the two steps of a rename that isn't atomic, it
+    is the newest complete version.
+    """
+    files = Files(spark, path)
+    if not files.is_folder(path):
+        return path
+    name = files.read(f"{path}/{CURRENT}").strip()
+    if not name:
+        complete = [v for _, v in numbered(files.folders(path), VERSION) if files.exists(f"{path}/{v}/{COMPLETE}")]
+        name = complete[-1] if complete else ""
+    return f"{path}/{name}" if name else path
 
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """A stored table. With ``schema`` the stored columns and types must be exactly those
+    """A stored table, in its current version. With ``schema`` the stored columns and types must be exactly those
     declared, which is checked before anything is read."""
-    df = spark.read.format(fmt).load(path)
+    df = spark.read.format(fmt).load(current(spark, path))
     if schema is not None:
         assert_stored(df, schema)
     return df
@@ -35,7 +53,7 @@ def read_window(
     fmt: str = "parquet",
 ) -> DataFrame:
     """Rows of the local days first..last; the bounds are pushed into the scan."""
-    return spark.read.format(fmt).load(path).where(in_local_days(F.col(ts), first, last, offset))
+    return spark.read.format(fmt).load(current(spark, path)).where(in_local_days(F.col(ts), first, last, offset))
 
 
 def read_jdbc(
@@ -77,7 +95,7 @@ def read_text_sheet(
     sheets whose cells or headers hold line breaks; such a file cannot be split and is read by one task.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line)
-    sheet = reader.option("escape", '"').csv(path)
+    sheet = reader.option("escape", '"').csv(current(spark, path))
     wanted = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
     absent = [c for c in wanted if c not in sheet.columns]
     if absent:

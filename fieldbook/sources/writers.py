@@ -1,4 +1,9 @@
-"""Outputs. Every writer can be run again without duplicating rows."""
+"""Outputs. Every writer can be run again without duplicating rows.
+
+A table that is replaced as a whole has numbered folders, one for each time it was written, and a small file that names the
+current one. The file is put in place last, by one atomic rename, so a run that dies between any two steps leaves the
+table as it was, and a reader that has begun goes on reading its own folder. ``readers.current`` finds the folder.
+"""
 
 from __future__ import annotations
 
@@ -10,26 +15,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldbook.sources.files import Files, numbered
 from fieldbook.sources.schemas import conform
 
 RUN_DATE = "run_date"
+VERSION, CURRENT = "v", "CURRENT"
 
 
-def replace(path: str, df: DataFrame, write: Callable[[str], None]) -> None:
-    """Write to a new folder beside ``path`` and put it in the old one's place once it is complete.
+def replace(path: str, df: DataFrame, write: Callable[[str], None]) -> str:
+    """Write the next version of the table at ``path`` and make it the current one; returns its folder.
 
-    A run that dies while writing leaves the old table as it was.
+    Versions before the previous one, and folders that runs which died left behind, are removed afterwards, as
+    readers may still be at work on the previous version.
     """
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    name = uuid.uuid4().hex[:12]
-    here, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{name}", f"{path}.old-{name}"))
-    fs = here.getFileSystem(conf)
-    write(new.toString())
-    if fs.exists(here):
-        fs.rename(here, old)
-    if not fs.rename(new, here):
-        raise OSError(f"{new.toString()} is complete but could not be put in place of {path}")
-    fs.delete(old, True)
+    files = Files(df.sparkSession, path)
+    last = max([number for number, _ in numbered(files.folders(path), VERSION)], default=0)
+    name = f"{VERSION}{last + 1:06}-{uuid.uuid4().hex[:8]}"
+    write(f"{path}/{name}")
+    before = files.read(f"{path}/{CURRENT}").strip()
+    files.write(f"{path}/{CURRENT}", name)
+    for _, old in numbered(files.folders(path), VERSION):
+        if old not in (name, before) and old < name:
+            files.delete(f"{path}/{old}")
+    return f"{path}/{name}"
 
 
 def publish(

@@ -5,7 +5,7 @@ from conftest import at, tuples
 
 from fieldbook.plans import records
 from fieldbook.session import stored, work_folder
-from fieldbook.sources import readers, schemas, writers
+from fieldbook.sources import files, readers, schemas, writers
 
 LAYOUT = schemas.struct("id:l name:s created_on:t")
 
@@ -45,9 +45,10 @@ def test_sheet_round_trip_and_missing_header(spark, table):
 def test_compressed_csv(spark, table):
     path = work_folder(spark, "c")
     writers.write_csv(table("a:l", [(1,), (2,)]), path)
-    files = [f for f in spark.read.format("binaryFile").load(path).select("path").collect()]
+    here = readers.current(spark, path)
+    files = [f for f in spark.read.format("binaryFile").load(here).select("path").collect()]
     assert all(f.path.endswith(".csv.gz") for f in files)
-    assert spark.read.option("header", True).csv(path).count() == 2
+    assert spark.read.option("header", True).csv(here).count() == 2
 
 
 def test_stack_fills_missing_columns(table):
@@ -87,11 +88,84 @@ def test_jdbc_reads_in_parallel_ranges():
                    "lowerBound": 1, "upperBound": 99, "numPartitions": 8}
 
 
+def sheet(spark, path):
+    return tuples(spark.read.option("header", True).csv(readers.current(spark, path)))
+
+
 def test_a_write_that_fails_leaves_the_old_table(spark, table):
     path = work_folder(spark, "kept")
     writers.write_csv(table("a:l", [(1,)]), path)
     with pytest.raises(Exception, match="DIVIDE_BY_ZERO|division"):
         writers.write_csv(table("a:l", [(1,), (0,)]).selectExpr("1 div a as a"), path)
-    assert tuples(spark.read.option("header", True).csv(path)) == [("1",)]
+    assert sheet(spark, path) == [("1",)]
+    writers.write_csv(table("a:l", [(2,)]), path)
+    assert sheet(spark, path) == [("2",)]
+
+
+class Killed(BaseException):
+    pass
+
+
+STEPS = ("written", "pointer written", "pointer in place", "old removed")
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_run_killed_between_any_two_steps_leaves_a_readable_table(spark, table, monkeypatch, step, when):
+    path = work_folder(spark, "killed")
+    for n in (1, 2, 3):
+        writers.write_csv(table("a:l", [(n,)]), path)
+
+    def dies(real):
+        def call(*args, **kwargs):
+            if when == "before":
+                raise Killed
+            real(*args, **kwargs)
+            raise Killed
+        return call
+
+    with monkeypatch.context() as patch:
+        if step == "written":
+            real = writers.write_csv.__globals__["replace"]
+            patch.setattr(writers, "replace", lambda p, df, write: real(p, df, dies(write)))
+        elif step == "pointer written":
+            patch.setattr(files.uuid, "uuid4", dies(files.uuid.uuid4)) if when == "before" else patch.setattr(files.Files, "write", half_written)
+        elif step == "pointer in place":
+            patch.setattr(files.Files, "write", dies(files.Files.write))
+        else:
+            patch.setattr(files.Files, "delete", dies(files.Files.delete))
+        with pytest.raises(Killed):
+            writers.write_csv(table("a:l", [(4,)]), path)
+    swapped = step == "old removed" or (step, when) == ("pointer in place", "after")
+    assert sheet(spark, path) == [("4",) if swapped else ("3",)]
+    writers.write_csv(table("a:l", [(5,)]), path)
+    assert sheet(spark, path) == [("5",)]
+    writers.write_csv(table("a:l", [(6,)]), path)
+    left = files.Files(spark, path).folders(path)
+    assert sheet(spark, path) == [("6",)] and len(left) == 2  # the current and the one before
+
+
+def half_written(self, path, text):
+    self._fs.create(self._path(f"{path}.half"), True).close()
+    raise Killed
+
+
+def test_a_missing_pointer_means_the_newest_complete_version(spark, table):
+    path = work_folder(spark, "pointer")
+    writers.write_csv(table("a:l", [(1,)]), path)
     writers.write_csv(table("a:l", [(2,)]), path)
-    assert tuples(spark.read.option("header", True).csv(path)) == [("2",)]
+    own = files.Files(spark, path)
+    own.delete(f"{path}/{writers.CURRENT}")
+    own.write(f"{path}/v000009-dead/part", "")
+    assert sheet(spark, path) == [("2",)]
+    plain = work_folder(spark, "plain")
+    table("a:l", [(7,)]).write.parquet(plain)
+    assert readers.current(spark, plain) == plain and readers.read_table(spark, plain).count() == 1
+
+
+def test_a_reader_that_has_begun_keeps_its_version(spark, table):
+    path = work_folder(spark, "reader")
+    writers.publish(table("id:l name:s created_on:t", [(1, "x", None)]), path, LAYOUT)
+    reading = readers.read_table(spark, path, LAYOUT)
+    writers.publish(table("id:l name:s created_on:t", [(2, "y", None)]), path, LAYOUT)
+    assert tuples(reading, "id") == [(1,)] and tuples(readers.read_table(spark, path, LAYOUT), "id") == [(2,)]

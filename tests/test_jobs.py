@@ -14,7 +14,7 @@ from fieldbook.probes.registry import Tables
 from fieldbook.probes.reports import SHEET_LACKS
 from fieldbook.probes.views import VIEWS
 from fieldbook.session import work_folder
-from fieldbook.sources import schemas, writers
+from fieldbook.sources import readers, schemas, writers
 
 RENAMED = {"customer_profile": "customer"}
 AS_OF = {
@@ -56,7 +56,7 @@ def test_job_publishes(spark, inputs, name):
     tables = [p.rsplit("/", 1)[1] for p in paths]
     for table in FILLED.get(name, []):
         assert table in tables
-        path = f"{out}/{table}"
+        path = readers.current(spark, f"{out}/{table}")
         csv = spark.read.option("header", True).csv(path) if _is_csv(spark, path) else spark.read.parquet(path)
         assert csv.count() > 0
 
@@ -90,7 +90,7 @@ def test_commission_with_earlier_cases(spark, inputs):
     )
     out = work_folder(spark, "commission")
     run("commission", both, out, dt.date(2024, 2, 1))
-    row = spark.read.option("header", True).csv(f"{out}/commission_statement").where("case_id = '7' and tax is not null").first()
+    row = spark.read.option("header", True).csv(readers.current(spark, f"{out}/commission_statement")).where("case_id = '7' and tax is not null").first()
     assert (row.total_share, row.tax_amount, row.net_payable, row.tax) == ("106.2000", "16.2000", "888.8000", "18.00%")
 
 
