@@ -189,7 +189,8 @@ def contexts(texts: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
 def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts in order of sample, context and id -> repeats (without sample), and contexts whose bucket has others.
 
-    A bucket may run over many batches: what is kept between them is the last sample, context and least id, and the rows
+    Rows of one id with one text give every context as often as there are rows; one of each is looked at.
+    A bucket may run over many batches: what is kept between them is the last sample, context, least id, id and place, and the rows
     of a bucket's only context so far.
     """
     last, many, held = None, False, []
@@ -210,6 +211,9 @@ def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new_sample[0] = last is None or sample[0] != last[0]
         new_context[1:] = new_sample[1:] | (context[1:] != context[:-1])
         new_context[0] = new_sample[0] or context[0] != last[1]
+        once_more = ~new_context
+        once_more[1:] &= (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
+        once_more[0] &= last is not None and (doc[0], start[0]) == last[3:]
         begun = np.maximum.accumulate(np.where(new_context, np.arange(size), -1))
         least = np.where(begun >= 0, doc[begun], last[2] if last else 0)
         repeat = doc > least
@@ -225,18 +229,18 @@ def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = ~repeat & with_others[bucket]
         out = [("sample", pa.array(sample, mask=repeat)), ("doc_id", pa.array(doc)), ("place", pa.array(start)), ("n", pa.array(n))]
         rows = pa.RecordBatch.from_arrays([a for _, a in out], [name for name, _ in out])
-        yield rows.filter(pa.array(repeat | asked))
+        yield rows.filter(pa.array((repeat | asked) & ~once_more))
         many = bool(with_others[-1])
         if not many:
-            held.append(rows.filter(pa.array(~repeat & (bucket == bucket[-1]))))
-        last = (sample[-1], context[-1], least[-1])
+            held.append(rows.filter(pa.array(~repeat & ~once_more & (bucket == bucket[-1]))))
+        last = (sample[-1], context[-1], least[-1], doc[-1], start[-1])
 
 
 STRETCH = "doc_id long, place long, n int"
 
 
 def strings(texts: DataFrame) -> DataFrame:
-    """bucket, doc_id, place, n, bytes: the contexts asked for, or single strings of large buckets.
+    """bucket, large, doc_id, place, n, bytes: the contexts asked for, or single strings of large buckets.
 
     ``texts`` has doc_id, text and ``asked``, an array of (first, n, sample, large). ``bytes`` are the REACH bytes before the sample
     backwards, then LENGTH from it on, with zeros for those outside the context, then how far the sample is behind
@@ -278,11 +282,11 @@ def strings(texts: DataFrame) -> DataFrame:
             found = np.concatenate([left, right, (sample - start)[:, None]], 1).astype(np.uint8)
             held = pa.FixedSizeBinaryArray.from_buffers(pa.binary(REACH + LENGTH + 1), len(found), [None, pa.py_buffer(found.tobytes())])
             yield pa.RecordBatch.from_arrays([
-                pa.array(bucket, mask=settled), pa.array(doc), pa.array(place(first + offsets[owner], versions[owner])), pa.array(n.astype(np.int32)),
-                held.cast(pa.binary()),
-            ], ["bucket", "doc_id", "place", "n", "bytes"])
+                pa.array(bucket, mask=settled), pa.array(large), pa.array(doc), pa.array(place(first + offsets[owner], versions[owner])),
+                pa.array(n.astype(np.int32)), held.cast(pa.binary()),
+            ], ["bucket", "large", "doc_id", "place", "n", "bytes"])
 
-    return texts.mapInArrow(run, f"bucket long, {STRETCH}, bytes binary")
+    return texts.mapInArrow(run, f"bucket long, large boolean, {STRETCH}, bytes binary")
 
 
 def ranked(bucket: np.ndarray, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -351,10 +355,11 @@ def sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if whole:
             yield block(kept.slice(0, whole))
             kept = kept.slice(whole).combine_chunks()
-        else:
-            # One bucket fills the block: only a string of a large one can. Its first row has the least id and stands for the rest.
+        elif kept.column("large")[0].as_py():
+            # A string of a large bucket fills the block: its first row has the least id and stands for the rest.
             yield block(kept)
             kept = kept.slice(0, 1).combine_chunks()
+        # Any other bucket has at most LARGE rows and is kept until it ends.
     if kept is not None and kept.num_rows:
         yield block(kept)
 
@@ -378,8 +383,9 @@ def removals(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     mine = asked.join(large, "sample", "left").groupBy("doc_id", version).agg(
         F.collect_list(F.struct(first.alias("first"), "n", "sample", F.coalesce("large", F.lit(False)).alias("large"))).alias("asked")
     )
-    keyed = texts.withColumn("version", F.crc32("text"))
-    bucketed = strings(keyed.join(mine, ["doc_id", "version"]).select("doc_id", "text", "asked"))
+    # The rows of one id with one text are one here: the join leaves them together, so this takes no further shuffle.
+    keyed = texts.withColumn("version", F.crc32("text")).join(mine, ["doc_id", "version"]).dropDuplicates(["doc_id", "version", "text"])
+    bucketed = strings(keyed.select("doc_id", "text", "asked"))
     task = F.coalesce("bucket", F.xxhash64("doc_id", "place"))
     repeated = bucketed.repartition(task).sortWithinPartitions("bucket", "doc_id").mapInArrow(sorted_buckets, STRETCH)
     return found.where("sample is null").select("doc_id", "place", "n").unionByName(once(repeated, "dedup-strings"))
@@ -414,7 +420,7 @@ def kept(texts: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the bytes that stay, which may cut a character)."""
     gone = removals(docs, id, text).groupBy("doc_id", F.expr("place & 4294967295L").alias("version")).agg(
-        F.collect_list(F.struct(F.shiftright("place", 32).alias("first"), "n")).alias("gone")
+        F.collect_set(F.struct(F.shiftright("place", 32).alias("first"), "n")).alias("gone")
     )
     texts = id_and_text(docs, id, text).withColumn("version", F.crc32("text"))
     return kept(texts.join(gone, ["doc_id", "version"], "left").select("doc_id", "text", "gone"))

@@ -126,16 +126,44 @@ def test_judging_does_not_depend_on_batches():
 
 def test_blocks_of_buckets_do_not_change_the_result(monkeypatch):
     pick = random.Random(6)
-    schema = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("bytes", pa.binary())])
+    schema = pa.schema([("bucket", pa.int64()), ("large", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("bytes", pa.binary())])
     rows = []
     for i in range(300):
         offset = pick.randrange(3)
         left = bytes(pick.choices(b"ab", k=offset)) + bytes(sd.REACH - offset)
-        rows.append({"bucket": pick.randrange(20), "doc_id": pick.randrange(30), "place": i << 32, "n": offset + 1,
+        rows.append({"bucket": pick.randrange(20), "large": False, "doc_id": pick.randrange(30), "place": i << 32, "n": offset + 1,
                      "bytes": left + bytes(pick.choices(b"a", k=48)) + bytes(pick.choices(b"ab", k=2)) + bytes([offset])})
     rows.sort(key=lambda r: (r["bucket"], r["doc_id"]))
     told = []
-    for size, most in ((300, 10**6), (3, 10**6), (5, 40)):
+    for size, most in ((300, 10**6), (3, 10**6), (5, 40), (5, 4)):  # at last, blocks smaller than a bucket
         monkeypatch.setattr(sd, "BLOCK_CONTEXTS", most)
         told.append(sorted((r for b in sd.sorted_buckets(iter(batches(rows, schema, size))) for r in b.to_pylist()), key=repr))
-    assert told[0] and told[0] == told[1] == told[2]
+    assert told[0] and told[0] == told[1] == told[2] == told[3]
+
+
+def test_strings_of_a_large_bucket_may_fill_many_blocks(monkeypatch):
+    schema = pa.schema([("bucket", pa.int64()), ("large", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int64()), ("n", pa.int32()), ("bytes", pa.binary())])
+    rows = [{"bucket": 5, "large": True, "doc_id": i // 3, "place": i << 32, "n": 1, "bytes": bytes(sd.REACH) + b"a" * L + bytes(1)} for i in range(100)]
+    monkeypatch.setattr(sd, "BLOCK_CONTEXTS", 7)
+    told = {(r["doc_id"], r["place"] >> 32) for b in sd.sorted_buckets(iter(batches(rows, schema, 4))) for r in b.to_pylist()}
+    assert told == {(i // 3, i) for i in range(3, 100)}
+
+
+@pytest.mark.parametrize("times", [1, 40, 400])
+def test_repeated_rows_change_nothing(docs, times):
+    """Two documents share a passage, three more only its sample piece; each row stands there many times."""
+    pick = random.Random(11)
+    noise = lambda n: "".join(pick.choices("bcdefgh", k=n))
+    passage = noise(57)
+    raw = np.frombuffer(passage.encode(), np.uint8)
+    at = int(np.argmin(sd.gram_hashes(raw)[: len(raw) - sd.GRAM + 1] >> np.uint64(32)))
+    piece = passage[at : at + sd.GRAM]
+    once = [(1, noise(60) + passage), (2, noise(50) + piece + noise(50)), (3, piece + noise(70)), (4, noise(70) + piece), (5, passage + noise(40))]
+    want = brute(once)
+    assert want[4][2] >= 57
+    assert sorted(set(deduped(docs(once * times)))) == want
+
+
+def test_a_stretch_is_named_once(docs):
+    once = [(1, "x" * 30 + "ab" * 60), (2, "ab" * 60 + "cd" * 40)]
+    assert sd.removals(docs(once * 50)).distinct().count() <= 4
