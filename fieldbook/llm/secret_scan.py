@@ -2,8 +2,9 @@
 
 1. ``corpus_statistics``: one pass over all texts counts the transitions between neighbouring
    bytes and the short words; the ``DICTIONARY`` most frequent words are the dictionary.
-2. ``candidates``: known key formats, values assigned to names like *password* with any number of blanks
-   around the sign, and any long token with a digit in it; keys without a fixed length may be of any. Each gets its features: length, transitions (how likely its bytes follow
+2. ``candidates``: known key formats (of a PEM key all of it, if its end is there), values assigned to names that
+   contain a word like *password* with any number of blanks around the sign (in quotes up to the closing one), and any long
+   token with a digit in it; keys without a fixed length may be of any. Each gets its features: length, transitions (how likely its bytes follow
    each other in the corpus, how often letters, capitals, digits and signs take turns), how much
    of it dictionary words cover, the document's path, and the neighbouring words.
 3. ``train``: a random forest on labelled findings (candidates with a 0 or 1), at most
@@ -36,7 +37,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import free_names, slices
+from fieldbook.llm.common import clear_of, free_names, slices
 from fieldbook.session import stored
 
 DICTIONARY = 4_000
@@ -51,7 +52,7 @@ FORMATS = {
     "slack": r"xox[abprs]-[A-Za-z0-9-]{10,}+",
     "google": r"AIza[0-9A-Za-z_-]{35}",
     "stripe": r"[sr]k_(?:live|test)_[0-9A-Za-z]{16,}+",
-    "private_key": r"-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----",
+    "private_key": r"-----BEGIN (?:[A-Z]{2,10} )?PRIVATE KEY-----(?:(?:\s*+[A-Za-z-]++: [^\n]*+)*+[\sA-Za-z0-9+/=\\]*+-----END (?:[A-Z]{2,10} )?PRIVATE KEY-----)?",
 }
 NAMES = r"password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?secret|credential"
 FORMAT = re.compile("(?<![A-Za-z0-9])(?:" + "|".join(f"(?P<{name}>{form})" for name, form in FORMATS.items()) + ")(?![A-Za-z0-9])").finditer
@@ -61,7 +62,12 @@ PART = "[A-Za-z0-9_-]"
 JWT = re.compile(
     rf"(?<!{PART})(?={PART}{{11,}}+\.{PART}{{8,}}+\.{PART}{{8}}){PART}*?(?<![A-Za-z0-9])(?P<jwt>eyJ{PART}{{8,}}+\.{PART}{{8,}}+\.{PART}{{8,}}+)"
 ).finditer
-ASSIGNED = re.compile(rf"(?i:{NAMES})[\"']?[ \t]*+(?:=|:|=>|:=)[ \t]*+[\"']?(?P<value>[^\s\"',;<>(){{}}]{{6,}})").finditer
+# A name and a sign; the name is told once, at its start.
+SETTING = re.compile(r"(?<![A-Za-z0-9_-])(?P<name>[A-Za-z0-9_-]++)[\"']?[ \t]*+(?:=>|:=|=|:)[ \t]*+").finditer
+SENSITIVE = re.compile(NAMES, re.I).search
+# A value in quotes goes on to the closing one; without quotes it ends at a comma, or if little stands before that, at a blank.
+QUOTED = {q: re.compile(rf"{q}(?P<value>(?:[^{q}\\\n]|\\.){{6,}}+){q}").match for q in "\"'"}
+PLAIN = re.compile(r"[\"']?(?P<value>[^\s\"',;<>(){}]{6,}|[^\s\"'<>(){}]{6,})").match
 TOKEN = re.compile(r"[A-Za-z0-9+/=_.@-]{14,}").finditer
 WORDS = re.compile(r"(?<![^\W\d_])[^\W\d_]{2,6}(?![^\W\d_])").findall
 NEIGHBOUR = re.compile(r"[^\W_]+").findall
@@ -126,23 +132,32 @@ def corpus_statistics(docs: DataFrame, text: str = "text") -> Statistics:
     return Statistics(transitions, [row.word for row in words.toLocalIterator()])
 
 
+def settings(text: str) -> Iterator[tuple[str, int, int]]:
+    """Values assigned to sensitive names; a name inside such a value is part of it."""
+    until = 0
+    for match in SETTING(text):
+        if match.start() < until or not SENSITIVE(match["name"]):
+            continue
+        quoted = QUOTED.get(text[match.end() : match.end() + 1])
+        value = (quoted and quoted(text, match.end())) or PLAIN(text, match.end())
+        if value:
+            until = value.end()
+            yield "assigned", *value.span("value")
+
+
 def found(text: str) -> list[tuple[str, int, int]]:
-    """Candidates of a text as (kind, start, end); of overlapping ones the first kind stays."""
-    taken: list[tuple[str, int, int]] = [(m.lastgroup, *m.span()) for m in FORMAT(text)]
+    """Candidates of a text as (kind, start, end); of overlapping ones the first kind stays. The time grows with the text's length."""
+    formats: list[tuple[str, int, int]] = [(m.lastgroup, *m.span()) for m in FORMAT(text)]
     if "eyJ" in text:
-        taken += [("jwt", *m.span("jwt")) for m in JWT(text)]
+        formats += [("jwt", *m.span("jwt")) for m in JWT(text)]
+    kept: list[tuple[str, int, int]] = []
+    for span in sorted(formats, key=lambda c: c[1]):
+        if not kept or span[1] >= kept[-1][2]:
+            kept.append(span)
     if "=" in text or ":" in text:
-        taken += [("assigned", *m.span("value")) for m in ASSIGNED(text)]
-    taken += [("token", *m.span()) for m in TOKEN(text) if any(map(str.isdigit, m.group()))]
-    free, kept = [], []
-    for kind, start, end in sorted(taken, key=lambda c: (c[0] == "token", c[0] == "assigned", c[1])):
-        if kind == "token" or kind == "assigned":
-            if any(start < b and a < end for a, b in free):
-                continue
-        elif free and start < free[-1][1]:
-            continue
-        free.append((start, end))
-        kept.append((kind, start, end))
+        kept += clear_of(list(settings(text)), [s[1:] for s in kept])
+    tokens = [("token", *m.span()) for m in TOKEN(text) if any(map(str.isdigit, m.group()))]
+    kept += clear_of(tokens, [s[1:] for s in kept])
     return sorted(kept, key=lambda c: c[1:])
 
 

@@ -96,3 +96,40 @@ def test_time_of_the_patterns_grows_with_the_text():
                  "password" + " " * 600_000, ("password" + " " * 50) * 10_000, "password=" + " " * 600_000, "sk_live_" * 75_000):
         ss.found(text)
     assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("text, secrets", [
+    ('password: "correct horse battery staple 99"', ["correct horse battery staple 99"]), ("api_key => 'it is \\' so long'", ["it is \\' so long"]),
+    ("password_prod = hunter2xyz", ["hunter2xyz"]), ('{"db_password": "hunter2xyz", "user": "bob"}', ["hunter2xyz"]),
+    ("password=ab,cdefghij k", ["ab,cdefghij"]), ("password=hunter2xyz,user=bob", ["hunter2xyz"]), ('token: "unclosed value', ["unclosed"]),
+    ("password=password=hunter2xyz", ["password=hunter2xyz"]), ("user = somebody_else", []),
+])
+def test_values_are_whole(text, secrets):
+    assert [(kind, text[a:b]) for kind, a, b in ss.found(text)] == [("assigned", s) for s in secrets]
+
+
+def test_a_pem_key_is_one_finding_with_its_body():
+    body = "\n".join(["MIIEpAIBAAKCAQEA" + "xY9+/" * 9] * 12 + ["Zz0="])
+    for head in ("", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"):
+        key = f"-----BEGIN RSA PRIVATE KEY-----\n{head}{body}\n-----END RSA PRIVATE KEY-----"
+        assert ss.found(f"a {key} b") == [("private_key", 2, 2 + len(key))]
+    assert ("private_key", 0, 31) in ss.found("-----BEGIN RSA PRIVATE KEY-----\n" + "no end of it here")
+
+
+def test_time_grows_with_the_candidates():
+    pick = __import__("random").Random(2)
+    began = time.process_time()
+    for text in (" ".join(f"{pick.getrandbits(64):016x}" for _ in range(100_000)), 'password="' * 60_000, "password=" * 60_000, "password" * 60_000,
+                 "-----BEGIN RSA PRIVATE KEY-----\n" * 20_000, "token: abcdef1 " * 40_000):
+        ss.found(text)
+    assert time.process_time() - began < 15
+
+
+def test_clear_of_against_all_pairs():
+    from fieldbook.llm.common import clear_of
+
+    pick = __import__("random").Random(3)
+    for _ in range(300):
+        spans = sorted(("k", a, a + pick.randrange(1, 5)) for a in (pick.randrange(40) for _ in range(8)))
+        taken = [(a, a + pick.randrange(1, 6)) for a in (pick.randrange(40) for _ in range(5))]
+        assert clear_of(spans, taken) == [s for s in spans if all(s[2] <= a or b <= s[1] for a, b in taken)]
