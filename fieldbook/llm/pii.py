@@ -13,7 +13,8 @@ the operator proposes candidates of further kinds (``PROPOSALS``) and decides ab
    probabilities as targets; its features are the votes, the kind and the length. It scores
    each candidate. A candidate of 0.5 or more that overlaps no base span becomes a span.
 
-Finding is linear in the text's length: no pattern starts over and over in a long run.
+Finding is linear in the text's length: no pattern starts over and over in a long run, and candidates are held against
+the base spans in one walk.
 
 Null and empty texts have no spans. Repeated rows each give a row, a null id stays null, other columns are
 left out. Positions are code points, ends exclusive.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.common import id_and_text, slices
+from fieldbook.llm.common import clear_of, id_and_text, slices
 
 Span = tuple[str, int, int]
 
@@ -125,13 +126,11 @@ def base_spans(text: str) -> list[Span]:
 
 def proposals(text: str, taken: list[Span]) -> list[Span]:
     """Candidates of the further kinds that overlap no base span, by kind and start."""
-    found: list[Span] = []
-    if DIGIT(text):
-        for kind in ("account", "local_phone", "national_id", "short_card"):
-            found += [(kind, *m.span()) for m in PROPOSALS[kind].finditer(text)]
+    kinds = ("account", "local_phone", "national_id", "short_card") if DIGIT(text) else ()
     if "at)" in text or "at]" in text:
-        found += [("spelled_email", *m.span()) for m in PROPOSALS["spelled_email"].finditer(text)]
-    return [s for s in found if all(s[2] <= a or b <= s[1] for _, a, b in taken)]
+        kinds += ("spelled_email",)
+    taken = [s[1:] for s in taken]
+    return [s for kind in kinds for s in clear_of([(kind, *m.span()) for m in PROPOSALS[kind].finditer(text)], taken)]
 
 
 # Labelers: (kind, the span's text, lower-case words before it, the characters around) -> 1, 0 or -1. What a candidate's

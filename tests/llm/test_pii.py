@@ -71,3 +71,13 @@ def test_reliabilities_of_a_useless_labeler_change_nothing():
     chance = pii.reliabilities(counts)
     assert min(v for k, v in chance.items() if k.startswith("email")) > 0.9
     assert max(v for k, v in chance.items() if k.startswith("account")) < 0.1
+
+
+def test_time_grows_with_the_spans():
+    import time
+
+    began = time.process_time()
+    text = " ".join(f"+1 202 555 {i % 10000:04} and 123-45-{i % 9000 + 1000} or jo{i}@x.example.com" for i in range(40_000))
+    base = pii.base_spans(text)
+    assert len(base) >= 80_000 and len(pii.proposals(text, base)) >= 40_000
+    assert time.process_time() - began < 15
