@@ -142,6 +142,16 @@ class Periods:
         }
 
 
+@dataclass(frozen=True)
+class Stretch(Periods):
+    """The local days ``first`` to yesterday only."""
+
+    first: dt.date
+
+    def covers(self, ts: Column, offset: dt.timedelta = UTC_OFFSET) -> Column:
+        return in_local_days(ts, self.first, self.yesterday, offset)
+
+
 PERIOD_NAMES = ("yesterday", "month_to_date", "last_month")
 
 

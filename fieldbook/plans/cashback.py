@@ -38,9 +38,11 @@ def tagged_ledger(
     *,
     roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
+    periods: Periods | None = None,
 ) -> DataFrame:
-    """Ledger of the report range with phone, responsible tag, payment tag and type label."""
-    in_range = cash_ledger.where(Periods(as_of).covers(F.col("created_on"), offset)).select(
+    """Ledger of the report range (or of ``periods``) with phone, responsible tag, payment tag and type label."""
+    periods = periods or Periods(as_of)
+    in_range = cash_ledger.where(periods.covers(F.col("created_on"), offset)).select(
         "id", "customer_id", "cashback_type", major_units(F.col("amount")).alias("amount"),
         "issued_entity_type", F.col("issued_entity_id").cast("string").alias("issued_entity_id"),
         "transaction_type", to_local(F.col("created_on"), offset).alias("created_on"),
@@ -84,6 +86,7 @@ def campaign_messages(
     *,
     roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
+    periods: Periods | None = None,
 ) -> DataFrame:
     """Every campaign message of the report range in one shape: campaign, id, phone,
     customer, sent_on, flow, amount_tier.
@@ -91,7 +94,7 @@ def campaign_messages(
     The unique customer differs by campaign: the patient for nudges, the customer for
     credits and test / home-pick nudges, the number for one-time messages.
     """
-    periods = Periods(as_of)
+    periods = periods or Periods(as_of)
     sms = (
         message_log.where(
             periods.covers(F.col("communication_date"), offset)
@@ -162,9 +165,10 @@ def replies(
     *,
     roles: v.Roles = v.ROLES,
     offset: dt.timedelta = UTC_OFFSET,
+    periods: Periods | None = None,
 ) -> DataFrame:
     """Inbound chats (stored in UTC) and inbound calls (stored in local time) as one feed."""
-    periods = Periods(as_of)
+    periods = periods or Periods(as_of)
     inbound_chat = chat.where(
         periods.covers(F.col("created_on"), offset) & (F.col("from_id") == F.col("to_message"))
     ).select(

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
-from fieldbook.functions.clock import in_local_days
+from fieldbook.functions.clock import Periods, Stretch, in_local_days
 from fieldbook.plans import calls, cashback, commission, records, staff
+from fieldbook.plans.campaign_log import CampaignLog
 from fieldbook.session import intermediates, split_skewed_joins, stored
 from fieldbook.sources import readers, schemas, writers
 from fieldbook.streaming import feeds
@@ -177,23 +178,28 @@ def _failed_calls(i: Inputs, as_of: dt.datetime) -> Result:
     return Result(extracts={"failed_calls": calls.failed_calls(detail, as_of)})
 
 
-def _cashback(i: Inputs, as_of: dt.date) -> Result:
-    """Ledger, attribution and funnels share two stored tables, each computed once."""
+def _campaign_feeds(i: Inputs, as_of: dt.date, periods: Periods | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tagged ledger (stored), the campaigns' messages and the replies."""
     personnel, cases = i.tables("personnel patient_case")
     ledger = stored(
         cashback.tagged_ledger(
             *i.tables("cash_ledger customer appointment card_payment card payment_link"),
             cases.where(F.col("lead_source") == v.CUSTOMER_APP_SOURCE),
             personnel.where(F.col("personnel_type") == i.roles.field_staff),
-            i.table("cashback_type"), as_of, roles=i.roles,
+            i.table("cashback_type"), as_of, roles=i.roles, periods=periods,
         ),
         "ledger",
     )
     messages = cashback.campaign_messages(
         *i.tables("message_log message_tag asset patient customer one_time_message"), ledger,
-        as_of, roles=i.roles,
+        as_of, roles=i.roles, periods=periods,
     )
-    replies = cashback.replies(*i.tables("chat_message call"), as_of, roles=i.roles)
+    return ledger, messages, cashback.replies(*i.tables("chat_message call"), as_of, roles=i.roles, periods=periods)
+
+
+def _cashback(i: Inputs, as_of: dt.date) -> Result:
+    """Ledger, attribution and funnels share two stored tables, each computed once."""
+    ledger, messages, replies = _campaign_feeds(i, as_of)
     attributed = stored(
         cashback.attributed_messages(messages, replies, cashback.spends(ledger)), "attributed"
     )
@@ -270,6 +276,21 @@ def run_feed(name: str, inputs: Inputs, out: str, files_per_batch: int = 1000) -
     return kept.published()
 
 
+def run_campaigns(inputs: Inputs, out: str, first: dt.date, as_of: dt.date, horizon: dt.timedelta | None = None) -> DataFrame:
+    """Take the local days ``first`` to the day before ``as_of`` into the campaigns' answers below ``<out>/campaign_answers``.
+
+    Reads these days and the messages still open before them; returns every message with its answer so far.
+    Days follow one another: ``first`` is the ``as_of`` of the run before, unless this is the first run.
+    """
+    split_skewed_joins(inputs.spark)
+    log = CampaignLog(inputs.spark, f"{out}/campaign_answers", cashback.CAMPAIGNS, horizon)
+    with intermediates(inputs.spark):
+        ledger, messages, replies = _campaign_feeds(inputs, as_of, Stretch(as_of, first))
+        start, until = (dt.datetime.combine(day, dt.time()) for day in (first, as_of))
+        log.advance(stored(messages, "messages"), replies, cashback.spends(ledger), start, until)
+    return log.answers()
+
+
 def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:
     """Run one job and publish what it produced; returns the paths written.
 

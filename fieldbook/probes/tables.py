@@ -15,9 +15,11 @@ from fieldbook.operators import (
 from fieldbook.operators.activity import active_seconds, with_next_row
 from fieldbook.operators.ranges import MICROS, later_minima
 from fieldbook.plans import cashback
+from fieldbook.plans.campaign_log import CampaignLog
 from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.probes.rows import AS_OF
+from fieldbook.session import work_folder
 
 # ---- joins ---------------------------------------------------------------------------
 
@@ -253,8 +255,10 @@ def _(t: Tables):
     )
 
 
-def attribution_sql(campaigns: list[str], rivals: str = "all") -> str:
-    """Next strictly later events by a forward range frame; credit needs response < rival."""
+def attribution_sql(campaigns: list[str], rivals: str = "all", horizon: int | None = None) -> str:
+    """Next strictly later events by a forward range frame; credit needs response < rival, and with ``horizon`` within so many microseconds."""
+    near = "" if horizon is None else f" and {{0}} <= us + {horizon}"
+    reply, spend = (f"{e} < coalesce(rival, 9e18){near.format(e)}" for e in "rs")
     minima = ",\n".join(
         f"min(case when kind = 'm' and campaign = '{c}' then us end) over w as c{i}"
         for i, c in enumerate(campaigns)
@@ -267,10 +271,8 @@ def attribution_sql(campaigns: list[str], rivals: str = "all") -> str:
     else:
         rival = rivals
     return f"""
-        select id, campaign, coalesce(r < coalesce(rival, 9e18), false) as responded,
-               case when r < coalesce(rival, 9e18) then r_id end as response_id,
-               coalesce(s < coalesce(rival, 9e18), false) as used,
-               case when s < coalesce(rival, 9e18) then s_id end as spend_id
+        select id, campaign, coalesce({reply}, false) as responded, case when {reply} then r_id end as response_id,
+               coalesce({spend}, false) as used, case when {spend} then s_id end as spend_id
         from (select *, {rival} as rival, a_r.us as r, a_r.id as r_id, a_s.us as s, a_s.id as s_id from (
           select *, min(case when kind = 'r' then struct_pack(us := us, id := id) end) over w as a_r,
                  min(case when kind = 's' then struct_pack(us := us, id := id) end) over w as a_s,
@@ -298,7 +300,8 @@ def hot(key: str) -> Column:
     return F.when(F.col(key) % 3 == 0, 0).otherwise(F.col(key))
 
 
-def attributed_orders(t: Tables, key: Column | None = None, **options):
+def order_feeds(t: Tables, key: Column | None = None):
+    """Messages, responses and spends."""
     rows = t.orders.select(
         (F.col("o_custkey") if key is None else key).alias("k"), F.col("o_orderdate").alias("sent_on"),
         F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("campaign"), "o_orderstatus",
@@ -313,8 +316,12 @@ def attributed_orders(t: Tables, key: Column | None = None, **options):
         .when(F.col("campaign") == "4-NOT SPECIFIED", v.LOYALTY).alias("used_on"),
         F.when(F.col("id") % 3 == 0, v.FOLLOW_UP).alias("creation_type"),
     )
+    return messages, responses, spends
+
+
+def attributed_orders(t: Tables, key: Column | None = None, **options):
     return attribution.attribute(
-        messages, responses, spends, key="k", ts="sent_on", campaign="campaign", id="id",
+        *order_feeds(t, key), key="k", ts="sent_on", campaign="campaign", id="id",
         campaigns=ORDER_CAMPAIGNS, **options,
     )
 
@@ -349,6 +356,32 @@ def _(t: Tables):
     return attributed_orders(t, hot("o_custkey")).select(*ATTRIBUTED)
 
 
+MONTH = dt.timedelta(days=30)
+
+
+@probe("N18_attribution_within_a_month", ORDER_FEED + attribution_sql(ORDER_CAMPAIGNS, horizon=int(MONTH / dt.timedelta(microseconds=1))))
+def _(t: Tables):
+    return attributed_orders(t, horizon=MONTH).select(*ATTRIBUTED)
+
+
+def in_stretches(t: Tables, ends: list[dt.datetime], horizon: dt.timedelta | None):
+    """The orders taken in one stretch of time after another, each reading only what is open before it."""
+    log = CampaignLog(t.spark, work_folder(t.spark, "log"), ORDER_CAMPAIGNS, horizon, key="k")
+    for start, until in zip([dt.datetime(1900, 1, 1), *ends], [*ends, dt.datetime(2100, 1, 1)], strict=True):
+        log.advance(*order_feeds(t), start, until)
+    return log.answers().select(*ATTRIBUTED)
+
+
+@probe("N18_attribution_in_two_halves", ORDER_FEED + attribution_sql(ORDER_CAMPAIGNS))
+def _(t: Tables):
+    return in_stretches(t, [dt.datetime(1998, 4, 1)], None)
+
+
+@probe("N18_attribution_year_by_year", ORDER_FEED + attribution_sql(ORDER_CAMPAIGNS, horizon=int(MONTH / dt.timedelta(microseconds=1))))
+def _(t: Tables):
+    return in_stretches(t, [dt.datetime(year, 1, 1) for year in (1997, 1998, 2000)], MONTH)
+
+
 @probe("N19_attribution_without_rivals", EVENT_FEED + attribution_sql(EVENT_CAMPAIGNS, "cast(null as bigint)"))
 def _(t: Tables):
     return attributed_events(t, rivals={}).select(*ATTRIBUTED)

@@ -9,6 +9,9 @@ from fieldbook.operators import ranges
 from fieldbook.operators.activity import with_next_row
 from fieldbook.operators.attribution import attribute
 from fieldbook.operators.ranges import later_minima
+from fieldbook.plans.campaign_log import CampaignLog, MissingStretch
+from fieldbook.session import work_folder
+from fieldbook.sources.files import Files
 
 MESSAGES = "k:s sent_on:t campaign:s id:l"
 RESPONSES = "k:s sent_on:t id:l channel:s"
@@ -201,3 +204,69 @@ def test_other_columns_may_have_any_name_and_type(spark):
     assert [r["_keep"] for r in found] == [{"a": i} for i in range(5)] and found[0]["_place_lead"].z == 1
     empty = later_minima(rows.limit(0), key="k", ts="ts", marks={"next": F.col("_us")}, keep=["id"])
     assert empty.columns == ["id", "next"] and empty.count() == 0
+
+
+def in_order(spark, table, messages, responses, spends, ends, horizon=None):
+    log = CampaignLog(spark, work_folder(spark, "log"), ABC, horizon, key="k")
+    feeds = table(MESSAGES, messages), table(RESPONSES, responses), table(SPENDS, spends)
+    for start, until in zip(ends, ends[1:], strict=False):
+        log.advance(*feeds, start, until)
+    return log, feeds
+
+
+COLUMNS = ("id", "campaign", "k", "responded", "response_id", "channel", "used", "spend_id", "used_on", "creation_type")
+
+
+@pytest.mark.parametrize("horizon", [None, dt.timedelta(seconds=80), dt.timedelta(seconds=400)])
+@pytest.mark.parametrize("stretches", [2, 5])
+def test_stretches_give_what_one_run_gives(spark, table, horizon, stretches):
+    rows = random_input(seed=stretches, size=300)
+    first = at("2024-01-01 00:00:00")
+    ends = [first + dt.timedelta(seconds=40 * 25 * i // stretches) for i in range(stretches)] + [at("2024-01-02 00:00:00")]
+    log, feeds = in_order(spark, table, *rows, ends, horizon)
+    whole = attribute(*feeds, key="k", ts="sent_on", campaign="campaign", id="id", campaigns=ABC, horizon=horizon)
+    assert tuples(log.answers(), *COLUMNS) == tuples(whole, *COLUMNS)
+    log.advance(*feeds, *ends[-2:])  # run again
+    assert tuples(log.answers(), *COLUMNS) == tuples(whole, *COLUMNS) and len(log.stretches()) == stretches
+
+
+def test_a_horizon_by_hand(table):
+    t = [at("2024-01-01 10:00:00") + dt.timedelta(seconds=s) for s in (0, 10, 11)]
+    messages = table(MESSAGES, [("x", t[0], "a", 1)])
+    for when, credited in ((t[1], True), (t[2], False)):
+        found = attribute(
+            messages, table(RESPONSES, [("x", when, 9, "chat")]), table(SPENDS, []), key="k", ts="sent_on", campaign="campaign", id="id",
+            campaigns=ABC, horizon=dt.timedelta(seconds=10),
+        ).first()
+        assert found.responded is credited and found.response_id == (9 if credited else None)
+
+
+def test_only_open_messages_are_carried(spark, table):
+    """Of a hundred days, each with an answered message, one that a rival follows and one that stays open for a day."""
+    day = dt.timedelta(days=1)
+    first = at("2024-01-01 00:00:00")
+    hours = lambda d, h: first + d * day + dt.timedelta(hours=h)
+    messages, responses = [], []
+    for d in range(6):
+        messages += [(f"r{d}", hours(d, 1), "a", 10 * d), (f"s{d}", hours(d, 1), "a", 10 * d + 1), (f"s{d}", hours(d, 2), "b", 10 * d + 2)]
+        responses.append((f"r{d}", hours(d, 30), 1000 + d, "chat"))
+    log, feeds = in_order(spark, table, messages, responses, [], [first + d * day for d in range(7)], 2 * day)
+    for end in log.stretches():
+        carried = log._read("open", end).count()
+        assert carried <= 4  # of r and s messages those of the last two days
+    assert {r.id: r.response_id for r in log.answers().where("responded").collect()} == {10 * d: 1000 + d for d in range(5)}
+    with pytest.raises(MissingStretch):
+        log.advance(*feeds, first + 9 * day, first + 10 * day)
+    with pytest.raises(MissingStretch):
+        CampaignLog(spark, work_folder(spark, "none"), ABC, key="k").answers()
+
+
+def test_a_stretch_that_died_is_not_valid(spark, table):
+    first, day = at("2024-01-01 00:00:00"), dt.timedelta(days=1)
+    messages = [("x", first, "a", 1), ("x", first + day, "a", 2)]
+    log, feeds = in_order(spark, table, messages, [("x", first + 1.5 * day, 7, "chat")], [], [first, first + day, first + 2 * day])
+    want = tuples(log.answers(), *COLUMNS)
+    Files(spark, log.out).delete(f"{log._folder('open', first + 2 * day)}/_SUCCESS")
+    assert log.stretches() == [first + day] and {r.id for r in log.answers().collect()} == {1}
+    log.advance(*feeds, first + day, first + 2 * day)
+    assert tuples(log.answers(), *COLUMNS) == want

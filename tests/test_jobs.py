@@ -8,7 +8,7 @@ from conftest import at, tuples
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
-from fieldbook.plans.jobs import FEEDS, JOBS, RATE_COLUMNS, Inputs, run, run_feed
+from fieldbook.plans.jobs import FEEDS, JOBS, RATE_COLUMNS, Inputs, run, run_campaigns, run_feed
 from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables
 from fieldbook.probes.reports import SHEET_LACKS
@@ -66,6 +66,17 @@ def _is_csv(spark, path):
         "recursiveFileLookup", True).load(path).isEmpty()
 
 
+def test_campaigns_day_by_day_equal_the_whole_range(spark, inputs):
+    out = work_folder(spark, "campaigns")
+    run("cashback", inputs, out, dt.date(2000, 6, 15))
+    whole = spark.read.option("header", True).csv(readers.current(spark, f"{out}/campaign_messages"))
+    columns = ("campaign", "id", "responded", "response_id", "used", "spend_id", "used_on")
+    text = [F.col(c).cast("string").alias(c) for c in columns]
+    for first, as_of in ((dt.date(2000, 5, 1), dt.date(2000, 5, 20)), (dt.date(2000, 5, 20), dt.date(2000, 6, 15))):
+        answers = run_campaigns(inputs, out, first, as_of)
+    assert whole.count() > 0 and tuples(answers.select(*text)) == tuples(whole.select(*text))
+
+
 def test_a_rerun_of_a_day_does_not_duplicate(spark, inputs):
     out = work_folder(spark, "rerun")
     for _ in range(2):
