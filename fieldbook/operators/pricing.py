@@ -36,6 +36,12 @@ def net_payable(
     return (approved - total_share - withheld + discount + other).cast(AMOUNT)
 
 
+BIN_DAYS = 32
+# Days since 1970 that bins are made for; earlier and later ones share the first and the last bin.
+FIRST_DAY, LAST_DAY = -25_567, 47_482  # 1900-01-01, 2100-01-01
+ANY_DAY = -(2**31)
+
+
 def in_force(
     cases: DataFrame,
     rates: DataFrame,
@@ -45,14 +51,33 @@ def in_force(
     start: str = "start_date",
     end: str = "end_date",
 ) -> DataFrame:
-    """Left join to the agreements, then drop what is *known* to be outside its period.
+    """Left join to the agreements, without those that are *known* to be outside their period.
 
-    The period is deliberately not part of the join condition: a case whose agreements all
-    miss the date disappears, while a case without agreement, without date or with an
-    open-ended agreement stays.
+    A case whose agreements all miss the date disappears, while a case without agreement, without
+    date or with an open-ended agreement stays. A case meets only the agreements of its key whose period touches its
+    bin of ``BIN_DAYS`` days (a case without date all of them), however many the key has.
     """
-    outside = (on_date < F.col(start)) | (on_date > F.col(end))
-    return cases.join(rates, key, "left").where(~F.coalesce(outside, F.lit(False)))
+    known = rates.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_known", F.lit(True))
+    met = binned(rates, key, start, end).withColumn("_met", F.lit(True))
+    rows = cases.withColumn("_on", on_date)
+    rows = rows.withColumn("_bin", F.coalesce(_bin(F.unix_date(F.col("_on").cast("date"))), F.lit(ANY_DAY)))
+    rows = rows.join(known, key, "left").join(met, [key, "_bin"], "left")
+    outside = F.coalesce((F.col("_on") < F.col(start)) | (F.col("_on") > F.col(end)), F.lit(False))
+    kept = rows.where(F.col("_known").isNull() | (F.col("_met").isNotNull() & ~outside))
+    return kept.select(key, *[c for c in cases.columns if c != key], *[c for c in rates.columns if c != key])
+
+
+def binned(rates: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Each agreement once for every bin its period touches, and once for cases without a date."""
+    first = _bin(F.coalesce(F.unix_date(F.col(start).cast("date")), F.lit(FIRST_DAY)))
+    last = _bin(F.coalesce(F.unix_date(F.col(end).cast("date")), F.lit(LAST_DAY)))
+    bins = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return rates.where(F.col(key).isNotNull()).withColumn("_bin", F.explode(F.concat(F.array(F.lit(ANY_DAY)), bins)))
+
+
+def _bin(day: Column) -> Column:
+    inside = F.greatest(F.lit(FIRST_DAY), F.least(F.lit(LAST_DAY), day))
+    return F.when(day.isNotNull(), F.floor(inside / BIN_DAYS).cast("int"))
 
 
 def statement_label(lender: Column, admission: Column, start: Column, end: Column) -> Column:
