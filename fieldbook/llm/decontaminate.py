@@ -9,12 +9,15 @@ the whole item, if it is shorter) in which ``MATCHING`` of the words are the sam
 Wherever the words that differ lie in such a window, at least one mask fits on words that are the same
 (a test goes through all patterns), so every overlap has a hit and is verified.
 
+An item of fewer than ``SPAN`` words is too short for that: it is an overlap only where all its words stand in a row, and the hash
+of all of them is its one seed. For items that short, windows of just their sizes are hashed too.
+
 The seeds of the test items are broadcast in blocks of at most ``BROADCAST`` of them, one pass over
 the documents for each block, so neither what is broadcast nor what is shuffled grows with both sides. Only hits
 are shuffled. Items with the same words count as the one with the least id.
 
-Words are runs of letters and digits, A-Z in lower case. Null and empty texts have none. Documents and items of fewer
-than ``SPAN`` words match nothing. Repeated documents (same id and text) are reported once. A null id is
+Words are runs of letters and digits, A-Z in lower case. Null and empty texts have none. Items of fewer
+than ``SHORTEST`` words say too little and match nothing. Repeated documents (same id and text) are reported once. A null id is
 reported as null; items without an id take part as null too. Other columns are left out.
 
 Only built-in functions run here.
@@ -23,6 +26,7 @@ Only built-in functions run here.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +40,7 @@ from fieldbook.session import stored
 MASKS = ((0, 1, 2, 6), (0, 3, 4, 6))
 REACH = 7
 SPAN = 10
+SHORTEST = 3
 WINDOW = 12
 MATCHING = 0.75
 BROADCAST = 500_000
@@ -58,20 +63,40 @@ def exploded(texts: DataFrame, *keys: str) -> DataFrame:
     return each.select(*keys, F.expr("at % windows").alias("position"), "seed")
 
 
+def phrases(texts: DataFrame, sizes: Sequence[int], *keys: str) -> DataFrame:
+    """keys, position, seed of all runs of so many words."""
+    def runs(size: int) -> Column:
+        starts = F.when(F.size("hashes") >= size, F.sequence(F.lit(0), F.size("hashes") - size)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(
+            i.cast("long").alias("position"), F.xxhash64(F.lit(-size), F.slice("hashes", i + 1, size)).alias("seed")
+        ))
+
+    hashed = texts.select(*keys, F.transform(scan_words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
+    return hashed.select(*keys, F.explode(F.concat(*map(runs, sizes))).alias("run")).select(*keys, "run.position", "run.seed")
+
+
 def items_of(benchmark: DataFrame, id: str, text: str) -> DataFrame:
-    """item_id, words, text: one row per different sequence of at least ``SPAN`` words."""
-    items = id_and_text(benchmark, id, text).withColumn("words", scan_words(F.col("text"))).where(F.size("words") >= SPAN)
+    """item_id, words, text: one row per different sequence of at least ``SHORTEST`` words."""
+    items = id_and_text(benchmark, id, text).withColumn("words", scan_words(F.col("text"))).where(F.size("words") >= SHORTEST)
     return items.groupBy("words").agg(F.min("doc_id").alias("item_id"), F.first("text").alias("text"))
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, text_hash, item, diagonal: each once."""
-    known = stored(exploded(items, "item").select("item", F.col("position").alias("at"), F.col("seed").alias("known")), "seeds")
+    size = F.size("words")
+    short = items.where(size < SPAN)
+    sizes = sorted(r.n for r in short.select(size.alias("n")).distinct().collect())  # at most SPAN - SHORTEST numbers
+    seeded = exploded(items.where(size >= SPAN), "item")
+    for n in sizes:
+        seeded = seeded.unionByName(phrases(short.where(size == n), [n], "item"))
+    known = stored(seeded.select("item", F.col("position").alias("at"), F.col("seed").alias("known")), "seeds")
     blocks = max(1, math.ceil(known.count() / BROADCAST))
     found = None
     for block in range(blocks):
         some = known.where(F.pmod(F.xxhash64("known", "item", "at"), F.lit(blocks)) == block)
         mine = exploded(docs, "doc_id", "text_hash")
+        if sizes:
+            mine = mine.unionByName(phrases(docs, sizes, "doc_id", "text_hash"))
         matched = mine.join(F.broadcast(some), mine["seed"] == some["known"]).select(
             "doc_id", "text_hash", "item", (F.col("position") - F.col("at")).alias("diagonal")
         )
@@ -87,7 +112,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     """
     items = stored(items_of(benchmark, item_id, item_text).select(F.monotonically_increasing_id().alias("item"), "*"), "items")
     texts = id_and_text(docs, id, text).withColumn("text_hash", F.xxhash64("text"))
-    near = hits(texts, items.select("item", "text")).join(items.select("item", F.size("words").alias("size")), "item")
+    near = hits(texts, items.select("item", "text", "words")).join(items.select("item", F.size("words").alias("size")), "item")
     # The places to look at in each document: no more than its windows times the items that share a seed there.
     places = stored(near.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item", "diagonal", "size")).alias("places")), "seed-hits")
     keyed = places.withColumnsRenamed({"doc_id": "place_id", "text_hash": "place_hash"})
@@ -104,11 +129,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: st
     skip = F.greatest(-F.col("diagonal"), F.lit(0))
     same = F.transform("here", lambda word, i: F.when(word == F.get("there", i + skip), 1).otherwise(0))
     width = F.least(F.size("there"), F.lit(WINDOW))
+    enough = F.when(F.size("there") < SPAN, F.col("width")).otherwise(F.col("width") * MATCHING)
     windows = aligned.withColumn("same", same).withColumn("width", width).where(F.size("same") >= F.col("width")).withColumn(
         "good",
         F.filter(
             F.sequence(F.lit(0), F.size("same") - F.col("width")),
-            lambda i: F.aggregate(F.slice("same", i + 1, F.col("width")), F.lit(0), lambda a, b: a + b) >= F.col("width") * MATCHING,
+            lambda i: F.aggregate(F.slice("same", i + 1, F.col("width")), F.lit(0), lambda a, b: a + b) >= enough,
         ),
     ).where(F.size("good") > 0)
     first, last = F.element_at("good", 1), F.element_at("good", -1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldbook.llm.decontaminate import MATCHING, SPAN, WINDOW
+from fieldbook.llm.decontaminate import MATCHING, SHORTEST, SPAN, WINDOW
 from fieldbook.llm.license_scan import COVER, NOTICES, PHRASES, REACH
 from fieldbook.llm.suffix_dedup import LENGTH
 
@@ -29,15 +29,15 @@ JACCARD_JOIN = f"""
 
 DECONTAMINATION = f"""
     with docs as (select doc_id, {LOWER_WORDS.format('text')} as w from documents),
-    items as (select w, min(item_id) as item_id from (select item_id, {LOWER_WORDS.format('text')} as w from benchmark) group by w having len(w) >= {SPAN}),
+    items as (select w, min(item_id) as item_id from (select item_id, {LOWER_WORDS.format('text')} as w from benchmark) group by w having len(w) >= {SHORTEST}),
     here as (select doc_id, len(w) as n, unnest(w) as word, generate_subscripts(w, 1) - 1 as pos from docs),
-    there as (select item_id, len(w) as size, least(len(w), {WINDOW}) as width, unnest(w) as word, generate_subscripts(w, 1) - 1 as spot from items),
-    same as (select doc_id, item_id, size, width, n, pos - spot as diagonal, spot from here join there using (word)),
-    diagonals as (select doc_id, item_id, diagonal, any_value(size) as size, any_value(width) as width, any_value(n) as n, list(spot) as ats
-                  from same group by 1, 2, 3 having count(*) >= {MATCHING} * any_value(width)),
+    there as (select item_id, len(w) as size, least(len(w), {WINDOW}) as width, case when len(w) < {SPAN} then 1.0 else {MATCHING} end as share, unnest(w) as word, generate_subscripts(w, 1) - 1 as spot from items),
+    same as (select doc_id, item_id, size, width, share, n, pos - spot as diagonal, spot from here join there using (word)),
+    diagonals as (select doc_id, item_id, diagonal, any_value(size) as size, any_value(width) as width, any_value(share) as share, any_value(n) as n, list(spot) as ats
+                  from same group by 1, 2, 3 having count(*) >= any_value(share) * any_value(width)),
     starts as (select *, unnest(range(greatest(-diagonal, 0), least(size, n - diagonal) - width + 1)) as s from diagonals),
     good as (select doc_id, item_id, diagonal, width, ats, min(s) as first, max(s) as last from starts
-             where len(list_filter(ats, lambda a: a >= s and a < s + width)) >= {MATCHING} * width group by all)
+             where len(list_filter(ats, lambda a: a >= s and a < s + width)) >= share * width group by all)
     select doc_id, item_id, count(*) as n_places, min(diagonal + first)::bigint as first_word, max(last - first + width)::bigint as n_words,
            max(len(list_filter(ats, lambda a: a >= first and a < last + width)))::bigint as n_same
     from good group by 1, 2"""
