@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,10 +53,15 @@ def joined_names(df: DataFrame, key: str, name: str, alias: str, separator: str
     return names_text(name_counts(df, key, name), key, name, alias, separator)
 
 
-def apply_codes(df: DataFrame, code: Column, mapping: Mapping[str, str], label: str) -> tuple[DataFrame, DataFrame]:
+def apply_codes(
+    df: DataFrame, code: Column, mapping: Mapping[str, str], label: str,
+    watch: Callable[[DataFrame, Mapping[str, Column]], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """(rows with ``label``, rejected rows with ``reject_reason``): an unknown code never
-    ends the run and never passes silently."""
+    ends the run and never passes silently. ``watch`` sees all rows and what rejects them."""
     labelled = df.withColumn(label, pick(code.cast("string"), mapping))
+    if watch is not None:
+        labelled = watch(labelled, {f"unknown code for {label}": F.col(label).isNull()})
     accepted = labelled.where(F.col(label).isNotNull())
     rejected = labelled.where(F.col(label).isNull()).drop(label).withColumn(
         "reject_reason",

@@ -17,6 +17,7 @@ from fieldbook.operators.ledger import (
 )
 from fieldbook.operators.lookup import left_lookup, restrict_to
 from fieldbook.operators.per_user import OVERALL, per_user, with_user_kind
+from fieldbook.plans.run_report import Watch, unwatched
 from fieldbook.session import stored
 
 NUDGE, PROMO_CREDIT, ONE_TIME = "nudge", "promo_credit", "one_time"
@@ -205,7 +206,7 @@ def attributed_messages(messages: DataFrame, reply_feed: DataFrame, spend_feed:
 
 
 def campaign_funnels(
-    attributed: DataFrame, as_of: dt.date, roles: v.Roles = v.ROLES
+    attributed: DataFrame, as_of: dt.date, roles: v.Roles = v.ROLES, watch: Watch = unwatched
 ) -> tuple[DataFrame, DataFrame]:
     """(funnels, rejects): all campaigns in one aggregation over (campaign, split).
 
@@ -222,6 +223,7 @@ def campaign_funnels(
     known = (F.col("campaign") != ONE_TIME) | F.coalesce(
         F.col("amount_tier").isin(*roles.amount_tiers), F.lit(False)
     )
+    rows = watch(rows, "campaign_messages", {"unknown amount tier": ~known})
     rejected = rows.where(~known).withColumn(
         "reject_reason", F.concat(F.lit("unknown amount tier: "), F.coalesce("amount_tier", F.lit("NULL")))
     )

@@ -171,6 +171,11 @@ def case_rejects(texts: DataFrame) -> DataFrame:
     return _rejects(texts, "case_id", CASE_TEXTS)
 
 
+def unreadable_texts(texts: Mapping) -> dict[str, Column]:
+    """Reason -> whether a row's text says something that can't be read; of ``CASE_TEXTS`` or ``RATE_TEXTS``."""
+    return {f"unreadable {name}": unreadable(F.col(text), read(F.col(text))) for text, (name, read) in texts.items()}
+
+
 def rate_rejects(sheet: DataFrame) -> DataFrame:
     """The same of the agreements' percentages and dates, by key."""
     return _rejects(sheet, "key", RATE_TEXTS)

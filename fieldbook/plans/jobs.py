@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from fieldbook import vocabulary as v
 from fieldbook.functions.clock import Periods, Stretch, in_local_days
 from fieldbook.plans import calls, cashback, commission, records, staff
 from fieldbook.plans.campaign_log import CampaignLog
+from fieldbook.plans.run_report import RunReport, Watch, unwatched
 from fieldbook.session import intermediates, split_skewed_joins, stored
 from fieldbook.sources import readers, schemas, writers
 from fieldbook.streaming import feeds
@@ -31,7 +32,7 @@ class Inputs:
 
     ``earlier_cases`` names the sheets of earlier commission cases, each with its headers
     and the column names they stand for; ``earlier_empty`` the statement columns that none of them has.
-    ``multi_line`` names the sheets whose cells hold line breaks.
+    ``multi_line`` names the sheets whose cells hold line breaks. ``watch`` counts the rows that go through checks.
     """
 
     spark: SparkSession
@@ -41,6 +42,7 @@ class Inputs:
     earlier_cases: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     earlier_empty: Sequence[str] = ()
     multi_line: Sequence[str] = ()
+    watch: Watch = unwatched
 
     def table(self, name: str) -> DataFrame:
         """A declared input; one that has drifted ends the job before it starts."""
@@ -70,7 +72,7 @@ def _availability(i: Inputs, as_of: dt.date) -> Result:
 
 def _profiles(i: Inputs, as_of: dt.date) -> Result:
     rows, rejected = staff.personnel_profiles(
-        *i.tables("personnel person_facility_map facility personnel_permission"), i.roles
+        *i.tables("personnel person_facility_map facility personnel_permission"), i.roles, i.watch
     )
     return Result(
         {"personnel_detail": (rows, schemas.PERSONNEL_DETAIL)}, {"personnel_rejects": rejected}
@@ -138,14 +140,16 @@ def _commission(i: Inputs, as_of: dt.date) -> Result:
         roles=i.roles,
     )
     rates = i.sheet("rate_agreement", RATE_COLUMNS)
+    cases = i.watch(texts, "insurance_case", commission.unreadable_texts(commission.CASE_TEXTS))
     current = schemas.conform(
-        commission.statement(commission.typed(texts), rates, i.roles), schemas.COMMISSION_STATEMENT
+        commission.statement(commission.typed(cases), rates, i.roles), schemas.COMMISSION_STATEMENT
     )
     if i.earlier_cases:
         sheets = [i.sheet(name, columns) for name, columns in i.earlier_cases.items()]
         earlier = commission.earlier_statement(*sheets, empty=i.earlier_empty)
         current = schemas.conform(commission.full_statement(current, earlier), schemas.FULL_STATEMENT)
-    rejected = commission.case_rejects(texts).unionByName(commission.rate_rejects(rates))
+    read_rates = i.watch(rates, "rate_agreement", commission.unreadable_texts(commission.RATE_TEXTS))
+    rejected = commission.case_rejects(texts).unionByName(commission.rate_rejects(read_rates))
     return Result(extracts={"commission_statement": current, "commission_rejects": rejected})
 
 
@@ -203,7 +207,7 @@ def _cashback(i: Inputs, as_of: dt.date) -> Result:
     attributed = stored(
         cashback.attributed_messages(messages, replies, cashback.spends(ledger)), "attributed"
     )
-    funnels, rejected = cashback.campaign_funnels(attributed, as_of, i.roles)
+    funnels, rejected = cashback.campaign_funnels(attributed, as_of, i.roles, i.watch)
     return Result(extracts={
         "cash_ledger": ledger,
         "ledger_summary": cashback.with_text(cashback.ledger_summary(ledger, as_of)),
@@ -294,20 +298,24 @@ def run_campaigns(inputs: Inputs, out: str, first: dt.date, as_of: dt.date, hori
 def run(name: str, inputs: Inputs, out: str, as_of: dt.date) -> list[str]:
     """Run one job and publish what it produced; returns the paths written.
 
-    ``as_of`` is the report date (for the failed-call feed: the date and time).
+    ``as_of`` is the report date (for the failed-call feed: the date and time). The last path is the job's run report: per
+    run date what was read, published and rejected, counted while publishing.
     """
     split_skewed_joins(inputs.spark)
-    written = []
+    written, report = [], RunReport()
+    run_date = as_of.date() if isinstance(as_of, dt.datetime) else as_of
     with intermediates(inputs.spark):
-        result = JOBS[name](inputs, as_of)
+        result = JOBS[name](replace(inputs, watch=report.checked), as_of)
         for table, (df, schema) in result.tables.items():
             path = f"{out}/{table}"
-            writers.publish(df, path, schema, run_date=as_of if result.by_run_date else None)
+            writers.publish(report.published(df, table), path, schema, run_date=as_of if result.by_run_date else None)
             written.append(path)
         for extract, df in result.extracts.items():
             path = f"{out}/{extract}"
             if extract in schemas.EXTRACTS:
                 df = schemas.conform(df, schemas.EXTRACTS[extract])
-            writers.write_csv(df, path)
+            writers.write_csv(report.published(df, extract), path)
             written.append(path)
-    return written
+        path = f"{out}/{name}_run_report"
+        writers.publish(report.frame(inputs.spark), path, schemas.RUN_REPORT, run_date=run_date)
+    return [*written, path]

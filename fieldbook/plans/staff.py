@@ -13,6 +13,7 @@ from fieldbook.functions.text import city_label, stringify
 from fieldbook.operators.activity import active_seconds
 from fieldbook.operators.lookup import first_per_key, latest_per_key, left_lookup
 from fieldbook.operators.reporting import apply_codes, coverage_gaps
+from fieldbook.plans.run_report import Watch, unwatched
 from fieldbook.sources import schemas
 
 ACTIVITY = "newAvailabilityValue string, perviousAvailabilityValue string, reason string"
@@ -57,6 +58,7 @@ def personnel_profiles(
     facility: DataFrame,
     permissions: DataFrame,
     roles: v.Roles = v.ROLES,
+    watch: Watch = unwatched,
 ) -> tuple[DataFrame, DataFrame]:
     """(profiles, rejects): person, city, first facility mapping and first permission.
 
@@ -69,7 +71,9 @@ def personnel_profiles(
         ["alias_name", "facility_type", "mapping_type", "availability_type"],
     )
     first_permission = first_per_key(permissions, "personnel_id", "id", ["permission_type"])
-    accepted, rejected = apply_codes(personnel, F.col("city_id"), dict(roles.city_codes), "city")
+    accepted, rejected = apply_codes(
+        personnel, F.col("city_id"), dict(roles.city_codes), "city", lambda rows, why: watch(rows, "personnel", why)
+    )
     full = left_lookup(
         accepted, first_map, "personnel_id",
         {"alias_name": "", "facility_type": "", "mapping_type": "", "availability_type": ""},

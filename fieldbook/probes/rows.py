@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
 from fieldbook.functions import calls, clock, text
 from fieldbook.operators import lookup, pricing, reporting
 from fieldbook.operators.documents import array_filled, payload
+from fieldbook.plans.jobs import Inputs, run
 from fieldbook.probes.deployment import CITY_CODES, CITY_SHORT, ROLES
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.sources import readers, schemas, writers
@@ -268,6 +271,27 @@ def _(t: Tables):
     return reporting.reject_counts(rejected)
 
 
+@dataclass(frozen=True)
+class Views(Inputs):
+    """A job's inputs straight from the bound views."""
+
+    tables_: Tables | None = None
+
+    def table(self, name: str) -> DataFrame:
+        return self.tables_.view(name)
+
+
+@probe("F12_run_report", """
+    select 'personnel' as "table", 'read' as measure, null::varchar as reason, count(*) as rows from personnel
+    union all select 'personnel', 'rejected', 'unknown code for city', count(*) from personnel where coalesce(city_id not between 1 and 5, true)
+    union all select 'personnel_detail', 'published', null, count(*) from personnel where city_id between 1 and 5
+    union all select 'personnel_rejects', 'published', null, count(*) from personnel where coalesce(city_id not between 1 and 5, true)""", "personnel")
+def _(t: Tables):
+    out = work_folder(t.spark, "run")
+    paths = run("personnel_profiles", Views(t.spark, "", roles=ROLES, tables_=t), out, dt.date(2024, 1, 15))
+    return t.spark.read.parquet(paths[-1]).drop("run_date")
+
+
 @probe("F13_office_hours", """
     select event_id, case when hour(ts) between 8 and 20 then 'OFFICE_HOUR' else 'OFF_HOUR' end as hour_tag from events""")
 def _(t: Tables):

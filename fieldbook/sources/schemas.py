@@ -179,6 +179,8 @@ EXTRACTS = {
     "campaign_uses": struct("campaign:s use_kind:s yesterday:l month_to_date:l last_month:l"),
 }
 
+RUN_REPORT = struct("table:s measure:s reason:s rows:l")
+
 # What arrives in the inboxes of the feeds.
 FEED_INPUTS = {
     "call_status": struct("sid:s call_created_on:t final_status:s"),

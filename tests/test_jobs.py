@@ -8,6 +8,7 @@ from conftest import at, tuples
 from pyspark.sql import functions as F
 
 from fieldbook import vocabulary as v
+from fieldbook.plans import run_report
 from fieldbook.plans.jobs import FEEDS, JOBS, RATE_COLUMNS, Inputs, run, run_campaigns, run_feed
 from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables
@@ -52,13 +53,15 @@ def inputs(spark):
 def test_job_publishes(spark, inputs, name):
     out = work_folder(spark, f"out-{name}")
     paths = run(name, inputs, out, AS_OF.get(name, dt.date(2024, 1, 15)))
-    assert paths
     tables = [p.rsplit("/", 1)[1] for p in paths]
+    report = {(r.table, r.measure): r.rows for r in spark.read.parquet(paths[-1]).where("reason is null").collect()}
+    assert tables[-1] == f"{name}_run_report" and {t for t, m in report if m == "published"} == set(tables[:-1])
+    tables = tables[:-1]
     for table in FILLED.get(name, []):
         assert table in tables
         path = readers.current(spark, f"{out}/{table}")
         csv = spark.read.option("header", True).csv(path) if _is_csv(spark, path) else spark.read.parquet(path)
-        assert csv.count() > 0
+        assert csv.count() == report[table, "published"] > 0
 
 
 def _is_csv(spark, path):
@@ -77,6 +80,33 @@ def test_campaigns_day_by_day_equal_the_whole_range(spark, inputs):
     assert whole.count() > 0 and tuples(answers.select(*text)) == tuples(whole.select(*text))
 
 
+def test_the_run_report_counts_what_was_rejected(spark, inputs):
+    out = work_folder(spark, "reported")
+    for day in (15, 15, 16):
+        run("personnel_profiles", inputs, out, dt.date(2024, 1, day))
+    rows = tuples(spark.read.parquet(f"{out}/personnel_profiles_run_report"), "run_date", "table", "measure", "reason", "rows")
+    people = inputs.table("personnel").count()
+    bad = spark.read.option("header", True).csv(readers.current(spark, f"{out}/personnel_rejects")).count()
+    assert bad > 0 and rows == sorted([
+        (dt.date(2024, 1, day), *row) for day in (15, 16) for row in [
+            ("personnel", "read", None, people), ("personnel", "rejected", "unknown code for city", bad),
+            ("personnel_detail", "published", None, people - bad), ("personnel_rejects", "published", None, bad)]
+    ], key=repr)
+
+
+def test_counting_adds_no_scan_and_an_empty_pass_counts_none(spark, inputs, monkeypatch):
+    monkeypatch.setattr(run_report, "PATIENCE", 3)
+    report = run_report.RunReport()
+    people = inputs.table("personnel")
+    watched = report.checked(people, "personnel", {"odd": F.col("personnel_id") % 2 == 1}).where("personnel_id % 2 = 0")
+    plan = watched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    watched.write.format("noop").mode("overwrite").save()
+    odd = people.where("personnel_id % 2 = 1").count()
+    report.published(people.limit(0), "nothing").join(people.limit(0), "personnel_id").write.format("noop").mode("overwrite").save()
+    assert report.rows() == [("personnel", "read", None, people.count()), ("personnel", "rejected", "odd", odd), ("nothing", "published", None, 0)]
+
+
 def test_a_rerun_of_a_day_does_not_duplicate(spark, inputs):
     out = work_folder(spark, "rerun")
     for _ in range(2):
