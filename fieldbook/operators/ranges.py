@@ -1,7 +1,7 @@
 """What comes later for the same key: one ordered pass over ranges of (key, time).
 
-All rows are sorted once, by key and from the latest time to the earliest, into ranges of about equal size (Spark
-samples the bounds). So a hot key, a burst and a pile of rows at one instant lie in many ranges, and no task holds a key.
+All rows are sorted once, by key and from the latest time to the earliest, into as many ranges of about equal size as the
+session has shuffle partitions (Spark samples the bounds). So a hot key, a burst and a pile of rows at one instant lie in many ranges, and no task holds a key.
 Each range is then walked as a stream: per key it keeps, for every mark, the last value met, which is the
 nearest later one. A range also says what it ends with: for its last key the values met so far, with and
 without those of its last instant. These few rows (three a range) settle what the first key of a range takes from the ranges
@@ -15,13 +15,12 @@ apart and share a range.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +45,7 @@ def later_minima(
 ) -> DataFrame:
     """``keep`` plus, per mark, its minimum over the strictly later rows of the same key.
 
-    A mark's value must begin with, or be, ``_us`` (microseconds); a row may have a value for one mark only. ``only``
+    A mark's value must be ``_us`` (microseconds) or a struct that begins with it; a row may have a value for one mark only. ``only``
     limits the rows returned, not the rows looked at. A row without a key is kept and finds nothing.
     """
     timed = rows.withColumn(MICROS, micros(F.col(ts)))
@@ -63,28 +62,35 @@ def next_rows(df: DataFrame, *, key: str, ts: str, id: str, name: str, values: S
 
 
 def _walked(rows: DataFrame, key: str, marks: Mapping[str, Column], keep: Sequence[str], wanted: Column, strictly: bool) -> DataFrame:
+    # Texts of SQL below, as a plan of many short columns costs more to build than to run on small inputs.
     names = [f"_m{i}" for i in range(len(marks))]
-    values = [F.when(F.col(key).isNotNull(), value) for value in marks.values()]
-    kind = F.coalesce(*[F.when(value.isNotNull(), F.lit(i)) for i, value in enumerate(values)])
-    narrow = rows.select(
-        F.col(key).alias("_key"), F.col(MICROS), kind.alias("_kind"), wanted.alias("_wanted"), F.struct(*keep).alias("_keep"),
-        *[value.alias(name) for name, value in zip(names, values, strict=True)],
+    named = rows.select(
+        F.col(key).alias("_key"), F.col(MICROS), wanted.alias("_wanted"), F.struct(*keep).alias("_keep"),
+        *[value.alias(name) for name, value in zip(names, marks.values(), strict=True)],
+    )
+    kind = ", ".join(f"if({name} is null, null, {i})" for i, name in enumerate(names))
+    narrow = named.selectExpr(
+        "_key", MICROS, f"if(_key is null, null, coalesce({kind}, null)) as _kind", "_wanted", "_keep", *[f"if(_key is null, null, {n}) as {n}" for n in names]
     )
-    # Of one instant the least value comes last, so that it is the last one met. What is kept only spreads rows that tie.
-    order = [F.col("_key").asc_nulls_first(), F.col(MICROS).desc(), F.col("_kind"), *[F.col(n).desc_nulls_last() for n in names]]
-    plain = [f"_keep.{f.name}" for f in narrow.schema["_keep"].dataType if not _has_map(f.dataType)]
-    ordered = narrow.orderBy(*order, *([F.xxhash64(*[F.col(c) for c in plain])] if plain else []))
     kinds = {f.name: f.dataType for f in narrow.schema}
+    # Of one instant the least value comes last, so that it is the last one met. What is kept only spreads rows that tie.
+    plain = ", ".join(f"_keep.`{f.name}`" for f in kinds["_keep"] if not _has_map(f.dataType))
+    # A mark that is a number is the instant itself.
+    payloads = [n for n in names if isinstance(kinds[n], T.StructType)]
+    order = [F.col("_key").asc_nulls_first(), F.col(MICROS).desc(), F.col("_kind"), *[F.col(n).desc_nulls_last() for n in payloads]]
+    order += [F.expr(f"xxhash64({plain})")] if plain else []
+    # The number is given, so that as many tasks walk as the session deals shuffles over, also where few bytes are walked.
+    many = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = narrow.repartitionByRange(many, *order).sortWithinPartitions(*order)
     out = T.StructType([
         T.StructField("_role", T.IntegerType()), T.StructField("_range", T.IntegerType()), T.StructField("_place", T.IntegerType()),
         *[T.StructField(n, kinds[n]) for n in ("_key", MICROS, "_keep", *names)],
     ])
     done = stored(ordered.mapInArrow(_walk(names, strictly), out), "ranges")
-    handed = F.broadcast(_handed(done.where(F.col("_role") != ROW), names))
-    found = done.where(F.col("_role") == ROW).join(handed, "_range", "left")
-    first, instant = F.col("_place") == FIRST_KEY, F.col("_place") == FIRST_INSTANT
-    return found.select("_keep.*", *[
-        F.coalesce(name, F.when(first, F.col(f"{name}_key")).when(instant, F.col(f"{name}_instant"))).alias(mark)
+    handed = F.broadcast(_handed(done.where(f"_role <> {ROW}"), names))
+    found = done.where(f"_role = {ROW}").join(handed, "_range", "left")
+    return found.selectExpr("_keep.*", *[
+        f"coalesce({name}, case _place when {FIRST_KEY} then {name}_key when {FIRST_INSTANT} then {name}_instant end) as `{mark}`"
         for name, mark in zip(names, marks, strict=True)
     ])
 
@@ -95,17 +101,17 @@ def _has_map(kind: T.DataType) -> bool:
 
 def _handed(ends: DataFrame, names: Sequence[str]) -> DataFrame:
     """Per range: for its first key what the ranges before it met, for rows after their instants and for those at the same one."""
-    by_key = Window.partitionBy("_key")
-    earlier = by_key.orderBy("_range").rangeBetween(Window.unboundedPreceding, -1)
-    later = by_key.orderBy(F.col(MICROS).desc()).rangeBetween(Window.unboundedPreceding, -1)
-
-    def met(name: str, role: int, window) -> Column:
-        return F.min(F.when(F.col("_role") == role, F.col(name))).over(window)
-
-    told = ends.select("_role", "_range", *[met(n, END, earlier).alias(f"{n}_key") for n in names], *[
-        F.least(met(n, BEFORE_LAST_INSTANT, earlier), met(n, END, later)).alias(f"{n}_instant") for n in names
-    ])
-    return told.where(F.col("_role") == BEGIN).drop("_role")
+    def met(name: str, role: int, window: str) -> str:
+        return f"min(if(_role = {role}, {name}, null)) over {window}"
+
+    columns = [f"{met(n, END, 'earlier')} as {n}_key" for n in names]
+    columns += [f"least({met(n, BEFORE_LAST_INSTANT, 'earlier')}, {met(n, END, 'later')}) as {n}_instant" for n in names]
+    return ends.sparkSession.sql(f"""
+        select * except (_role) from (
+          select _role, _range, {', '.join(columns)} from {{ends}}
+          window earlier as (partition by _key order by _range range between unbounded preceding and 1 preceding),
+                 later as (partition by _key order by {MICROS} desc range between unbounded preceding and 1 preceding))
+        where _role = {BEGIN}""", ends=ends)
 
 
 def _changes(column: pa.Array) -> np.ndarray:
