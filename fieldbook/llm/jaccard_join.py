@@ -1,10 +1,12 @@
-"""Similarity join of documents by their sets of word shingles, with MinHash in fixed bands.
+"""Similarity join of documents by their sets of word shingles, with a MinHash LSH forest.
 
 1. Equal texts become one class; from here on a class counts once.
-2. Each class has a MinHash signature, cut into ``TREES`` labels. Texts that share a label's prefix are
-   candidates. How long the prefix is follows from the similarity alone, before any data are read: the
-   longest of at most ``DEEPEST`` values by which pairs of the wanted similarity meet with the target
-   probability (``prefix_length``); with the defaults that is 5 of 8 values and 0.9996.
+2. Each class has a MinHash signature, cut into ``TREES`` labels of ``DEEPEST`` values. The labels of one tree, sorted, are a
+   prefix trie: classes that share a label's first ``d`` values lie below one node of depth ``d``, and are candidates there. Matching
+   begins at the deepest level. The number of trees in which two classes meet tells how many pairs no tree has brought
+   together yet (``unseen``); while the recall so estimated is below ``RECALL``, prefixes are shortened by one value and the
+   next level is matched. They are never shorter than ``prefix_length``, at which pairs of just the wanted similarity meet
+   with the target probability (5 values and 0.9996 with the defaults), so on few or doubtful matches the search goes down to there.
 3. Classes below a node are linked to its smallest one, which joins candidates into clusters without
    ever forming pairs.
 4. Within a cluster all pairs are verified exactly, from the whole shingle sets. Large clusters are cut into
@@ -67,18 +69,25 @@ def shingle_set(words: np.ndarray) -> np.ndarray:
     return np.unique(hashes ^ (hashes >> np.uint64(32)))
 
 
-def prefixes(shingles: np.ndarray, depth: int) -> np.ndarray:
-    """For each tree the hash of its label's first ``depth`` values; no label without shingles."""
-    used = (np.arange(TREES)[:, None] * DEEPEST + np.arange(depth)).ravel()
+def label(shingles: np.ndarray) -> np.ndarray:
+    """For each tree its label as two numbers: 16 bits of each of the eight values, the first value's on top."""
+    used = np.arange(TREES * DEEPEST)
     factor, salt = MIX[0, used], MIX[1, used]
     least = np.full(len(used), np.iinfo(np.uint64).max)
     for start in range(0, len(shingles), STEP):
         least = np.minimum(least, ((shingles[start : start + STEP, None] ^ salt) * factor).min(0))
-    labels = np.arange(TREES, dtype=np.uint64) * MIX[1, -3]
-    for value in least.reshape(TREES, depth).T:
-        labels = (labels ^ value) * MIX[0, -1]
-        labels ^= labels >> np.uint64(31)
-    return labels.view(np.int64)
+    least *= MIX[1, -3]
+    values = (least >> np.uint64(48)).reshape(TREES, 2, 4)
+    numbers = values[:, :, 0] << np.uint64(48) | values[:, :, 1] << np.uint64(32) | values[:, :, 2] << np.uint64(16) | values[:, :, 3]
+    return numbers.ravel().view(np.int64)
+
+
+def prefix(depth: int) -> tuple[str, str]:
+    """SQL for the first ``depth`` values of a label (high, low)."""
+    def top(name: str, values: int) -> str:
+        return "0L" if values <= 0 else name if values >= 4 else f"shiftright({name}, {64 - 16 * values})"
+
+    return top("high", depth), top("low", depth - 4)
 
 
 def text_key(text: Column) -> Column:
@@ -91,13 +100,13 @@ def lists(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
-def labelled(texts: DataFrame, depth: int) -> DataFrame:
-    """doc_id, text_key, labels (empty without shingles), n_shingles."""
+def labelled(texts: DataFrame) -> DataFrame:
+    """doc_id, text_key, labels (two numbers a tree; empty without shingles), n_shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingle_set(words) for words in lists(batch.column(2))]
-            labels = [prefixes(s, depth) if len(s) else np.empty(0, np.int64) for s in sets]
+            labels = [label(s) if len(s) else np.empty(0, np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(labels, pa.list_(pa.int64())), pa.array(list(map(len, sets)), pa.int64())],
                 ["doc_id", "text_key", "labels", "n_shingles"],
@@ -107,11 +116,32 @@ def labelled(texts: DataFrame, depth: int) -> DataFrame:
     return words.mapInArrow(run, "doc_id long, text_key string, labels array<long>, n_shingles long")
 
 
-def forest_edges(classes: DataFrame) -> DataFrame:
-    """(a, b): classes that share a node, with the smallest class there. ``classes``: node, labels."""
-    leaves = classes.select("node", F.explode("labels").alias("label"))
-    nodes = leaves.groupBy("label").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return leaves.join(nodes.select("label", "b"), "label").select(F.col("node").alias("a"), "b").where("a <> b").distinct()
+def forest_edges(classes: DataFrame, depth: int) -> DataFrame:
+    """(a, b, trees): classes below a node of this depth, with the smallest class there, and in how many trees. ``classes``: node, labels."""
+    high, low = prefix(depth)
+    leaves = classes.where(F.size("labels") > 0).select(
+        "node", F.explode(F.expr("transform(sequence(0, size(labels) - 2, 2), t -> named_struct('tree', t, 'high', labels[t], 'low', labels[t + 1]))")).alias("l")
+    ).select("node", "l.*").selectExpr("node", "tree", f"{high} as high", f"{low} as low")
+    place = ["tree", "high", "low"]
+    nodes = leaves.groupBy(*place).agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
+    met = leaves.join(nodes.drop("n"), place).select(F.col("node").alias("a"), "b").where("a <> b")
+    return met.groupBy("a", "b").agg(F.count("*").alias("trees"))
+
+
+def unseen(pairs: int, once: int, twice: int) -> float:
+    """How many pairs share no node, judged by those that share one and two: the usual estimate of unseen kinds (squares of
+    singletons over doubletons), with one more of each, so that few pairs prove nothing."""
+    return (once + 1) ** 2 / (2 * (twice + 1)) if pairs else float("inf")
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """(a, b): prefixes matched from the deepest level up, until the estimated recall is reached."""
+    for depth in range(DEEPEST, prefix_length() - 1, -1):
+        edges = stored(forest_edges(classes, depth), f"level-{depth}")
+        pairs, once, twice = edges.agg(F.count("*"), F.count_if(F.col("trees") == 1), F.count_if(F.col("trees") == 2)).first()
+        if pairs >= RECALL * (pairs + unseen(pairs, once, twice)):
+            break
+    return edges.select("a", "b")
 
 
 def with_blocks(members: DataFrame) -> DataFrame:
@@ -194,13 +224,13 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     split_skewed_joins(docs.sparkSession)
     texts = id_and_text(docs, id, text)
     known = texts.where("doc_id is not null")
-    rows = stored(labelled(known, prefix_length()), "signatures")
+    rows = stored(labelled(known), "signatures")
     classes = rows.groupBy("text_key").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"), F.first("labels").alias("labels")
     )
     # Numbers written once are the same for every later reader.
     classes = stored(classes.select(F.monotonically_increasing_id().alias("node"), "*"), "classes")
-    clusters = components(forest_edges(classes))
+    clusters = components(candidates(classes))
     members = with_blocks(classes.drop("labels").join(clusters, "node"))
     found = known.select("doc_id", text_key(F.col("text")).alias("text_key"), F.col("text"))
     sets = found.join(

@@ -87,19 +87,78 @@ def test_empty_table(docs):
     assert joined(docs(ODD).limit(0)) == [] and jj.one_of_each(docs(ODD).limit(0)).count() == 0
 
 
-def test_prefixes_shorten_until_the_recall():
+def test_the_shortest_prefix_follows_from_the_similarity():
     depth = jj.prefix_length()
     assert 1 - (1 - 0.8**depth) ** jj.TREES >= jj.RECALL > 1 - (1 - 0.8 ** (depth + 1)) ** jj.TREES
     assert jj.prefix_length(0.99) == jj.DEEPEST and jj.prefix_length(0.1) == 1
 
 
-def test_pairs_meet_as_often_as_the_formula_says():
-    make, met, tried = np.random.default_rng(1), 0, 400
+def first_values(label, depth):
+    """The first values of each tree, from a label's numbers."""
+    values = label.view(np.uint64).reshape(jj.TREES, 2)
+    parts = [(values[:, v // 4] >> np.uint64(48 - 16 * (v % 4))) & np.uint64(0xFFFF) for v in range(depth)]
+    return list(zip(*[p.tolist() for p in parts], strict=True))
+
+
+@pytest.mark.parametrize("depth", [3, 5, 8])
+def test_pairs_meet_as_often_as_the_formula_says(depth):
+    make, met, tried = np.random.default_rng(depth), 0, 400
     for _ in range(tried):
-        common = make.integers(0, 2**63, 80, dtype=np.uint64)
-        a, b = (np.concatenate([common, make.integers(0, 2**63, 40, dtype=np.uint64)]) for _ in "ab")
-        met += int((jj.prefixes(a, 5) == jj.prefixes(b, 5)).any())
-    assert abs(met / tried - (1 - (1 - 0.5**5) ** jj.TREES)) < 0.1
+        common = make.integers(0, 2**63, 160, dtype=np.uint64)
+        a, b = (jj.label(np.concatenate([common, make.integers(0, 2**63, 40, dtype=np.uint64)])) for _ in "ab")
+        met += any(x == y for x, y in zip(first_values(a, depth), first_values(b, depth), strict=True))
+    similarity = 160 / 240
+    assert abs(met / tried - (1 - (1 - similarity**depth) ** jj.TREES)) < 0.08
+
+
+@pytest.mark.parametrize("depth", [1, 4, 5, 8])
+def test_edges_of_a_level_are_those_of_the_trie(spark, depth):
+    make = np.random.default_rng(depth)
+    base = make.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.concatenate([base[: 60 - k % 20], make.integers(0, 2**63, k % 20, dtype=np.uint64)]) for k in range(40)]
+    labels = [jj.label(s) for s in sets]
+    nodes = defaultdict(list)
+    for node, numbers in enumerate(labels):
+        for tree, values in enumerate(first_values(numbers, depth)):
+            nodes[tree, values].append(node)
+    want = defaultdict(int)
+    for members in nodes.values():
+        for node in members[1:]:
+            want[node, members[0]] += 1
+    frame = spark.createDataFrame([(n, x.tolist()) for n, x in enumerate(labels)] + [(99, [])], "node long, labels array<long>")
+    got = {(r.a, r.b): r.trees for r in jj.forest_edges(frame, depth).collect()}
+    assert got == dict(want) and got
+
+
+def levels(monkeypatch, spark, sets):
+    frame = spark.createDataFrame([(n, jj.label(s).tolist()) for n, s in enumerate(sets)], "node long, labels array<long>")
+    seen, real = [], jj.forest_edges
+    monkeypatch.setattr(jj, "forest_edges", lambda classes, depth: seen.append(depth) or real(classes, depth))
+    jj.candidates(frame)
+    return seen
+
+
+def test_prefixes_shorten_until_the_recall_is_reached(spark, monkeypatch):
+    make = np.random.default_rng(5)
+    random_set = lambda n: make.integers(0, 2**63, n, dtype=np.uint64)
+    close = [np.concatenate([base, random_set(1)]) for base in (random_set(400) for _ in range(1_500)) for _ in "ab"]
+    assert levels(monkeypatch, spark, close) == [8]  # 1,500 pairs at 0.995, all of them met in many trees
+    monkeypatch.undo()
+    far = [np.concatenate([base, random_set(11)]) for base in (random_set(89) for _ in range(300)) for _ in "ab"]
+    assert levels(monkeypatch, spark, far) == [8, 7, 6, 5]  # 300 pairs at 0.8
+    monkeypatch.undo()
+    assert levels(monkeypatch, spark, close[:20]) == [8, 7, 6, 5]  # ten pairs prove nothing
+    monkeypatch.undo()
+    assert levels(monkeypatch, spark, []) == [8, 7, 6, 5]
+
+
+def test_the_estimate_of_unseen_pairs():
+    pick = np.random.default_rng(2)
+    for chance in (0.168, 0.33, 0.5):
+        trees = pick.binomial(jj.TREES, chance, 200_000)
+        seen = trees[trees > 0]
+        told = jj.unseen(len(seen), int((seen == 1).sum()), int((seen == 2).sum()))
+        assert told == pytest.approx((trees == 0).sum(), rel=0.4, abs=3)
 
 
 @pytest.mark.parametrize("seed", range(4))
