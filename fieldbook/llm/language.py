@@ -9,6 +9,9 @@ rejection.
 
 A dictionary is text of a bounded, documented sample of labelled rows: for each language the
 ``SAMPLE_ROWS`` rows that come first by a hash of their id, ``SAMPLE_CHARS`` characters each.
+Dictionaries are cut to one size, that of the smallest among the languages with enough text: ``ENOUGH_BYTES``, or half of what
+the best known language has if that is less. A language with less text, say a rare or mistyped label, keeps its smaller
+dictionary and takes nothing away from the others. What is kept comes first by the hash, too.
 Labels are noisy, so once the dictionaries are made, sampled rows which another language
 explains better are taken out and the dictionaries made again.
 
@@ -34,7 +37,7 @@ from fieldbook.llm.common import id_and_text, slices
 SAMPLE_ROWS = 200
 SAMPLE_CHARS = 1000
 PIECE = 512
-LEAST_BYTES = 8192
+ENOUGH_BYTES = 8_192
 # Lazy matching with matches from four bytes tells the languages apart with dictionaries of 10 to 300 KB alike.
 PARAMETERS = {
     "strategy": zstandard.STRATEGY_LAZY, "window_log": 20, "hash_log": 17, "chain_log": 17, "search_log": 4, "min_match": 4,
@@ -94,31 +97,33 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
         labelled.withColumn("place", F.row_number().over(first))
         .where(F.col("place") <= SAMPLE_ROWS)
     )
-    rows = sorted((r.lang, r.text) for r in sample.select("lang", "text").toLocalIterator())
+    rows = [(r.lang, r.text) for r in sorted(sample.select("lang", "order", "text").toLocalIterator())]
     texts = gathered(rows)
     if len(texts) > 1:
         by, languages = compressors(texts), list(texts)
         # A row's own text is in its language's dictionary: leave it out by judging with the other half's dictionaries.
         halves = [rows[0::2], rows[1::2]]
-        kept = []
-        for mine, other in (halves, halves[::-1]):
+        kept = [False] * len(rows)
+        for half, other in enumerate(halves[::-1]):
             others = gathered(other)
             by, languages = compressors(others), list(others)
-            kept += [(lang, text) for lang, text in mine if lang not in others or judged(text, languages, by)[0] in (lang, UNKNOWN)]
-        texts = {**texts, **gathered(sorted(kept))}
+            kept[half::2] = [lang not in others or judged(text, languages, by)[0] in (lang, UNKNOWN) for lang, text in halves[half]]
+        texts = {**texts, **gathered([row for row, stays in zip(rows, kept, strict=True) if stays])}
     rows_of = {r.lang: r["count"] for r in labelled.groupBy("lang").count().toLocalIterator()}
     return {lang: texts[lang] for lang in sorted(texts, key=lambda lang: (-rows_of[lang], lang))}
 
 
 def gathered(rows: list[tuple[str, str]]) -> dict[str, bytes]:
-    """Dictionaries of about one size, as a longer one would have the better chances; none for a language without letters."""
+    """Dictionaries of one size where there is enough text, as a longer one would have the better chances; none for a language without letters."""
     texts: dict[str, list[str]] = {}
     for lang, text in rows:
         if any(map(str.isalpha, text)):
             texts.setdefault(lang, []).append(normal(text))
     raw = {lang: "\n".join(parts).encode() for lang, parts in texts.items()}
-    size = max(LEAST_BYTES, min(map(len, raw.values()), default=0))
-    return {lang: content[-size:] for lang, content in raw.items()}
+    known = [len(content) for content in raw.values()]
+    enough = min(ENOUGH_BYTES, max(known, default=0) // 2)
+    size = min((n for n in known if n >= enough), default=0)
+    return {lang: content[:size] for lang, content in raw.items()}
 
 
 def predict(docs: DataFrame, texts: dict[str, bytes], id: str = "doc_id", text: str = "text") -> DataFrame:

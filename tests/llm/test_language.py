@@ -50,3 +50,23 @@ def test_without_rows_labels_or_letters(docs):
     one = language.fit(docs([(1, "some words", "en"), (2, "12 34", "fr"), (3, None, "de"), (4, "text", None)]))
     assert list(one) == ["en"]
     assert {r.lang_pred for r in language.predict(docs([(9, "words")]), one).collect()} == {"en"}
+
+
+def test_a_rare_label_takes_nothing_from_the_others(table, docs):
+    from pyspark.sql import functions as F
+
+    frame = table("documents")
+    plain = language.fit(frame)
+    odd = frame.where("lang = 'en' and length(text) > 200").orderBy("doc_id").limit(1).withColumns({"lang": F.lit("xx"), "doc_id": F.lit(-5).cast("long")})
+    more = language.fit(frame.unionByName(odd))
+    assert set(more) == {*plain, "xx"} and len(more["xx"]) <= 1_100
+    assert all(len(more[k]) >= 0.95 * len(plain[k]) > 8_192 for k in plain)
+    told = language.predict(frame, more).join(frame.select("doc_id", "lang"), "doc_id").where("lang is not null and lang_pred <> 'und'")
+    assert told.where("lang_pred = 'xx'").count() <= 2 and told.where("lang_pred = lang").count() >= 0.95 * told.count()
+
+
+def test_dictionaries_are_cut_to_the_least_of_those_with_enough():
+    rows = [("a", "wort " * 20_000), ("b", "word " * 10_000), ("c", "parola " * 100), ("d", "1 2 3")]
+    made = language.gathered(rows)
+    assert set(made) == {"a", "b", "c"} and len(made["a"]) == len(made["b"]) == 50_000 and len(made["c"]) == 700
+    assert len(language.gathered([("a", "wort " * 400), ("b", "word " * 300)])["a"]) == 1500
