@@ -12,8 +12,9 @@ short phrase (``PHRASES``) must be there in full. A longer notice (``NOTICES``)
 ``COVER`` of its pairs within one merged span, and on one diagonal of it all pairs of the words
 that tell it from its relatives.
 
-The templates are the fixed list below: a table of a few hundred rows whatever the input,
-which is why its side of the join may be broadcast. Only hits are shuffled.
+The templates are the short list below unless others are passed in: of any length, full license texts too. Their pairs are
+broadcast in blocks of at most ``BROADCAST``, one pass over the documents for each block; the short list makes a few hundred. Which
+pairs voted is kept as bits, ``CHUNK`` pairs a number. Only hits are shuffled.
 
 Null and empty texts give a row without words and labels. Repeated rows each give a row, also
 those with the same id; a null id stays null. Other columns are left out.
@@ -21,6 +22,9 @@ those with the same id; a null id stays null. Other columns are left out.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COVER = 0.8
 # Diagonals at most so far apart belong to one span.
 REACH = 3
+CHUNK = 63
+BROADCAST = 200_000
 
 # Fixed values.
 PHRASES = {
@@ -88,6 +94,18 @@ NOTICES = (
 )
 
 
+class Template(NamedTuple):
+    """``text`` and ``key``, the words of it that have to be there in any case, are words as ``scan_words`` makes them, with spaces between.
+
+    A phrase has to be there in full.
+    """
+
+    label: str
+    key: str
+    text: str
+    phrase: bool = False
+
+
 def scan_words(text: Column) -> Column:
     """Words of a text whose A-Z are in lower case."""
     return F.filter(F.split(F.translate(text, UPPER, LOWER), BETWEEN), lambda w: w != "")
@@ -97,23 +115,28 @@ def pair(first: Column, second: Column) -> Column:
     return F.concat(first, F.lit(" "), second)
 
 
-def templates(spark: SparkSession) -> DataFrame:
+def short_list() -> list[Template]:
+    return [Template(label, text, text, True) for text, label in PHRASES.items()] + [Template(*notice, False) for notice in NOTICES]
+
+
+def templates(spark: SparkSession, known: Sequence[Template]) -> DataFrame:
     """template, label, phrase, pairs (how many it has), needed (how many have to vote), at (position of the pair), must, gram, hash."""
     rows = []
-    for number, (label, key, text, phrase) in enumerate(
-        [(label, text, text, True) for text, label in PHRASES.items()] + [(*notice, False) for notice in NOTICES]
-    ):
-        split = text.split()
-        start, key_pairs = text[: text.index(key)].count(" "), key.count(" ")
+    for number, t in enumerate(known):
+        split, key = t.text.split(), t.key.split()
+        start = next((i for i in range(len(split)) if split[i : i + len(key)] == key), None)
+        if start is None or len(split) < 2:
+            raise ValueError(f"template {number}: {t.key!r} is not among its words, or it is a single word")
         for at, (first, second) in enumerate(zip(split, split[1:], strict=False)):
-            rows.append((number, label, phrase, len(split) - 1, key_pairs, at, start <= at < start + key_pairs, f"{first} {second}"))
+            rows.append((number, t.label, t.phrase, len(split) - 1, len(key) - 1, at, start <= at < start + len(key) - 1, f"{first} {second}"))
     schema = "template int, label string, phrase boolean, pairs int, needed int, at int, must boolean, gram string"
     table = spark.createDataFrame(rows, schema)
     return table.withColumn("hash", F.xxhash64("gram"))
 
 
-def hits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def hits(docs: DataFrame, id: str = "doc_id", text: str = "text", known: Sequence[Template] | None = None) -> DataFrame:
     """One row (row, doc_id, n_words) for each document and one more for each of its pairs that a template has."""
+    known = short_list() if known is None else known
     listed = id_and_text(docs, id, text).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", scan_words(F.col("text")).alias("words")
     )
@@ -129,42 +152,56 @@ def hits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     pairs = listed.select(
         "row", "doc_id", F.size("words").alias("n_words"), F.explode(F.concat(none, F.coalesce(grams, F.array()))).alias("pair")
     ).select("row", "doc_id", "n_words", "pair.*")
-    known = F.broadcast(templates(docs.sparkSession).withColumnsRenamed({"hash": "known_hash", "gram": "known_gram"}))
-    joined = pairs.join(known, (pairs["hash"] == known["known_hash"]) & (pairs["gram"] == known["known_gram"]), "left")
-    return joined.where((F.col("position") == -1) | F.col("template").isNotNull()).select(
-        "row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "at", "must", (F.col("position") - F.col("at")).alias("diagonal")
-    )
+    table = templates(docs.sparkSession, known).withColumnsRenamed({"hash": "known_hash", "gram": "known_gram"})
+    blocks = -(-sum(t.text.count(" ") for t in known) // BROADCAST) or 1
+    found = None
+    for block in range(blocks):
+        some = table if blocks == 1 else table.where(F.pmod(F.xxhash64("template", "at"), F.lit(blocks)) == block)
+        joined = pairs.join(F.broadcast(some), (pairs["hash"] == some["known_hash"]) & (pairs["gram"] == some["known_gram"]), "left")
+        # The documents' own rows come with the first block.
+        kept = joined.where(F.col("template").isNotNull() | ((F.col("position") == -1) & F.lit(block == 0))).select(
+            "row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "at", "must", (F.col("position") - F.col("at")).alias("diagonal")
+        )
+        found = kept if found is None else found.unionByName(kept)
+    return found
 
 
 def diagonals(found: DataFrame) -> DataFrame:
-    """Votes per document, template and diagonal; a row of a document without hits has a null template."""
-    return found.groupBy("row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "diagonal").agg(
+    """Votes per document, template, diagonal and chunk of the template; a row of a document without hits has a null template."""
+    return found.withColumn("chunk", F.expr(f"at div {CHUNK}")).groupBy(
+        "row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "diagonal", "chunk"
+    ).agg(
         F.min("at").alias("first_at"), F.count_if("must").alias("key_votes"),
-        # Which pairs voted, as bits of two words; no template has more than 126 pairs.
-        F.bit_or(F.when(F.col("at") < 63, F.expr("shiftleft(1L, at)")).otherwise(0)).alias("low"),
-        F.bit_or(F.when(F.col("at") >= 63, F.expr("shiftleft(1L, at - 63)")).otherwise(0)).alias("high"),
+        # Which pairs voted, as bits.
+        F.bit_or(F.expr(f"shiftleft(1L, int(at % {CHUNK}))")).alias("bits"),
     )
 
 
-def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", known: Sequence[Template] | None = None) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_notices.
 
     The base is the phrases. ``score`` is the best coverage of any template, 1 where a phrase stands;
     ``n_notices`` counts the merged spans of longer notices.
     """
-    votes = diagonals(hits(docs, id, text))
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
+    votes = diagonals(hits(docs, id, text, known))
+    along = Window.partitionBy("row", "template").orderBy("diagonal", "chunk")
+    same = Window.partitionBy("row", "template", "diagonal")
     notice = ~F.col("phrase")
     # Both kinds in one pass over the votes: a merged span is what follows a gap of more than REACH.
+    # The rows of one diagonal, a chunk each, belong together also for a phrase.
+    step = F.col("diagonal") - F.lag("diagonal").over(along)
     merged = (
-        votes.withColumn("new", F.when(notice, (F.col("diagonal") - F.lag("diagonal").over(along) > REACH).cast("int")).otherwise(1))
+        votes.withColumn("new", F.when(notice, (step > REACH).cast("int")).otherwise(F.coalesce((step != 0).cast("int"), F.lit(1))))
         .withColumn("span", F.sum(F.coalesce("new", F.lit(0))).over(along))
-        .groupBy("row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "span")
+        .withColumn("key_votes", F.sum("key_votes").over(same))
+        .groupBy("row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "span", "chunk")
         .agg(
             F.min(F.when(notice, F.col("diagonal") + F.col("first_at")).otherwise(F.col("diagonal"))).alias("start"),
-            (F.bit_count(F.bit_or("low")) + F.bit_count(F.bit_or("high"))).alias("bits"),
+            F.bit_count(F.bit_or("bits")).alias("bits"),
             F.max("key_votes").alias("key_votes"),
         )
+        .groupBy("row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "needed", "span")
+        .agg(F.min("start").alias("start"), F.sum("bits").alias("bits"), F.max("key_votes").alias("key_votes"))
         .withColumn("covered", F.col("bits") / F.col("pairs"))
         .withColumn("is_base", F.coalesce(F.col("phrase") & (F.col("bits") == F.col("pairs")), F.lit(False)))
         .withColumn("is_notice", F.coalesce(~F.col("phrase") & (F.col("covered") >= COVER) & (F.col("key_votes") >= F.col("needed")), F.lit(False)))

@@ -50,8 +50,45 @@ def test_notices_survive_small_changes_and_are_told_from_relatives(docs):
     assert labels(docs, "the of and " * 200) == ("", 0, 0.0)
 
 
-def test_no_template_is_longer_than_its_bits():
-    assert all(text.count(" ") <= 126 and key in text for _, key, text in ls.NOTICES)
+def test_the_short_list_is_made_of_words():
+    for t in ls.short_list():
+        assert t.key in t.text and t.text.split() == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.text.lower())
+
+
+def full_text(n=700):
+    return " ".join(f"w{i * 7919 % 997}x{i % 13}" for i in range(n))
+
+
+def test_full_license_texts_as_templates(docs):
+    text = full_text()
+    words = text.split()
+    known = [ls.Template("long", " ".join(words[60:66]), text), ls.Template("saying", " ".join(words[:150]), " ".join(words[:150]), True), *ls.short_list()]
+    lost = [w for i, w in enumerate(words) if i % 50]  # a word in fifty left out: 96 % of the pairs, on many diagonals
+    rows = [
+        (1, "x y " + text + " z"), (2, " ".join(lost)), (3, " ".join(words[:500])), (4, " ".join(words[:62] + words[66:])),
+        (5, " ".join(words[:150])), (6, " ".join(words[:149])), (7, "released under the MIT License"), (8, ""), (9, text + " and " + text),
+    ]
+    told = {r.doc_id: (r.labels, r.base_labels, r.first_word, r.n_notices) for r in ls.scan(docs(rows), known=known).collect()}
+    assert told[1] == ("long,saying", "saying", 2, 1)
+    assert told[2][0] == "long"
+    assert told[3] == ("saying", "saying", 0, 0) and told[4] == ("", "", None, 0)  # too little; the key words are missing
+    assert told[5] == ("saying", "saying", 0, 0) and told[6] == ("", "", None, 0)
+    assert told[7][0] == "mit" and told[8] == ("", "", None, 0) and told[9] == ("long,saying", "saying", 0, 2)
+
+
+def test_templates_in_several_blocks_give_the_same(docs, monkeypatch):
+    rows = [(i, f"{text} and more; {phrase}") for i, ((_, _, text), phrase) in enumerate(zip(ls.NOTICES, list(ls.PHRASES) * 5))] + ODD
+    whole = sorted(map(repr, ls.scan(docs(rows)).collect()))
+    monkeypatch.setattr(ls, "BROADCAST", 90)
+    assert sorted(map(repr, ls.scan(docs(rows)).collect())) == whole
+
+
+def test_a_template_without_its_key_is_refused(spark):
+    import pytest
+
+    for bad in (ls.Template("x", "not there", "some other words"), ls.Template("x", "one", "one")):
+        with pytest.raises(ValueError, match="template 0"):
+            ls.templates(spark, [bad])
 
 
 def test_no_python_in_the_plan(docs):
