@@ -16,6 +16,7 @@ from fieldbook.operators.activity import active_seconds, with_next_row
 from fieldbook.operators.ranges import MICROS, later_minima
 from fieldbook.plans import cashback
 from fieldbook.plans.campaign_log import CampaignLog
+from fieldbook.plans.user_log import UserLog
 from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables, probe
 from fieldbook.probes.rows import AS_OF
@@ -535,6 +536,37 @@ def _(t: Tables):
     return funnel.funnel(attributed_orders(t), AS_OF, column="campaign", unique_by="k", first_touch=True)
 
 
+USER_PERIODS = {
+    "yesterday": (dt.date(2024, 1, 14), dt.date(2024, 1, 14)), "month_to_date": (dt.date(2024, 1, 1), dt.date(2024, 1, 14)),
+    "two_weeks": (dt.date(2024, 1, 4), dt.date(2024, 1, 17)), "later": (dt.date(2024, 1, 12), dt.date(2024, 1, 30)),
+}
+USER_PERIODS_SQL = "(values " + ", ".join(f"('{p}', date '{a}', date '{b}')" for p, (a, b) in USER_PERIODS.items()) + ") periods(period, a, b)"
+
+
+def user_log(t: Tables) -> UserLog:
+    """The events' users, taken in by three stretches of days, each read once."""
+    log = UserLog(t.spark, work_folder(t.spark, "users"), ["event_type"], "user_id", "ts", "event_id")
+    ends = [dt.date(2023, 12, 31), dt.date(2024, 1, 10), dt.date(2024, 1, 15), dt.date(2024, 12, 31)]
+    for before, last in zip(ends, ends[1:], strict=False):
+        log.add(t.events, before + dt.timedelta(days=1), last)
+    return log
+
+
+@probe("A09_A15_users_by_merged_sets", f"""
+    select event_type, period, count(distinct user_id) as users, count(*) as rows
+    from events join {USER_PERIODS_SQL} on cast(ts as date) between a and b where user_id is not null group by 1, 2""")
+def _(t: Tables):
+    return user_log(t).counts(USER_PERIODS)
+
+
+@probe("A10_first_touch_by_merged_sets", f"""
+    select event_type, period, count(*) as users from (
+      select event_type, period, row_number() over (partition by period, user_id order by ts, event_id) as place
+      from events join {USER_PERIODS_SQL} on cast(ts as date) between a and b where user_id is not null) where place = 1 group by 1, 2""")
+def _(t: Tables):
+    return user_log(t).first_touch(USER_PERIODS)
+
+
 USE_SQL = """case o_orderpriority when '1-URGENT' then case when o_orderkey % 3 = 0 then 'Appointment (FollowUp)' else 'Appointment (New)' end
     when '2-HIGH' then 'Diagnostics Appointment' when '3-MEDIUM' then 'Surgery' when '4-NOT SPECIFIED' then 'Loyalty Card' else 'Other' end"""
 

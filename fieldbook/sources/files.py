@@ -30,6 +30,9 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)) if s.isDirectory())
 
+    def make(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
