@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Mapping
+from contextlib import suppress
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,12 @@ class RunReport:
 
 def _told(seen: Observation) -> dict[str, int]:
     found: dict[str, int] = {}
-    waiting = threading.Thread(target=lambda: found.update(seen.get), daemon=True)
+
+    def wait() -> None:
+        with suppress(Py4JError):  # the session may end before a pass that never was
+            found.update(seen.get)
+
+    waiting = threading.Thread(target=wait, daemon=True)
     waiting.start()
     waiting.join(PATIENCE)
     return dict(found)

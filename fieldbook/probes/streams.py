@@ -25,13 +25,11 @@ def arrivals(rows: DataFrame) -> list[DataFrame]:
 
 def fed(t: Tables, parts: list[DataFrame], feed: feeds.Feed, bind) -> DataFrame:
     """What the feed has published after a poll for each part; as many tasks write and read a part as it needs."""
-    folder = work_folder(t.spark, "inbox")
-    stream = bind(feeds.file_stream(t.spark, folder, parts[0].schema, "*.parquet"))
-    kept = feeds.store(t.spark, feed, work_folder(t.spark, "feed"), stream.schema)
-    position = work_folder(t.spark, "feed-position")
+    folder, position = work_folder(t.spark, "inbox"), work_folder(t.spark, "feed-position")
+    kept = feeds.store(t.spark, feed, work_folder(t.spark, "feed"), bind(parts[0]).schema)
     for rows in parts:
         rows.write.mode("append").parquet(folder)
-        feeds.drain(stream, kept, position)
+        feeds.drain(bind(feeds.file_stream(t.spark, folder, rows.schema, "*.parquet")), kept, position)
         kept.publish()
         kept.compact(fanout=2)
     return kept.published()

@@ -83,7 +83,7 @@ def walked(monkeypatch):
     return seen
 
 
-@pytest.mark.parametrize("many, batch", [(1, 10_000), (1, 7), (5, 10_000), (40, 3), (200, 10_000)])
+@pytest.mark.parametrize("many, batch", [(1, 7), (5, 10_000), (40, 3)])
 @pytest.mark.parametrize("rivals", ["all", "none", "one"])
 def test_against_nested_loops(table, cut, many, batch, rivals):
     cut(many, batch)
