@@ -181,3 +181,17 @@ def test_components(spark, seed):
                 todo += neighbours[node]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert sorted(map(tuple, got)) == sorted(want.items())
+
+
+def test_a_hubs_pairs_are_spread(spark):
+    from pyspark.sql import functions as F
+
+    from fieldbook.llm import components as parts
+
+    hub = spark.range(1, 5_001).select(F.col("id").alias("a"), F.lit(0).cast("long").alias("b"))
+    assert components(hub).where("component = 0").count() == 5_001
+    turned = hub.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    spread = turned.groupBy("a", F.pmod(F.xxhash64("b"), F.lit(parts.PARTS)).alias("part")).count()
+    assert spread.agg(F.max("count")).first()[0] < 200
+    told = parts.with_least(turned, turned).agg(F.count("*"), F.min("m"), F.max("m")).first()
+    assert tuple(told) == (5_000, 1, 1)
