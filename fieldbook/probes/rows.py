@@ -67,6 +67,22 @@ def _(t: Tables):
     return readers.read_table(t.spark, path, layout)
 
 
+@probe("S04_bucketed_join", """
+    select o_orderkey, o_custkey, count(l_orderkey) as items, cast(sum(cast(l_quantity as decimal(18,2))) as double) as quantity
+    from orders left join lineitem on l_orderkey = o_orderkey group by 1, 2""")
+def _(t: Tables):
+    """Both tables published by order key; the join and the sum need no shuffle then."""
+    orders, items = work_folder(t.spark, "orders"), work_folder(t.spark, "items")
+    writers.publish_bucketed(t.orders.select("o_orderkey", "o_custkey"), orders, schemas.struct("o_orderkey:l o_custkey:l"), key="o_orderkey", buckets=16)
+    writers.publish_bucketed(
+        t.lineitem.select("l_orderkey", F.col("l_quantity").cast(text.MONEY).alias("l_quantity")), items,
+        schemas.struct("l_orderkey:l l_quantity:m"), key="l_orderkey", buckets=16,
+    )
+    left, right = readers.read_bucketed(t.spark, orders), readers.read_bucketed(t.spark, items)
+    sums = right.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("items"), F.sum("l_quantity").alias("quantity"))
+    return left.join(sums, "o_orderkey", "left").select("o_orderkey", "o_custkey", F.coalesce("items", F.lit(0)).alias("items"), "quantity")
+
+
 @probe("S05_text_sheet", """
     select cast(s_suppkey as varchar) as s_suppkey, s_name,
            cast(cast(s_acctbal as decimal(18,2)) as varchar) as balance from supplier""")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 from fieldbook.functions.clock import UTC_OFFSET, in_local_days
 from fieldbook.sources.files import COMPLETE, Files, numbered
 from fieldbook.sources.schemas import assert_stored
-from fieldbook.sources.writers import CURRENT, VERSION
+from fieldbook.sources.writers import BUCKETS, CURRENT, VERSION
 
 
 def current(spark: SparkSession, path: str) -> str:
@@ -34,14 +36,40 @@ def current(spark: SparkSession, path: str) -> str:
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """A stored table, in its current version. With ``schema`` the stored columns and types must be exactly those
+    """A stored table, in its current version; of a bucketed one with what its buckets save. With ``schema`` the stored columns and types must be exactly those
     declared, which is checked before anything is read."""
-    df = spark.read.format(fmt).load(current(spark, path))
+    folder = current(spark, path)
+    if folder != path and Files(spark, folder).exists(f"{folder}/{BUCKETS}"):
+        return read_bucketed(spark, path, schema)
+    df = spark.read.format(fmt).load(folder)
     if schema is not None:
         assert_stored(df, schema)
     return df
 
 
+def read_bucketed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table of ``writers.publish_bucketed`` in its current version, with what its buckets save.
+
+    How rows were dealt is told to the session's catalog under a name of the version's own.
+    """
+    folder = current(spark, path)
+    told = json.loads(Files(spark, folder).read(f"{folder}/{BUCKETS}") or "{}")
+    if not told:
+        raise ValueError(f"{path} is no bucketed table")
+    df = spark.read.parquet(folder)
+    if schema is not None:
+        assert_stored(df, schema)
+    name = f"fieldbook_{hashlib.md5(folder.encode()).hexdigest()}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    where = folder.replace("'", "\\'")
+    key = told["key"]
+    spark.sql(
+        f"create table if not exists {name} ({columns}) using parquet "
+        f"clustered by (`{key}`) sorted by (`{key}`) into {told['buckets']} buckets location '{where}'"
+    )
+    return spark.table(name)
+
+
 def read_window(
     spark: SparkSession,
     path: str,

@@ -8,6 +8,7 @@ table as it was, and a reader that has begun goes on reading its own folder. ``r
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable
 
@@ -19,7 +20,7 @@ from fieldbook.sources.files import Files, numbered
 from fieldbook.sources.schemas import conform
 
 RUN_DATE = "run_date"
-VERSION, CURRENT = "v", "CURRENT"
+VERSION, CURRENT, BUCKETS = "v", "CURRENT", "_buckets"
 
 
 def replace(path: str, df: DataFrame, write: Callable[[str], None]) -> str:
@@ -67,6 +68,25 @@ def publish(
     )
 
 
+def publish_bucketed(df: DataFrame, path: str, schema: T.StructType, *, key: str, buckets: int | None = None) -> None:
+    """Replace a table whose rows are dealt by ``key`` into ``buckets`` (by default as many as the session shuffles over), one file each.
+
+    Tables dealt by their join keys into the same number of buckets are joined, and grouped by these keys, without a shuffle.
+    ``readers.read_bucketed`` reads them; read as plain Parquet they are tables like any other.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = conform(df, schema)
+
+    def write(folder: str) -> None:
+        name = f"fieldbook_{uuid.uuid4().hex}"
+        out.repartition(n, key).write.bucketBy(n, key).sortBy(key).format("parquet").option("path", folder).saveAsTable(name)
+        spark.sql(f"drop table {name}")  # the files stay
+        Files(spark, folder).write(f"{folder}/{BUCKETS}", json.dumps({"key": key, "buckets": n}))
+
+    replace(path, df, write)
+
+
 def write_csv(df: DataFrame, path: str, compressed: bool = True) -> None:
     writer = df.write.option("header", True).option("escape", '"')
     if compressed:

@@ -4,16 +4,20 @@ import datetime as dt
 import re
 
 import pytest
-
+from conftest import tuples
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clock
 from fieldbook.operators import ledger, ranges
 from fieldbook.operators.activity import with_next_row
 from fieldbook.operators.lookup import first_per_key, left_lookup, restrict_to
-from fieldbook.plans import calls, commission, records
+from fieldbook.plans import calls, commission, jobs, records
+from fieldbook.probes.deployment import ROLES
 from fieldbook.probes.registry import Tables
 from fieldbook.probes.tables import attributed_orders
+from fieldbook.session import work_folder
+from fieldbook.sources import readers, writers
+from fieldbook.sources.schemas import SchemaMismatch, struct
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -168,3 +172,51 @@ def test_cards_and_visits_are_cut_to_the_ledger(t):
     appts = t.view("appointment").withColumnRenamed("user_email", "user")
     plan = optimized(ledger.visit_facts(ledger_rows, appts, t.view("payment_link"), t.view("patient_case"), people.select("email")))
     assert all("LeftSemi" in subtree(plan, top) for top in (r"Aggregate \[.*_paid", r"Aggregate \[.*lead_id", r"_from_app"))
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, t, without_broadcasts):
+    layout, paths = struct("k:l x:s"), [work_folder(spark, name) for name in ("left", "right", "other")]
+    rows = t.orders.selectExpr("o_custkey as k", "o_orderstatus as x")
+    for path, buckets in zip(paths, (8, 8, 5), strict=True):
+        for _ in range(2):  # the second version is the one read
+            writers.publish_bucketed(rows, path, layout, key="k", buckets=buckets)
+    left, right, other = (readers.read_bucketed(spark, path, layout) for path in paths)
+    joined = left.join(right.groupBy("k").agg(F.count("x").alias("n")), "k").groupBy("k").agg(F.max("n").alias("n"), F.count("x").alias("m"))
+    assert exchanges(plan_of(joined)) == 0 and joined.where("n <> m").count() == 0 and joined.count() == rows.select("k").distinct().count()
+    assert exchanges(plan_of(restrict_to(left, right, "k"))) == 0
+    assert exchanges(plan_of(first_per_key(left, "k", "x", ["x"]))) == 0
+    assert exchanges(plan_of(left.join(other, "k"))) == 1  # only the table of another number of buckets is dealt anew
+    assert left.count() == rows.count() == readers.read_table(spark, paths[0], layout).count()
+    assert len(left.inputFiles()) <= 8
+
+
+def test_a_bucketed_table_follows_its_versions(spark, table):
+    path, layout = work_folder(spark, "versions"), struct("k:l x:s")
+    writers.publish_bucketed(table("k:l x:s", [(1, "a"), (2, "b")]), path, layout, key="k", buckets=3)
+    before = readers.read_bucketed(spark, path)
+    writers.publish_bucketed(table("k:l x:s", [(3, "c")]), path, layout, key="k", buckets=4)
+    assert tuples(before) == [(1, "a"), (2, "b")] and tuples(readers.read_bucketed(spark, path)) == [(3, "c")]
+    plain = work_folder(spark, "plain")
+    writers.publish(table("k:l x:s", [(3, "c")]), plain, layout)
+    with pytest.raises(ValueError, match="no bucketed table"):
+        readers.read_bucketed(spark, plain)
+    with pytest.raises(SchemaMismatch):
+        readers.read_bucketed(spark, path, struct("k:l y:s"))
+
+
+def test_a_job_reads_bucketed_inputs_with_fewer_shuffles(spark, t, without_broadcasts):
+    names = "call call_document patient_case patient customer_profile city personnel".split()
+    plans, rows = [], []
+    for dealt in ({}, {"call": "sid", "call_document": "call_sid", "patient_case": "patient_id"}):
+        root = work_folder(spark, "inputs")
+        for name in names:
+            path, df = f"{root}/{name.removesuffix('_profile')}", t.view(name)
+            if name in dealt:
+                writers.publish_bucketed(df, path, df.schema, key=dealt[name], buckets=4)
+            else:
+                df.write.parquet(path)
+        detail = jobs._detail(jobs.Inputs(spark, root, roles=ROLES), jobs.Inputs(spark, root).table("call"), routed=True)
+        plans.append(exchanges(plan_of(detail)))
+        rows.append(tuples(detail.select("sid", "city", "final_status", "leg1_agent_email", "no_sent")))
+    assert rows[0] == rows[1] and rows[0]
+    assert plans[1] <= plans[0] - 4, plans
