@@ -36,7 +36,8 @@ def net_payable(
     return (approved - total_share - withheld + discount + other).cast(AMOUNT)
 
 
-BIN_DAYS = 32
+# Bins of four sizes, each eight times the one before: 32, 256, 2048 and 16384 days.
+BIN_DAYS, WIDER, LEVELS = 32, 8, 4
 # Days since 1970 that bins are made for; earlier and later ones share the first and the last bin.
 FIRST_DAY, LAST_DAY = -25_567, 47_482  # 1900-01-01, 2100-01-01
 ANY_DAY = -(2**31)
@@ -55,29 +56,57 @@ def in_force(
 
     A case whose agreements all miss the date disappears, while a case without agreement, without
     date or with an open-ended agreement stays. A case meets only the agreements of its key whose period touches its
-    bin of ``BIN_DAYS`` days (a case without date all of them), however many the key has.
+    bin (a case without date all of them), however many the key has. An agreement has bins of one size, the largest that is
+    not longer than its period, and a case looks up the sizes that its key has. Both joins shuffle: Spark takes an agreement
+    with its bins for one row, so it would send to the driver what its threshold is meant to keep from it.
     """
-    known = rates.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_known", F.lit(True))
+    sizes = rates.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_set(_level(*_days(start, end))).alias("_levels"))
     met = binned(rates, key, start, end).withColumn("_met", F.lit(True))
-    rows = cases.withColumn("_on", on_date)
-    rows = rows.withColumn("_bin", F.coalesce(_bin(F.unix_date(F.col("_on").cast("date"))), F.lit(ANY_DAY)))
-    rows = rows.join(known, key, "left").join(met, [key, "_bin"], "left")
+    rows = cases.withColumn("_on", on_date).join(sizes.hint("merge"), key, "left")
+    day = F.unix_date(F.col("_on").cast("date"))
+    levels = F.coalesce(F.col("_levels"), F.array(F.lit(0)))  # a key without agreements: any bin, so that such rows spread
+    bins = F.when(day.isNull(), F.array(F.lit(ANY_DAY))).otherwise(F.transform(levels, lambda n: _bin(_number(day, n), n)))
+    rows = rows.withColumn("_bin", F.explode(bins)).join(met.hint("merge"), [key, "_bin"], "left")
     outside = F.coalesce((F.col("_on") < F.col(start)) | (F.col("_on") > F.col(end)), F.lit(False))
-    kept = rows.where(F.col("_known").isNull() | (F.col("_met").isNotNull() & ~outside))
+    kept = rows.where(F.col("_levels").isNull() | (F.col("_met").isNotNull() & ~outside))
     return kept.select(key, *[c for c in cases.columns if c != key], *[c for c in rates.columns if c != key])
 
 
 def binned(rates: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Each agreement once for every bin its period touches, and once for cases without a date."""
-    first = _bin(F.coalesce(F.unix_date(F.col(start).cast("date")), F.lit(FIRST_DAY)))
-    last = _bin(F.coalesce(F.unix_date(F.col(end).cast("date")), F.lit(LAST_DAY)))
-    bins = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    """Each agreement once for every bin of its size that its period touches, nine at most, and once for cases without a date."""
+    first, last = _days(start, end)
+    level = _level(first, last)
+    low, high = _number(first, level), _number(last, level)
+    touched = F.transform(F.sequence(low, high), lambda number: _bin(number, level))
+    bins = F.when(low <= high, touched).otherwise(F.array().cast("array<int>"))
     return rates.where(F.col(key).isNotNull()).withColumn("_bin", F.explode(F.concat(F.array(F.lit(ANY_DAY)), bins)))
 
 
-def _bin(day: Column) -> Column:
-    inside = F.greatest(F.lit(FIRST_DAY), F.least(F.lit(LAST_DAY), day))
-    return F.when(day.isNotNull(), F.floor(inside / BIN_DAYS).cast("int"))
+def _days(start: str, end: str) -> tuple[Column, Column]:
+    """First and last day of a period; an open one reaches to the end of the bins."""
+    return (
+        _inside(F.coalesce(F.unix_date(F.col(start).cast("date")), F.lit(FIRST_DAY))),
+        _inside(F.coalesce(F.unix_date(F.col(end).cast("date")), F.lit(LAST_DAY))),
+    )
+
+
+def _inside(day: Column) -> Column:
+    return F.greatest(F.lit(FIRST_DAY), F.least(F.lit(LAST_DAY), day))
+
+
+def _level(first: Column, last: Column) -> Column:
+    longer = [(last - first >= BIN_DAYS * WIDER**n).cast("int") for n in range(1, LEVELS)]
+    return sum(longer, F.lit(0))
+
+
+def _number(day: Column, level: Column) -> Column:
+    """Which bin of the level's size a day is in."""
+    return F.floor(_inside(day) / (BIN_DAYS * F.pow(F.lit(WIDER), level))).cast("int")
+
+
+def _bin(number: Column, level: Column) -> Column:
+    """One number for a bin among those of all sizes."""
+    return number * LEVELS + level
 
 
 def statement_label(lender: Column, admission: Column, start: Column, end: Column) -> Column:

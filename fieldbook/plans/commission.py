@@ -108,9 +108,19 @@ def case_texts(
     )
     # Both histories are cut to the cases asked for before their JSON is parsed and grouped.
     own = base.select(F.col("case_id").alias("insurance_case_id"))
-    newest = newest_phases(restrict_to(phases, own, "insurance_case_id"))
+    # What grows with the cases is joined by shuffles: these columns are made by expressions, so their size as stored, which
+    # Spark's threshold for broadcasts goes by, says little about the driver's memory. Narrow rows meet before the cases do.
+    newest = newest_phases(restrict_to(phases, own.hint("merge"), "insurance_case_id"))
     docs = newest.select(F.col("docs_phase_id").alias("phase_id"))
-    finance = restrict_to(sub_phases, docs, "phase_id")
+    finance = restrict_to(sub_phases, docs.hint("merge"), "phase_id")
+    people = patients.select(F.col("id").alias("patient_id"), "customer_id").join(
+        customers.select(
+            "customer_id", F.col("name").alias("patient_name"),
+            F.col("customer_number").alias("contact_number"), "email",
+        ).hint("merge"),
+        "customer_id", "left",
+    )
+    approvals = newest.join(lender_per_phase(finance, lenders).hint("merge"), "docs_phase_id", "left")
     return (
         base.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left")
         .join(
@@ -118,16 +128,8 @@ def case_texts(
             "facility_id", "left",
         )
         .join(city.select(F.col("id").alias("city_id"), F.col("city_name").alias("city")), "city_id", "left")
-        .join(patients.select(F.col("id").alias("patient_id"), "customer_id"), "patient_id", "left")
-        .join(
-            customers.select(
-                "customer_id", F.col("name").alias("patient_name"),
-                F.col("customer_number").alias("contact_number"), "email",
-            ),
-            "customer_id", "left",
-        )
-        .join(newest, "case_id", "left")
-        .join(lender_per_phase(finance, lenders), "docs_phase_id", "left")
+        .join(people.hint("merge"), "patient_id", "left")
+        .join(approvals.hint("merge"), "case_id", "left")
         .drop("docs_phase_id", "vendor_id", "facility_id", "city_id", "patient_id", "customer_id")
     )
 

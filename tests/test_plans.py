@@ -156,6 +156,35 @@ def test_phase_histories_are_cut_before_their_json_is_parsed(t):
     assert "LeftSemi" in subtree(plan, r"financeEligibilityInfo")
 
 
+def test_a_statement_sends_only_its_small_dimensions_to_the_driver(spark):
+    def rows(n, *columns):
+        return spark.range(n).selectExpr(*columns)
+
+    cases = rows(
+        30, "id", "timestamp_ntz'2024-01-10' as created_on", "id as surgery_id", "id as patient_id", "id % 3 as facility_id", "id % 3 as vendor_id",
+        "'F' as status", "'I' as insurance_name", """'{"tpaName":"T"}' as additional_details""", "'t' as treatment_type", "'s' as surgery_name",
+        "'g' as speciality_name",
+    )
+    tables = [
+        rows(3, "id as vendor_id", "'V' as vendor_name"), rows(3, "id as facility_id", "'H' || id as alias_name", "id as city_id"),
+        rows(3, "id", "'C' || id as city_name"), rows(20, "id", "id div 2 as customer_id"),
+        rows(10, "id as customer_id", "'N' || id as name", "'0' as customer_number", "'e' as email"),
+        rows(40, "id div 2 as insurance_case_id", "id as phase_id",
+             "case id % 2 when 0 then 'INSURANCE_DOCS_APPROVAL' else 'DISCHARGE_DOCS_APPROVAL' end as phase_type",
+             """'{"surgeryDischargeApprovalInfo":{"nme":"x","totalBillAmount":"2,000","finalApprovedAmount":"1,000"}}' as additional_details"""),
+        rows(20, "id * 2 as phase_id", "id as sub_phase_id", "'FINANCE_ELIGIBILITY_APPROVAL' as sub_phase_type",
+             """'{"financeEligibilityInfo":{"lenderId":"1"}}' as additional_details"""),
+        rows(2, "id as lender_id", "'L' || id as lender_name"),
+    ]
+    rates = rows(3, "'H' || id || 'Partner24HR' as key", "'9%' as share_pct", "'10%' as net_share_pct", "'On Approved Amount' as remarks",
+                 "'2020-01-01' as start_date", "'' as end_date")
+    found = commission.statement(commission.open_cases(cases, *tables, roles=ROLES), rates, ROLES)
+    got = {(r.case_id, r.patient_name, r.lender_name, r.total_share and str(r.total_share)) for r in found.collect()}
+    assert got == {(i, f"N{i // 2}", "L1", "100.0000") if i < 20 else (i, None, None, None) for i in range(30)}
+    small = re.findall(r"BroadcastHashJoin \[(\w+)#", plan_of(found).split("== Initial Plan ==")[0])
+    assert sorted(small) == ["city_id", "facility_id", "lender_id", "vendor_id"]
+
+
 def test_callers_cities_start_from_the_callers(t):
     call, cases, patient, customer, city = t.views("call patient_case patient customer_profile city")
     plan = optimized(calls.caller_cities(cases, patient, customer, city, call))

@@ -61,3 +61,37 @@ def test_a_thousand_agreements_of_one_key_are_not_all_candidates(spark, table):
     assert per_bin.agg(F.max("count")).first()[0] <= 6 and met.count() < 3_500
     rows = pricing.in_force(cases, rates, key="k", on_date=F.col("on"))
     assert rows.count() == 2_000 and rows.where(F.expr("rate <> id * 3 div 7")).count() == 0
+
+
+def test_a_long_agreement_has_few_bins(table):
+    days = [1, 32, 255, 256, 2_047, 2_048, 16_383, 16_384, 40_000]
+    start = at("1950-01-01 00:00:00")
+    rates = table(RATES, [("k", n, start, start + dt.timedelta(days=n)) for n in days] + [("k", 0, None, None), ("k", -1, start, None), ("k", -2, None, start)])
+    met = pricing.binned(rates, "k", "start_date", "end_date")
+    assert met.groupBy("rate").count().agg(F.max("count")).first()[0] <= 10  # one of them is ANY_DAY
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_periods_of_all_lengths_against_all_pairs(table, seed):
+    draw = random.Random(seed)
+    origin = at("1990-01-01 00:00:00")
+    day = lambda: origin + dt.timedelta(hours=draw.randrange(24 * 365 * 40))
+
+    def rate(i):
+        start = draw.choice([None, day()])
+        length = dt.timedelta(hours=draw.randrange(24 * draw.choice([1, 32, 256, 2_048, 16_384, 40_000]) + 1))
+        return draw.choice(["a", "b", "d", None]), i, start, draw.choice([None, (start or day()) + length])
+
+    cases = [(draw.choice(["a", "b", "c", None]), i, draw.choice([None, *[day() for _ in range(5)]])) for i in range(100)]
+    rates = [rate(i) for i in range(40)]
+    edges = [("a", 100 + i, edge + shift) for i, (_, _, *period) in enumerate(rates) for edge in period if edge
+             for shift in (-dt.timedelta(seconds=1), dt.timedelta(0), dt.timedelta(seconds=1))]
+    assert found(table, cases + edges, rates) == pairs(cases + edges, rates)
+
+
+def test_agreements_and_their_keys_stay_off_the_driver(spark):
+    cases = spark.range(50).selectExpr("cast(id % 5 as string) as k", "id", "timestamp_ntz'2024-01-10' as on")
+    rates = spark.range(4).selectExpr("cast(id as string) as k", "id as rate", "timestamp_ntz'2024-01-01' as start_date", "cast(null as timestamp_ntz) as end_date")
+    rows = pricing.in_force(cases, rates, key="k", on_date=F.col("on"))
+    assert rows.where("rate is not null").count() == 40 and len(rows.collect()) == 50
+    assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
